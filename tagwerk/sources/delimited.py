@@ -7,10 +7,11 @@ by its position in *that file's* header.  Files with different headers (a
 symbol without ``Change``) or extra columns therefore line up by name, in one
 distributed read, without listing headers on the driver.
 
-Cost: the header rows are a second, filtered scan of the same files, joined
-back by file path.  That side has one row per file; it is broadcast when the
-file count (known from the listing, no scan needed) is within a bound, and
-joined by a shuffle beyond it.  For data read many times, land it once as
+Cost: the header rows come from a second scan of the same files as plain
+text (no tokenising; only lines that contain the header keys are parsed),
+joined back by file path.  That side has one row per file; it is broadcast
+when the file count (known from the listing, no scan needed) is within a
+bound, and joined by a shuffle beyond it.  For data read many times, land it once as
 parquet (``sinks.files.land_parquet``) and read that.
 """
 
@@ -37,7 +38,7 @@ def read_positional(spark: SparkSession, path, schema: T.StructType, sep: str =
 
 def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = ";",
                    header_keys: Sequence[str] | None = None,
-                   partition_columns: Sequence[str] = (), max_columns: int = 64,
+                   partition_columns: Sequence[str] = (), max_columns: int = 32,
                    date_formats: dict | None = None, encoding: str = "UTF-8",
                    quote: str = '"', max_broadcast_files: int = MAX_BROADCAST_FILES,
                    with_file: bool = False) -> DataFrame:
@@ -48,28 +49,58 @@ def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = "
     (default: the first field) and identify header lines.  ``partition_columns``
     are read from ``name=value`` directories as text.  ``date_formats`` maps a
     date field to its text pattern; other fields are cast (NULL when not
-    castable).  Values that are empty in the file are NULL.
+    castable).  Values that are empty in the file are NULL.  A file whose
+    header is wider than ``max_columns`` fails the read instead of silently
+    losing columns.
     """
     wanted = [f for f in schema.fields if f.name not in partition_columns]
     keys = list(header_keys or [wanted[0].name])
-    raw_schema = T.StructType(
-        [T.StructField(f"_c{i}", T.StringType()) for i in range(max_columns)]
-        + [T.StructField(p, T.StringType()) for p in partition_columns])
-    raw = (_reader(spark, sep, encoding, quote).schema(raw_schema)
-           .option("header", False).csv(path))
-    n_files = len(raw.inputFiles())
-    cells = F.array(*[F.col(f"_c{i}") for i in range(max_columns)])
-    raw = raw.select(cells.alias("__cells"), *[F.col(p) for p in partition_columns],
-                     F.col("_metadata.file_path").alias("__file"))
+    # one cell more than allowed: a value there means the line was cut
+    cell_names = [f"_c{i}" for i in range(max_columns + 1)]
+    cells_schema = T.StructType([T.StructField(c, T.StringType()) for c in cell_names])
+    raw_schema = T.StructType(cells_schema.fields
+                              + [T.StructField(p, T.StringType()) for p in partition_columns])
+    reader = _reader(spark, sep, encoding, quote)
+    data = reader.schema(raw_schema).option("header", False).csv(path)
+    n_files = len(data.inputFiles())
+
+    # Header side: a plain text scan (no tokenising) keeps candidate lines, and
+    # only those few lines are parsed as CSV.  One row per file.
+    text = spark.read.option("encoding", encoding).text(path)
+    maybe = reduce(lambda a, b: a & b, [F.col("value").contains(k) for k in keys])
+    csv_opts = {"sep": sep, "quote": quote}
+    parsed = (text.filter(maybe)
+                  .select(F.col("_metadata.file_path").alias("__hfile"),
+                          F.from_csv(F.col("value"), cells_schema.simpleString(), csv_opts).alias("__h")))
+    names = F.array(*[F.col(f"__h.{c}") for c in cell_names])
     # array_contains is NULL (not false) on an array with NULL cells
-    is_header = F.coalesce(
-        reduce(lambda a, b: a & b, [F.array_contains("__cells", k) for k in keys]), F.lit(False))
-    headers = (raw.filter(is_header)
-                  .select(F.col("__file").alias("__hfile"), F.col("__cells").alias("__names"))
-                  .dropDuplicates(["__hfile"]))
+    is_header = F.coalesce(reduce(lambda a, b: a & b, [F.array_contains(names, k) for k in keys]),
+                           F.lit(False))
+    headers = (parsed.filter(is_header).select("__hfile", names.alias("__names"))
+                     .dropDuplicates(["__hfile"]))
     if n_files <= max_broadcast_files:
         headers = F.broadcast(headers)
-    data = raw.filter(~is_header).join(headers, F.col("__file") == F.col("__hfile"), "inner")
+
+    joined = (data.select(F.array(*[F.col(c) for c in cell_names]).alias("__cells"),
+                          *[F.col(p) for p in partition_columns],
+                          F.col("_metadata.file_path").alias("__file"))
+                  .join(headers, F.col("__file") == F.col("__hfile"), "left"))
+
+    def cell(pos):
+        # the cell at 1-based position ``pos`` of this row, NULL when pos is 0
+        return F.element_at(F.col("__cells"), pos)
+
+    key_pos = F.array_position(F.col("__names"), keys[0]).cast("int")
+    not_header = F.coalesce(cell(key_pos) != F.lit(keys[0]), F.lit(True))
+    too_wide = F.element_at(F.col("__names"), max_columns + 1).isNotNull()
+    joined = joined.filter(not_header).withColumn(
+        "__names",
+        F.when(F.col("__names").isNull(), F.raise_error(F.concat(
+            F.lit(f"no header with {keys} within max_columns={max_columns} in "), F.col("__file"))))
+         .when(too_wide, F.raise_error(F.concat(
+            F.lit(f"header wider than max_columns={max_columns} in "), F.col("__file"))))
+         .otherwise(F.col("__names")))
+
     fmt = date_formats or {}
     out = []
     for f in schema.fields:
@@ -77,14 +108,14 @@ def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = "
             out.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
             continue
         pos = F.array_position(F.col("__names"), f.name).cast("int")
-        text = F.when(pos > 0, F.element_at(F.col("__cells"), pos))
+        text_val = F.when(pos > 0, cell(pos))
         if isinstance(f.dataType, T.StringType):
-            val = text
+            val = text_val
         elif isinstance(f.dataType, T.DateType) and f.name in fmt:
-            val = F.try_to_date(text, fmt[f.name])
+            val = F.try_to_date(text_val, fmt[f.name])
         else:
-            val = text.try_cast(f.dataType)
+            val = text_val.try_cast(f.dataType)
         out.append(val.alias(f.name))
     if with_file:
         out.append(F.col("__file").alias("source_file"))
-    return data.select(*out)
+    return joined.select(*out)

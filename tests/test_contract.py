@@ -1,0 +1,88 @@
+"""Table contract (D1-D3), served forms (F6, P9, X8), staged publish."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from tagwerk.operators.contract import key_duplicates
+from tagwerk.operators.serving import served_growth, served_market
+from tagwerk.operators.growth import daily_growth
+from tagwerk.schemas import served_growth_contract, served_market_contract
+from tagwerk.sinks.publish import frame_fingerprint, publish_table
+from tagwerk.operators.filters import zero_fill
+
+from .helpers import GROWTH_IN, d, rows
+
+
+def test_key_duplicates(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 1), (2, 1), (2, 1)], "k int, j int")
+    assert rows(key_duplicates(df, ["k", "j"])) == [(1, 1, 2), (2, 1, 3)]
+
+
+def test_served_growth_zero_fill_decimal_and_rejects(spark):
+    g = daily_growth(spark.createDataFrame([
+        (d("01/03"), 3, 0, "A", "Europe"), (d("02/03"), 4, 1, "A", "Europe"),
+        (d("03/03"), 40_000_000, 1, "A", "Europe"),     # ratio beyond decimal(10,4)
+        (d("01/03"), 1, 1, None, "Europe"),              # NULL key
+        (None, 1, 1, "B", "Europe"),                     # bad date
+    ], GROWTH_IN))
+    good, bad = served_growth(g, with_rejects=True)
+    assert dict(good.dtypes)["cases_rel_diff"] == "decimal(10,4)"
+    got = {(r.country, r.date): r for r in good.collect()}
+    assert len(got) == 3
+    first = got[("A", d("01/03"))]
+    assert (first.cases_prev, first.dead_prev, first.cases_rel_diff) == (0, 0, Decimal("0.0000"))
+    assert got[("A", d("02/03"))].cases_rel_diff == Decimal("0.3333")
+    assert got[("A", d("03/03"))].cases_rel_diff is None           # out of range: NULL ...
+    reasons = sorted(r.reasons for r in bad.collect())               # ... and reported
+    assert reasons == ["cases_rel_diff outside decimal(10,4)", "country is null", "date is null"]
+
+
+def test_served_growth_text_parity(spark):
+    g = daily_growth(spark.createDataFrame([(d("01/03"), 1, 1, None, None)], GROWTH_IN))
+    assert served_growth(g).count() == 0
+    parity = served_growth(g, fill_text=True).first()
+    assert (parity.country, parity.continent) == ("0", "0")
+
+
+def test_served_market_rename_and_null_stays(spark):
+    t = spark.createDataFrame([(d("01/03"), None, 10.0, None), (d("02/03"), 1.23456, 2.0, 0.76544)],
+                              "Date date, open_sum double, close_sum double, abs_diff double")
+    out = served_market(t)
+    assert out.columns == ["date", "open", "close", "diff"]
+    got = {r.date: tuple(r)[1:] for r in out.collect()}
+    assert got[d("01/03")] == (None, Decimal("10.0000"), None)
+    assert got[d("02/03")] == (Decimal("1.2346"), Decimal("2.0000"), Decimal("0.7654"))
+
+
+def test_publish_switches_table_and_is_idempotent(spark, scratch):
+    g = zero_fill(daily_growth(spark.createDataFrame(
+        [(d(f"{k:02d}/03"), k, 0, "A", "Europe") for k in range(1, 10)], GROWTH_IN)), exclude=("date",))
+    c = served_growth_contract()
+    spark.sql("DROP TABLE IF EXISTS infects_t")
+    p1 = publish_table(spark, g, c, scratch, table="infects_t")
+    first = frame_fingerprint(spark.table("infects_t"))
+    p2 = publish_table(spark, g, c, scratch, table="infects_t")
+    assert p1.path != p2.path and p2.rows == 9
+    assert frame_fingerprint(spark.table("infects_t")) == first   # twice == once
+    spark.sql("DROP TABLE infects_t")
+
+
+def test_publish_refuses_duplicate_keys(spark, scratch):
+    g = zero_fill(daily_growth(spark.createDataFrame(
+        [(d("01/03"), 1, 0, "A", "Europe"), (d("01/03"), 2, 0, "A", "Europe")], GROWTH_IN)),
+        exclude=("date",))
+    with pytest.raises(ValueError, match="duplicate keys"):
+        publish_table(spark, g, served_growth_contract(), scratch)
+    ok = publish_table(spark, g, served_growth_contract(), scratch, on_duplicate="report")
+    assert ok.duplicate_keys == 1
+
+
+def test_market_contract_overflow_reported(spark, scratch):
+    t = spark.createDataFrame([(dt.date(2020, 1, 1), 1_234_567.1, 1.0, -1_234_566.1)],
+                              "Date date, open_sum double, close_sum double, abs_diff double")
+    pub = publish_table(spark, t, served_market_contract(10), scratch)
+    assert pub.rows == 1 and pub.rejects == 1
+    served = spark.read.parquet(pub.path).first()
+    assert served.open is None and served.close == Decimal("1.0000")

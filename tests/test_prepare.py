@@ -1,0 +1,78 @@
+"""Import-side preparation: F2, F4, F5, P7, P8, U1, P10, F6."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tagwerk.operators.filters import date_between, exclude_values, keep_members, zero_fill
+from tagwerk.operators.project import flatten, pick, rename
+from tagwerk.plans.infections import exclude_countries
+from tagwerk.plans.market import bounded_prices, combine_symbols
+
+from .helpers import rows
+
+
+def test_null_safe_exclusion_keeps_null(spark):
+    df = spark.createDataFrame([("Curaçao",), (None,), ("Aruba",)], "countriesAndTerritories string")
+    assert rows(exclude_countries(df)) == sorted([(None,), ("Aruba",)], key=repr)
+    # plain inequality would drop the NULL row too
+    assert df.filter(F.col("countriesAndTerritories") != "Curaçao").count() == 1
+
+
+def test_exclude_values_many(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "x string")
+    assert rows(exclude_values(df, "x", ["a", "b"])) == sorted([("c",), (None,)], key=repr)
+
+
+def test_date_bounds_inclusive_and_today(spark):
+    df = spark.createDataFrame([(dt.date(2019, 12, 31),), (dt.date(2020, 1, 1),),
+                                (dt.date(2020, 6, 1),), (dt.date(2999, 1, 1),)], "Date date")
+    assert date_between(df, "Date", "2020-01-01", "2020-06-01").count() == 2
+    assert date_between(df, "Date", "2020-01-01").count() == 2  # end = today
+
+
+def test_membership_list_and_frame(spark):
+    df = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3), (None, 4)], "Share string, v int")
+    assert rows(keep_members(df, "Share", ["A", "C"]), "v") == [(1,), (3,)]
+    members = spark.createDataFrame([("A",), ("A",), ("B",)], "sym string")
+    assert rows(keep_members(df, "Share", members, "sym"), "v") == [(1,), (2,)]
+    # beyond the broadcast bound the semi join still answers the same
+    assert rows(keep_members(df, "Share", members, "sym", max_broadcast_rows=1), "v") == [(1,), (2,)]
+
+
+def test_combine_symbols_union_by_name(spark):
+    a = spark.createDataFrame([(dt.date(2020, 1, 2), 1.0, 2.0, 0.5)], "Date date, Open double, Close double, Change double")
+    b = spark.createDataFrame([(dt.date(2020, 1, 2), 3.0, 4.0)], "Date date, Close double, Open double")
+    out = combine_symbols({"AAA": a, "BBB": b})
+    assert out.columns == ["Date", "Share", "Open", "Close", "Change"]
+    got = {r.Share: (r.Open, r.Close, r.Change) for r in out.collect()}
+    assert got == {"AAA": (1.0, 2.0, 0.5), "BBB": (4.0, 3.0, None)}
+
+
+def test_bounded_prices_with_symbol_list(spark):
+    df = spark.createDataFrame([(dt.date(2019, 1, 1), "A"), (dt.date(2020, 2, 1), "A"),
+                                (dt.date(2020, 2, 1), "B")], "Date date, Share string")
+    assert bounded_prices(df, "2020-01-01", "2020-12-31", symbols=["A"]).count() == 1
+
+
+def test_flatten_nested(spark):
+    df = spark.createDataFrame([(1, (2, (3, "x")), [1, 2])],
+                               "a int, b struct<c:int, d:struct<e:int, f:string>>, g array<int>")
+    out = flatten(df)
+    assert out.columns == ["a", "b.c", "b.d.e", "b.d.f", "g"]
+    assert tuple(out.first()) == (1, 2, 3, "x", [1, 2])
+    assert flatten(df, sep="_").columns == ["a", "b_c", "b_d_e", "b_d_f", "g"]
+
+
+def test_pick_and_rename(spark):
+    df = spark.createDataFrame([(1, 2)], "x int, y int")
+    assert pick(df, {"b": "y", "a": F.col("x") + 1}).collect()[0].asDict() == {"b": 2, "a": 2}
+    assert rename(df, {"x": "z", "missing": "q"}).columns == ["z", "y"]
+
+
+def test_zero_fill_keeps_types_and_text_option(spark):
+    df = spark.createDataFrame([(None, None, None, None)], "d date, n int, r decimal(10,4), t string")
+    out = zero_fill(df, exclude=("d",))
+    assert dict(out.dtypes)["r"] == "decimal(10,4)"
+    assert tuple(out.first()) == (None, 0, 0, None)
+    assert zero_fill(df, exclude=("d",), text=True).first().t == "0"

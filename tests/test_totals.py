@@ -1,0 +1,56 @@
+"""A1 / P6 / O1 on the golden rows (FIXTURES C, totals)."""
+
+from pyspark.sql import functions as F
+
+from tagwerk.operators.totals import market_totals
+
+from .helpers import d
+
+SCHEMA = "Date date, Share string, Open double, Close double"
+
+
+def totals(spark, data, exact=None):
+    return market_totals(spark.createDataFrame(data, SCHEMA), exact_scale=exact)
+
+
+def test_golden_rows(spark):
+    data = [
+        (d("02/03"), "A", 10.5, 11.0), (d("02/03"), "B", 20.0, 19.5),
+        (d("01/03"), "A", None, 10.0), (d("01/03"), "B", None, None),
+        (d("03/03"), "A", None, None),
+        (d("04/03"), "A", 12.0, 10.0),
+    ]
+    for exact in (None, 4):
+        out = [tuple(r) for r in totals(spark, data, exact).collect()]
+        assert out == [
+            (d("01/03"), None, 10.0, None),
+            (d("02/03"), 30.5, 30.5, 0.0),
+            (d("03/03"), None, None, None),
+            (d("04/03"), 12.0, 10.0, -2.0),   # falling day: signed
+        ]
+
+
+def test_null_date_is_own_group_and_first(spark):
+    out = totals(spark, [(None, "A", 1.0, 2.0), (d("01/03"), "A", 1.0, 1.0)]).collect()
+    assert out[0]["Date"] is None and out[0]["open_sum"] == 1.0
+
+
+def test_whole_numbered_prices_stay_double(spark):
+    out = totals(spark, [(d("01/03"), "A", 10.0, 11.0)])
+    assert dict(out.dtypes)["open_sum"] == "double"
+
+
+def test_exact_sum_independent_of_partitioning(spark):
+    df = spark.range(20000).select(
+        F.lit("2020-03-01").cast("date").alias("Date"), F.lit("A").alias("Share"),
+        (F.col("id") * 0.1 + 0.01).alias("Open"), (F.col("id") * 0.07).alias("Close"))
+    a = market_totals(df.repartition(1), exact_scale=4).first()
+    b = market_totals(df.repartition(13), exact_scale=4).first()
+    assert tuple(a) == tuple(b)
+
+
+def test_sum_of_per_symbol_sums_equals_total(spark):
+    data = [(d("01/03"), s, float(i), float(i) + 0.5) for i, s in enumerate("ABCDEFG")]
+    df = spark.createDataFrame(data, SCHEMA)
+    per_symbol = df.groupBy("Share").agg(F.sum("Open").alias("o")).agg(F.sum("o")).first()[0]
+    assert market_totals(df).first()["open_sum"] == per_symbol
