@@ -73,12 +73,23 @@ def add_relative_changes(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -
 def daily_growth(df: DataFrame, entity: str = "country", date: str = "date",
                  measures: Mapping[str, str] | None = None,
                  ratios: Mapping[str, tuple[str, str]] | None = None,
-                 method: str = "join", bucket_days: int = 32) -> DataFrame:
-    """Previous-day values and relative changes for a long daily table."""
+                 method: str = "join", bucket_days: int = 32,
+                 checkpoint_input: bool = False) -> DataFrame:
+    """Previous-day values and relative changes for a long daily table.
+
+    ``checkpoint_input`` (join form only) writes the input once to the
+    session's checkpoint folder before the self-join.  Both join sides then
+    read those files: without it, each side re-runs the input's whole lineage,
+    since the sides differ by inferred NOT NULL filters and Spark cannot reuse
+    one side's exchange for the other.  Use it when the input is expensive to
+    compute (a join or an aggregate upstream) -- that is, almost always.
+    """
     measures = measures or {"cases": "cases_prev", "deaths": "dead_prev"}
     if ratios is None:
         ratios = {f"{m}_rel_diff": (m, p) for m, p in measures.items()}
     if method == "join":
+        if checkpoint_input:
+            df = df.checkpoint(eager=True)
         out = prev_day_join(df, entity, date, measures)
     elif method == "window":
         out = prev_day_window(df, entity, date, measures, bucket_days)

@@ -45,9 +45,16 @@ def daily_rows(raw: DataFrame, pattern: str = DATE_PATTERN) -> DataFrame:
 
 
 def infection_growth(raw: DataFrame, continent: str | None = CONTINENT,
-                     pattern: str = DATE_PATTERN, method: str = "join") -> DataFrame:
-    """The job's infection result (FIXTURES A5)."""
+                     pattern: str = DATE_PATTERN, method: str = "join",
+                     checkpoint_input: bool = True) -> DataFrame:
+    """The job's infection result (FIXTURES A5).
+
+    By default the filtered daily rows are checkpointed once (to the shared
+    ``spark.checkpoint.dir``) so the self-join reads them twice instead of
+    running the read, parse and filter twice.
+    """
     daily = daily_rows(raw, pattern)
     if continent is not None:
         daily = keep_equal(daily, "continent", continent)
-    return daily_growth(daily, "country", "date", MEASURES, RATIOS, method=method)
+    return daily_growth(daily, "country", "date", MEASURES, RATIOS, method=method,
+                        checkpoint_input=checkpoint_input)

@@ -18,6 +18,8 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of frames that are gone are removed by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
