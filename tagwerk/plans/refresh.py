@@ -25,7 +25,8 @@ class RefreshConfig:
     infections_path: str
     prices_path: str
     out_root: str
-    infections_format: str = "csv"          # "csv" (landed) or "json" (document)
+    infections_format: str = "csv"          # "csv" (landed) or "json" (documents)
+    json_multi_line: bool = False           # True: one pretty-printed document per file
     sep: str = ";"
     continent: str | None = "Europe"
     method: str = "join"
@@ -38,7 +39,8 @@ class RefreshConfig:
 
 def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
     if cfg.infections_format == "json":
-        raw = read_records(spark, cfg.infections_path, INFECTIONS_FIELDS)
+        raw = read_records(spark, cfg.infections_path, INFECTIONS_FIELDS,
+                           multi_line=cfg.json_multi_line)
     else:
         raw = read_by_header(spark, cfg.infections_path, INFECTIONS_FIELDS, sep=cfg.sep)
     raw = exclude_countries(raw)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -74,7 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared checkpoint root, one per call."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/tagwerk/{label}-{uuid.uuid4().hex[:12]}"
+    safe = re.sub(r"[^A-Za-z0-9_.-]", "_", label)  # no glob characters in paths
+    return f"{root}/tagwerk/{safe}-{uuid.uuid4().hex[:12]}"
 
 
 def local_dir(path: str) -> str:

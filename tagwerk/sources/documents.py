@@ -1,9 +1,15 @@
 """S3 + P10: JSON documents with an array of records, flattened to columns.
 
-A single large document (``multi_line=True``) is one task per file, since a
-JSON value cannot be split.  Landing writes one document per line instead
-(JSON lines, each line ``{"records": [...]}`` of bounded size), which Spark
-splits freely; read such files with ``multi_line=False``.
+Two layouts:
+
+* one document per line (JSON lines, each line ``{"records": [...]}``), as
+  landing writes it: splittable, read with ``multi_line=False`` (default);
+* one pretty-printed document per file, as a web API returns it: a JSON value
+  cannot be split, so each file is one task; read with ``multi_line=True``
+  and land it once as JSON lines or parquet for later reads.
+
+The wrong layout must not lose rows silently: in line mode a line that is not
+a whole JSON value fails the read (``FAILFAST``).
 """
 
 from __future__ import annotations
@@ -14,9 +20,10 @@ from ..operators.project import flatten
 
 
 def read_records(spark: SparkSession, path, record_schema: T.StructType,
-                 array_field: str = "records", multi_line: bool = True,
-                 sep: str = ".", encoding: str = "UTF-8") -> DataFrame:
+                 array_field: str = "records", multi_line: bool = False,
+                 sep: str = ".", encoding: str = "UTF-8", mode: str | None = None) -> DataFrame:
     doc_schema = T.StructType([T.StructField(array_field, T.ArrayType(record_schema))])
     docs = (spark.read.schema(doc_schema).option("multiLine", multi_line)
+            .option("mode", mode or ("PERMISSIVE" if multi_line else "FAILFAST"))
             .option("encoding", encoding).json(path))
     return flatten(docs.select(F.inline(F.col(array_field))), sep=sep)

@@ -99,3 +99,9 @@ def test_result_directory_read_whole(spark, scratch):
     assert len(files) > 1
     back = read_growth_result(spark, scratch)
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, res.collect()), key=repr)
+
+
+def test_pretty_document_in_line_mode_fails_loudly(spark, scratch):
+    write_text(scratch, "doc.json", json.dumps({"records": [{"cases": 1}]}, indent=2))
+    with pytest.raises(Exception):
+        read_records(spark, scratch, INFECTIONS_FIELDS).collect()
