@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.dates import days_before, parse_date, to_date_lenient
 from ..operators.contract import conform, key_duplicates, split_rejects
 from ..operators.filters import exclude_values, keep_equal, zero_fill
-from ..operators.growth import daily_growth as growth_op, prev_day_join
+from ..operators.growth import daily_growth as growth_op
 from ..operators.preview import first_rows, register_view
 from ..operators.project import pick, reorder, tag
 from ..operators.serving import served_growth, served_market
@@ -55,11 +55,11 @@ def q_daily_growth_window(spark, sf):
 
 
 def q_prev_day_join(spark, sf):
-    ev = S.events_daily(spark, sf)
-    out = prev_day_join(ev, "event_type", "date",
-                        {"n_events": "n_events_prev", "value_total": "value_total_prev"})
-    return out.withColumn("n_events_rel_diff",
-                          F.try_divide(F.col("n_events") - F.col("n_events_prev"), F.col("n_events_prev")))
+    # dense variant: every event type has a row almost every day
+    return growth_op(S.events_daily(spark, sf), "event_type", "date",
+                     {"n_events": "n_events_prev", "value_total": "value_total_prev"},
+                     {"n_events_rel_diff": ("n_events", "n_events_prev")},
+                     checkpoint_input=True)
 
 
 def q_date_add_prev(spark, sf):
