@@ -159,10 +159,9 @@ def q_per_symbol_files(spark, sf):
     p = S.prices(spark, sf).select("Date", "Share", "Open", "Change", "Close")
     eu = S.suppliers_in_region(spark, sf, CONTINENT)
     # symbols of one region land without the middle column Change
-    full = p.join(eu, "Share", "left_anti").repartition("Share")
-    short = p.join(eu, "Share", "left_semi").drop("Change").repartition("Share")
-    full.write.mode("overwrite").partitionBy("Share").option("sep", ";").option("header", True).csv(base)
-    short.write.mode("append").partitionBy("Share").option("sep", ";").option("header", True).csv(base)
+    land_csv(p.join(eu, "Share", "left_anti"), base, first=["Date"], partition_by=["Share"])
+    land_csv(p.join(eu, "Share", "left_semi").drop("Change"), base, first=["Date"],
+             partition_by=["Share"], mode="append")
     schema = T.StructType(_PRICE_READ.fields + [T.StructField("Change", T.DoubleType())])
     return read_by_header(spark, base, schema, sep=";", partition_columns=["Share"])
 
@@ -201,6 +200,22 @@ def q_rejects(spark, sf):
     return bad
 
 
+def q_growth_rejects(spark, sf):
+    d = S.infections_daily(spark, sf)
+    # fixture: one European nation's dates arrive as ISO text (not dd/MM/yyyy),
+    # another one's name is missing
+    doc = d.select(
+        F.when(F.col("country") == "NATION_8", F.date_format("date", "yyyy-MM-dd"))
+         .otherwise(F.date_format("date", "dd/MM/yyyy")).alias("dateRep"),
+        "cases", "deaths",
+        F.when(F.col("country") != "NATION_13", F.col("country")).alias("countriesAndTerritories"),
+        F.col("continent").alias("continentExp"))
+    growth = infection_growth(doc, CONTINENT)
+    contract = served_growth_contract()
+    _, bad = split_rejects(conform(zero_fill(growth, exclude=("date",)), contract), contract)
+    return bad
+
+
 def q_table_refresh(spark, sf):
     root = scratch_path(spark, "publish")
     pub = publish_table(spark, zero_fill(_growth(spark, sf), exclude=("date",)),
@@ -254,6 +269,7 @@ QUERIES = {
     "result_roundtrip_market": q_result_roundtrip_market,
     "key_duplicates": q_key_duplicates,
     "rejects": q_rejects,
+    "growth_rejects": q_growth_rejects,
     "table_refresh": q_table_refresh,
     "triggered_refresh": q_triggered_refresh,
     "preview_ordered": q_preview_ordered,
@@ -413,6 +429,38 @@ SELECT * FROM (
                 THEN 'diff outside decimal(10,4)' END) AS reasons
   FROM ({_MARKET}) m) t
 WHERE reasons <> ''
+""",
+    "growth_rejects": f"""
+WITH base AS ({_INFECTIONS}),
+doc AS (
+  SELECT CASE WHEN country = 'NATION_8' THEN strftime(date, '%Y-%m-%d')
+              ELSE strftime(date, '%d/%m/%Y') END AS dateRep,
+         cases, deaths, CASE WHEN country <> 'NATION_13' THEN country END AS country, continent
+  FROM base),
+cur AS (
+  SELECT CASE WHEN regexp_full_match(dateRep, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}')
+              THEN CAST(try_strptime(dateRep, '%d/%m/%Y') AS DATE) END AS date,
+         cases, deaths, country, continent
+  FROM doc WHERE continent = 'EUROPE'),
+g AS (
+  SELECT a.date, COALESCE(a.cases, 0) AS cases, COALESCE(a.deaths, 0) AS deaths, a.country, a.continent,
+         COALESCE(b.cases, 0) AS cases_prev, COALESCE(b.deaths, 0) AS dead_prev,
+         COALESCE((a.cases - b.cases) / NULLIF(b.cases, 0), 0) AS cr,
+         COALESCE((a.deaths - b.deaths) / NULLIF(b.deaths, 0), 0) AS dr
+  FROM cur a LEFT JOIN cur b ON b.date = a.date - 1 AND a.country = b.country)
+SELECT * FROM (
+  SELECT date, cases, deaths, country, continent, cases_prev, dead_prev,
+         TRY_CAST(cr AS DECIMAL(10,4)) AS cases_rel_diff, TRY_CAST(dr AS DECIMAL(10,4)) AS deaths_rel_diff,
+         concat_ws(',',
+           CASE WHEN date IS NULL THEN 'date is null' END,
+           CASE WHEN country IS NULL THEN 'country is null' END,
+           CASE WHEN length(country) > 64 THEN 'country longer than 64' END,
+           CASE WHEN length(continent) > 64 THEN 'continent longer than 64' END,
+           CASE WHEN TRY_CAST(cr AS DECIMAL(10,4)) IS NULL THEN 'cases_rel_diff outside decimal(10,4)' END,
+           CASE WHEN TRY_CAST(dr AS DECIMAL(10,4)) IS NULL THEN 'deaths_rel_diff outside decimal(10,4)' END
+         ) AS reasons
+  FROM g) t
+WHERE reasons <> ''
 """,
     "table_refresh": _GROWTH_SERVED,
     "triggered_refresh": _MARKET_SERVED,

@@ -11,11 +11,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
+def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Group rows of one directory value into few tasks without letting one hot
+    value (a symbol with a third of all rows) land in a single task: AQE splits
+    skewed rebalance partitions and merges small ones."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def land_csv(df: DataFrame, path: str, sep: str = ";", first: Sequence[str] = (),
-             partition_by: Sequence[str] = ()) -> None:
-    """K1/K2: header CSV; ``first`` columns are written first (K2 puts ``Date`` first)."""
+             partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+    """K1/K2: header CSV; ``first`` columns are written first (K2 puts ``Date`` first).
+
+    With ``partition_by`` (per-symbol directories ``Share=...``) rows are
+    rebalanced by the directory columns first, so each directory gets few
+    files and no task holds a whole hot symbol.
+    """
     cols = list(first) + [c for c in df.columns if c not in first]
-    w = df.select(*[F.col(f"`{c}`") for c in cols]).write.mode("overwrite")
+    w = _rebalanced(df.select(*[F.col(f"`{c}`") for c in cols]), partition_by).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.option("sep", sep).option("header", True).csv(path)
@@ -39,7 +51,7 @@ def write_single_csv(df: DataFrame, path: str, order_by: str | None = None, sep:
 
 
 def land_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    w = df.write.mode("overwrite")
+    w = _rebalanced(df, partition_by).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

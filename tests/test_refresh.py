@@ -28,7 +28,7 @@ def land_inputs(spark, root, infections_format="csv"):
         land_documents(docs, f"{root}/infections", records_per_document=500)
     else:
         land_csv(docs, f"{root}/infections")
-    land_csv(S.prices(spark, SF).repartition("Share"), f"{root}/prices", first=["Date"],
+    land_csv(S.prices(spark, SF), f"{root}/prices", first=["Date"],
              partition_by=["Share"])
 
 
