@@ -71,3 +71,32 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() >= 0 and "cases_rel_diff" in df.columns
     assert set(e.queries()) == set(e.oracle_sql())
+
+
+def test_job_script_batch_run(spark, scratch, capsys):
+    from jobs.daily_refresh import main
+    land_inputs(spark, scratch)
+    main(["--infections", f"{scratch}/infections", "--prices", f"{scratch}/prices",
+          "--out", f"{scratch}/served", "--continent", "EUROPE", "--decimal-precision", "18",
+          "--symbol-dirs"])
+    out = capsys.readouterr().out
+    assert "infects:" in out and "dax:" in out
+
+
+def test_processing_time_trigger(spark, scratch):
+    import time
+    calls = []
+    emit_file(spark, f"{scratch}/inbox")
+    q = start_refresh_stream(spark, file_notifications(spark, f"{scratch}/inbox"),
+                             lambda s: calls.append(1), checkpoint=f"{scratch}/ckpt",
+                             processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        emit_file(spark, f"{scratch}/inbox")
+        q.processAllAvailable()
+        deadline = time.time() + 30
+        while len(calls) < 2 and time.time() < deadline:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert calls == [1, 1]
