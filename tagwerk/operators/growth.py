@@ -25,6 +25,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.arith import relative_change
+from ..session import ensure_checkpoint_dir
 
 
 def prev_day_join(df: DataFrame, entity: str, date: str,
@@ -89,6 +90,7 @@ def daily_growth(df: DataFrame, entity: str = "country", date: str = "date",
         ratios = {f"{m}_rel_diff": (m, p) for m, p in measures.items()}
     if method == "join":
         if checkpoint_input:
+            ensure_checkpoint_dir(df.sparkSession)
             df = df.checkpoint(eager=True)
         out = prev_day_join(df, entity, date, measures)
     elif method == "window":

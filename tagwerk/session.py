@@ -63,7 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not _is_local(spark):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
         root = tempfile.mkdtemp(prefix="tagwerk-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # not settable at runtime here; the context's dir below is enough
+            pass
     try:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(root)

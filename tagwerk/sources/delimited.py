@@ -22,7 +22,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-MAX_BROADCAST_FILES = 50_000
+MAX_BROADCAST_FILES = 20_000  # one row (path + header names) per file
 
 
 def _reader(spark: SparkSession, sep: str, encoding: str, quote: str):
