@@ -105,3 +105,19 @@ def test_pretty_document_in_line_mode_fails_loudly(spark, scratch):
     write_text(scratch, "doc.json", json.dumps({"records": [{"cases": 1}]}, indent=2))
     with pytest.raises(Exception):
         read_records(spark, scratch, INFECTIONS_FIELDS).collect()
+
+
+def test_jdbc_options_carry_caller_credentials():
+    from tagwerk.sources.jdbc import jdbc_options
+    opts = jdbc_options("jdbc:mysql://db:3306/x", "infects", user="u", password="p",
+                        driver="com.mysql.cj.jdbc.Driver", fetchsize=100)
+    assert opts == {"url": "jdbc:mysql://db:3306/x", "dbtable": "infects", "user": "u",
+                    "password": "p", "driver": "com.mysql.cj.jdbc.Driver", "fetchsize": "100"}
+
+
+def test_kafka_source_needs_connector(spark):
+    from tagwerk.sources.notifications import kafka_notifications
+    try:
+        kafka_notifications(spark, "localhost:9092", "spark_notification")
+    except Exception as e:  # connector jar not on this classpath
+        assert "kafka" in str(e).lower()
