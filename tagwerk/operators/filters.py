@@ -18,12 +18,18 @@ def keep_equal(df: DataFrame, column: str, value) -> DataFrame:
 def exclude_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
     """drop rows equal to any of ``values``; NULL rows are kept.
 
-    ``NOT (c <=> v)`` keeps NULL, unlike ``c <> v``.
+    Written as ``c IS NULL OR NOT c IN (...)`` -- the null-safe form of
+    ``NOT (c <=> v)`` for a whole list, which Catalyst turns into a hash-set
+    lookup for long lists.  Plain ``c <> v`` would drop the NULL rows too.
+    A ``None`` among ``values`` drops the NULL rows as well.
     """
-    cond = F.lit(True)
-    for v in values:
-        cond = cond & ~F.col(column).eqNullSafe(F.lit(v))
-    return df.filter(cond)
+    values = list(values)
+    present = [v for v in values if v is not None]
+    c = F.col(column)
+    keep = (c.isNull() | ~c.isin(present)) if present else F.lit(True)
+    if len(present) < len(values):
+        keep = keep & c.isNotNull()
+    return df.filter(keep)
 
 
 def date_between(df: DataFrame, column: str, start, end=None) -> DataFrame:

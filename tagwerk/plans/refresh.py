@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from ..operators.filters import zero_fill
 from ..schemas import INFECTIONS_FIELDS, PRICES_FIELDS, served_growth_contract, served_market_contract
 from ..sinks.publish import Published, publish_table
+from ..sources.columnar import read_parquet_fields
 from ..sources.delimited import read_by_header
 from ..sources.documents import read_records
 from .infections import exclude_countries, infection_growth
@@ -25,7 +26,8 @@ class RefreshConfig:
     infections_path: str
     prices_path: str
     out_root: str
-    infections_format: str = "csv"          # "csv" (landed) or "json" (documents)
+    infections_format: str = "csv"          # "csv" (landed), "json" (documents) or "parquet"
+    prices_format: str = "csv"              # "csv" (landed) or "parquet"
     json_multi_line: bool = False           # True: one pretty-printed document per file
     sep: str = ";"
     continent: str | None = "Europe"
@@ -41,12 +43,17 @@ def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
     if cfg.infections_format == "json":
         raw = read_records(spark, cfg.infections_path, INFECTIONS_FIELDS,
                            multi_line=cfg.json_multi_line)
+    elif cfg.infections_format == "parquet":
+        raw = read_parquet_fields(spark, cfg.infections_path, INFECTIONS_FIELDS)
     else:
         raw = read_by_header(spark, cfg.infections_path, INFECTIONS_FIELDS, sep=cfg.sep)
     raw = exclude_countries(raw)
     growth = infection_growth(raw, cfg.continent, method=cfg.method)
-    prices = read_by_header(spark, cfg.prices_path, PRICES_FIELDS, sep=cfg.sep,
-                            partition_columns=cfg.partition_columns)
+    if cfg.prices_format == "parquet":
+        prices = read_parquet_fields(spark, cfg.prices_path, PRICES_FIELDS)
+    else:
+        prices = read_by_header(spark, cfg.prices_path, PRICES_FIELDS, sep=cfg.sep,
+                                partition_columns=cfg.partition_columns)
     market = market_result(prices, cfg.exact_scale)
     gc = served_growth_contract(cfg.decimal_precision)
     mc = served_market_contract(cfg.decimal_precision)

@@ -12,7 +12,7 @@ from tagwerk.plans.infections import infection_growth
 from tagwerk.plans.market import market_result
 from tagwerk.plans.refresh import RefreshConfig, recompute
 from tagwerk.schemas import served_market_contract
-from tagwerk.sinks.files import land_csv, land_documents
+from tagwerk.sinks.files import land_csv, land_documents, land_parquet
 from tagwerk.sinks.notify import emit_file
 from tagwerk.sinks.publish import frame_fingerprint
 from tagwerk.sources.notifications import file_notifications
@@ -26,10 +26,18 @@ def land_inputs(spark, root, infections_format="csv"):
     docs = S.infections_document_rows(spark, SF, extra=True)
     if infections_format == "json":
         land_documents(docs, f"{root}/infections", records_per_document=500)
+    elif infections_format == "parquet":
+        land_parquet(docs, f"{root}/infections")
     else:
         land_csv(docs, f"{root}/infections")
-    land_csv(S.prices(spark, SF), f"{root}/prices", first=["Date"],
-             partition_by=["Share"])
+    if infections_format == "parquet":
+        # symbols of one region land without Change: merged by name
+        p, eu = S.prices(spark, SF), S.suppliers_in_region(spark, SF, "EUROPE")
+        land_parquet(p.join(eu, "Share", "left_anti"), f"{root}/prices", partition_by=["Share"])
+        p.join(eu, "Share", "left_semi").drop("Change").write.mode("append") \
+         .partitionBy("Share").parquet(f"{root}/prices")
+    else:
+        land_csv(S.prices(spark, SF), f"{root}/prices", first=["Date"], partition_by=["Share"])
 
 
 def expected(spark):
@@ -39,11 +47,12 @@ def expected(spark):
             frame_fingerprint(served_market(market, served_market_contract(18))))
 
 
-@pytest.mark.parametrize("fmt", ["csv", "json"])
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
 def test_recompute_publishes_both_tables(spark, scratch, fmt):
     land_inputs(spark, scratch, fmt)
     cfg = RefreshConfig(f"{scratch}/infections", f"{scratch}/prices", f"{scratch}/served",
                         infections_format=fmt, continent="EUROPE", decimal_precision=18,
+                        prices_format="parquet" if fmt == "parquet" else "csv",
                         partition_columns=("Share",))
     pub = recompute(spark, cfg)
     want_growth, want_market = expected(spark)
