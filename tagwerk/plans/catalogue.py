@@ -19,9 +19,11 @@ from ..operators.serving import served_growth, served_market
 from ..operators.union import union_by_name
 from ..schemas import INFECTIONS_FIELDS, served_market_contract, served_growth_contract
 from ..session import scratch_path
-from ..sinks.files import land_csv, land_documents, write_result_csv, write_single_csv
+from ..sinks.files import (land_csv, land_documents, land_parquet, write_result_csv,
+                           write_single_csv)
 from ..sinks.notify import emit_file
 from ..sinks.publish import publish_table
+from ..sources.columnar import read_parquet_fields
 from ..sources.delimited import read_by_header
 from ..sources.documents import read_records
 from ..sources.notifications import file_notifications
@@ -166,6 +168,17 @@ def q_per_symbol_files(spark, sf):
     return read_by_header(spark, base, schema, sep=";", partition_columns=["Share"])
 
 
+def q_per_symbol_parquet(spark, sf):
+    base = scratch_path(spark, "per-symbol-parquet")
+    p = S.prices(spark, sf).select("Date", "Share", "Open", "Change", "Close")
+    eu = S.suppliers_in_region(spark, sf, CONTINENT)
+    land_parquet(p.join(eu, "Share", "left_anti"), base, partition_by=["Share"])
+    (p.join(eu, "Share", "left_semi").drop("Change").hint("rebalance", "Share")
+      .write.mode("append").partitionBy("Share").parquet(base))
+    schema = T.StructType(_PRICE_READ.fields + [T.StructField("Change", T.DoubleType())])
+    return read_parquet_fields(spark, base, schema)
+
+
 def q_market_totals(spark, sf):
     return _market(spark, sf)
 
@@ -262,6 +275,7 @@ QUERIES = {
     "csv_landing_roundtrip": q_csv_landing_roundtrip,
     "prices_landing_roundtrip": q_prices_landing_roundtrip,
     "per_symbol_files": q_per_symbol_files,
+    "per_symbol_parquet": q_per_symbol_parquet,
     "market_totals": q_market_totals,
     "growth_served": q_growth_served,
     "market_served": q_market_served,
@@ -405,6 +419,11 @@ FROM ({_INFECTIONS}) b
 SELECT "Date", "Share", "Open", "Close",
        CASE WHEN "Share" IN ({_EU_SUPPLIERS}) THEN NULL ELSE "Change" END AS "Change"
 FROM ({_PRICES}) p
+""",
+    "per_symbol_parquet": f"""
+SELECT "Date", "Share", "Open", "Close",
+       CASE WHEN "Share" IN ({_EU_SUPPLIERS}) THEN NULL ELSE "Change" END AS "Change"
+FROM ({_PRICES}) p
 """,
     "market_totals": _MARKET,
     "growth_served": _GROWTH_SERVED,
