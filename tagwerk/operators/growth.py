@@ -49,8 +49,10 @@ def prev_day_window(df: DataFrame, entity: str, date: str, measures: Mapping[str
                     bucket_days: int = 32) -> DataFrame:
     """J1 as one windowed shuffle; equal to ``prev_day_join`` on unique keys.
 
-    NULL entity or date gives NULL previous values, as in the join.  On
-    duplicate keys the join multiplies rows, this form does not.
+    NULL entity or date gives NULL previous values, as in the join.  A
+    repeated (entity, date) key -- where the join would multiply rows -- fails
+    the query instead of giving a different answer; the check is one more
+    frame over the same window, so it costs no extra shuffle.
     """
     day = F.unix_date(F.col(date))
     last_of_bucket = F.pmod(day + 1, F.lit(bucket_days)) == 0
@@ -58,12 +60,16 @@ def prev_day_window(df: DataFrame, entity: str, date: str, measures: Mapping[str
     x = (df.withColumn("__day", day)
            .withColumn("__shift", F.explode(shifts))
            .withColumn("__bucket", F.floor(F.col("__day") / bucket_days) + F.col("__shift")))
-    w = (Window.partitionBy(F.col(entity), F.col("__bucket"))
-               .orderBy(F.col("__day")).rangeBetween(-1, -1))
+    ordered = (Window.partitionBy(F.col(entity), F.col("__bucket")).orderBy(F.col("__day")))
+    prev_day = ordered.rangeBetween(-1, -1)
+    same_day = ordered.rangeBetween(0, 0)
     keyed = F.col(entity).isNotNull() & F.col(date).isNotNull()
-    prevs = [F.when(keyed, F.first(F.col(m)).over(w)).alias(p) for m, p in measures.items()]
-    out = x.select(*[F.col(f"`{c}`") for c in df.columns], *prevs, F.col("__shift"))
-    return out.filter(F.col("__shift") == 0).drop("__shift")
+    prevs = [F.when(keyed, F.first(F.col(m)).over(prev_day)).alias(p) for m, p in measures.items()]
+    repeated = F.count(F.lit(1)).over(same_day) > 1
+    guard = F.when(keyed & repeated, F.raise_error(F.lit(
+        f"prev_day_window: repeated ({entity}, {date}) key; use prev_day_join"))).alias("__guard")
+    out = x.select(*[F.col(f"`{c}`") for c in df.columns], *prevs, F.col("__shift"), guard)
+    return out.filter((F.col("__shift") == 0) & F.col("__guard").isNull()).drop("__shift", "__guard")
 
 
 def add_relative_changes(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -> DataFrame:

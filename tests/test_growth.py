@@ -121,3 +121,27 @@ def test_join_plan_is_two_key_shuffle(spark, capsys):
     assert "SortMergeJoin" in plan and "LeftOuter" in plan
     # both sides shuffle on (day, entity): spread by date, not by entity alone
     assert "hashpartitioning(__want_day" in plan and "hashpartitioning(__prev_day" in plan
+
+
+def test_window_form_refuses_repeated_keys(spark):
+    df = spark.createDataFrame([(d("02/03"), 1, 0, "A", "Europe"), (d("02/03"), 2, 0, "A", "Europe"),
+                                (d("03/03"), 4, 0, "A", "Europe")], GROWTH_IN)
+    with pytest.raises(Exception, match="repeated"):
+        prev_day_window(df, "country", "date", M).collect()
+
+
+def test_hot_entity_with_a_third_of_rows(spark):
+    # one entity holds a third of all rows; the window form spreads it over
+    # date buckets, the join spreads it over (day, entity) -- both agree
+    start = dt.date(2019, 1, 1)
+    data = [(start + dt.timedelta(days=k), k % 11, k % 3, "HOT", "Europe") for k in range(600)]
+    data += [(start + dt.timedelta(days=k), k % 7, 1, f"E{e}", "Europe")
+             for e in range(4) for k in range(0, 600, 2)]
+    df = spark.createDataFrame(data, GROWTH_IN)
+    a = daily_growth(df, method="join")
+    b = daily_growth(df, method="window")
+    assert a.count() == len(data)
+    assert rows(a) == rows(b)
+    buckets = (df.filter("country = 'HOT'")
+                 .select(F.floor(F.unix_date("date") / 32).alias("b")).distinct().count())
+    assert buckets >= 18
