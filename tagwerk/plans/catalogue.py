@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.dates import days_before, parse_date, to_date_lenient
+from ..functions.sizing import broadcast_if_bounded
 from ..operators.contract import conform, key_duplicates, split_rejects
 from ..operators.filters import exclude_values, keep_equal, zero_fill
 from ..operators.growth import daily_growth as growth_op
@@ -159,7 +160,10 @@ def q_prices_landing_roundtrip(spark, sf):
 def q_per_symbol_files(spark, sf):
     base = scratch_path(spark, "per-symbol")
     p = S.prices(spark, sf).select("Date", "Share", "Open", "Change", "Close")
-    eu = S.suppliers_in_region(spark, sf, CONTINENT)
+    # size-checked broadcast: Catalyst's static estimate of this derived side is
+    # too large, and a shuffle join would move every price row before AQE could
+    # switch to a broadcast
+    eu = broadcast_if_bounded(S.suppliers_in_region(spark, sf, CONTINENT))
     # symbols of one region land without the middle column Change
     land_csv(p.join(eu, "Share", "left_anti"), base, first=["Date"], partition_by=["Share"])
     land_csv(p.join(eu, "Share", "left_semi").drop("Change"), base, first=["Date"],
@@ -171,7 +175,7 @@ def q_per_symbol_files(spark, sf):
 def q_per_symbol_parquet(spark, sf):
     base = scratch_path(spark, "per-symbol-parquet")
     p = S.prices(spark, sf).select("Date", "Share", "Open", "Change", "Close")
-    eu = S.suppliers_in_region(spark, sf, CONTINENT)
+    eu = broadcast_if_bounded(S.suppliers_in_region(spark, sf, CONTINENT))
     land_parquet(p.join(eu, "Share", "left_anti"), base, partition_by=["Share"])
     (p.join(eu, "Share", "left_semi").drop("Change").hint("rebalance", "Share")
       .write.mode("append").partitionBy("Share").parquet(base))
