@@ -14,8 +14,8 @@ from ..functions.sizing import broadcast_if_bounded
 from ..operators.contract import conform, key_duplicates, split_rejects
 from ..operators.filters import exclude_values, keep_equal, zero_fill
 from ..operators.growth import daily_growth as growth_op
-from ..operators.preview import first_rows, register_view
-from ..operators.project import pick, reorder, tag
+from ..operators.preview import register_view
+from ..operators.project import reorder, tag
 from ..operators.serving import served_growth, served_market
 from ..operators.union import union_by_name
 from ..schemas import INFECTIONS_FIELDS, served_market_contract, served_growth_contract
@@ -31,7 +31,7 @@ from ..sources.notifications import file_notifications
 from ..sources.results import read_growth_result, read_market_result
 from ..streaming.trigger import start_refresh_stream
 from . import standins as S
-from .infections import infection_growth
+from .infections import daily_rows, infection_growth
 from .market import bounded_prices, market_result
 
 CONTINENT = "EUROPE"          # the stand-in's continent (region names are upper case)
@@ -89,12 +89,10 @@ def q_parse_date(spark, sf):
 
 
 def q_continent_filter(spark, sf):
-    from .infections import daily_rows
     return keep_equal(daily_rows(S.infections_document_rows(spark, sf)), "continent", CONTINENT)
 
 
 def q_exclude_null_safe(spark, sf):
-    from .infections import daily_rows
     d = daily_rows(S.infections_document_rows(spark, sf))
     # fixture: one nation's name missing, so NULL names are present
     d = d.withColumn("country", F.when(F.col("country") != "NATION_7", F.col("country")))
