@@ -44,6 +44,13 @@ def parse(argv=None):
     p.add_argument("--word", default="new_data_available")
     p.add_argument("--every", help='processing-time trigger, e.g. "1 hour"')
     p.add_argument("--stream-checkpoint")
+    p.add_argument("--exclude", nargs="*", default=None, help="countries removed at import")
+    p.add_argument("--results", help="also write result CSV folders here")
+    p.add_argument("--preview", type=int, default=0, help="print this many rows of each result")
+    p.add_argument("--jdbc-url", help="also load infects / dax into this database")
+    p.add_argument("--jdbc-user")
+    p.add_argument("--jdbc-password-env", help="name of the environment variable with the password")
+    p.add_argument("--jdbc-driver")
     return p.parse_args(argv)
 
 
@@ -54,7 +61,14 @@ def main(argv=None) -> None:
                         json_multi_line=a.json_multi_line, continent=a.continent, method=a.method,
                         decimal_precision=a.decimal_precision,
                         growth_table=a.growth_table, market_table=a.market_table,
-                        partition_columns=("Share",) if a.symbol_dirs else ())
+                        partition_columns=("Share",) if a.symbol_dirs else (),
+                        result_root=a.results, preview_rows=a.preview, jdbc_url=a.jdbc_url,
+                        jdbc_options={k: v for k, v in {
+                            "user": a.jdbc_user, "driver": a.jdbc_driver,
+                            "password": os.environ.get(a.jdbc_password_env) if a.jdbc_password_env else None,
+                        }.items() if v is not None})
+    if a.exclude is not None:
+        cfg.excluded_countries = tuple(a.exclude)
     if not (a.inbox or a.kafka):
         for name, pub in recompute(spark, cfg).items():
             print(f"{name}: {pub.rows} rows at {pub.path}, {pub.rejects} rejected")

@@ -2,7 +2,11 @@
 
 One call is one idempotent run (overwrite / switch); the stream trigger and a
 scheduler both call it.  Inputs are read by header name; outputs are published
-with the staged, checked switch, or written over JDBC.
+with the staged, checked switch, and optionally also
+
+* written as result CSV directories (K3, K4) like the reference's job, and
+* loaded into the database tables ``infects`` / ``dax`` over JDBC (K5, K6),
+  from the checked, published version -- never from unchecked rows.
 """
 
 from __future__ import annotations
@@ -12,12 +16,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 
 from ..operators.filters import zero_fill
+from ..operators.preview import show_preview
 from ..schemas import INFECTIONS_FIELDS, PRICES_FIELDS, served_growth_contract, served_market_contract
+from ..sinks.files import write_result_csv, write_single_csv
+from ..sinks.jdbc import write_table
 from ..sinks.publish import Published, publish_table
 from ..sources.columnar import read_parquet_fields
 from ..sources.delimited import read_by_header
 from ..sources.documents import read_records
-from .infections import exclude_countries, infection_growth
+from .infections import EXCLUDED_COUNTRIES, exclude_countries, infection_growth
 from .market import market_result
 
 
@@ -37,6 +44,11 @@ class RefreshConfig:
     market_table: str | None = None
     decimal_precision: int = 10
     partition_columns: tuple = field(default_factory=tuple)
+    excluded_countries: tuple = EXCLUDED_COUNTRIES   # V5: a parameter, reference default
+    result_root: str | None = None          # also write result CSV folders (K3, K4)
+    preview_rows: int = 0                   # K8: print this many rows of each result
+    jdbc_url: str | None = None             # also load infects / dax over JDBC (K5, K6)
+    jdbc_options: dict = field(default_factory=dict)   # user, password, driver: from the caller
 
 
 def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
@@ -47,7 +59,7 @@ def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
         raw = read_parquet_fields(spark, cfg.infections_path, INFECTIONS_FIELDS)
     else:
         raw = read_by_header(spark, cfg.infections_path, INFECTIONS_FIELDS, sep=cfg.sep)
-    raw = exclude_countries(raw)
+    raw = exclude_countries(raw, cfg.excluded_countries)
     growth = infection_growth(raw, cfg.continent, method=cfg.method)
     if cfg.prices_format == "parquet":
         prices = read_parquet_fields(spark, cfg.prices_path, PRICES_FIELDS)
@@ -55,11 +67,20 @@ def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
         prices = read_by_header(spark, cfg.prices_path, PRICES_FIELDS, sep=cfg.sep,
                                 partition_columns=cfg.partition_columns)
     market = market_result(prices, cfg.exact_scale)
+    show_preview(growth, cfg.preview_rows, enabled=cfg.preview_rows > 0)
+    show_preview(market, cfg.preview_rows, enabled=cfg.preview_rows > 0)
+    if cfg.result_root:
+        write_result_csv(growth, f"{cfg.result_root}/corona")
+        write_single_csv(market, f"{cfg.result_root}/dax", order_by="Date")
     gc = served_growth_contract(cfg.decimal_precision)
     mc = served_market_contract(cfg.decimal_precision)
-    return {
+    published = {
         # F6 before the contract's casts, as the reference's loader did
         "infects": publish_table(spark, zero_fill(growth, exclude=("date",)), gc,
                                  f"{cfg.out_root}/infects", cfg.growth_table),
         "dax": publish_table(spark, market, mc, f"{cfg.out_root}/dax", cfg.market_table),
     }
+    if cfg.jdbc_url:
+        for name, pub in published.items():
+            write_table(spark.read.parquet(pub.path), cfg.jdbc_url, name, **cfg.jdbc_options)
+    return published

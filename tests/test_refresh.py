@@ -84,12 +84,19 @@ def test_entry_smoke(spark):
 
 def test_job_script_batch_run(spark, scratch, capsys):
     from jobs.daily_refresh import main
+    from tagwerk.sources.results import read_growth_result, read_market_result
     land_inputs(spark, scratch)
     main(["--infections", f"{scratch}/infections", "--prices", f"{scratch}/prices",
           "--out", f"{scratch}/served", "--continent", "EUROPE", "--decimal-precision", "18",
-          "--symbol-dirs"])
+          "--symbol-dirs", "--results", f"{scratch}/result", "--preview", "3"])
     out = capsys.readouterr().out
     assert "infects:" in out and "dax:" in out
+    assert "only showing top 3 rows" in out
+    growth = infection_growth(S.infections_document_rows(spark, SF), "EUROPE")
+    assert frame_fingerprint(read_growth_result(spark, f"{scratch}/result/corona")) == \
+        frame_fingerprint(growth)
+    assert frame_fingerprint(read_market_result(spark, f"{scratch}/result/dax")) == \
+        frame_fingerprint(market_result(S.prices(spark, SF), 4))
 
 
 def test_processing_time_trigger(spark, scratch):
