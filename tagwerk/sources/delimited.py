@@ -36,6 +36,17 @@ def read_positional(spark: SparkSession, path, schema: T.StructType, sep: str =
     return _reader(spark, sep, encoding, quote).schema(schema).option("header", header).csv(path)
 
 
+def read_inferred(spark: SparkSession, path, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
+    """Header + inferred types, as the reference read its inputs.
+
+    Costs an extra pass over the data, and types drift with content (a price
+    column of whole numbers comes back as int, ``dd/MM/yyyy`` stays text).
+    Columns are taken from the first file's header.  Prefer ``read_by_header``.
+    """
+    return (_reader(spark, sep, encoding, '"').option("header", True)
+            .option("inferSchema", True).csv(path))
+
+
 def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = ";",
                    header_keys: Sequence[str] | None = None,
                    partition_columns: Sequence[str] = (), max_columns: int = 32,

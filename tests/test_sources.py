@@ -121,3 +121,12 @@ def test_kafka_source_needs_connector(spark):
         kafka_notifications(spark, "localhost:9092", "spark_notification")
     except Exception as e:  # connector jar not on this classpath
         assert "kafka" in str(e).lower()
+
+
+def test_inferred_read_drifts_explicit_does_not(spark, scratch):
+    from tagwerk.sources.delimited import read_inferred
+    write_text(scratch, "p.csv", "Date;Share;Open;Close\n2020-03-02;A;10;11\n2020-03-03;A;12;13\n")
+    inferred = dict(read_inferred(spark, scratch).dtypes)
+    assert inferred["Open"] == "int" and inferred["Date"] == "date"
+    explicit = dict(read_by_header(spark, scratch, PRICES).dtypes)
+    assert explicit["Open"] == "double"
