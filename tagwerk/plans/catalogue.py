@@ -65,6 +65,14 @@ def q_prev_day_join(spark, sf):
                      checkpoint_input=True)
 
 
+def q_prev_day_window(spark, sf):
+    # the one-shuffle window form on the dense variant: 30 consecutive days per
+    # type cross a 32-day bucket edge, so the edge copies are exercised
+    return growth_op(S.events_daily(spark, sf), "event_type", "date",
+                     {"n_events": "n_events_prev", "value_total": "value_total_prev"},
+                     {"n_events_rel_diff": ("n_events", "n_events_prev")}, method="window")
+
+
 def q_date_add_prev(spark, sf):
     o = S.table(spark, sf, "orders")
     return o.select("o_orderkey", F.col("o_orderdate").cast("date").alias("date")) \
@@ -266,6 +274,7 @@ QUERIES = {
     "daily_growth": q_daily_growth,
     "daily_growth_window": q_daily_growth_window,
     "prev_day_join": q_prev_day_join,
+    "prev_day_window": q_prev_day_window,
     "date_add_prev": q_date_add_prev,
     "parse_date": q_parse_date,
     "continent_filter": q_continent_filter,
@@ -359,10 +368,7 @@ SELECT o_orderkey,
 FROM orders
 """
 
-ORACLE = {
-    "daily_growth": _GROWTH,
-    "daily_growth_window": _GROWTH,
-    "prev_day_join": """
+_EVENTS_GROWTH = """
 WITH d AS (
   SELECT CAST(ts AS DATE) AS date, event_type, CAST(COUNT(*) AS INTEGER) AS n_events,
          CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS value_total
@@ -371,7 +377,13 @@ SELECT a.date, a.event_type, a.n_events, a.value_total,
        b.n_events AS n_events_prev, b.value_total AS value_total_prev,
        (a.n_events - b.n_events) / NULLIF(b.n_events, 0) AS n_events_rel_diff
 FROM d a LEFT JOIN d b ON b.date = a.date - 1 AND a.event_type = b.event_type
-""",
+"""
+
+ORACLE = {
+    "daily_growth": _GROWTH,
+    "daily_growth_window": _GROWTH,
+    "prev_day_join": _EVENTS_GROWTH,
+    "prev_day_window": _EVENTS_GROWTH,
     "date_add_prev": """
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, CAST(o_orderdate AS DATE) - 1 AS prev_date
 FROM orders
