@@ -30,6 +30,11 @@ def _reader(spark: SparkSession, sep: str, encoding: str, quote: str):
             .option("quote", quote).option("mode", "PERMISSIVE"))
 
 
+def _no_bom(c):
+    """Drop a UTF-8 byte order mark in front of a file's first cell."""
+    return F.when(c.startswith("\ufeff"), F.substring(c, 2, 1 << 30)).otherwise(c)
+
+
 def read_positional(spark: SparkSession, path, schema: T.StructType, sep: str = ";",
                     header: bool = True, encoding: str = "UTF-8", quote: str = '"') -> DataFrame:
     """Plain CSV read with a fixed column order (files we wrote ourselves)."""
@@ -83,7 +88,8 @@ def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = "
     parsed = (text.filter(maybe)
                   .select(F.col("_metadata.file_path").alias("__hfile"),
                           F.from_csv(F.col("value"), cells_schema.simpleString(), csv_opts).alias("__h")))
-    names = F.array(*[F.col(f"__h.{c}") for c in cell_names])
+    names = F.array(*[_no_bom(F.col(f"__h.{c}")) if i == 0 else F.col(f"__h.{c}")
+                      for i, c in enumerate(cell_names)])
     # array_contains is NULL (not false) on an array with NULL cells
     is_header = F.coalesce(reduce(lambda a, b: a & b, [F.array_contains(names, k) for k in keys]),
                            F.lit(False))
@@ -92,7 +98,8 @@ def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = "
     if n_files <= max_broadcast_files:
         headers = F.broadcast(headers)
 
-    joined = (data.select(F.array(*[F.col(c) for c in cell_names]).alias("__cells"),
+    joined = (data.select(F.array(*[_no_bom(F.col(c)) if i == 0 else F.col(c)
+                                    for i, c in enumerate(cell_names)]).alias("__cells"),
                           *[F.col(p) for p in partition_columns],
                           F.col("_metadata.file_path").alias("__file"))
                   .join(headers, F.col("__file") == F.col("__hfile"), "left"))

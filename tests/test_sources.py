@@ -130,3 +130,9 @@ def test_inferred_read_drifts_explicit_does_not(spark, scratch):
     assert inferred["Open"] == "int" and inferred["Date"] == "date"
     explicit = dict(read_by_header(spark, scratch, PRICES).dtypes)
     assert explicit["Open"] == "double"
+
+
+def test_byte_order_mark_before_header(spark, scratch):
+    write_text(scratch, "bom.csv", "\ufeffDate;Open;Close\n2020-03-02;10;11\n")
+    out = read_by_header(spark, scratch, PRICES).collect()
+    assert [(r.Date, r.Open, r.Close) for r in out] == [(dt.date(2020, 3, 2), 10.0, 11.0)]
