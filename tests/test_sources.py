@@ -136,3 +136,9 @@ def test_byte_order_mark_before_header(spark, scratch):
     write_text(scratch, "bom.csv", "\ufeffDate;Open;Close\n2020-03-02;10;11\n")
     out = read_by_header(spark, scratch, PRICES).collect()
     assert [(r.Date, r.Open, r.Close) for r in out] == [(dt.date(2020, 3, 2), 10.0, 11.0)]
+
+
+def test_windows_line_endings(spark, scratch):
+    write_text(scratch, "crlf.csv", "Date;Open;Close\r\n2020-03-02;10;11\r\n2020-03-03;12;13\r\n")
+    out = sorted((r.Date, r.Open, r.Close) for r in read_by_header(spark, scratch, PRICES).collect())
+    assert out == [(dt.date(2020, 3, 2), 10.0, 11.0), (dt.date(2020, 3, 3), 12.0, 13.0)]
