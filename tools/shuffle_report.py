@@ -73,7 +73,10 @@ def main() -> None:
             st["spill"] += m.get("Disk Bytes Spilled", 0)
     lines = ["# Read, shuffle and write volume per query", "",
              f"`tools/shuffle_report.py` on `{sf}`, local[8], AQE on; sums over all tasks of all",
-             "jobs of a query (from Spark's event log).  MB = 10^6 bytes.", "",
+             "jobs of a query (from Spark's event log).  MB = 10^6 bytes.  Input counts bytes",
+             "seen by Hadoop file-system statistics: text sources (CSV, JSON) are counted in",
+             "full, parquet reads are largely missed in local mode, so read the parquet",
+             "columns as a lower bound.  Shuffle and output volumes are exact.", "",
              "| query | s | jobs | tasks | input MB | shuffle MB | shuffle rows | output MB | spill MB |",
              "| --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
     for q in QUERIES:
