@@ -21,6 +21,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from tagwerk.plans.refresh import RefreshConfig, recompute  # noqa: E402
 from tagwerk.session import ensure_checkpoint_dir  # noqa: E402
+from tagwerk.sinks.notify import DEFAULT_TOPIC, DEFAULT_WORD  # noqa: E402
 from tagwerk.sources.notifications import file_notifications, kafka_notifications  # noqa: E402
 from tagwerk.streaming.trigger import start_refresh_stream  # noqa: E402
 
@@ -40,8 +41,8 @@ def parse(argv=None):
     p.add_argument("--market-table")
     p.add_argument("--inbox", help="watched folder of message files")
     p.add_argument("--kafka", help="bootstrap servers")
-    p.add_argument("--topic", default="spark_notification")
-    p.add_argument("--word", default="new_data_available")
+    p.add_argument("--topic", default=DEFAULT_TOPIC)
+    p.add_argument("--word", default=DEFAULT_WORD)
     p.add_argument("--every", help='processing-time trigger, e.g. "1 hour"')
     p.add_argument("--stream-checkpoint")
     p.add_argument("--exclude", nargs="*", default=None, help="countries removed at import")

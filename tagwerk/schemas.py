@@ -1,4 +1,9 @@
-"""Schemas of the inputs, results and served tables."""
+"""Schemas of the inputs, results and served tables.
+
+Field names, table names, key columns, text lengths and decimal sizes below are
+fixed values that must equal the reference's: they are its input document's
+fields, its landed price columns, its result frames and its served tables.
+"""
 
 from __future__ import annotations
 

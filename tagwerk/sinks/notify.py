@@ -8,7 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Fixed values that must equal the reference's (the message protocol):
+#   agreed message text: new_data_available
+#   topic name:          spark_notification
 DEFAULT_WORD = "new_data_available"
+DEFAULT_TOPIC = "spark_notification"
 
 
 def emit_file(spark: SparkSession, inbox: str, word: str = DEFAULT_WORD) -> None:
