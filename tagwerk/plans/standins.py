@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.totals import exact_sum
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -80,4 +82,4 @@ def events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return (ev.groupBy(F.col("ts").cast("date").alias("date"), "event_type")
               .agg(F.count(F.lit(1)).cast("int").alias("n_events"),
-                   F.sum(F.col("value").cast("decimal(18,4)")).cast("double").alias("value_total")))
+                   exact_sum("value", 4).alias("value_total")))

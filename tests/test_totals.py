@@ -54,3 +54,22 @@ def test_sum_of_per_symbol_sums_equals_total(spark):
     df = spark.createDataFrame(data, SCHEMA)
     per_symbol = df.groupBy("Share").agg(F.sum("Open").alias("o")).agg(F.sum("o")).first()[0]
     assert market_totals(df).first()["open_sum"] == per_symbol
+
+
+def test_exact_sum_refuses_values_beyond_exact_range(spark):
+    import pytest
+    df = spark.createDataFrame([(d("01/03"), "A", 1e13, 1.0)], SCHEMA)
+    with pytest.raises(Exception, match="too large for an exact sum"):
+        market_totals(df, exact_scale=4).collect()
+    assert market_totals(df).first()["open_sum"] == 1e13   # the double sum still works
+
+
+def test_exact_sum_equals_decimal_sum(spark):
+    df = spark.range(5000).select(
+        (F.col("id") % 7).cast("int").alias("g"),
+        (F.col("id") * 1.37 % 9999.99 - 500).alias("x"))
+    from tagwerk.operators.totals import exact_sum
+    a = {r.g: r.s for r in df.groupBy("g").agg(exact_sum("x", 4).alias("s")).collect()}
+    b = {r.g: r.s for r in df.groupBy("g").agg(
+        F.sum(F.col("x").cast("decimal(18,4)")).cast("double").alias("s")).collect()}
+    assert a == b and len(a) == 7
