@@ -3,7 +3,7 @@
 1. conform and check once, written to a staging folder (this also cuts the
    lineage: later steps read parquet, not the whole plan);
 2. key uniqueness (D1) on the staged rows: fail or report;
-3. servable rows written to a new version folder, rejects to their own;
+3. servable rows written to a new version folder, rejects (if any) to their own;
 4. the catalog table is pointed at the new version (``ALTER TABLE ... SET
    LOCATION`` is one metadata change, so readers see the old or the new
    version, never a half-written one);
@@ -25,7 +25,7 @@ from ..schemas import TableContract
 class Published:
     table: str | None
     path: str
-    rejects_path: str
+    rejects_path: str | None   # None when no row broke a rule
     rows: int
     rejects: int
     duplicate_keys: int
@@ -53,14 +53,17 @@ def publish_table(spark: SparkSession, df: DataFrame, contract: TableContract, r
     dups = key_duplicates(served, contract.key).count()
     if dups and on_duplicate == "fail":
         raise ValueError(f"{contract.name}: {dups} duplicate keys {contract.key}; nothing published")
-    served.write.mode("overwrite").parquet(version)
-    checked.filter(F.col("reasons") != "").write.mode("overwrite").parquet(rejects)
     # one pass over the staged rows gives the expected fingerprint and the reject count
     cols = [F.col(f"`{c}`") for c in served.columns]
     exp = checked.agg(
         F.count_if(keyed).alias("n"),
         F.coalesce(F.sum(F.when(keyed, F.xxhash64(*cols).cast("decimal(20,0)"))), F.lit(0)).alias("h"),
         F.count_if(F.col("reasons") != "").alias("rej")).first()
+    served.write.mode("overwrite").parquet(version)
+    if exp["rej"]:
+        checked.filter(F.col("reasons") != "").write.mode("overwrite").parquet(rejects)
+    else:
+        rejects = None
     if table:
         if spark.catalog.tableExists(table):
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
