@@ -39,8 +39,10 @@ def start_refresh_stream(spark: SparkSession, messages: DataFrame,
         refresh(spark)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        # the batch's own session: under Spark Connect this function runs on the
+        # server, where the caller's session object does not exist
         if not batch.isEmpty():
-            refresh(spark)
+            refresh(batch.sparkSession)
 
     writer = (matching_messages(messages, word).writeStream
               .foreachBatch(on_batch).option("checkpointLocation", checkpoint))
