@@ -11,11 +11,12 @@ Catalyst broadcasts the previous-day side when its runtime size is small (AQE)
 and uses a sort-merge join otherwise; a hot (entity, date) partition is split
 by the AQE skew-join rule.
 
-``prev_day_window`` is the opt-in one-shuffle form for data whose keys are
-unique and non-NULL (check with ``contract.key_duplicates``).  It partitions by
-(entity, date bucket) instead of entity alone, so one entity holding a third of
-all rows is still spread over many tasks; the last day of every bucket is also
-copied into the next bucket so the first day of a bucket finds its predecessor.
+``prev_day_window`` is the opt-in one-shuffle form for data whose (entity,
+date) keys are unique; it fails on a repeated key rather than answer
+differently.  It partitions by (entity, date bucket) instead of entity alone,
+so one entity holding a third of all rows is still spread over many tasks; the
+last day of every bucket is also copied into the next bucket so the first day
+of a bucket finds its predecessor.
 """
 
 from __future__ import annotations
