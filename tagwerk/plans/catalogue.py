@@ -223,17 +223,25 @@ def q_rejects(spark, sf):
     return bad
 
 
-def q_growth_rejects(spark, sf):
+def _spoiled_document(spark, sf):
     d = S.infections_daily(spark, sf)
     # fixture: one European nation's dates arrive as ISO text (not dd/MM/yyyy),
     # another one's name is missing
-    doc = d.select(
+    return d.select(
         F.when(F.col("country") == "NATION_8", F.date_format("date", "yyyy-MM-dd"))
          .otherwise(F.date_format("date", "dd/MM/yyyy")).alias("dateRep"),
         "cases", "deaths",
         F.when(F.col("country") != "NATION_13", F.col("country")).alias("countriesAndTerritories"),
         F.col("continent").alias("continentExp"))
-    growth = infection_growth(doc, CONTINENT)
+
+
+def q_growth_served_parity(spark, sf):
+    # the reference loader's zero fill of text too: a missing name is served as "0"
+    return served_growth(infection_growth(_spoiled_document(spark, sf), CONTINENT), fill_text=True)
+
+
+def q_growth_rejects(spark, sf):
+    growth = infection_growth(_spoiled_document(spark, sf), CONTINENT)
     contract = served_growth_contract()
     _, bad = split_rejects(conform(zero_fill(growth, exclude=("date",)), contract), contract)
     return bad
@@ -295,6 +303,7 @@ QUERIES = {
     "key_duplicates": q_key_duplicates,
     "rejects": q_rejects,
     "growth_rejects": q_growth_rejects,
+    "growth_served_parity": q_growth_served_parity,
     "table_refresh": q_table_refresh,
     "triggered_refresh": q_triggered_refresh,
     "preview_ordered": q_preview_ordered,
@@ -368,6 +377,25 @@ SELECT o_orderkey,
 FROM orders
 """
 
+_SPOILED_GROWTH = f"""
+WITH base AS ({_INFECTIONS}),
+doc AS (
+  SELECT CASE WHEN country = 'NATION_8' THEN strftime(date, '%Y-%m-%d')
+              ELSE strftime(date, '%d/%m/%Y') END AS dateRep,
+         cases, deaths, CASE WHEN country <> 'NATION_13' THEN country END AS country, continent
+  FROM base),
+cur AS (
+  SELECT CASE WHEN regexp_full_match(dateRep, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}')
+              THEN CAST(try_strptime(dateRep, '%d/%m/%Y') AS DATE) END AS date,
+         cases, deaths, country, continent
+  FROM doc WHERE continent = 'EUROPE')
+SELECT a.date, COALESCE(a.cases, 0) AS cases, COALESCE(a.deaths, 0) AS deaths, a.country, a.continent,
+       COALESCE(b.cases, 0) AS cases_prev, COALESCE(b.deaths, 0) AS dead_prev,
+       COALESCE((a.cases - b.cases) / NULLIF(b.cases, 0), 0) AS cr,
+       COALESCE((a.deaths - b.deaths) / NULLIF(b.deaths, 0), 0) AS dr
+FROM cur a LEFT JOIN cur b ON b.date = a.date - 1 AND a.country = b.country
+"""
+
 _EVENTS_GROWTH = """
 WITH d AS (
   SELECT CAST(ts AS DATE) AS date, event_type, CAST(COUNT(*) AS INTEGER) AS n_events,
@@ -464,23 +492,7 @@ SELECT * FROM (
 WHERE reasons <> ''
 """,
     "growth_rejects": f"""
-WITH base AS ({_INFECTIONS}),
-doc AS (
-  SELECT CASE WHEN country = 'NATION_8' THEN strftime(date, '%Y-%m-%d')
-              ELSE strftime(date, '%d/%m/%Y') END AS dateRep,
-         cases, deaths, CASE WHEN country <> 'NATION_13' THEN country END AS country, continent
-  FROM base),
-cur AS (
-  SELECT CASE WHEN regexp_full_match(dateRep, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}')
-              THEN CAST(try_strptime(dateRep, '%d/%m/%Y') AS DATE) END AS date,
-         cases, deaths, country, continent
-  FROM doc WHERE continent = 'EUROPE'),
-g AS (
-  SELECT a.date, COALESCE(a.cases, 0) AS cases, COALESCE(a.deaths, 0) AS deaths, a.country, a.continent,
-         COALESCE(b.cases, 0) AS cases_prev, COALESCE(b.deaths, 0) AS dead_prev,
-         COALESCE((a.cases - b.cases) / NULLIF(b.cases, 0), 0) AS cr,
-         COALESCE((a.deaths - b.deaths) / NULLIF(b.deaths, 0), 0) AS dr
-  FROM cur a LEFT JOIN cur b ON b.date = a.date - 1 AND a.country = b.country)
+WITH g AS ({_SPOILED_GROWTH})
 SELECT * FROM (
   SELECT date, cases, deaths, country, continent, cases_prev, dead_prev,
          TRY_CAST(cr AS DECIMAL(10,4)) AS cases_rel_diff, TRY_CAST(dr AS DECIMAL(10,4)) AS deaths_rel_diff,
@@ -494,6 +506,13 @@ SELECT * FROM (
          ) AS reasons
   FROM g) t
 WHERE reasons <> ''
+""",
+    "growth_served_parity": f"""
+WITH g AS ({_SPOILED_GROWTH})
+SELECT date, cases, deaths, COALESCE(country, '0') AS country, COALESCE(continent, '0') AS continent,
+       cases_prev, dead_prev,
+       TRY_CAST(cr AS DECIMAL(10,4)) AS cases_rel_diff, TRY_CAST(dr AS DECIMAL(10,4)) AS deaths_rel_diff
+FROM g WHERE date IS NOT NULL
 """,
     "table_refresh": _GROWTH_SERVED,
     "triggered_refresh": _MARKET_SERVED,
