@@ -52,6 +52,9 @@ def parse(argv=None):
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password-env", help="name of the environment variable with the password")
     p.add_argument("--jdbc-driver")
+    p.add_argument("--since", help="first price day kept, e.g. 2020-01-01")
+    p.add_argument("--until", help="last price day kept (default with --since: today)")
+    p.add_argument("--symbols", help="comma-separated symbols kept")
     return p.parse_args(argv)
 
 
@@ -70,6 +73,9 @@ def main(argv=None) -> None:
                         }.items() if v is not None})
     if a.exclude is not None:
         cfg.excluded_countries = tuple(a.exclude)
+    cfg.price_start, cfg.price_end = a.since, a.until
+    if a.symbols:
+        cfg.symbols = [x.strip() for x in a.symbols.split(",") if x.strip()]
     if not (a.inbox or a.kafka):
         for name, pub in recompute(spark, cfg).items():
             print(f"{name}: {pub.rows} rows at {pub.path}, {pub.rejects} rejected")

@@ -25,7 +25,7 @@ from ..sources.columnar import read_parquet_fields
 from ..sources.delimited import read_by_header
 from ..sources.documents import read_records
 from .infections import EXCLUDED_COUNTRIES, exclude_countries, infection_growth
-from .market import market_result
+from .market import bounded_prices, market_result
 
 
 @dataclass
@@ -49,6 +49,9 @@ class RefreshConfig:
     preview_rows: int = 0                   # K8: print this many rows of each result
     jdbc_url: str | None = None             # also load infects / dax over JDBC (K5, K6)
     jdbc_options: dict = field(default_factory=dict)   # user, password, driver: from the caller
+    price_start: str | None = None          # F4: first price day kept (None: all)
+    price_end: str | None = None            # F4: last price day kept (None with a start: today)
+    symbols: list | None = None             # F5: symbols kept (None: all)
 
 
 def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
@@ -66,6 +69,9 @@ def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
     else:
         prices = read_by_header(spark, cfg.prices_path, PRICES_FIELDS, sep=cfg.sep,
                                 partition_columns=cfg.partition_columns)
+    if cfg.price_start or cfg.symbols is not None:
+        prices = bounded_prices(prices, cfg.price_start or "0001-01-01", cfg.price_end,
+                                symbols=cfg.symbols)
     market = market_result(prices, cfg.exact_scale)
     show_preview(growth, cfg.preview_rows, enabled=cfg.preview_rows > 0)
     show_preview(market, cfg.preview_rows, enabled=cfg.preview_rows > 0)

@@ -116,3 +116,16 @@ def test_processing_time_trigger(spark, scratch):
     finally:
         q.stop()
     assert calls == [1, 1]
+
+
+def test_price_bounds_and_symbols(spark, scratch):
+    from tagwerk.operators.filters import date_between, keep_members
+    land_inputs(spark, scratch)
+    cfg = RefreshConfig(f"{scratch}/infections", f"{scratch}/prices", f"{scratch}/served",
+                        continent="EUROPE", decimal_precision=18, partition_columns=("Share",),
+                        price_start="1996-01-01", price_end="1997-12-31", symbols=["1", "2", "3"])
+    pub = recompute(spark, cfg)
+    p = keep_members(date_between(S.prices(spark, SF), "Date", "1996-01-01", "1997-12-31"),
+                     "Share", ["1", "2", "3"])
+    want = frame_fingerprint(served_market(market_result(p, 4), served_market_contract(18)))
+    assert frame_fingerprint(spark.read.parquet(pub["dax"].path)) == want
