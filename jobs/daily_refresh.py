@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tagwerk.plans.refresh import RefreshConfig, recompute  # noqa: E402
-from tagwerk.session import ensure_checkpoint_dir  # noqa: E402
+from tagwerk.session import apply_settings, ensure_checkpoint_dir, scale_settings  # noqa: E402
 from tagwerk.sinks.notify import DEFAULT_TOPIC, DEFAULT_WORD  # noqa: E402
 from tagwerk.sources.notifications import file_notifications, kafka_notifications  # noqa: E402
 from tagwerk.streaming.trigger import start_refresh_stream  # noqa: E402
@@ -55,12 +55,17 @@ def parse(argv=None):
     p.add_argument("--since", help="first price day kept, e.g. 2020-01-01")
     p.add_argument("--until", help="last price day kept (default with --since: today)")
     p.add_argument("--symbols", help="comma-separated symbols kept")
+    p.add_argument("--input-bytes", type=int, help="size the shuffle and scan splits for this input")
+    p.add_argument("--total-cores", type=int, help="cores of the cluster (with --input-bytes)")
     return p.parse_args(argv)
 
 
 def main(argv=None) -> None:
     a = parse(argv)
     spark = SparkSession.builder.appName("tagwerk-daily-refresh").getOrCreate()
+    if a.input_bytes:
+        apply_settings(spark, scale_settings(a.input_bytes, a.total_cores or
+                                             spark.sparkContext.defaultParallelism))
     cfg = RefreshConfig(a.infections, a.prices, a.out, infections_format=a.infections_format,
                         json_multi_line=a.json_multi_line, continent=a.continent, method=a.method,
                         decimal_precision=a.decimal_precision,

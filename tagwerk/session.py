@@ -24,6 +24,37 @@ SCALE_CONF = {
 }
 
 
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 * 1024 * 1024,
+                   max_shuffle_partitions: int = 100_000) -> dict:
+    """SQL settings for a cluster run, from the input size and the cluster's cores.
+
+    * scan splits of ``target_partition_bytes`` keep a task's input within a
+      core's share of executor memory;
+    * the shuffle starts with one partition per target-sized slice of the
+      input (at least three waves of tasks, at most ``max_shuffle_partitions``
+      to bound shuffle metadata), and AQE merges them down to the advisory size
+      from the real, usually far smaller, post-aggregation volumes;
+    * a partition four times the target counts as skewed and is split.
+    """
+    slices = -(-input_bytes // target_partition_bytes)
+    shuffle = int(min(max(3 * total_cores, slices), max_shuffle_partitions))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.enabled": "true",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict) -> None:
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tagwerk", extra: dict | None = None) -> SparkSession:
     """Session for tests and local runs; on a cluster use spark-submit's session."""

@@ -72,3 +72,15 @@ def test_preview_helpers(spark, capsys):
     assert capsys.readouterr().out == ""
     show_preview(df, 2, enabled=True)
     assert "only showing top 2 rows" in capsys.readouterr().out
+
+
+def test_scale_settings():
+    from tagwerk.session import scale_settings
+    tb = 10 ** 12
+    big = scale_settings(100 * tb, total_cores=8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"          # capped
+    small = scale_settings(10 ** 9, total_cores=64)
+    assert small["spark.sql.shuffle.partitions"] == "192"           # three waves of tasks
+    mid = scale_settings(10 * tb, total_cores=1000)
+    assert int(mid["spark.sql.shuffle.partitions"]) == -(-10 * tb // (256 * 1024 * 1024))
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
