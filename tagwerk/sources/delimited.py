@@ -78,7 +78,6 @@ def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = "
                               + [T.StructField(p, T.StringType()) for p in partition_columns])
     reader = _reader(spark, sep, encoding, quote)
     data = reader.schema(raw_schema).option("header", False).csv(path)
-    n_files = len(data.inputFiles())
 
     # Header side: a plain text scan (no tokenising) keeps candidate lines, and
     # only those few lines are parsed as CSV.  One row per file.
@@ -95,7 +94,9 @@ def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = "
                            F.lit(False))
     headers = (parsed.filter(is_header).select("__hfile", names.alias("__names"))
                      .dropDuplicates(["__hfile"]))
-    if n_files <= max_broadcast_files:
+    # the header side has one row per file: broadcast it when the listing shows
+    # few enough files (max_broadcast_files=0 skips the count and shuffles)
+    if max_broadcast_files > 0 and len(data.inputFiles()) <= max_broadcast_files:
         headers = F.broadcast(headers)
 
     joined = (data.select(F.array(*[_no_bom(F.col(c)) if i == 0 else F.col(c)

@@ -142,3 +142,11 @@ def test_windows_line_endings(spark, scratch):
     write_text(scratch, "crlf.csv", "Date;Open;Close\r\n2020-03-02;10;11\r\n2020-03-03;12;13\r\n")
     out = sorted((r.Date, r.Open, r.Close) for r in read_by_header(spark, scratch, PRICES).collect())
     assert out == [(dt.date(2020, 3, 2), 10.0, 11.0), (dt.date(2020, 3, 3), 12.0, 13.0)]
+
+
+def test_header_join_without_broadcast(spark, scratch):
+    write_text(f"{scratch}/Share=AAA", "a.csv", "Date;Open;Change;Close\n2020-03-02;10;1.5;11\n")
+    write_text(f"{scratch}/Share=BBB", "b.csv", "Date;Open;Close\n2020-03-02;20;19.5\n")
+    out = read_by_header(spark, scratch, PRICES, partition_columns=["Share"], max_broadcast_files=0)
+    got = {r.Share: (r.Open, r.Close, r.Change) for r in out.collect()}
+    assert got == {"AAA": (10.0, 11.0, 1.5), "BBB": (20.0, 19.5, None)}
