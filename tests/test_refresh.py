@@ -129,3 +129,18 @@ def test_price_bounds_and_symbols(spark, scratch):
                      "Share", ["1", "2", "3"])
     want = frame_fingerprint(served_market(market_result(p, 4), served_market_contract(18)))
     assert frame_fingerprint(spark.read.parquet(pub["dax"].path)) == want
+
+
+def test_job_script_inbox_mode(spark, scratch):
+    import glob
+    from jobs.daily_refresh import main
+    from tagwerk.session import local_dir
+    land_inputs(spark, scratch)
+    emit_file(spark, f"{scratch}/inbox")
+    main(["--infections", f"{scratch}/infections", "--prices", f"{scratch}/prices",
+          "--out", f"{scratch}/served", "--continent", "EUROPE", "--decimal-precision", "18",
+          "--symbol-dirs", "--inbox", f"{scratch}/inbox",
+          "--stream-checkpoint", f"{scratch}/stream-ckpt"])
+    # one run at start, one for the message
+    versions = glob.glob(local_dir(f"{scratch}/served/dax/versions/*"))
+    assert len(versions) == 2
