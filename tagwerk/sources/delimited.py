@@ -62,7 +62,10 @@ def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = "
 
     ``schema`` lists the wanted fields; a field absent from a file's header is
     NULL for that file.  ``header_keys`` are names every header contains
-    (default: the first field) and identify header lines.  ``partition_columns``
+    (default: the first field) and identify header lines; pick names that do
+    not occur as text in data lines, since every line containing them is parsed
+    a second time (``from_csv`` is a slow, row-at-a-time parser, fine for header
+    lines only).  ``partition_columns``
     are read from ``name=value`` directories as text.  ``date_formats`` maps a
     date field to its text pattern; other fields are cast (NULL when not
     castable).  Values that are empty in the file are NULL.  A file whose
