@@ -36,7 +36,7 @@ from .market import bounded_prices, market_result
 
 CONTINENT = "EUROPE"          # the stand-in's continent (region names are upper case)
 SERVED_PRECISION = 18         # stand-in totals exceed decimal(10,4); see SURVEY 7.3
-EXACT = 4                     # sums over decimal(18,4) inputs: order-free results
+EXACT = 4                     # exact sums of values rounded to 4 decimals: order-free
 
 
 # ---------------------------------------------------------------- builders
