@@ -61,6 +61,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SCALE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # listing thousands of folders: a few tasks per core, not one per folder
+        conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(4 * shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
