@@ -37,13 +37,20 @@ def bag(cols, rows):
     return Counter(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF)
     res = duck.execute(ORACLE[name])
     ocols = [c[0] for c in res.description]
+    orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
-    assert bag(df.columns, df.collect()) == bag(ocols, res.fetchall())
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t.upper()) for c, t in df.dtypes} == duck_types
+    assert bag(df.columns, df.collect()) == bag(ocols, orows)
 
 
 def test_every_query_has_oracle():
