@@ -36,6 +36,7 @@ class RefreshConfig:
     infections_format: str = "csv"          # "csv" (landed), "json" (documents) or "parquet"
     prices_format: str = "csv"              # "csv" (landed) or "parquet"
     json_multi_line: bool = False           # True: one pretty-printed document per file
+    json_array_field: str | None = "records"  # None: plain records, one per line
     sep: str = ";"
     continent: str | None = "Europe"
     method: str = "join"
@@ -57,7 +58,7 @@ class RefreshConfig:
 def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
     if cfg.infections_format == "json":
         raw = read_records(spark, cfg.infections_path, INFECTIONS_FIELDS,
-                           multi_line=cfg.json_multi_line)
+                           array_field=cfg.json_array_field, multi_line=cfg.json_multi_line)
     elif cfg.infections_format == "parquet":
         raw = read_parquet_fields(spark, cfg.infections_path, INFECTIONS_FIELDS)
     else:

@@ -63,7 +63,9 @@ def land_documents(df: DataFrame, path: str, array_field: str = "records",
 
     Rows are grouped into runs of at most ``records_per_document`` consecutive
     rows of one input partition, so no document (and no group) grows with the
-    data.
+    data.  This moves every row through one shuffle; it is for producing
+    document-shaped files.  To land data for later reads, ``land_records``
+    needs no shuffle.
     """
     run = F.floor(F.monotonically_increasing_id() / F.lit(records_per_document))
     rec = F.struct(*[F.col(f"`{c}`") for c in df.columns])
@@ -71,3 +73,9 @@ def land_documents(df: DataFrame, path: str, array_field: str = "records",
               .agg(F.collect_list(rec).alias(array_field))
               .drop("__doc"))
     docs.write.mode("overwrite").json(path)
+
+
+def land_records(df: DataFrame, path: str) -> None:
+    """JSON lines of plain records: the splittable landing of a large document
+    (read back with ``read_records(..., array_field=None)``)."""
+    df.write.mode("overwrite").json(path)

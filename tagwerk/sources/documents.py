@@ -2,11 +2,13 @@
 
 Two layouts:
 
-* one document per line (JSON lines, each line ``{"records": [...]}``), as
-  landing writes it: splittable, read with ``multi_line=False`` (default);
+* one document per line (JSON lines, each line ``{"records": [...]}``):
+  splittable, read with ``multi_line=False`` (default);
+* one plain record per line, as ``land_records`` writes it: splittable, read
+  with ``array_field=None``;
 * one pretty-printed document per file, as a web API returns it: a JSON value
   cannot be split, so each file is one task; read with ``multi_line=True``
-  and land it once as JSON lines or parquet for later reads.
+  and land it once as record lines or parquet for later reads.
 
 The wrong layout must not lose rows silently: in line mode a line that is not
 a whole JSON value fails the read (``FAILFAST``).
@@ -20,10 +22,17 @@ from ..operators.project import flatten
 
 
 def read_records(spark: SparkSession, path, record_schema: T.StructType,
-                 array_field: str = "records", multi_line: bool = False,
+                 array_field: str | None = "records", multi_line: bool = False,
                  sep: str = ".", encoding: str = "UTF-8", mode: str | None = None) -> DataFrame:
-    doc_schema = T.StructType([T.StructField(array_field, T.ArrayType(record_schema))])
-    docs = (spark.read.schema(doc_schema).option("multiLine", multi_line)
+    """Records of the documents at ``path``, nested fields flattened (P10).
+
+    ``array_field=None`` reads files of plain records, one per line, as
+    ``sinks.files.land_records`` writes them.
+    """
+    schema = (record_schema if array_field is None else
+              T.StructType([T.StructField(array_field, T.ArrayType(record_schema))]))
+    docs = (spark.read.schema(schema).option("multiLine", multi_line)
             .option("mode", mode or ("PERMISSIVE" if multi_line else "FAILFAST"))
             .option("encoding", encoding).json(path))
-    return flatten(docs.select(F.inline(F.col(array_field))), sep=sep)
+    rows = docs if array_field is None else docs.select(F.inline(F.col(array_field)))
+    return flatten(rows, sep=sep)

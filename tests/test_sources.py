@@ -150,3 +150,14 @@ def test_header_join_without_broadcast(spark, scratch):
     out = read_by_header(spark, scratch, PRICES, partition_columns=["Share"], max_broadcast_files=0)
     got = {r.Share: (r.Open, r.Close, r.Change) for r in out.collect()}
     assert got == {"AAA": (10.0, 11.0, 1.5), "BBB": (20.0, 19.5, None)}
+
+
+def test_document_landed_as_record_lines(spark, scratch):
+    from tagwerk.sinks.files import land_records
+    doc = {"records": [{"dateRep": f"{k:02d}/03/2020", "cases": k, "deaths": 0,
+                        "countriesAndTerritories": "A", "continentExp": "Europe"} for k in range(1, 8)]}
+    write_text(f"{scratch}/doc", "doc.json", json.dumps(doc, indent=2))
+    rows = read_records(spark, f"{scratch}/doc", INFECTIONS_FIELDS, multi_line=True)
+    land_records(rows, f"{scratch}/lines")
+    back = read_records(spark, f"{scratch}/lines", INFECTIONS_FIELDS, array_field=None)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
