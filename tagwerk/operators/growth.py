@@ -85,6 +85,12 @@ def daily_growth(df: DataFrame, entity: str = "country", date: str = "date",
                  checkpoint_input: bool = False) -> DataFrame:
     """Previous-day values and relative changes for a long daily table.
 
+    ``method``: ``"join"`` is the reference's self-join (J1); ``"window"`` the
+    one-shuffle form for unique keys.  Measured on 20M entity-days (local[8]):
+    join 13.6 s, window 4.9 s.  There is no automatic choice: proving the keys
+    unique is a grouping of 20M distinct keys and cost 6 s there, as much as
+    the difference it would buy.
+
     ``checkpoint_input`` (join form only) writes the input once to the
     session's checkpoint folder before the self-join.  Both join sides then
     read those files: without it, each side re-runs the input's whole lineage,
