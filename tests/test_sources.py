@@ -161,3 +161,16 @@ def test_document_landed_as_record_lines(spark, scratch):
     land_records(rows, f"{scratch}/lines")
     back = read_records(spark, f"{scratch}/lines", INFECTIONS_FIELDS, array_field=None)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_single_file_result_is_one_sorted_file(spark, scratch):
+    from tagwerk.sinks.files import write_single_csv
+    df = spark.createDataFrame([(dt.date(2020, 3, k), float(k)) for k in (5, 1, 3, 2, 4)],
+                               "Date date, open_sum double").repartition(4)
+    write_single_csv(df, scratch, order_by="Date")
+    parts = [f for f in os.listdir(local_dir(scratch)) if f.startswith("part-")]
+    assert len(parts) == 1
+    with open(os.path.join(local_dir(scratch), parts[0])) as f:
+        lines = f.read().splitlines()
+    assert lines[0] == "Date,open_sum"
+    assert [ln.split(",")[0] for ln in lines[1:]] == [f"2020-03-0{k}" for k in range(1, 6)]
