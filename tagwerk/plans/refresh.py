@@ -20,7 +20,7 @@ from ..operators.preview import show_preview
 from ..schemas import INFECTIONS_FIELDS, PRICES_FIELDS, served_growth_contract, served_market_contract
 from ..sinks.files import write_result_csv, write_single_csv
 from ..sinks.jdbc import write_table
-from ..sinks.publish import Published, publish_table
+from ..sinks.publish import Published, stage_table, switch_table
 from ..sources.columnar import read_parquet_fields
 from ..sources.delimited import read_by_header
 from ..sources.documents import read_records
@@ -81,12 +81,15 @@ def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
         write_single_csv(market, f"{cfg.result_root}/dax", order_by="Date")
     gc = served_growth_contract(cfg.decimal_precision)
     mc = served_market_contract(cfg.decimal_precision)
-    published = {
+    # both tables are staged and checked before either is switched, so a
+    # failure leaves the served pair as it was
+    staged = {
         # F6 before the contract's casts, as the reference's loader did
-        "infects": publish_table(spark, zero_fill(growth, exclude=("date",)), gc,
-                                 f"{cfg.out_root}/infects", cfg.growth_table),
-        "dax": publish_table(spark, market, mc, f"{cfg.out_root}/dax", cfg.market_table),
+        "infects": stage_table(spark, zero_fill(growth, exclude=("date",)), gc,
+                               f"{cfg.out_root}/infects", cfg.growth_table),
+        "dax": stage_table(spark, market, mc, f"{cfg.out_root}/dax", cfg.market_table),
     }
+    published = {name: switch_table(spark, st) for name, st in staged.items()}
     if cfg.jdbc_url:
         for name, pub in published.items():
             write_table(spark.read.parquet(pub.path), cfg.jdbc_url, name, **cfg.jdbc_options)

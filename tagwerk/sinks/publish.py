@@ -4,10 +4,14 @@
    lineage: later steps read parquet, not the whole plan);
 2. key uniqueness (D1) on the staged rows: fail or report;
 3. servable rows written to a new version folder, rejects (if any) to their own;
-4. the catalog table is pointed at the new version (``ALTER TABLE ... SET
+4. read the new version back and compare row count and an order-free hash
+   with the staged rows (K10) -- before any reader can see it;
+5. the catalog table is pointed at the new version (``ALTER TABLE ... SET
    LOCATION`` is one metadata change, so readers see the old or the new
-   version, never a half-written one);
-5. read back and compare row count and an order-free hash (K10).
+   version, never a half-written one).
+
+``stage_table`` does 1-4 and ``switch_table`` 5, so a refresh of several
+tables stages and checks all of them before switching any.
 """
 
 from __future__ import annotations
@@ -39,8 +43,10 @@ def frame_fingerprint(df: DataFrame) -> tuple[int, int]:
     return int(r["n"]), int(r["h"])
 
 
-def publish_table(spark: SparkSession, df: DataFrame, contract: TableContract, root: str,
-                  table: str | None = None, on_duplicate: str = "fail") -> Published:
+def stage_table(spark: SparkSession, df: DataFrame, contract: TableContract, root: str,
+                table: str | None = None, on_duplicate: str = "fail") -> Published:
+    """Steps 1-3 and the read-back check (5) on the new version's files:
+    everything except the switch, so a failure leaves readers untouched."""
     run = uuid.uuid4().hex[:12]
     staging, version, rejects = (f"{root}/staging/{run}", f"{root}/versions/{run}",
                                  f"{root}/rejects/{run}")
@@ -64,14 +70,26 @@ def publish_table(spark: SparkSession, df: DataFrame, contract: TableContract, r
         checked.filter(F.col("reasons") != "").write.mode("overwrite").parquet(rejects)
     else:
         rejects = None
-    if table:
-        if spark.catalog.tableExists(table):
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
-            spark.catalog.refreshTable(table)
-        else:
-            spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{version}'")
-    back = spark.table(table) if table else spark.read.parquet(version)
-    want, got = (int(exp["n"]), int(exp["h"])), frame_fingerprint(back)
+    want, got = (int(exp["n"]), int(exp["h"])), frame_fingerprint(spark.read.parquet(version))
     if want != got:
-        raise RuntimeError(f"{contract.name}: read-back differs {got} != {want}")
+        raise RuntimeError(f"{contract.name}: written version differs {got} != {want}")
     return Published(table, version, rejects, want[0], int(exp["rej"]), dups)
+
+
+def switch_table(spark: SparkSession, staged: Published) -> Published:
+    """Step 4: point the catalog table at the staged version (one metadata change)."""
+    if staged.table:
+        if spark.catalog.tableExists(staged.table):
+            spark.sql(f"ALTER TABLE {staged.table} SET LOCATION '{staged.path}'")
+            spark.catalog.refreshTable(staged.table)
+        else:
+            spark.sql(f"CREATE TABLE {staged.table} USING parquet LOCATION '{staged.path}'")
+        n = spark.table(staged.table).count()
+        if n != staged.rows:
+            raise RuntimeError(f"{staged.table}: {n} rows after the switch, {staged.rows} staged")
+    return staged
+
+
+def publish_table(spark: SparkSession, df: DataFrame, contract: TableContract, root: str,
+                  table: str | None = None, on_duplicate: str = "fail") -> Published:
+    return switch_table(spark, stage_table(spark, df, contract, root, table, on_duplicate))

@@ -86,3 +86,25 @@ def test_market_contract_overflow_reported(spark, scratch):
     assert pub.rows == 1 and pub.rejects == 1
     served = spark.read.parquet(pub.path).first()
     assert served.open is None and served.close == Decimal("1.0000")
+
+
+def test_staging_failure_leaves_served_tables_untouched(spark, scratch):
+    from tagwerk.sinks.publish import stage_table, switch_table
+    c = served_growth_contract()
+
+    def growth(rows):
+        return zero_fill(daily_growth(spark.createDataFrame(rows, GROWTH_IN)), exclude=("date",))
+
+    spark.sql("DROP TABLE IF EXISTS infects_pair")
+    publish_table(spark, growth([(d("01/03"), 1, 0, "A", "Europe")]), c, scratch, table="infects_pair")
+    before = frame_fingerprint(spark.table("infects_pair"))
+    staged = stage_table(spark, growth([(d("01/03"), 2, 0, "A", "Europe")]), c, scratch,
+                         table="infects_pair")
+    with pytest.raises(ValueError, match="duplicate keys"):
+        stage_table(spark, growth([(d("01/03"), 1, 0, "B", "Europe"), (d("01/03"), 1, 0, "B", "Europe")]),
+                    c, f"{scratch}/other")
+    # the refresh stops before any switch: readers still see the old version
+    assert frame_fingerprint(spark.table("infects_pair")) == before
+    switch_table(spark, staged)
+    assert spark.table("infects_pair").first().cases == 2
+    spark.sql("DROP TABLE infects_pair")
