@@ -42,20 +42,31 @@ def date_between(df: DataFrame, column: str, start, end=None) -> DataFrame:
     return df.filter(F.col(column).between(F.lit(start).cast("date"), hi))
 
 
+MAX_IN_LIST = 10_000
+
+
 def keep_members(df: DataFrame, column: str, members, member_column: str | None = None,
                  max_broadcast_rows: int = 100_000) -> DataFrame:
     """keep rows whose ``column`` is in ``members``.
 
-    ``members`` is a Python list (an ``IN`` list, bounded by its literal size)
-    or a DataFrame (a left-semi join; the member side is broadcast only when it
-    is proven to hold at most ``max_broadcast_rows`` rows).
+    ``members`` is a Python list (an ``IN`` list up to ``MAX_IN_LIST`` values,
+    a small table beyond) or a DataFrame (a left-semi join; the member side is
+    broadcast only when it is proven to hold at most ``max_broadcast_rows``
+    rows, and joined by a shuffle otherwise).
     """
-    if isinstance(members, DataFrame):
-        mcol = member_column or column
-        right = members.select(F.col(mcol).alias("__member")).distinct()
-        right = broadcast_if_bounded(right, max_broadcast_rows)
-        return df.join(right, F.col(column) == F.col("__member"), "left_semi")
-    return df.filter(F.col(column).isin(list(members)))
+    if not isinstance(members, DataFrame):
+        members = list(members)
+        if len(members) <= MAX_IN_LIST:
+            return df.filter(F.col(column).isin(members))
+        # a long list would bloat every task's plan; ship it as a small table
+        dtype = df.schema[column].dataType
+        members = df.sparkSession.createDataFrame(
+            [(m,) for m in members], T.StructType([T.StructField("__m", dtype)]))
+        member_column = "__m"
+    mcol = member_column or column
+    right = members.select(F.col(mcol).alias("__member")).distinct()
+    right = broadcast_if_bounded(right, max_broadcast_rows)
+    return df.join(right, F.col(column) == F.col("__member"), "left_semi")
 
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,

@@ -76,3 +76,18 @@ def test_zero_fill_keeps_types_and_text_option(spark):
     assert dict(out.dtypes)["r"] == "decimal(10,4)"
     assert tuple(out.first()) == (None, 0, 0, None)
     assert zero_fill(df, exclude=("d",), text=True).first().t == "0"
+
+
+def test_membership_long_list_becomes_a_table(spark, capsys):
+    from tagwerk.operators import filters
+    df = spark.range(50).select(F.col("id").cast("string").alias("Share"))
+    members = [str(i) for i in range(0, 50, 5)] + [f"x{i}" for i in range(20)]
+    old = filters.MAX_IN_LIST
+    filters.MAX_IN_LIST = 5
+    try:
+        out = keep_members(df, "Share", members)
+        out.explain()
+        assert "LeftSemi" in capsys.readouterr().out
+        assert sorted(int(r.Share) for r in out.collect()) == list(range(0, 50, 5))
+    finally:
+        filters.MAX_IN_LIST = old
