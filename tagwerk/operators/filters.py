@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions.sizing import broadcast_if_bounded
 
 
+MAX_IN_LIST = 10_000  # longer value lists are joined as a small table
+
+
 def keep_equal(df: DataFrame, column: str, value) -> DataFrame:
     """``column = value``; rows where the column is NULL are dropped."""
     return df.filter(F.col(column) == F.lit(value))
@@ -26,6 +29,13 @@ def exclude_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
     values = list(values)
     present = [v for v in values if v is not None]
     c = F.col(column)
+    if len(present) > MAX_IN_LIST:
+        # a long list ships as a small table: an anti join keeps NULL rows, as
+        # NULL never matches an equi-join key
+        table = df.sparkSession.createDataFrame(
+            [(v,) for v in present], T.StructType([T.StructField("__x", df.schema[column].dataType)]))
+        out = df.join(broadcast_if_bounded(table.distinct()), c == F.col("__x"), "left_anti")
+        return out.filter(c.isNotNull()) if len(present) < len(values) else out
     keep = (c.isNull() | ~c.isin(present)) if present else F.lit(True)
     if len(present) < len(values):
         keep = keep & c.isNotNull()
@@ -42,9 +52,6 @@ def date_between(df: DataFrame, column: str, start, end=None) -> DataFrame:
     return df.filter(F.col(column).between(F.lit(start).cast("date"), hi))
 
 
-MAX_IN_LIST = 10_000
-
-
 def keep_members(df: DataFrame, column: str, members, member_column: str | None = None,
                  max_broadcast_rows: int = 100_000) -> DataFrame:
     """keep rows whose ``column`` is in ``members``.

@@ -91,3 +91,15 @@ def test_membership_long_list_becomes_a_table(spark, capsys):
         assert sorted(int(r.Share) for r in out.collect()) == list(range(0, 50, 5))
     finally:
         filters.MAX_IN_LIST = old
+
+
+def test_exclusion_long_list_keeps_nulls(spark):
+    from tagwerk.operators import filters
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "x string")
+    old = filters.MAX_IN_LIST
+    filters.MAX_IN_LIST = 1
+    try:
+        assert rows(exclude_values(df, "x", ["a", "b"])) == sorted([("c",), (None,)], key=repr)
+        assert rows(exclude_values(df, "x", ["a", "b", None])) == [("c",)]
+    finally:
+        filters.MAX_IN_LIST = old
