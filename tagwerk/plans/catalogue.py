@@ -20,11 +20,11 @@ from ..operators.serving import served_growth, served_market
 from ..operators.union import union_by_name
 from ..schemas import INFECTIONS_FIELDS, served_market_contract, served_growth_contract
 from ..session import scratch_path
-from ..sinks.files import (land_csv, land_documents, land_parquet, write_result_csv,
-                           write_single_csv)
+from ..sinks.files import (land_csv, land_daily_parquet, land_documents, land_parquet,
+                           write_result_csv, write_single_csv)
 from ..sinks.notify import emit_file
 from ..sinks.publish import publish_table
-from ..sources.columnar import read_parquet_fields
+from ..sources.columnar import read_daily_parquet, read_parquet_fields
 from ..sources.delimited import read_by_header
 from ..sources.documents import read_records
 from ..sources.notifications import file_notifications
@@ -115,6 +115,13 @@ def q_date_bounds(spark, sf):
     return _prices4(bounded_prices(S.prices(spark, sf), "1996-01-01", "1998-12-31"))
 
 
+def q_date_bounds_landed(spark, sf):
+    # F4 on a month-partitioned landing: the month bound prunes folders
+    path = scratch_path(spark, "daily-parquet")
+    land_daily_parquet(S.prices(spark, sf).select("Date", "Share", "Open", "Close"), path)
+    return read_daily_parquet(spark, path, _PRICE_READ, "1996-01-01", "1998-12-31")
+
+
 def q_symbol_membership(spark, sf):
     members = S.suppliers_in_region(spark, sf, CONTINENT)
     return _prices4(bounded_prices(S.prices(spark, sf), "1900-01-01", "2999-12-31", symbols=members))
@@ -288,6 +295,7 @@ QUERIES = {
     "continent_filter": q_continent_filter,
     "exclude_null_safe": q_exclude_null_safe,
     "date_bounds": q_date_bounds,
+    "date_bounds_landed": q_date_bounds_landed,
     "symbol_membership": q_symbol_membership,
     "tag_and_union": q_tag_and_union,
     "json_records": q_json_records,
@@ -433,6 +441,10 @@ WHERE country IS DISTINCT FROM 'NATION_3'
     "date_bounds": f"""
 SELECT "Date", "Share", "Open", "Close" FROM ({_PRICES}) p
 WHERE "Date" BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
+""",
+    "date_bounds_landed": f"""
+SELECT "Date", "Share", "Open", "Close" FROM ({_PRICES}) p
+WHERE "Date" BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
 """,
     "symbol_membership": f"""
 SELECT "Date", "Share", "Open", "Close" FROM ({_PRICES}) p

@@ -57,6 +57,14 @@ def land_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     w.parquet(path)
 
 
+def land_daily_parquet(df: DataFrame, path: str, date: str = "Date",
+                       month: str = "month") -> None:
+    """Land a daily table as parquet partitioned by calendar month (``yyyy-MM``),
+    so a date range reads only its months' folders."""
+    land_parquet(df.withColumn(month, F.date_format(F.col(date), "yyyy-MM")), path,
+                 partition_by=[month])
+
+
 def land_documents(df: DataFrame, path: str, array_field: str = "records",
                    records_per_document: int = 5_000) -> None:
     """JSON lines, each line one ``{array_field: [...]}`` document.

@@ -17,3 +17,22 @@ def read_parquet_fields(spark: SparkSession, path, schema: T.StructType,
     have = set(df.columns)
     return df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have
                         else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+
+
+def read_daily_parquet(spark: SparkSession, path, schema: T.StructType, start: str | None = None,
+                       end: str | None = None, date: str = "Date", month: str = "month") -> DataFrame:
+    """A month-partitioned daily landing (``sinks.files.land_daily_parquet``)
+    read for ``start <= date <= end`` (F4, both inclusive).
+
+    The month bound is written on the partition column, so only the folders of
+    the months in range are listed and read (partition pruning); the day bound
+    then reaches the parquet scan as a pushed filter.
+    """
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    if start is not None:
+        df = df.filter((F.col(month) >= start[:7]) & (F.col(date) >= F.lit(start).cast("date")))
+    if end is not None:
+        df = df.filter((F.col(month) <= end[:7]) & (F.col(date) <= F.lit(end).cast("date")))
+    have = set(df.columns)
+    return df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have
+                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])

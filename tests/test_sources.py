@@ -174,3 +174,20 @@ def test_single_file_result_is_one_sorted_file(spark, scratch):
         lines = f.read().splitlines()
     assert lines[0] == "Date,open_sum"
     assert [ln.split(",")[0] for ln in lines[1:]] == [f"2020-03-0{k}" for k in range(1, 6)]
+
+
+def test_month_partitioned_landing_prunes_folders(spark, scratch, capsys):
+    from tagwerk.sinks.files import land_daily_parquet
+    from tagwerk.sources.columnar import read_daily_parquet
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=k) for k in range(0, 120, 3)]
+    df = spark.createDataFrame([(x, "A", float(i), float(i) + 1) for i, x in enumerate(days)],
+                               "Date date, Share string, Open double, Close double")
+    land_daily_parquet(df, scratch)
+    schema = T.StructType([T.StructField(c, t) for c, t in
+                           [("Date", T.DateType()), ("Open", T.DoubleType()), ("Close", T.DoubleType())]])
+    out = read_daily_parquet(spark, scratch, schema, "2020-02-10", "2020-03-05")
+    got = sorted(r.Date for r in out.collect())
+    assert got == [x for x in days if dt.date(2020, 2, 10) <= x <= dt.date(2020, 3, 5)]
+    out.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(month" in plan and "2020-02" in plan
