@@ -31,7 +31,8 @@ def parse(argv=None):
     p.add_argument("--infections", required=True)
     p.add_argument("--prices", required=True)
     p.add_argument("--out", required=True, help="root folder of the published tables")
-    p.add_argument("--infections-format", default="csv", choices=["csv", "json"])
+    p.add_argument("--infections-format", default="csv", choices=["csv", "json", "parquet"])
+    p.add_argument("--prices-format", default="csv", choices=["csv", "parquet", "parquet_by_month"])
     p.add_argument("--json-multi-line", action="store_true")
     p.add_argument("--continent", default="Europe")
     p.add_argument("--method", default="join", choices=["join", "window"])
@@ -67,6 +68,7 @@ def main(argv=None) -> None:
         apply_settings(spark, scale_settings(a.input_bytes, a.total_cores or
                                              spark.sparkContext.defaultParallelism))
     cfg = RefreshConfig(a.infections, a.prices, a.out, infections_format=a.infections_format,
+                        prices_format=a.prices_format,
                         json_multi_line=a.json_multi_line, continent=a.continent, method=a.method,
                         decimal_precision=a.decimal_precision,
                         growth_table=a.growth_table, market_table=a.market_table,

@@ -12,6 +12,7 @@ with the staged, checked switch, and optionally also
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import SparkSession
 
@@ -21,7 +22,7 @@ from ..schemas import INFECTIONS_FIELDS, PRICES_FIELDS, served_growth_contract,
 from ..sinks.files import write_result_csv, write_single_csv
 from ..sinks.jdbc import write_table
 from ..sinks.publish import Published, stage_table, switch_table
-from ..sources.columnar import read_parquet_fields
+from ..sources.columnar import read_daily_parquet, read_parquet_fields
 from ..sources.delimited import read_by_header
 from ..sources.documents import read_records
 from .infections import EXCLUDED_COUNTRIES, exclude_countries, infection_growth
@@ -34,7 +35,8 @@ class RefreshConfig:
     prices_path: str
     out_root: str
     infections_format: str = "csv"          # "csv" (landed), "json" (documents) or "parquet"
-    prices_format: str = "csv"              # "csv" (landed) or "parquet"
+    prices_format: str = "csv"              # "csv" (landed), "parquet", or "parquet_by_month"
+                                            # (land_daily_parquet: date bounds prune folders)
     json_multi_line: bool = False           # True: one pretty-printed document per file
     json_array_field: str | None = "records"  # None: plain records, one per line
     sep: str = ";"
@@ -65,7 +67,11 @@ def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
         raw = read_by_header(spark, cfg.infections_path, INFECTIONS_FIELDS, sep=cfg.sep)
     raw = exclude_countries(raw, cfg.excluded_countries)
     growth = infection_growth(raw, cfg.continent, method=cfg.method)
-    if cfg.prices_format == "parquet":
+    if cfg.prices_format == "parquet_by_month":
+        prices = read_daily_parquet(spark, cfg.prices_path, PRICES_FIELDS, cfg.price_start,
+                                    cfg.price_end if cfg.price_end or not cfg.price_start
+                                    else date.today().isoformat())
+    elif cfg.prices_format == "parquet":
         prices = read_parquet_fields(spark, cfg.prices_path, PRICES_FIELDS)
     else:
         prices = read_by_header(spark, cfg.prices_path, PRICES_FIELDS, sep=cfg.sep,

@@ -144,3 +144,17 @@ def test_job_script_inbox_mode(spark, scratch):
     # one run at start, one for the message
     versions = glob.glob(local_dir(f"{scratch}/served/dax/versions/*"))
     assert len(versions) == 2
+
+
+def test_month_partitioned_price_landing(spark, scratch):
+    from tagwerk.sinks.files import land_daily_parquet
+    land_inputs(spark, scratch)
+    land_daily_parquet(S.prices(spark, SF), f"{scratch}/prices_by_month")
+    cfg = RefreshConfig(f"{scratch}/infections", f"{scratch}/prices_by_month", f"{scratch}/served",
+                        continent="EUROPE", decimal_precision=18, prices_format="parquet_by_month",
+                        price_start="1996-01-01", price_end="1997-12-31")
+    pub = recompute(spark, cfg)
+    from tagwerk.operators.filters import date_between
+    p = date_between(S.prices(spark, SF), "Date", "1996-01-01", "1997-12-31")
+    want = frame_fingerprint(served_market(market_result(p, 4), served_market_contract(18)))
+    assert frame_fingerprint(spark.read.parquet(pub["dax"].path)) == want
