@@ -20,15 +20,18 @@ def read_parquet_fields(spark: SparkSession, path, schema: T.StructType,
 
 
 def read_daily_parquet(spark: SparkSession, path, schema: T.StructType, start: str | None = None,
-                       end: str | None = None, date: str = "Date", month: str = "month") -> DataFrame:
+                       end: str | None = None, date: str = "Date", month: str = "month",
+                       merge_schema: bool = False) -> DataFrame:
     """A month-partitioned daily landing (``sinks.files.land_daily_parquet``)
     read for ``start <= date <= end`` (F4, both inclusive).
 
     The month bound is written on the partition column, so only the folders of
     the months in range are listed and read (partition pruning); the day bound
-    then reaches the parquet scan as a pushed filter.
+    then reaches the parquet scan as a pushed filter.  ``merge_schema`` reads
+    every file footer to union differing schemas; a landing written in one go
+    does not need it.
     """
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    df = spark.read.option("mergeSchema", merge_schema).parquet(path)
     if start is not None:
         df = df.filter((F.col(month) >= start[:7]) & (F.col(date) >= F.lit(start).cast("date")))
     if end is not None:
