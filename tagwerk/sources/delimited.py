@@ -95,8 +95,13 @@ def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = "
     # array_contains is NULL (not false) on an array with NULL cells
     is_header = F.coalesce(reduce(lambda a, b: a & b, [F.array_contains(names, k) for k in keys]),
                            F.lit(False))
+    # a wanted name that appears twice in one header cannot be placed: flag the
+    # file once here (one row per file), fail its rows below
+    wanted_names = F.array(*[F.lit(f.name) for f in wanted])
+    repeated = F.exists(wanted_names, lambda n: F.size(F.filter(F.col("__names"), lambda x: x == n)) > 1)
     headers = (parsed.filter(is_header).select("__hfile", names.alias("__names"))
-                     .dropDuplicates(["__hfile"]))
+                     .dropDuplicates(["__hfile"])
+                     .withColumn("__repeated", repeated))
     # the header side has one row per file: broadcast it when the listing shows
     # few enough files (max_broadcast_files=0 skips the count and shuffles)
     if max_broadcast_files > 0 and len(data.inputFiles()) <= max_broadcast_files:
@@ -121,6 +126,8 @@ def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = "
             F.lit(f"no header with {keys} within max_columns={max_columns} in "), F.col("__file"))))
          .when(too_wide, F.raise_error(F.concat(
             F.lit(f"header wider than max_columns={max_columns} in "), F.col("__file"))))
+         .when(F.col("__repeated"), F.raise_error(F.concat(
+            F.lit("a wanted column appears twice in the header of "), F.col("__file"))))
          .otherwise(F.col("__names")))
 
     fmt = date_formats or {}

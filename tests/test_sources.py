@@ -191,3 +191,9 @@ def test_month_partitioned_landing_prunes_folders(spark, scratch, capsys):
     out.explain("formatted")
     plan = capsys.readouterr().out
     assert "PartitionFilters: [isnotnull(month" in plan and "2020-02" in plan
+
+
+def test_repeated_header_name_fails(spark, scratch):
+    write_text(scratch, "dup.csv", "Date;Open;Close;Close\n2020-03-02;10;11;12\n")
+    with pytest.raises(Exception, match="appears twice"):
+        read_by_header(spark, scratch, PRICES).collect()
