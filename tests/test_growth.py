@@ -145,3 +145,32 @@ def test_hot_entity_with_a_third_of_rows(spark):
     buckets = (df.filter("country = 'HOT'")
                  .select(F.floor(F.unix_date("date") / 32).alias("b")).distinct().count())
     assert buckets >= 18
+
+
+def test_hot_join_key_is_split_by_aqe_and_kept_whole(spark, capsys):
+    # 30,000 rows of one (entity, day): AQE's skew rule splits that partition of
+    # the join over several tasks; every row still finds its previous day
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        hot = spark.range(30000).select(F.lit(d("02/03")).alias("date"),
+                                        F.col("id").cast("int").alias("cases"),
+                                        F.lit(0).alias("deaths"), F.lit("HOT").alias("country"),
+                                        F.lit("Europe").alias("continent"))
+        rest = _random_unique(spark)
+        first = spark.createDataFrame([(d("01/03"), 7, 0, "HOT", "Europe")], GROWTH_IN)
+        out = prev_day_join(hot.unionByName(rest).unionByName(first), "country", "date", M)
+        got = out.filter("country = 'HOT' and date = date'2020-03-02'").collect()
+        assert len(got) == 30000 and all(r.cases_prev == 7 for r in got)
+        out.collect()
+        out.explain()
+        assert "SortMergeJoin(skew=true)" in capsys.readouterr().out
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
