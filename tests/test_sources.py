@@ -197,3 +197,20 @@ def test_repeated_header_name_fails(spark, scratch):
     write_text(scratch, "dup.csv", "Date;Open;Close;Close\n2020-03-02;10;11;12\n")
     with pytest.raises(Exception, match="appears twice"):
         read_by_header(spark, scratch, PRICES).collect()
+
+
+def test_hot_symbol_landing_is_split_over_files(spark, scratch):
+    from pyspark.sql import functions as F
+    from tagwerk.sinks.files import land_csv
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        hot = spark.range(40000).select(F.lit("HOT").alias("Share"), F.col("id").alias("v"))
+        cold = spark.range(100).select(F.concat(F.lit("C"), F.col("id").cast("string")).alias("Share"),
+                                       F.col("id").alias("v"))
+        land_csv(hot.unionByName(cold).repartition(8), scratch, partition_by=["Share"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = [f for f in os.listdir(os.path.join(local_dir(scratch), "Share=HOT")) if f.startswith("part-")]
+    assert len(files) > 1      # the hot symbol is written by several tasks
+    back = spark.read.option("sep", ";").option("header", True).csv(scratch)
+    assert back.filter("Share = 'HOT'").count() == 40000 and back.count() == 40100
