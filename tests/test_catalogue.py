@@ -55,3 +55,15 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_oracle():
     assert set(QUERIES) == set(ORACLE)
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas", "PythonMapInArrow")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_has_no_cross_join_or_python(spark, name, capsys):
+    # no pairs-within-a-group products and no Python on the data path
+    QUERIES[name](spark, SF).explain()
+    plan = capsys.readouterr().out
+    assert not [node for node in FORBIDDEN if node in plan]
