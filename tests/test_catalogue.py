@@ -67,3 +67,22 @@ def test_plan_has_no_cross_join_or_python(spark, name, capsys):
     QUERIES[name](spark, SF).explain()
     plan = capsys.readouterr().out
     assert not [node for node in FORBIDDEN if node in plan]
+
+
+def _formatted(spark, name, capsys):
+    QUERIES[name](spark, SF).explain("formatted")
+    return capsys.readouterr().out
+
+
+def test_date_bound_reaches_the_parquet_scan(spark, capsys):
+    plan = _formatted(spark, "date_bounds", capsys)
+    assert "GreaterThanOrEqual(l_shipdate,1996-01-01T00:00)" in plan
+    assert "LessThan(l_shipdate,1999-01-01T00:00)" in plan
+    # only the four columns the result needs are read
+    assert "ReadSchema: struct<l_suppkey:bigint,l_extendedprice:double,l_discount:double," \
+           "l_shipdate:timestamp_ntz>" in plan
+
+
+def test_continent_filter_reaches_the_region_scan(spark, capsys):
+    plan = _formatted(spark, "continent_filter", capsys)
+    assert "EqualTo(r_name,EUROPE)" in plan
