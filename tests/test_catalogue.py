@@ -86,3 +86,12 @@ def test_date_bound_reaches_the_parquet_scan(spark, capsys):
 def test_continent_filter_reaches_the_region_scan(spark, capsys):
     plan = _formatted(spark, "continent_filter", capsys)
     assert "EqualTo(r_name,EUROPE)" in plan
+
+
+def test_flagship_reads_the_checkpoint_not_the_tables_twice(spark, capsys):
+    plan = _formatted(spark, "daily_growth", capsys)
+    tree = plan.split("\n\n\n")[0]
+    # both join sides read the checkpointed daily rows; the orders x customer
+    # upstream ran once, inside the checkpoint job
+    assert tree.count("Scan ExistingRDD") == 2
+    assert "Scan parquet" not in tree
