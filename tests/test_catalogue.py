@@ -95,3 +95,17 @@ def test_flagship_reads_the_checkpoint_not_the_tables_twice(spark, capsys):
     # upstream ran once, inside the checkpoint job
     assert tree.count("Scan ExistingRDD") == 2
     assert "Scan parquet" not in tree
+
+
+def test_window_form_shuffles_once_on_entity_and_bucket(spark, capsys):
+    QUERIES["prev_day_window"](spark, SF).explain()
+    plan = capsys.readouterr().out.split("== Initial Plan ==")[-1]
+    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    # one for the daily aggregate, one for the window: (entity, bucket), not entity alone
+    assert len(exchanges) == 2
+    assert any("hashpartitioning(event_type" in ln and "__bucket" in ln for ln in exchanges)
+
+
+def test_totals_combine_map_side(spark, capsys):
+    QUERIES["market_totals"](spark, SF).explain()
+    assert "partial_sum" in capsys.readouterr().out
