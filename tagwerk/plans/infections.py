@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import parse_date
 from ..operators.filters import exclude_values, keep_equal
@@ -46,15 +46,20 @@ def daily_rows(raw: DataFrame, pattern: str = DATE_PATTERN) -> DataFrame:
 
 def infection_growth(raw: DataFrame, continent: str | None = CONTINENT,
                      pattern: str = DATE_PATTERN, method: str = "join",
-                     checkpoint_input: bool = True) -> DataFrame:
+                     checkpoint_input: bool = True, min_date: str | None = None) -> DataFrame:
     """The job's infection result (FIXTURES A5).
 
     By default the filtered daily rows are checkpointed once (to the shared
     ``spark.checkpoint.dir``) so the self-join reads them twice instead of
-    running the read, parse and filter twice.
+    running the read, parse and filter twice.  ``min_date`` keeps only days
+    from that date on (incremental refresh).
     """
     daily = daily_rows(raw, pattern)
     if continent is not None:
         daily = keep_equal(daily, "continent", continent)
+    if min_date is not None:
+        # incremental runs: rows before min_date (and rows without a date) are
+        # neither recomputed nor needed as previous days
+        daily = daily.filter(F.col("date") >= F.lit(min_date).cast("date"))
     return daily_growth(daily, "country", "date", MEASURES, RATIOS, method=method,
                         checkpoint_input=checkpoint_input)
