@@ -57,7 +57,8 @@ class RefreshConfig:
     symbols: list | None = None             # F5: symbols kept (None: all)
 
 
-def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
+def read_inputs(spark: SparkSession, cfg: RefreshConfig, price_start: str | None = None):
+    """(landed infections rows after the import exclusion, price rows)."""
     if cfg.infections_format == "json":
         raw = read_records(spark, cfg.infections_path, INFECTIONS_FIELDS,
                            array_field=cfg.json_array_field, multi_line=cfg.json_multi_line)
@@ -66,10 +67,10 @@ def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
     else:
         raw = read_by_header(spark, cfg.infections_path, INFECTIONS_FIELDS, sep=cfg.sep)
     raw = exclude_countries(raw, cfg.excluded_countries)
-    growth = infection_growth(raw, cfg.continent, method=cfg.method)
+    start = max(filter(None, [cfg.price_start, price_start]), default=None)
     if cfg.prices_format == "parquet_by_month":
-        prices = read_daily_parquet(spark, cfg.prices_path, PRICES_FIELDS, cfg.price_start,
-                                    cfg.price_end if cfg.price_end or not cfg.price_start
+        prices = read_daily_parquet(spark, cfg.prices_path, PRICES_FIELDS, start,
+                                    cfg.price_end if cfg.price_end or not start
                                     else date.today().isoformat())
     elif cfg.prices_format == "parquet":
         prices = read_parquet_fields(spark, cfg.prices_path, PRICES_FIELDS)
@@ -79,6 +80,12 @@ def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
     if cfg.price_start or cfg.symbols is not None:
         prices = bounded_prices(prices, cfg.price_start or "0001-01-01", cfg.price_end,
                                 symbols=cfg.symbols)
+    return raw, prices
+
+
+def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
+    raw, prices = read_inputs(spark, cfg)
+    growth = infection_growth(raw, cfg.continent, method=cfg.method)
     market = market_result(prices, cfg.exact_scale)
     show_preview(growth, cfg.preview_rows, enabled=cfg.preview_rows > 0)
     show_preview(market, cfg.preview_rows, enabled=cfg.preview_rows > 0)
@@ -100,3 +107,19 @@ def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
         for name, pub in published.items():
             write_table(spark.read.parquet(pub.path), cfg.jdbc_url, name, **cfg.jdbc_options)
     return published
+
+
+def recompute_since(spark: SparkSession, cfg: RefreshConfig, since: str | None) -> dict[str, int]:
+    """Incremental form of ``recompute``: only the months from ``since`` on are
+    recomputed and replaced in month-partitioned served tables below
+    ``out_root`` (``infects_by_month``, ``dax_by_month``).  See
+    ``plans.incremental``; ``since=None`` writes every month."""
+    from .incremental import month_start, refresh_growth_since, refresh_market_since  # noqa: PLC0415
+    first = month_start(since).isoformat() if since else None
+    raw, prices = read_inputs(spark, cfg, price_start=first)
+    return {
+        "infects": refresh_growth_since(spark, raw, f"{cfg.out_root}/infects_by_month", since,
+                                        cfg.continent, served_growth_contract(cfg.decimal_precision)),
+        "dax": refresh_market_since(spark, prices, f"{cfg.out_root}/dax_by_month", since,
+                                    cfg.exact_scale, served_market_contract(cfg.decimal_precision)),
+    }

@@ -54,3 +54,23 @@ def test_incremental_reads_only_the_recomputed_range(spark, scratch, capsys):
                          contract=served_market_contract(18))
     months = {r.month for r in spark.read.parquet(f"{scratch}/inc").select("month").distinct().collect()}
     assert min(months) == "1998-06"
+
+
+def test_job_incremental_mode(spark, scratch, capsys):
+    from jobs.daily_refresh import main
+    from tagwerk.sinks.files import land_csv
+    from tagwerk.operators.filters import zero_fill
+    from tagwerk.operators.serving import served_growth
+    from tagwerk.plans.infections import infection_growth
+    land_csv(S.infections_document_rows(spark, SF, extra=True), f"{scratch}/infections")
+    land_csv(S.prices(spark, SF), f"{scratch}/prices", first=["Date"], partition_by=["Share"])
+    args = ["--infections", f"{scratch}/infections", "--prices", f"{scratch}/prices",
+            "--out", f"{scratch}/served", "--continent", "EUROPE", "--decimal-precision", "18",
+            "--symbol-dirs"]
+    main(args + ["--recompute-from", "1990-01-01"])
+    main(args + ["--recompute-from", "1999-03-15"])
+    assert "months from 1999-03 recomputed" in capsys.readouterr().out
+    want = served_growth(zero_fill(infection_growth(S.infections_document_rows(spark, SF), "EUROPE"),
+                                   exclude=("date",)))
+    assert frame_fingerprint(served(spark, f"{scratch}/served/infects_by_month")) == \
+        frame_fingerprint(want)
