@@ -33,7 +33,10 @@ def parse(argv=None):
     p.add_argument("--out", required=True, help="root folder of the published tables")
     p.add_argument("--infections-format", default="csv", choices=["csv", "json", "parquet"])
     p.add_argument("--prices-format", default="csv", choices=["csv", "parquet", "parquet_by_month"])
-    p.add_argument("--json-multi-line", action="store_true")
+    p.add_argument("--json-multi-line", action="store_true",
+                   help="one pretty-printed document per file")
+    p.add_argument("--json-record-lines", action="store_true",
+                   help="plain records one per line (a landed document), no records array")
     p.add_argument("--continent", default="Europe")
     p.add_argument("--method", default="join", choices=["join", "window"])
     p.add_argument("--decimal-precision", type=int, default=10)
@@ -72,7 +75,9 @@ def main(argv=None) -> None:
                                              spark.sparkContext.defaultParallelism))
     cfg = RefreshConfig(a.infections, a.prices, a.out, infections_format=a.infections_format,
                         prices_format=a.prices_format,
-                        json_multi_line=a.json_multi_line, continent=a.continent, method=a.method,
+                        json_multi_line=a.json_multi_line,
+                        json_array_field=None if a.json_record_lines else "records",
+                        continent=a.continent, method=a.method,
                         decimal_precision=a.decimal_precision,
                         growth_table=a.growth_table, market_table=a.market_table,
                         partition_columns=("Share",) if a.symbol_dirs else (),
