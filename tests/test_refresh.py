@@ -158,3 +158,14 @@ def test_month_partitioned_price_landing(spark, scratch):
     p = date_between(S.prices(spark, SF), "Date", "1996-01-01", "1997-12-31")
     want = frame_fingerprint(served_market(market_result(p, 4), served_market_contract(18)))
     assert frame_fingerprint(spark.read.parquet(pub["dax"].path)) == want
+
+
+def test_job_reads_record_lines(spark, scratch, capsys):
+    from jobs.daily_refresh import main
+    from tagwerk.sinks.files import land_records
+    land_inputs(spark, scratch)
+    land_records(S.infections_document_rows(spark, SF), f"{scratch}/records")
+    main(["--infections", f"{scratch}/records", "--infections-format", "json", "--json-record-lines",
+          "--prices", f"{scratch}/prices", "--symbol-dirs", "--out", f"{scratch}/served",
+          "--continent", "EUROPE", "--decimal-precision", "18"])
+    assert "infects: 240 rows" in capsys.readouterr().out
