@@ -11,9 +11,10 @@ refresh of the same input; it is checked against one in the tests.
 Trade-offs against ``refresh.recompute``: the month partitions are replaced
 one by one, so the switch is not atomic across months; a month that has no
 rows left in the new input keeps its old files (a full refresh clears it).
-Date filters on the inputs reach the scans (and prune month folders of a
-month-partitioned price landing), so the read cost follows the recomputed
-range, not the history.
+On a month-partitioned price landing the date bound prunes month folders, so
+the price read follows the recomputed range, not the history.  The growth
+input's date is text until parsed, so its rows are filtered after the parse;
+the join, the shuffles and the writes still follow the recomputed range.
 """
 
 from __future__ import annotations
