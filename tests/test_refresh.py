@@ -169,3 +169,21 @@ def test_job_reads_record_lines(spark, scratch, capsys):
           "--prices", f"{scratch}/prices", "--symbol-dirs", "--out", f"{scratch}/served",
           "--continent", "EUROPE", "--decimal-precision", "18"])
     assert "infects: 240 rows" in capsys.readouterr().out
+
+
+def test_job_applies_scale_settings(spark, scratch):
+    from jobs.daily_refresh import main
+    land_inputs(spark, scratch)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        main(["--infections", f"{scratch}/infections", "--prices", f"{scratch}/prices",
+              "--symbol-dirs", "--out", f"{scratch}/served", "--continent", "EUROPE",
+              "--decimal-precision", "18", "--input-bytes", str(10 ** 12), "--total-cores", "8"])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(-(-10 ** 12 // (256 * 1024 * 1024)))
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 * 1024 * 1024)
+    finally:
+        for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                  "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                  "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"):
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
