@@ -39,3 +39,11 @@ def test_matching_messages_bytes_and_text(spark):
     df = spark.createDataFrame([("new_data_available",), ("x",)], "value string")
     assert matching_messages(df.selectExpr("cast(value as binary) as value")).count() == 1
     assert matching_messages(df).count() == 1
+
+
+def test_kafka_sink_needs_connector(spark):
+    from tagwerk.sinks.notify import emit_kafka
+    try:
+        emit_kafka(spark, "localhost:9092", "spark_notification")
+    except Exception as e:  # connector jar not on this classpath; no broker is contacted
+        assert "kafka" in str(e).lower()
