@@ -9,7 +9,10 @@ Plan: both sides are hash-partitioned on the two keys, so the shuffle spreads
 by date as well as entity and stays even when one entity has a long history.
 Catalyst broadcasts the previous-day side when its runtime size is small (AQE)
 and uses a sort-merge join otherwise; a hot (entity, date) partition is split
-by the AQE skew-join rule.
+by the AQE skew-join rule (``test_hot_join_key_is_split_by_aqe_and_kept_whole``
+sees ``SortMergeJoin(skew=true)``).  A shuffled hash join would skip the
+sorts but cannot spill; with partition-size-based selection it ran out of
+memory building its hash map on 20M rows, so the sort-merge join stays.
 
 ``prev_day_window`` is the opt-in one-shuffle form for data whose (entity,
 date) keys are unique; it fails on a repeated key rather than answer
