@@ -47,12 +47,10 @@ def cut_places(raw: bytes, rule: Chunking, gear: np.ndarray | None = None) -> li
     low[:-1] &= (data[1:] & 0xC0) != 0x80  # not inside a character
     ends, last, n = [], 0, len(raw)
     for p in (np.flatnonzero(low) + 1).tolist():
-        if p - last < rule.least:
-            continue
         while p - last > rule.most:
             last = _whole(data, last + rule.most)
             ends.append(last)
-        if p > last:
+        if p - last >= rule.least:
             ends.append(p)
             last = p
     while n - last > rule.most:

@@ -198,8 +198,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, threshold: int = 2, seed:
     named = joined.join(classes, joined["node"] == classes["fp"]).select("node", "component", "first_id")
     names = named.groupBy("component").agg(F.min("first_id").alias("name"))
     linked = named.join(names, "component").select(F.col("node").alias("fp"), "name")
-    labelled = (classes.join(linked, "fp", "left")
-                .select("fp", F.coalesce("name", "first_id").alias("component_id")))
+    # stored, so that the last join has a plain exchange on both sides and a hot fingerprint is split
+    labelled = stored(classes.join(linked, "fp", "left")
+                      .select("fp", F.coalesce("name", "first_id").alias("component_id")), "simhash-names")
     return prints.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
 

@@ -223,10 +223,11 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, tables: int = 56, wid
     joined = connected_components(found.where("other is not null").select(F.col("id").alias("u"), F.col("other").alias("v")))
     named = joined.withColumnRenamed("node", "id").join(kept.select("id", "first_id"), "id")
     names = named.groupBy("component").agg(F.min("first_id").alias("name"))
-    labelled = (kept.select("id", "first_id", "copies", "vec").join(counts, "id", "left")
-                .join(named.join(names, "component").select("id", "name"), "id", "left")
-                .select("vec", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("links"),
-                        F.coalesce("name", "first_id").alias("class")))
+    # stored, so that the last join has a plain exchange on both sides and a hot vector is split
+    labelled = stored(kept.select("id", "first_id", "copies", "vec").join(counts, "id", "left")
+                      .join(named.join(names, "component").select("id", "name"), "id", "left")
+                      .select("vec", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("links"),
+                              F.coalesce("name", "first_id").alias("class")), "lsh-names")
     good = rows.where(usable).join(labelled, "vec").select("vec_id", "links", "class")
     lone = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("links"), F.col("vec_id").alias("class"))
     return good.unionByName(lone).select("vec_id", F.col("links").alias("n_links"), F.col("class").alias("component_id"),

@@ -1,0 +1,96 @@
+import numpy as np
+import pytest
+
+from tagwerk.llm import vector_lsh as V
+
+from .helpers import cosine_links
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def _near(rng, base, spread):
+    return (base + rng.normal(0, spread, len(base))).astype(np.float32).tolist()
+
+
+def _rows(seed=1, dim=64, groups=6, size=9):
+    rng = np.random.default_rng(seed)
+    rows, i = [], 0
+    for _ in range(groups):
+        base = rng.normal(0, 1, dim)
+        for _ in range(size):
+            rows.append((i * 7 % 1009, _near(rng, base, 0.15), 1))
+            i += 1
+    for _ in range(60):
+        rows.append((i * 7 % 1009, rng.normal(0, 1, dim).astype(np.float32).tolist(), 2))
+        i += 1
+    return rows
+
+
+def _check(spark, rows, **how):
+    got = {r.vec_id: (r.n_links, r.component_id) for r in V.near_vectors(spark.createDataFrame(rows, SCHEMA), **how).collect()}
+    assert got == cosine_links([(i, v) for i, v, _ in rows])
+
+
+def test_links_equal_brute_force(spark):
+    _check(spark, _rows())
+
+
+@pytest.mark.parametrize("block", [3, 10])
+def test_crowded_buckets_are_split_into_blocks(spark, block, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = rng.normal(0, 1, 64)
+    rows = [(i, _near(rng, base, 0.1 + 0.002 * i), 0) for i in range(80)]
+    _check(spark, rows, block=block)
+
+
+def test_whole_crowded_buckets(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(0, 1, 64)
+    _check(spark, [(i, _near(rng, base, 0.17), 0) for i in range(120)])
+
+
+def test_copies_are_one_class(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(0, 1, 64)
+    a, b = _near(rng, base, 0.02), _near(rng, base, 0.02)
+    rows = [(900 - i, a, 0) for i in range(300)] + [(2000 + i, b, 0) for i in range(40)] + [(5000, [2 * x for x in a], 0)]
+    got = {r.vec_id: r for r in V.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(got) == 341 and {r.n_links for r in got.values()} == {340}
+    assert {r.component_id for r in got.values()} == {601} and [i for i, r in got.items() if r.kept] == [601]
+
+
+def test_vectors_that_link_with_nothing(spark):
+    nan, inf = float("nan"), float("inf")
+    odd = [None, [], [0.0] * 4, [-0.0, 0.0, 0.0, 0.0], [1.0, None, 1.0, 1.0], [1.0, nan, 1.0, 1.0], [1.0, inf, 1.0, 1.0]]
+    rows = [(i, v, None) for i, v in enumerate([*odd, *odd])]
+    rows += [(50, [1.0, 1.0, 1.0, 1.0], 0), (51, [1.0, 1.0, 1.0, 1.001], 0), (52, [1.0, 1.0], 0), (53, [-1.0] * 4, 0)]
+    _check(spark, rows)
+    null_id = V.near_vectors(spark.createDataFrame([(None, [1.0, 0.0], 0), (3, [1.0, 0.0], 0), (3, [1.0, 0.0], 0)], SCHEMA)).collect()
+    assert sorted((r.vec_id or -1, r.n_links, r.component_id or -1) for r in null_id) == [(-1, 0, -1), (3, 1, 3), (3, 1, 3)]
+    assert V.near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_one_id_for_two_vectors(spark):
+    rows = [(3, [1.0, 0.0, 0.0], 0), (3, [0.0, 1.0, 0.0], 0), (4, [0.0, 1.0, 0.01], 0)]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in V.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [(3, 0, 3), (3, 1, 3), (4, 1, 3)]
+
+
+def test_recall_at_the_threshold():
+    """Pairs at cosine 0.95 to 0.955 share a bucket in nearly all cases."""
+    rng = np.random.default_rng(6)
+    a = rng.normal(0, 1, (3000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.normal(0, 1, a.shape)
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.95, 0.955, (len(a), 1))
+    b = cosine * a + np.sqrt(1 - cosine**2) * side
+    met = (V.bucket_keys(a, 56, 14, 1.6, 11) == V.bucket_keys(b, 56, 14, 1.6, 11)).any(axis=1)
+    assert met.mean() > 0.985
+
+
+def test_doubles_keep_their_precision(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.95, (1 - 0.95**2) ** 0.5 * (1 - 1e-12)]), (3, [0.95, (1 - 0.95**2) ** 0.5 * (1 + 1e-9)])]
+    got = {r.vec_id: r.n_links for r in V.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got[2] >= 1 and got[3] == 1 and got[1] == got[2] - 1
