@@ -10,8 +10,9 @@ Two layouts:
   cannot be split, so each file is one task; read with ``multi_line=True``
   and land it once as record lines or parquet for later reads.
 
-The wrong layout must not lose rows silently: in line mode a line that is not
-a whole JSON value fails the read (``FAILFAST``).
+Nothing is lost silently: in both modes text that is not a whole JSON value
+(a truncated document, the wrong layout) fails the read (``FAILFAST``), and so
+does a document without the array field.  An empty array gives no rows.
 """
 
 from __future__ import annotations
@@ -23,16 +24,22 @@ from ..operators.project import flatten
 
 def read_records(spark: SparkSession, path, record_schema: T.StructType,
                  array_field: str | None = "records", multi_line: bool = False,
-                 sep: str = ".", encoding: str = "UTF-8", mode: str | None = None) -> DataFrame:
+                 sep: str = ".", encoding: str = "UTF-8", mode: str = "FAILFAST") -> DataFrame:
     """Records of the documents at ``path``, nested fields flattened (P10).
 
     ``array_field=None`` reads files of plain records, one per line, as
-    ``sinks.files.land_records`` writes them.
+    ``sinks.files.land_records`` writes them.  ``mode="PERMISSIVE"`` skips
+    broken documents and those without the array, for callers who ask for it.
     """
     schema = (record_schema if array_field is None else
               T.StructType([T.StructField(array_field, T.ArrayType(record_schema))]))
-    docs = (spark.read.schema(schema).option("multiLine", multi_line)
-            .option("mode", mode or ("PERMISSIVE" if multi_line else "FAILFAST"))
+    docs = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", mode)
             .option("encoding", encoding).json(path))
-    rows = docs if array_field is None else docs.select(F.inline(F.col(array_field)))
+    if array_field is None:
+        return flatten(docs, sep=sep)
+    records = F.col(f"`{array_field}`")
+    if mode.upper() == "FAILFAST":
+        missing = F.raise_error(F.lit(f"document without the array field {array_field!r}"))
+        records = F.coalesce(records, missing.cast(schema[0].dataType))
+    rows = docs.select(F.inline(records))
     return flatten(rows, sep=sep)
