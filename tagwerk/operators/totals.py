@@ -3,14 +3,13 @@
 A1 is a hash aggregate with a partial (map-side) step, so at most one row per
 (date, map task) crosses the shuffle.
 
-With ``exact_scale`` each value is rounded to that many decimals and summed as
-a 64-bit integer count of 10^-scale units, then returned as double.  The
-result no longer depends on the order in which partial sums meet (a double sum
-on a thousand executors does), and equals summing ``decimal(18, scale)``
-values -- but runs at the speed of a double sum: measured on 40M rows, 0.30 s
-against 4.3 s for the decimal cast and sum.  ANSI mode makes an overflowing
-sum an error, and a value too large for an exact unit count fails the query,
-so neither is ever silently wrong.
+By default values are summed as doubles, as in the reference.  With
+``exact_scale`` each value is rounded half up to that many decimals and summed
+as ``decimal(18, scale)``, then returned as double: the result no longer
+depends on the order in which partial sums meet (a double sum on a thousand
+executors does), at about ten times the cost of a double sum.  Values that
+``decimal(18, scale)`` cannot hold (NaN, infinities, very large prices) are
+summed as doubles beside it, so they reach the total as in a double sum.
 """
 
 from __future__ import annotations
@@ -23,14 +22,12 @@ from ..functions.arith import signed_difference
 
 
 def exact_sum(c, scale: int) -> Column:
-    """Sum of ``c`` rounded half up to ``scale`` decimals, exact, as double."""
-    unit = 10 ** scale
+    """Sum of ``c`` as ``decimal(18, scale)`` values, returned as double."""
     v = F.col(f"`{c}`") if isinstance(c, str) else c
-    units = F.floor(v * F.lit(float(unit)) + F.lit(0.5))      # bigint count of units
-    limit = float(2 ** 53) / unit                              # beyond: units not exact
-    checked = F.when(F.abs(v) < F.lit(limit), units).when(v.isNotNull(), F.raise_error(
-        F.lit(f"value beyond {limit:.3g}: too large for an exact sum at scale {scale}")))
-    return F.sum(checked.cast("long")) / F.lit(float(unit))
+    fits = v.try_cast(f"decimal(18,{scale})")
+    rest = F.sum(F.when(fits.isNull(), v.cast("double")))
+    exact = F.sum(fits).cast("double")
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
 
 
 def daily_totals(df: DataFrame, date: str, sums: Mapping[str, str],

@@ -56,12 +56,28 @@ def test_sum_of_per_symbol_sums_equals_total(spark):
     assert market_totals(df).first()["open_sum"] == per_symbol
 
 
-def test_exact_sum_refuses_values_beyond_exact_range(spark):
-    import pytest
-    df = spark.createDataFrame([(d("01/03"), "A", 1e13, 1.0)], SCHEMA)
-    with pytest.raises(Exception, match="too large for an exact sum"):
-        market_totals(df, exact_scale=4).collect()
-    assert market_totals(df).first()["open_sum"] == 1e13   # the double sum still works
+def test_values_beyond_the_decimal_are_summed_as_doubles(spark):
+    import math
+    data = [(d("01/03"), "A", 1e18, 1.0), (d("01/03"), "B", 2.5, 1.0), (d("02/03"), "A", float("nan"), 1.0),
+            (d("02/03"), "B", 1.0, 2.0), (d("03/03"), "A", float("inf"), None)]
+    for exact in (None, 4):
+        out = totals(spark, data, exact).collect()
+        assert out[0]["open_sum"] == 1e18 and out[0]["close_sum"] == 2.0
+        assert math.isnan(out[1]["open_sum"]) and out[1]["close_sum"] == 3.0
+        assert out[2]["open_sum"] == math.inf and out[2]["close_sum"] is None
+
+
+def test_exact_sum_rounds_like_the_decimal(spark):
+    from tagwerk.operators.totals import exact_sum
+    for value, want in ((-0.00005, -0.0001), (0.00015, 0.0002), (0.00005, 0.0001), (-0.00015, -0.0002), (0.00004, 0.0)):
+        df = spark.createDataFrame([(value,)], "x double")
+        got = df.agg(exact_sum("x", 4).alias("s"), F.sum(F.col("x").cast("decimal(18,4)")).cast("double").alias("w")).first()
+        assert got["s"] == got["w"] == want
+
+
+def test_small_prices_are_not_rounded_away_by_default(spark):
+    data = [(d("01/03"), "A", 0.00004, 0.00004)] * 1000
+    assert abs(totals(spark, data).first()["open_sum"] - 0.04) < 1e-12
 
 
 def test_exact_sum_equals_decimal_sum(spark):
