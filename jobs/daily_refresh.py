@@ -1,7 +1,9 @@
 """spark-submit job: the full refresh, once or on every "new data" message.
 
     spark-submit jobs/daily_refresh.py --infections IN --prices PR --out OUT           # once
-    spark-submit jobs/daily_refresh.py ... --inbox DIR --every "1 hour"               # on messages
+    spark-submit jobs/daily_refresh.py ... --inbox DIR                                # on every message, without end
+    spark-submit jobs/daily_refresh.py ... --inbox DIR --every "1 hour"               # looks once an hour, without end
+    spark-submit jobs/daily_refresh.py ... --inbox DIR --once                         # what has arrived, then ends
     spark-submit jobs/daily_refresh.py ... --kafka HOST:9092 --topic spark_notification
 
 The stream's checkpoint lives below ``spark.checkpoint.dir`` unless
@@ -20,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tagwerk.plans.refresh import RefreshConfig, recompute, recompute_since  # noqa: E402
-from tagwerk.session import apply_settings, ensure_checkpoint_dir, scale_settings  # noqa: E402
+from tagwerk.session import SCALE_CONF, apply_settings, ensure_checkpoint_dir, scale_settings  # noqa: E402
 from tagwerk.sinks.notify import DEFAULT_TOPIC, DEFAULT_WORD  # noqa: E402
 from tagwerk.sources.notifications import file_notifications, kafka_notifications  # noqa: E402
 from tagwerk.streaming.trigger import start_refresh_stream  # noqa: E402
@@ -48,6 +50,7 @@ def parse(argv=None):
     p.add_argument("--topic", default=DEFAULT_TOPIC)
     p.add_argument("--word", default=DEFAULT_WORD)
     p.add_argument("--every", help='processing-time trigger, e.g. "1 hour"')
+    p.add_argument("--once", action="store_true", help="handle the messages that are there, then end")
     p.add_argument("--stream-checkpoint")
     p.add_argument("--exclude", nargs="*", default=None, help="countries removed at import")
     p.add_argument("--results", help="also write result CSV folders here")
@@ -57,7 +60,10 @@ def parse(argv=None):
     p.add_argument("--jdbc-password-env", help="name of the environment variable with the password")
     p.add_argument("--jdbc-driver")
     p.add_argument("--since", help="first price day kept, e.g. 2020-01-01")
-    p.add_argument("--until", help="last price day kept (default with --since: today)")
+    p.add_argument("--until", help='last price day kept, or "today" (default: all)')
+    p.add_argument("--fill-text", action="store_true", help="NULL text is served as 0")
+    p.add_argument("--exact-scale", type=int, help="sum prices as decimals of this scale (default: as doubles)")
+    p.add_argument("--allow-empty", action="store_true", help="serve tables without rows")
     p.add_argument("--symbols", help="comma-separated symbols kept")
     p.add_argument("--recompute-from", metavar="DAY",
                    help="incremental: recompute only the months from DAY on, into month-"
@@ -69,7 +75,10 @@ def parse(argv=None):
 
 def main(argv=None) -> None:
     a = parse(argv)
-    spark = SparkSession.builder.appName("tagwerk-daily-refresh").getOrCreate()
+    builder = SparkSession.builder.appName("tagwerk-daily-refresh")
+    for key, value in SCALE_CONF.items():  # UTC dates, removal of used checkpoints, adaptive plans
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     if a.input_bytes:
         apply_settings(spark, scale_settings(a.input_bytes, a.total_cores or
                                              spark.sparkContext.defaultParallelism))
@@ -77,7 +86,8 @@ def main(argv=None) -> None:
                         prices_format=a.prices_format,
                         json_multi_line=a.json_multi_line,
                         json_array_field=None if a.json_record_lines else "records",
-                        continent=a.continent, method=a.method,
+                        continent=a.continent, method=a.method, fill_text=a.fill_text,
+                        exact_scale=a.exact_scale, allow_empty=a.allow_empty,
                         decimal_precision=a.decimal_precision,
                         growth_table=a.growth_table, market_table=a.market_table,
                         partition_columns=("Share",) if a.symbol_dirs else (),
@@ -91,19 +101,23 @@ def main(argv=None) -> None:
     cfg.price_start, cfg.price_end = a.since, a.until
     if a.symbols:
         cfg.symbols = [x.strip() for x in a.symbols.split(",") if x.strip()]
-    if a.recompute_from and not (a.inbox or a.kafka):
-        for name, rows in recompute_since(spark, cfg, a.recompute_from).items():
-            print(f"{name}: {rows} rows served (months from {a.recompute_from[:7]} recomputed)")
-        return
-    if not (a.inbox or a.kafka):
-        for name, pub in recompute(spark, cfg).items():
+
+    def refresh(session: SparkSession) -> None:
+        if a.recompute_from:
+            for name, rows in recompute_since(session, cfg, a.recompute_from).items():
+                print(f"{name}: {rows} rows served (months from {a.recompute_from[:7]} recomputed)")
+            return
+        for name, pub in recompute(session, cfg).items():
             print(f"{name}: {pub.rows} rows at {pub.path}, {pub.rejects} rejected")
+
+    if not (a.inbox or a.kafka):
+        refresh(spark)
         return
     messages = (file_notifications(spark, a.inbox) if a.inbox
                 else kafka_notifications(spark, a.kafka, a.topic))
     ckpt = a.stream_checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tagwerk/refresh-stream"
-    q = start_refresh_stream(spark, messages, lambda s: recompute(s, cfg), ckpt, word=a.word,
-                             processing_time=a.every, available_now=not a.every,
+    q = start_refresh_stream(spark, messages, refresh, ckpt, word=a.word,
+                             processing_time=a.every, available_now=a.once,
                              run_at_start=True, query_name="daily_refresh")
     q.awaitTermination()
 

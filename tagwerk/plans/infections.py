@@ -58,8 +58,8 @@ def infection_growth(raw: DataFrame, continent: str | None = CONTINENT,
     if continent is not None:
         daily = keep_equal(daily, "continent", continent)
     if min_date is not None:
-        # incremental runs: rows before min_date (and rows without a date) are
-        # neither recomputed nor needed as previous days
-        daily = daily.filter(F.col("date") >= F.lit(min_date).cast("date"))
+        # incremental runs: rows before min_date are neither recomputed nor needed
+        # as previous days; rows without a date stay, for the rejects
+        daily = daily.filter(F.col("date").isNull() | (F.col("date") >= F.lit(min_date).cast("date")))
     return daily_growth(daily, "country", "date", MEASURES, RATIOS, method=method,
                         checkpoint_input=checkpoint_input)

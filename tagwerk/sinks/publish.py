@@ -1,25 +1,27 @@
 """Staged publish of a served table.
 
-1. conform and check once, written to a staging folder (this also cuts the
-   lineage: later steps read parquet, not the whole plan);
-2. key uniqueness (D1) on the staged rows: fail or report;
-3. servable rows written to a new version folder, rejects (if any) to their own;
-4. read the new version back and compare row count and an order-free hash
-   with the staged rows (K10) -- before any reader can see it;
-5. the catalog table is pointed at the new version (``ALTER TABLE ... SET
+1. conform, check and write the servable rows once, to a new version folder;
+   their count, an order-free hash and the number of rejects are observed on
+   the way;
+2. rejects (if any) are written to a folder of their own;
+3. the version is read back: row count and hash must equal what was observed
+   (K10) and its keys must be unique (D1) -- before any reader can see it;
+4. the catalog table is pointed at the new version (``ALTER TABLE ... SET
    LOCATION`` is one metadata change, so readers see the old or the new
    version, never a half-written one).
 
-``stage_table`` does 1-4 and ``switch_table`` 5, so a refresh of several
-tables stages and checks all of them before switching any.
+``stage_table`` does 1-3.  ``switch_tables`` does 4 for the tables of a
+refresh together: if one cannot be switched, those before it go back to the
+version they had, so the served tables belong to one refresh.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.contract import conform, key_duplicates
 from ..schemas import TableContract
@@ -35,59 +37,80 @@ class Published:
     duplicate_keys: int
 
 
+def _row_hash(columns):
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns]).cast("decimal(20,0)")
+
+
 def frame_fingerprint(df: DataFrame) -> tuple[int, int]:
     """(row count, sum of 64-bit row hashes): equal for equal multisets of rows."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    r = df.agg(F.count(F.lit(1)).alias("n"),
-               F.coalesce(F.sum(F.xxhash64(*cols).cast("decimal(20,0)")), F.lit(0)).alias("h")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_hash(df.columns)), F.lit(0)).alias("h")).first()
     return int(r["n"]), int(r["h"])
 
 
 def stage_table(spark: SparkSession, df: DataFrame, contract: TableContract, root: str,
                 table: str | None = None, on_duplicate: str = "fail") -> Published:
-    """Steps 1-3 and the read-back check (5) on the new version's files:
-    everything except the switch, so a failure leaves readers untouched."""
+    """Steps 1-3: everything except the switch, so a failure leaves readers untouched."""
     run = uuid.uuid4().hex[:12]
-    staging, version, rejects = (f"{root}/staging/{run}", f"{root}/versions/{run}",
-                                 f"{root}/rejects/{run}")
-    conform(df, contract).write.mode("overwrite").parquet(staging)
-    checked = spark.read.parquet(staging)
+    version, rejects = f"{root}/versions/{run}", f"{root}/rejects/{run}"
+    checked = conform(df, contract)
     keyed = F.lit(True)
     for k in contract.key:
         keyed = keyed & F.col(k).isNotNull()
-    served = checked.filter(keyed).drop("reasons")
-    dups = key_duplicates(served, contract.key).count()
+    served_columns = [c for c in checked.columns if c != "reasons"]
+    seen = Observation()
+    watched = checked.observe(
+        seen, F.count(F.when(keyed, 1)).alias("n"),
+        F.coalesce(F.sum(F.when(keyed, _row_hash(served_columns))), F.lit(0)).alias("h"),
+        F.count(F.when(F.col("reasons") != "", 1)).alias("rej"))
+    watched.filter(keyed).drop("reasons").write.mode("overwrite").parquet(version)
+    want, n_rejects = (int(seen.get["n"]), int(seen.get["h"])), int(seen.get["rej"])
+    written = spark.read.parquet(version)
+    got = frame_fingerprint(written)
+    if want != got:
+        raise RuntimeError(f"{contract.name}: written version differs {got} != {want}")
+    dups = key_duplicates(written, contract.key).count()
     if dups and on_duplicate == "fail":
         raise ValueError(f"{contract.name}: {dups} duplicate keys {contract.key}; nothing published")
-    # one pass over the staged rows gives the expected fingerprint and the reject count
-    cols = [F.col(f"`{c}`") for c in served.columns]
-    exp = checked.agg(
-        F.count_if(keyed).alias("n"),
-        F.coalesce(F.sum(F.when(keyed, F.xxhash64(*cols).cast("decimal(20,0)"))), F.lit(0)).alias("h"),
-        F.count_if(F.col("reasons") != "").alias("rej")).first()
-    served.write.mode("overwrite").parquet(version)
-    if exp["rej"]:
+    if n_rejects:
         checked.filter(F.col("reasons") != "").write.mode("overwrite").parquet(rejects)
-    else:
-        rejects = None
-    want, got = (int(exp["n"]), int(exp["h"])), frame_fingerprint(spark.read.parquet(version))
-    if want != got:
-        raise RuntimeError(f"{contract.name}: written version differs {got} != {want}")
-    return Published(table, version, rejects, want[0], int(exp["rej"]), dups)
+    return Published(table, version, rejects if n_rejects else None, want[0], n_rejects, dups)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
 
 
 def switch_table(spark: SparkSession, staged: Published) -> Published:
     """Step 4: point the catalog table at the staged version (one metadata change)."""
-    if staged.table:
-        if spark.catalog.tableExists(staged.table):
-            spark.sql(f"ALTER TABLE {staged.table} SET LOCATION '{staged.path}'")
-            spark.catalog.refreshTable(staged.table)
-        else:
-            spark.sql(f"CREATE TABLE {staged.table} USING parquet LOCATION '{staged.path}'")
-        n = spark.table(staged.table).count()
-        if n != staged.rows:
-            raise RuntimeError(f"{staged.table}: {n} rows after the switch, {staged.rows} staged")
-    return staged
+    return switch_tables(spark, {"": staged})[""]
+
+
+def switch_tables(spark: SparkSession, staged: Mapping[str, Published]) -> dict[str, Published]:
+    """Step 4 for several tables: all of them, or none."""
+    named = [st for st in staged.values() if st.table]
+    before = {st.table: _location(spark, st.table) if spark.catalog.tableExists(st.table) else None for st in named}
+    done: list[str] = []
+    try:
+        for st in named:
+            done.append(st.table)
+            _set_location(spark, st.table, st.path, before[st.table] is not None)
+    except Exception:
+        for name in reversed(done):
+            if before[name] is None:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+            else:
+                _set_location(spark, name, before[name], True)
+        raise
+    return dict(staged)
+
+
+def _set_location(spark: SparkSession, table: str, path: str, exists: bool) -> None:
+    if exists:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
 
 
 def publish_table(spark: SparkSession, df: DataFrame, contract: TableContract, root: str,

@@ -21,7 +21,7 @@ def read_parquet_fields(spark: SparkSession, path, schema: T.StructType,
 
 def read_daily_parquet(spark: SparkSession, path, schema: T.StructType, start: str | None = None,
                        end: str | None = None, date: str = "Date", month: str = "month",
-                       merge_schema: bool = False) -> DataFrame:
+                       merge_schema: bool = False, undated: bool = False) -> DataFrame:
     """A month-partitioned daily landing (``sinks.files.land_daily_parquet``)
     read for ``start <= date <= end`` (F4, both inclusive).
 
@@ -29,13 +29,17 @@ def read_daily_parquet(spark: SparkSession, path, schema: T.StructType, start: s
     the months in range are listed and read (partition pruning); the day bound
     then reaches the parquet scan as a pushed filter.  ``merge_schema`` reads
     every file footer to union differing schemas; a landing written in one go
-    does not need it.
+    does not need it.  ``undated`` also keeps the folder of rows without a
+    date, for callers that report them.
     """
     df = spark.read.option("mergeSchema", merge_schema).parquet(path)
+    inside = F.lit(True)
     if start is not None:
-        df = df.filter((F.col(month) >= start[:7]) & (F.col(date) >= F.lit(start).cast("date")))
+        inside = inside & (F.col(month) >= start[:7]) & (F.col(date) >= F.lit(start).cast("date"))
     if end is not None:
-        df = df.filter((F.col(month) <= end[:7]) & (F.col(date) <= F.lit(end).cast("date")))
+        inside = inside & (F.col(month) <= end[:7]) & (F.col(date) <= F.lit(end).cast("date"))
+    if start is not None or end is not None:
+        df = df.filter((F.col(month).isNull() | inside) if undated else inside)
     have = set(df.columns)
     return df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have
                         else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])

@@ -1,0 +1,175 @@
+"""Input failures are loud, options act alone and alike on all formats, incremental runs are complete."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagwerk.plans.incremental import refresh_growth_since, refresh_market_since, rejects_root
+from tagwerk.plans.imports import ImportConfig, run_import
+from tagwerk.plans.refresh import RefreshConfig, current_table, current_versions, read_inputs, recompute, recompute_since
+from tagwerk.schemas import INFECTIONS_FIELDS, served_growth_contract, served_market_contract
+from tagwerk.session import local_dir
+from tagwerk.sinks.files import land_csv, land_daily_parquet, land_parquet
+from tagwerk.sinks.publish import frame_fingerprint, stage_table, switch_tables
+from tagwerk.sources.documents import read_records
+
+PRICES = "Date date, Share string, Open double, Close double"
+RECORD = {"dateRep": "01/03/2020", "cases": 5, "deaths": 1, "countriesAndTerritories": "Austria", "continentExp": "Europe"}
+
+
+def _document(folder, *texts):
+    os.makedirs(local_dir(folder))
+    for i, text in enumerate(texts):
+        with open(f"{local_dir(folder)}/{i}.json", "w", encoding="utf-8") as f:
+            f.write(text)
+    return folder
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_broken_documents_fail(spark, scratch, multi_line):
+    whole = json.dumps({"records": [RECORD, RECORD]})
+    good = _document(f"{scratch}/good", whole, json.dumps({"records": []}))
+    assert read_records(spark, good, INFECTIONS_FIELDS, multi_line=multi_line).count() == 2
+    for name, text in (("cut", whole[:-20]), ("other", json.dumps({"rows": [RECORD]})), ("null", json.dumps({"records": None}))):
+        bad = _document(f"{scratch}/{name}", whole, text)
+        with pytest.raises(Exception):  # noqa: B017 -- the reader's own error class
+            read_records(spark, bad, INFECTIONS_FIELDS, multi_line=multi_line).collect()
+    assert read_records(spark, f"{scratch}/other", INFECTIONS_FIELDS, multi_line=multi_line, mode="PERMISSIVE").count() == 2
+
+
+def _prices(spark):
+    rows = [("2019-12-31", "A", 1.0, 2.0), ("2020-06-30", "A", 2.0, 3.0), ("2021-05-01", "B", 3.0, 4.0),
+            ("2999-01-01", "B", 4.0, 5.0), (None, "A", 5.0, 6.0), (None, "B", 6.0, 7.0)]
+    return spark.createDataFrame(rows, "d string, Share string, Open double, Close double").select(
+        F.col("d").cast("date").alias("Date"), "Share", "Open", "Close")
+
+
+OPTIONS = [
+    ({}, {1.0, 2.0, 3.0, 4.0, 5.0, 6.0}),
+    ({"price_end": "2020-06-30"}, {1.0, 2.0, 5.0, 6.0}),
+    ({"price_start": "2020-06-30"}, {2.0, 3.0, 4.0, 5.0, 6.0}),
+    ({"price_start": "2020-01-01", "price_end": "2021-05-01"}, {2.0, 3.0, 5.0, 6.0}),
+    ({"symbols": ["B"]}, {3.0, 4.0, 6.0}),
+    ({"price_end": "today"}, {1.0, 2.0, 3.0, 5.0, 6.0}),
+    ({"price_start": "2021-01-01", "symbols": ["A"]}, {5.0}),
+]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet", "parquet_by_month"])
+def test_every_option_acts_alone_on_every_format(spark, scratch, fmt):
+    prices = _prices(spark)
+    if fmt == "csv":
+        land_csv(prices, f"{scratch}/p", first=["Date"])
+    elif fmt == "parquet":
+        land_parquet(prices, f"{scratch}/p")
+    else:
+        land_daily_parquet(prices, f"{scratch}/p")
+    land_csv(spark.createDataFrame([("01/03/2020", 1, 0, "Austria", "Europe")],
+                                   "dateRep string, cases int, deaths int, countriesAndTerritories string, continentExp string"), f"{scratch}/i")
+    for options, want in OPTIONS:
+        _, got = read_inputs(spark, RefreshConfig(f"{scratch}/i", f"{scratch}/p", f"{scratch}/o", prices_format=fmt, **options))
+        assert {r["Open"] for r in got.collect()} == want, options
+
+
+def _infections(spark, rows):
+    return spark.createDataFrame(rows, "dateRep string, cases int, deaths int, countriesAndTerritories string, continentExp string")
+
+
+DOC = [("30/04/2020", 1, 0, "Austria", "Europe"), ("01/05/2020", 2, 1, "Austria", "Europe"), ("02/05/2020", 4, 1, "Austria", "Europe"),
+       ("not a day", 7, 1, "Austria", "Europe"), ("01/06/2020", 3, 1, None, "Europe"), ("15/03/2020", 9, 9, "Belgium", "Europe")]
+
+
+def _config(spark, scratch, **more):
+    land_csv(_infections(spark, DOC), f"{scratch}/i")
+    land_csv(_prices(spark), f"{scratch}/p", first=["Date"])
+    return RefreshConfig(f"{scratch}/i", f"{scratch}/p", f"{scratch}/o", **more)
+
+
+def test_empty_tables_are_not_switched(spark, scratch):
+    cfg = _config(spark, scratch)
+    first = recompute(spark, cfg)
+    assert current_versions(spark, cfg.out_root) == {n: p.path for n, p in first.items()}
+    cfg.continent = "Atlantis"
+    with pytest.raises(ValueError, match="infects"):
+        recompute(spark, cfg)
+    assert current_versions(spark, cfg.out_root) == {n: p.path for n, p in first.items()}
+    cfg.allow_empty = True
+    recompute(spark, cfg)
+    assert current_table(spark, cfg.out_root, "infects").count() == 0
+
+
+def test_undated_rows_reach_the_rejects(spark, scratch):
+    pub = recompute(spark, _config(spark, scratch, price_start="2020-01-01"))
+    assert pub["dax"].rejects == 1 and pub["infects"].rejects == 2
+    assert spark.read.parquet(pub["infects"].rejects_path).count() == 2
+
+
+def test_text_fill_serves_a_missing_country(spark, scratch):
+    pub = recompute(spark, _config(spark, scratch, fill_text=True))
+    rows = spark.read.parquet(pub["infects"].path)
+    assert pub["infects"].rejects == 1 and rows.where("country = '0'").count() == 1
+
+
+def test_incremental_rejects_equal_the_full_refresh(spark, scratch):
+    raw, prices = _infections(spark, DOC), _prices(spark)
+    gc, mc = served_growth_contract(), served_market_contract()
+    for since in (None, "2020-05-10"):
+        path = f"{scratch}/g{since}"
+        refresh_growth_since(spark, raw, path, since, contract=gc)
+        rejects = spark.read.parquet(f"{rejects_root(path)}/*")
+        assert sorted(r.reasons for r in rejects.collect()) == ["country is null", "date is null"]
+        refresh_market_since(spark, prices, f"{scratch}/m{since}", since, contract=mc)
+        assert spark.read.parquet(f"{rejects_root(f'{scratch}/m{since}')}/*").count() == 1
+
+
+def test_emptied_months_are_cleared(spark, scratch):
+    raw, path = _infections(spark, DOC), f"{scratch}/g"
+    refresh_growth_since(spark, raw, path, None)
+    months = lambda: {r["month"] for r in spark.read.parquet(path).select("month").distinct().collect()}
+    assert months() == {"2020-03", "2020-04", "2020-05"}
+    refresh_growth_since(spark, raw.where("dateRep not like '%/05/%'"), path, "2020-04-01")
+    assert months() == {"2020-03", "2020-04"}
+    refresh_growth_since(spark, raw.where("dateRep like '%/05/%'"), path, None)
+    assert months() == {"2020-05"}
+
+
+def test_incremental_refuses_options_of_the_full_refresh(spark, scratch):
+    for options in ({"result_root": "r"}, {"preview_rows": 3}, {"jdbc_url": "j"}, {"growth_table": "t"}):
+        with pytest.raises(ValueError, match=next(iter(options))):
+            recompute_since(spark, _config(spark, scratch, **options), None)
+
+
+def test_both_tables_are_switched_or_neither(spark, scratch):
+    contract = served_market_contract()
+    frames = [spark.createDataFrame([("2020-01-0%d" % i, 1.0, 2.0, 1.0)], "Date string, open_sum double, close_sum double, abs_diff double")
+              for i in (1, 2)]
+    old, new = ({n: stage_table(spark, f, contract, f"{scratch}/{n}", f"pair_{n}") for n in ("a", "b")} for f in frames)
+    try:
+        switch_tables(spark, old)
+        new["b"].path = "bad'quote"  # the second switch fails
+        with pytest.raises(Exception):  # noqa: B017
+            switch_tables(spark, new)
+        for n in ("a", "b"):
+            assert frame_fingerprint(spark.table(f"pair_{n}")) == frame_fingerprint(spark.read.parquet(old[n].path))
+    finally:
+        for n in ("a", "b"):
+            spark.sql(f"DROP TABLE IF EXISTS pair_{n}")
+
+
+def test_import_cycle_lands_then_sends(spark, scratch):
+    records = [RECORD, {**RECORD, "countriesAndTerritories": "Curaçao"}, {**RECORD, "countriesAndTerritories": None}]
+    folder = _document(f"{scratch}/doc", json.dumps({"records": records}, indent=1))
+    a = spark.createDataFrame([("2020-02-03", 1.0, 2.0), ("2019-01-01", 5.0, 6.0)], "Date string, Open double, Close double").withColumn("Date", F.to_date("Date"))
+    b = a.drop("Close").limit(1)
+    cfg = ImportConfig(folder, f"{scratch}/i", f"{scratch}/p", inbox=f"{scratch}/inbox")
+    run_import(spark, {"A": a, "B": b}, cfg)
+    _, prices = read_inputs(spark, RefreshConfig(f"{scratch}/i", f"{scratch}/p", "", partition_columns=("Share",)))
+    assert sorted((r.Share, r.Open, r.Close) for r in prices.collect())[0] == ("A", 1.0, 2.0)
+    raw, _ = read_inputs(spark, RefreshConfig(f"{scratch}/i", f"{scratch}/p", "", partition_columns=("Share",)))
+    assert raw.count() == 2 and spark.read.text(f"{scratch}/inbox").count() == 1
+    broken = ImportConfig(_document(f"{scratch}/bad", '{"records": [{"cases"'), f"{scratch}/i2", f"{scratch}/p2", inbox=f"{scratch}/inbox2")
+    with pytest.raises(Exception):  # noqa: B017
+        run_import(spark, {"A": a}, broken)
+    assert not os.path.exists(local_dir(f"{scratch}/inbox2"))
