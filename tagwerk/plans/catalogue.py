@@ -14,7 +14,7 @@ from ..functions.sizing import broadcast_if_bounded
 from ..operators.contract import conform, key_duplicates, split_rejects
 from ..operators.filters import exclude_values, keep_equal, zero_fill
 from ..operators.growth import daily_growth as growth_op
-from ..operators.preview import register_view
+from ..operators.preview import first_rows, register_view
 from ..operators.project import reorder, tag
 from ..operators.serving import served_growth, served_market
 from ..operators.union import union_by_name
@@ -31,8 +31,11 @@ from ..sources.notifications import file_notifications
 from ..sources.results import read_growth_result, read_market_result
 from ..streaming.trigger import start_refresh_stream
 from . import standins as S
+from .imports import ImportConfig, run_import
+from .incremental import refresh_growth_since, refresh_market_since, rejects_root
 from .infections import daily_rows, infection_growth
 from .market import bounded_prices, market_result
+from .refresh import RefreshConfig, current_table, read_inputs, recompute
 
 CONTINENT = "EUROPE"          # the stand-in's continent (region names are upper case)
 SERVED_PRECISION = 18         # stand-in totals exceed decimal(10,4); see SURVEY 7.3
@@ -283,7 +286,6 @@ def q_triggered_refresh(spark, sf):
 def q_incremental_refresh(spark, sf):
     # history served up to a cut day, then the months from a later day
     # recomputed over the full input: equal to serving everything at once
-    from .incremental import refresh_market_since  # noqa: PLC0415
     path = f"{scratch_path(spark, 'incremental')}/dax_by_month"
     prices = S.prices(spark, sf)
     contract = served_market_contract(SERVED_PRECISION)
@@ -298,6 +300,94 @@ def q_preview_ordered(spark, sf):
     return spark.sql("SELECT * FROM growth_view ORDER BY date, country LIMIT 20")
 
 
+def q_preview_first(spark, sf):
+    # L1 / K8: the first rows by the key of the result
+    return first_rows(_growth(spark, sf), 25, ["date", "country"])
+
+
+def _land_year_documents(spark, sf, path):
+    """One pretty-printed document per year and file, as a web service returns it."""
+    rows = S.infections_document_rows(spark, sf)
+    record = F.struct(*[F.col(c) for c in rows.columns])
+    year = F.substring("dateRep", 7, 4).alias("year")
+    docs = rows.groupBy(year).agg(F.to_json(F.struct(F.collect_list(record).alias("records")), {"pretty": "true"}).alias("value"))
+    docs.write.partitionBy("year").text(path)
+
+
+def q_json_documents(spark, sf):
+    # S3 in multi-line mode: a truncated document or one without records fails
+    path = scratch_path(spark, "json-documents")
+    _land_year_documents(spark, sf, path)
+    return read_records(spark, path, INFECTIONS_FIELDS, multi_line=True)
+
+
+def q_full_refresh(spark, sf):
+    # both pipelines through the real refresh, set off at the start and by a message
+    root = scratch_path(spark, "full-refresh")
+    _land_year_documents(spark, sf, f"{root}/documents")
+    land_daily_parquet(S.prices(spark, sf), f"{root}/prices")
+    cfg = RefreshConfig(f"{root}/documents", f"{root}/prices", f"{root}/served", infections_format="json",
+                        json_multi_line=True, prices_format="parquet_by_month", continent=CONTINENT,
+                        exact_scale=EXACT, decimal_precision=SERVED_PRECISION, price_end="1997-12-31", fill_text=True)
+    emit_file(spark, f"{root}/inbox")
+    q = start_refresh_stream(spark, file_notifications(spark, f"{root}/inbox"), lambda s: recompute(s, cfg),
+                             checkpoint=f"{root}/checkpoint", available_now=True, run_at_start=True)
+    q.awaitTermination()
+    served = f"decimal({SERVED_PRECISION},4)"
+    infects = current_table(spark, cfg.out_root, "infects").select(
+        F.lit("infects").alias("name"), "date", "country", F.col("cases").cast(served).alias("first"),
+        F.col("deaths").cast(served).alias("second"), F.col("cases_rel_diff").cast(served).alias("change"))
+    dax = current_table(spark, cfg.out_root, "dax").select(
+        F.lit("dax").alias("name"), "date", F.lit(None).cast("string").alias("country"), F.col("open").alias("first"),
+        F.col("close").alias("second"), F.col("diff").alias("change"))
+    return infects.unionByName(dax)
+
+
+def q_refresh_bounds(spark, sf):
+    # F4 / F5 as the refresh applies them: an upper bound alone, and symbols
+    path = scratch_path(spark, "refresh-bounds")
+    land_daily_parquet(S.prices(spark, sf), f"{path}/prices")
+    land_csv(S.infections_document_rows(spark, sf), f"{path}/infections")
+    _, prices = read_inputs(spark, RefreshConfig(f"{path}/infections", f"{path}/prices", path, prices_format="parquet_by_month",
+                                                 price_end="1996-12-31", symbols=["1", "2", "3", "5", "8"]))
+    return _prices4(prices)
+
+
+def _incremental_growth(spark, sf):
+    path = f"{scratch_path(spark, 'incremental-growth')}/infects_by_month"
+    docs = _spoiled_document(spark, sf)
+    refresh_growth_since(spark, docs, path, "1990-01-01", CONTINENT)
+    return path
+
+
+def q_incremental_growth(spark, sf):
+    return spark.read.parquet(_incremental_growth(spark, sf)).drop("month")
+
+
+def q_incremental_rejects(spark, sf):
+    # equal to the rejects of a full refresh of the same rows
+    return spark.read.parquet(f"{rejects_root(_incremental_growth(spark, sf))}/*")
+
+
+def q_import_cycle(spark, sf):
+    # entry A: documents and one frame per symbol to the landing, then the message;
+    # the symbols are the suppliers' regions, and one frame lacks a column
+    root = scratch_path(spark, "import-cycle")
+    _land_year_documents(spark, sf, f"{root}/documents")
+    prices = S.prices(spark, sf)
+    frames = {region: prices.join(S.suppliers_in_region(spark, sf, region), "Share", "left_semi").drop("Share")
+              for region in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")}
+    frames["ASIA"] = frames["ASIA"].drop("Change")
+    cfg = ImportConfig(f"{root}/documents", f"{root}/infections", f"{root}/prices", inbox=f"{root}/inbox",
+                       price_start="1995-01-01", price_end="1997-12-31", symbols=["AFRICA", "ASIA", "EUROPE"])
+    run_import(spark, frames, cfg)
+    schema = T.StructType(_PRICE_READ.fields + [T.StructField("Change", T.DoubleType())])
+    landed = read_by_header(spark, f"{root}/prices", schema, sep=";", partition_columns=["Share"])
+    if spark.read.text(f"{root}/inbox").count() != 1:
+        raise RuntimeError("the import sent no message")
+    return landed
+
+
 QUERIES = {
     "daily_growth": q_daily_growth,
     "daily_growth_window": q_daily_growth_window,
@@ -329,6 +419,13 @@ QUERIES = {
     "triggered_refresh": q_triggered_refresh,
     "incremental_refresh": q_incremental_refresh,
     "preview_ordered": q_preview_ordered,
+    "preview_first": q_preview_first,
+    "json_documents": q_json_documents,
+    "full_refresh": q_full_refresh,
+    "refresh_bounds": q_refresh_bounds,
+    "incremental_growth": q_incremental_growth,
+    "incremental_rejects": q_incremental_rejects,
+    "import_cycle": q_import_cycle,
 }
 
 
@@ -544,4 +641,33 @@ FROM g WHERE date IS NOT NULL
     "triggered_refresh": _MARKET_SERVED,
     "incremental_refresh": _MARKET_SERVED,
     "preview_ordered": f"SELECT * FROM ({_GROWTH}) g ORDER BY date, country LIMIT 20",
+    "preview_first": f"SELECT * FROM ({_GROWTH}) g ORDER BY date, country LIMIT 25",
+    "full_refresh": f"""
+SELECT 'infects' AS name, date, country, CAST(cases AS DECIMAL(18,4)) AS first, CAST(deaths AS DECIMAL(18,4)) AS second,
+       CAST(cases_rel_diff AS DECIMAL(18,4)) AS change
+FROM ({_GROWTH_SERVED}) g
+UNION ALL
+SELECT 'dax' AS name, date, NULL AS country, open AS first, close AS second, diff AS change
+FROM ({_MARKET_SERVED}) m WHERE date <= DATE '1997-12-31'
+""",
+    "refresh_bounds": f"""
+SELECT "Date", "Share", "Open", "Close" FROM ({_PRICES}) p
+WHERE ("Date" IS NULL OR "Date" <= DATE '1996-12-31') AND "Share" IN ('1', '2', '3', '5', '8')
+""",
+    "incremental_growth": f"""
+WITH g AS ({_SPOILED_GROWTH})
+SELECT date, cases, deaths, country, continent, cases_prev, dead_prev,
+       TRY_CAST(cr AS DECIMAL(10,4)) AS cases_rel_diff, TRY_CAST(dr AS DECIMAL(10,4)) AS deaths_rel_diff
+FROM g WHERE date IS NOT NULL AND country IS NOT NULL
+""",
+    "import_cycle": f"""
+SELECT p."Date", r.r_name AS "Share", p."Open", p."Close", CASE WHEN r.r_name <> 'ASIA' THEN p."Change" END AS "Change"
+FROM ({_PRICES}) p
+JOIN supplier s ON p."Share" = CAST(s.s_suppkey AS VARCHAR)
+JOIN nation n ON s.s_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey
+WHERE r.r_name IN ('AFRICA', 'ASIA', 'EUROPE') AND p."Date" BETWEEN DATE '1995-01-01' AND DATE '1997-12-31'
+""",
 }
+ORACLE["json_documents"] = ORACLE["csv_landing_roundtrip"]
+ORACLE["incremental_rejects"] = ORACLE["growth_rejects"]
