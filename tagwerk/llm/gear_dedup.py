@@ -110,9 +110,10 @@ def repeated_passages(docs: DataFrame, rule: Chunking = Chunking(), shortest: in
     """One row per repeated passage: doc_id, start, end, n_bytes, n_chunks, first_doc_id, n_copies.
 
     A passage is a run of adjoining repeated chunks of at least ``shortest``
-    bytes together; ``first_doc_id`` is the smallest id that holds the first
-    occurrence of one of its chunks (the document itself where it repeats
-    itself) and ``n_copies`` the fewest occurrences of one of its chunks.
+    bytes together; ``first_doc_id`` is the document with the first occurrence
+    of its longest chunk, the first of these on ties (the document itself where
+    it repeats itself), and ``n_copies`` the fewest occurrences of one of its
+    chunks.
     [start, end) are places in the UTF-8 form of the text.
 
     Digests are counted with partial sums before the shuffle, and the chunks
@@ -138,7 +139,8 @@ def repeated_passages(docs: DataFrame, rule: Chunking = Chunking(), shortest: in
             .withColumn("run", F.sum("fresh").over(along.rowsBetween(Window.unboundedPreceding, 0))))
     spans = runs.groupBy("doc_id", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.countDistinct("start").alias("n_chunks"),
-        F.min("first_doc_id").alias("first_doc_id"), F.min("n").alias("n_copies"))
+        F.max_by("first_doc_id", F.struct(F.col("end") - F.col("start"), -F.col("start"))).alias("first_doc_id"),
+        F.min("n").alias("n_copies"))
     return (spans.withColumn("n_bytes", F.col("end") - F.col("start")).where(F.col("n_bytes") >= shortest)
             .select("doc_id", "start", "end", "n_bytes", "n_chunks", "first_doc_id", "n_copies"))
 

@@ -67,11 +67,11 @@ def _brute(rows, rule=G.Chunking(), shortest=96):
             continue
         n = len(seen[c])
         if run and run[0] == d and run[2] == s:
-            run = [d, run[1], e, run[3] + 1, min(run[4], first[0]), min(run[5], n)]
+            run = [d, run[1], e, run[3] + 1, max(run[4], (e - s, -s, first[0])), min(run[5], n)]
         else:
             out.append(run)
-            run = [d, s, e, 1, first[0], n]
-    return sorted((d, s, e, e - s, k, f, n) for d, s, e, k, f, n in (x for x in [*out, run] if x) if e - s >= shortest)
+            run = [d, s, e, 1, (e - s, -s, first[0]), n]
+    return sorted((d, s, e, e - s, k, f[2], n) for d, s, e, k, f, n in (x for x in [*out, run] if x) if e - s >= shortest)
 
 
 def _rows():
