@@ -7,9 +7,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.sizing import broadcast_if_bounded
-
-
 MAX_IN_LIST = 10_000  # longer value lists are joined as a small table
 
 
@@ -34,7 +31,7 @@ def exclude_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
         # NULL never matches an equi-join key
         table = df.sparkSession.createDataFrame(
             [(v,) for v in present], T.StructType([T.StructField("__x", df.schema[column].dataType)]))
-        out = df.join(broadcast_if_bounded(table.distinct()), c == F.col("__x"), "left_anti")
+        out = df.join(table, c == F.col("__x"), "left_anti")
         return out.filter(c.isNotNull()) if len(present) < len(values) else out
     keep = (c.isNull() | ~c.isin(present)) if present else F.lit(True)
     if len(present) < len(values):
@@ -52,14 +49,13 @@ def date_between(df: DataFrame, column: str, start, end=None) -> DataFrame:
     return df.filter(F.col(column).between(F.lit(start).cast("date"), hi))
 
 
-def keep_members(df: DataFrame, column: str, members, member_column: str | None = None,
-                 max_broadcast_rows: int = 100_000) -> DataFrame:
+def keep_members(df: DataFrame, column: str, members, member_column: str | None = None) -> DataFrame:
     """keep rows whose ``column`` is in ``members``.
 
     ``members`` is a Python list (an ``IN`` list up to ``MAX_IN_LIST`` values,
-    a small table beyond) or a DataFrame (a left-semi join; the member side is
-    broadcast only when it is proven to hold at most ``max_broadcast_rows``
-    rows, and joined by a shuffle otherwise).
+    a small table beyond) or a DataFrame: one left-semi join, whose member side
+    runs once; adaptive execution broadcasts it when its measured size is small
+    and splits a hot member otherwise.  Repeated members need no distinct.
     """
     if not isinstance(members, DataFrame):
         members = list(members)
@@ -71,8 +67,7 @@ def keep_members(df: DataFrame, column: str, members, member_column: str | None
             [(m,) for m in members], T.StructType([T.StructField("__m", dtype)]))
         member_column = "__m"
     mcol = member_column or column
-    right = members.select(F.col(mcol).alias("__member")).distinct()
-    right = broadcast_if_bounded(right, max_broadcast_rows)
+    right = members.select(F.col(mcol).alias("__member"))
     return df.join(right, F.col(column) == F.col("__member"), "left_semi")
 
 

@@ -61,25 +61,23 @@ def prev_day_window(df: DataFrame, entity: str, date: str, measures: Mapping[str
     day = F.unix_date(F.col(date))
     last_of_bucket = F.pmod(day + 1, F.lit(bucket_days)) == 0
     shifts = F.when(last_of_bucket, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    # rows without a key have no previous day; beside the window they cannot
-    # crowd into one of its partitions
-    complete = F.col(entity).isNotNull() & F.col(date).isNotNull()
-    types = dict(df.dtypes)
-    unkeyed = df.filter(~complete).select(
-        *[F.col(f"`{c}`") for c in df.columns], *[F.lit(None).cast(types[m]).alias(p) for m, p in measures.items()])
-    x = (df.filter(complete).withColumn("__day", day)
+    keyed = F.col(entity).isNotNull() & F.col(date).isNotNull()
+    # rows without a key have no previous day; a hash of the row as their bucket
+    # keeps them from crowding into one window partition
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    x = (df.withColumn("__day", day)
            .withColumn("__shift", F.explode(shifts))
-           .withColumn("__bucket", F.floor(F.col("__day") / bucket_days) + F.col("__shift")))
+           .withColumn("__bucket", F.when(keyed, F.floor(F.col("__day") / bucket_days) + F.col("__shift")).otherwise(spread))
+           .filter(keyed | (F.col("__shift") == 0)))
     ordered = (Window.partitionBy(F.col(entity), F.col("__bucket")).orderBy(F.col("__day")))
     prev_day = ordered.rangeBetween(-1, -1)
     same_day = ordered.rangeBetween(0, 0)
-    prevs = [F.first(F.col(m)).over(prev_day).alias(p) for m, p in measures.items()]
+    prevs = [F.when(keyed, F.first(F.col(m)).over(prev_day)).alias(p) for m, p in measures.items()]
     repeated = F.count(F.lit(1)).over(same_day) > 1
-    guard = F.when(repeated, F.raise_error(F.lit(
+    guard = F.when(keyed & repeated, F.raise_error(F.lit(
         f"prev_day_window: repeated ({entity}, {date}) key; use prev_day_join"))).alias("__guard")
     out = x.select(*[F.col(f"`{c}`") for c in df.columns], *prevs, F.col("__shift"), guard)
-    out = out.filter((F.col("__shift") == 0) & F.col("__guard").isNull()).drop("__shift", "__guard")
-    return out.unionByName(unkeyed)
+    return out.filter((F.col("__shift") == 0) & F.col("__guard").isNull()).drop("__shift", "__guard")
 
 
 def add_relative_changes(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -> DataFrame:

@@ -44,6 +44,7 @@ class RefreshConfig:
     json_multi_line: bool = False           # True: one pretty-printed document per file
     json_array_field: str | None = "records"  # None: plain records, one per line
     sep: str = ";"
+    max_columns: int = 32                   # widest header of landed CSV files
     continent: str | None = "Europe"
     method: str = "join"
     exact_scale: int | None = None          # None: double sums as in the reference
@@ -75,7 +76,8 @@ def read_inputs(spark: SparkSession, cfg: RefreshConfig, price_start: str | None
     elif cfg.infections_format == "parquet":
         raw = read_parquet_fields(spark, cfg.infections_path, INFECTIONS_FIELDS)
     else:
-        raw = read_by_header(spark, cfg.infections_path, INFECTIONS_FIELDS, sep=cfg.sep)
+        raw = read_by_header(spark, cfg.infections_path, INFECTIONS_FIELDS, sep=cfg.sep,
+                             max_columns=cfg.max_columns)
     raw = exclude_countries(raw, cfg.excluded_countries)
     start = max(filter(None, [cfg.price_start, price_start]), default=None)
     if cfg.prices_format == "parquet_by_month":
@@ -84,14 +86,16 @@ def read_inputs(spark: SparkSession, cfg: RefreshConfig, price_start: str | None
     elif cfg.prices_format == "parquet":
         prices = read_parquet_fields(spark, cfg.prices_path, PRICES_FIELDS)
     else:
-        prices = read_by_header(spark, cfg.prices_path, PRICES_FIELDS, sep=cfg.sep,
+        prices = read_by_header(spark, cfg.prices_path, PRICES_FIELDS, sep=cfg.sep, max_columns=cfg.max_columns,
                                 partition_columns=cfg.partition_columns)
     return raw, selected_prices(prices, start, cfg.price_end, cfg.symbols)
 
 
 def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
     raw, prices = read_inputs(spark, cfg)
-    growth = infection_growth(raw, cfg.continent, method=cfg.method)
+    # a plain parquet scan is cheaper to read twice than to write and read back
+    growth = infection_growth(raw, cfg.continent, method=cfg.method,
+                              checkpoint_input=cfg.infections_format != "parquet")
     market = market_result(prices, cfg.exact_scale)
     show_preview(growth, cfg.preview_rows, enabled=cfg.preview_rows > 0)
     show_preview(market, cfg.preview_rows, enabled=cfg.preview_rows > 0)

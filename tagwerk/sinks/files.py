@@ -69,17 +69,19 @@ def land_documents(df: DataFrame, path: str, array_field: str = "records",
                    records_per_document: int = 5_000) -> None:
     """JSON lines, each line one ``{array_field: [...]}`` document.
 
-    Rows are grouped into runs of at most ``records_per_document`` consecutive
-    rows of one input partition, so no document (and no group) grows with the
-    data.  This moves every row through one shuffle; it is for producing
-    document-shaped files.  To land data for later reads, ``land_records``
-    needs no shuffle.
+    Rows are dealt by their values and sorted, then cut into runs of at most
+    ``records_per_document`` rows of one partition: no document (and no group)
+    grows with the data, and a retried task cuts the same runs whatever order
+    its rows arrived in.  This moves every row through two shuffles; it is for
+    producing document-shaped files.  To land data for later reads,
+    ``land_records`` needs no shuffle.
     """
-    run = F.floor(F.monotonically_increasing_id() / F.lit(records_per_document))
     rec = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    docs = (df.groupBy(run.alias("__doc"))
-              .agg(F.collect_list(rec).alias(array_field))
-              .drop("__doc"))
+    dealt = df.select(rec.alias("__rec")).repartition("__rec").sortWithinPartitions("__rec")
+    run = F.floor(F.monotonically_increasing_id() / F.lit(records_per_document))
+    docs = (dealt.withColumn("__doc", run).groupBy("__doc")
+                 .agg(F.collect_list("__rec").alias(array_field))
+                 .drop("__doc"))
     docs.write.mode("overwrite").json(path)
 
 

@@ -1,9 +1,9 @@
 """Parquet landing read back by column name.
 
 Per-symbol parquet files may differ in their columns (a symbol without
-``Change``); ``mergeSchema`` unions the file schemas by name, so a missing
-column is NULL for that file's rows -- the parquet form of S4 + U1.  Only the
-wanted fields are selected, so the scan reads just those columns.
+``Change``); read with an explicit schema, a column that a file lacks is NULL
+for its rows -- the parquet form of S4 + U1 -- without opening every footer as
+``mergeSchema`` does.  The scan reads just the wanted columns.
 """
 
 from __future__ import annotations
@@ -12,8 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def read_parquet_fields(spark: SparkSession, path, schema: T.StructType,
-                        merge_schema: bool = True) -> DataFrame:
-    df = spark.read.option("mergeSchema", merge_schema).parquet(path)
+                        merge_schema: bool = False) -> DataFrame:
+    """The fields of ``schema`` by name.  Files whose columns have other types
+    need ``merge_schema``, which unions the file schemas and casts."""
+    if not merge_schema:
+        return spark.read.schema(schema).parquet(path).select(*[f"`{f.name}`" for f in schema.fields])
+    df = spark.read.option("mergeSchema", True).parquet(path)
     have = set(df.columns)
     return df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have
                         else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])

@@ -89,6 +89,9 @@ def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = "
     csv_opts = {"sep": sep, "quote": quote}
     parsed = (text.filter(maybe)
                   .select(F.col("_metadata.file_path").alias("__hfile"),
+                          # place of the line: scans read a block's lines in order
+                          F.struct(F.col("_metadata.file_block_start").alias("block"),
+                                   F.monotonically_increasing_id().alias("line")).alias("__place"),
                           F.from_csv(F.col("value"), cells_schema.simpleString(), csv_opts).alias("__h")))
     names = F.array(*[_no_bom(F.col(f"__h.{c}")) if i == 0 else F.col(f"__h.{c}")
                       for i, c in enumerate(cell_names)])
@@ -99,12 +102,14 @@ def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = "
     # file once here (one row per file), fail its rows below
     wanted_names = F.array(*[F.lit(f.name) for f in wanted])
     repeated = F.exists(wanted_names, lambda n: F.size(F.filter(F.col("__names"), lambda x: x == n)) > 1)
-    headers = (parsed.filter(is_header).select("__hfile", names.alias("__names"))
-                     .dropDuplicates(["__hfile"])
+    # a data line may hold the keys' names too: the first such line is the header
+    headers = (parsed.filter(is_header).select("__hfile", "__place", names.alias("__names"))
+                     .groupBy("__hfile").agg(F.min_by("__names", "__place").alias("__names"))
                      .withColumn("__repeated", repeated))
     # the header side has one row per file: broadcast it when the listing shows
     # few enough files (max_broadcast_files=0 skips the count and shuffles)
-    if max_broadcast_files > 0 and len(data.inputFiles()) <= max_broadcast_files:
+    # only the number of files is asked for; their paths stay in the JVM's listing
+    if max_broadcast_files > 0 and len(data._jdf.inputFiles()) <= max_broadcast_files:
         headers = F.broadcast(headers)
 
     joined = (data.select(F.array(*[_no_bom(F.col(c)) if i == 0 else F.col(c)

@@ -174,3 +174,18 @@ def test_hot_join_key_is_split_by_aqe_and_kept_whole(spark, capsys):
     finally:
         for k in confs:
             spark.conf.unset(k)
+
+
+def test_window_form_spreads_rows_without_a_key(spark):
+    """Half the rows without a date: no window partition holds more than a few of them."""
+    from pyspark.sql import functions as F
+    from tagwerk.operators.growth import prev_day_window
+    df = spark.range(20000).select(
+        F.lit("A").alias("country"), F.when(F.col("id") < 10000, F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int"))).alias("date"),
+        F.col("id").alias("cases"))
+    out = prev_day_window(df, "country", "date", {"cases": "cases_prev"})
+    rows = out.where("date is null")
+    assert rows.count() == 10000 and rows.where("cases_prev is not null").count() == 0
+    assert out.where("date is not null and cases_prev = cases - 1").count() == 9999
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 or spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"

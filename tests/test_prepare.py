@@ -36,14 +36,14 @@ def test_membership_list_and_frame(spark):
     assert rows(keep_members(df, "Share", ["A", "C"]), "v") == [(1,), (3,)]
     members = spark.createDataFrame([("A",), ("A",), ("B",)], "sym string")
     assert rows(keep_members(df, "Share", members, "sym"), "v") == [(1,), (2,)]
-    # beyond the broadcast bound the semi join still answers the same
-    assert rows(keep_members(df, "Share", members, "sym", max_broadcast_rows=1), "v") == [(1,), (2,)]
+    # repeated members change nothing
+    assert rows(keep_members(df, "Share", members.union(members), "sym"), "v") == [(1,), (2,)]
 
 
 def test_combine_symbols_union_by_name(spark):
     a = spark.createDataFrame([(dt.date(2020, 1, 2), 1.0, 2.0, 0.5)], "Date date, Open double, Close double, Change double")
     b = spark.createDataFrame([(dt.date(2020, 1, 2), 3.0, 4.0)], "Date date, Close double, Open double")
-    out = combine_symbols({"AAA": a, "BBB": b})
+    out = combine_symbols({"AAA": a, "BBB": b}, columns=["Date", "Share", "Open", "Close", "Change"])
     assert out.columns == ["Date", "Share", "Open", "Close", "Change"]
     got = {r.Share: (r.Open, r.Close, r.Change) for r in out.collect()}
     assert got == {"AAA": (1.0, 2.0, 0.5), "BBB": (4.0, 3.0, None)}
@@ -103,3 +103,10 @@ def test_exclusion_long_list_keeps_nulls(spark):
         assert rows(exclude_values(df, "x", ["a", "b", None])) == [("c",)]
     finally:
         filters.MAX_IN_LIST = old
+
+
+def test_price_column_in_no_frame_is_null(spark):
+    a = spark.createDataFrame([(dt.date(2020, 1, 2), 1.0)], "Date date, Open double")
+    out = combine_symbols({"AAA": a}, columns=["Date", "Share", "Open", "High"])
+    assert out.columns == ["Date", "Share", "Open", "High"] and dict(out.dtypes)["High"] == "double"
+    assert out.first().High is None

@@ -214,3 +214,19 @@ def test_hot_symbol_landing_is_split_over_files(spark, scratch):
     assert len(files) > 1      # the hot symbol is written by several tasks
     back = spark.read.option("sep", ";").option("header", True).csv(scratch)
     assert back.filter("Share = 'HOT'").count() == 40000 and back.count() == 40100
+
+
+def test_data_line_with_the_key_name_is_not_the_header(spark, scratch):
+    write_text(scratch, "k.csv", "Open;Date;Close\n1;2020-03-02;2\nClose;Date;Open\n3;2020-03-03;4\n")
+    got = {(r.Open, r.Close) for r in read_by_header(spark, scratch, PRICES).collect()}
+    assert {(1.0, 2.0), (3.0, 4.0)} <= got
+
+
+def test_parquet_files_with_differing_columns(spark, scratch):
+    from tagwerk.sources.columnar import read_parquet_fields
+    spark.createDataFrame([(1.0, 2.0)], "Open double, Close double").write.parquet(f"{scratch}/Share=A")
+    spark.createDataFrame([(3.0, 4.0, 1.0)], "Open double, Change double, Close double").write.parquet(f"{scratch}/Share=B")
+    schema = T.StructType([T.StructField("Share", T.StringType())] + [T.StructField(c, T.DoubleType()) for c in ("Open", "Close", "Change")])
+    for merge in (False, True):
+        got = sorted(map(tuple, read_parquet_fields(spark, scratch, schema, merge_schema=merge).collect()))
+        assert got == [("A", 1.0, 2.0, None), ("B", 3.0, 1.0, 4.0)]
