@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import python_path
+from .common import python_path, stored
 
 
 @dataclass(frozen=True)
@@ -127,9 +127,10 @@ def repeated_passages(docs: DataFrame, rule: Chunking = Chunking(), shortest: in
     """
     all_chunks = chunks(docs, rule)
     place = F.struct("doc_id", "start")
+    # stored, so that the join below has a plain exchange on both sides and a hot digest is split
     many = (all_chunks.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n"))
             .where("n > 1").where(~F.col("first").eqNullSafe(F.col("last"))).select("hi", "lo", "first", "n"))
-    repeats = (all_chunks.join(many, ["hi", "lo"])
+    repeats = (all_chunks.join(stored(many, "gear-digests"), ["hi", "lo"])
                .where(~F.col("first").eqNullSafe(F.struct("doc_id", "start")))
                .select("doc_id", "start", (F.col("start") + F.col("size")).alias("end"),
                        F.col("first.doc_id").alias("first_doc_id"), "n"))
