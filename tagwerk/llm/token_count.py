@@ -10,7 +10,7 @@ id is ever looked up.
 from __future__ import annotations
 
 import json
-import unicodedata
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -26,6 +26,7 @@ from .common import Remembered, byte_symbols, python_path
 WHITE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _OTHER_SEPARATORS = regex.compile("[\x1c-\x1f]")  # str.split takes these for white space, \s does not
 _WHITE = regex.compile(f"[{WHITE}]+")
+_LATIN = regex.compile("[\x21-\x7e\xa1-\u024f]+")  # no composition here, and the same letters in every Unicode version
 
 
 def merges(initial: list[str], ranks: dict[tuple[str, str], int]) -> int:
@@ -57,11 +58,19 @@ def merges(initial: list[str], ranks: dict[tuple[str, str], int]) -> int:
 class MergeCounter:
     """Counts tokens of a lower-casing, white-space-dropping word BPE file (tokenizers JSON).
 
+    Latin words are lower-cased and cut into pieces here.  Words with any other
+    character are cut by the file's own normalizer and pre-tokenizer, as tables
+    of letters and letter case differ between Unicode versions.  The merging is
+    the same for both.
+
     Counts of words and pieces are remembered, about 2 x ``remember`` of each,
     so memory stays bounded on any number of texts.
     """
 
     def __init__(self, path: str, remember: int = 400_000) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
+        from tokenizers import Tokenizer
+
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -73,25 +82,29 @@ class MergeCounter:
         if kinds != ["NFC", "Replace", "Lowercase"]:
             raise ValueError(f"{path}: normalizer {kinds} is not supported")
         split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
-        self.pieces = regex.compile(split["pattern"]["Regex"].replace(r"\s", WHITE))
+        self.pieces = regex.compile(split["pattern"]["Regex"])
+        own = Tokenizer.from_file(path)
+        self.normal, self.cut = own.normalizer.normalize_str, own.pre_tokenizer.pre_tokenize_str
         self.special = regex.compile("|".join(regex.escape(x["content"]) for x in spec["added_tokens"]) or r"(?!)")
         self.mark = [x["content"] for x in spec["added_tokens"]]
-        self.symbols = [chr(s) for s in byte_symbols()]
+        self.symbols = {b: chr(s) for b, s in enumerate(byte_symbols())}
         self.by_word = Remembered(self.word, remember)
         self.by_piece = Remembered(self.piece, remember)
 
-    def piece(self, text: str) -> int:
-        first = [self.symbols[b] for b in text.encode("utf-8")]
+    def piece(self, shown: str) -> int:
+        """Tokens of a piece, given by the stand-ins of its bytes."""
+        first = list(shown)
         first[-1] += self.suffix
         return len(first) - merges(first, self.ranks)
 
     def word(self, text: str) -> int:
-        if text.isascii() and text.isalpha():  # one piece
+        if text.isascii() and text.isalpha():  # one piece, and its own stand-ins
             return self.by_piece[text.lower()]
-        plain = unicodedata.normalize("NFC", text)
-        # letter by letter: no rule that looks at neighbours, as for a final sigma
-        plain = plain.lower() if "Σ" not in plain else "".join(c.lower() for c in plain)
-        return sum(map(self.by_piece.__getitem__, self.pieces.findall(plain)))
+        if _LATIN.fullmatch(text):
+            shown = [p.encode("utf-8").decode("latin-1").translate(self.symbols) for p in self.pieces.findall(text.lower())]
+        else:
+            shown = [p for p, _ in self.cut(self.normal(text))]
+        return sum(map(self.by_piece.__getitem__, shown))
 
     def count(self, text: str | None) -> int:
         """Tokens of a whole text; a special string in it is one token, as the library has it by default."""

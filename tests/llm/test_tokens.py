@@ -37,6 +37,13 @@ def test_ids_equal_the_library(remember):
         assert np.frombuffer(own.encode(t), own.kind).tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
+def test_letters_of_newer_unicode_versions_count_as_in_the_library():
+    own, library = token_count.MergeCounter(WORD), Tokenizer.from_file(WORD)
+    newer = [0xA7CB, 0xA7DC, 0x18D9C, 0x18E46, 0x32808, 0x32988, 0x3D85C, 0x1DF48, 0x10D50, 0x16EA0, 0x1C89]
+    texts = [f"{before}{chr(c)}{after}" for c in newer for before, after in (("", ""), ("a", "b"), ("that", "it"), ("Ä1", "́"))]
+    assert [own.count(t) for t in texts] == [len(x.ids) for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_merging_takes_the_lowest_rank_first():
     ranks = {("a", "b"): 1, ("b", "c"): 0, ("a", "bc"): 2, ("x", "x"): 3}
     assert token_count.merges(list("abc"), ranks) == 2  # bc, then a+bc
