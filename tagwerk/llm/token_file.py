@@ -12,11 +12,15 @@ shard, number of ids.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import re
+import string
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +35,7 @@ from tagwerk.session import scratch_path
 from .common import Remembered, byte_symbols, python_path, stored
 
 _WIDE_SPACE = regex.compile(r"\s\s")
-_LATIN = regex.compile("[ \n\x21-\x7e\xa1-\u024f]+")
+_LATIN = re.compile("[ \n\x21-\x7e\xa1-\u024f]+")
 #: Fixed value: the pattern by which byte-level pre-tokenizers cut a text.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 SHARD_FIELDS = "shard int, ids_path string, docs_path string, n_docs long, n_tokens long"
@@ -41,14 +45,16 @@ class Encoder:
     """Ids of whole texts by the tokenizers library, as little-endian bytes.
 
     A byte-level pre-tokenizer cuts before every single space that a visible
-    character follows, so the ids of a text are those of its space-separated
-    parts in a row.  The library's BPE model merges each part once; parts are
-    remembered, about 2 x ``remember`` of them.  Texts with two white-space
-    characters in a row, where the cuts differ, or with a special string, and
-    parts with letters beyond Latin go through the whole tokenizer instead.
+    character follows and on both sides of a single line break, so the ids of a
+    text are those of its parts in a row.  A part that is a word and marks after
+    it is the word and the marks; others are cut by the pre-tokenizer's pattern.
+    The library's BPE model merges each once; parts are remembered, about
+    2 x ``remember`` of them.  Texts with two white-space characters in a row,
+    where the cuts differ, or with a special string, and parts with letters
+    beyond Latin go through the whole tokenizer instead.
     """
 
-    def __init__(self, path: str, remember: int = 400_000) -> None:
+    def __init__(self, path: str, remember: int = 700_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
@@ -63,37 +69,43 @@ class Encoder:
         self.symbols = {b: chr(s) for b, s in enumerate(byte_symbols())}
         self.space = self.symbols[ord(" ")]
         self.parts = Remembered(self._part, remember)
-        self.pieces = Remembered(self._piece, remember)
 
     def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.kind).tobytes()
+        return pack(f"<{len(ids)}{self.kind.char}", *ids)
 
     def _ask(self, text: str) -> bytes:
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, text: str) -> bytes:
-        shown = text.encode("utf-8").decode("latin-1").translate(self.symbols)
+        if text.isascii() and text != "\n":  # visible characters are their own stand-ins
+            shown = text.replace(" ", self.space)
+        else:
+            shown = text.encode("utf-8").decode("latin-1").translate(self.symbols)
         return self._bytes([t.id for t in self.model.tokenize(shown)])
 
     def _part(self, text: str) -> bytes:
-        if text.isascii() and text[1:].isalpha() and text[0] == " ":  # one piece
-            return self._bytes([t.id for t in self.model.tokenize(self.space + text[1:])])
-        if _LATIN.fullmatch(text):
-            return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text)))
-        return self._ask(text)
+        if not _LATIN.fullmatch(text):
+            return self._ask(text)
+        word = text.rstrip(string.punctuation)
+        if word[1:].isalpha() and (word[0] == " " or word.isalpha()):
+            return self._piece(text) if word == text else self.parts[word] + self.parts[text[len(word):]]
+        pieces = _PIECES.findall(text)
+        return self._piece(text) if len(pieces) == 1 else b"".join(map(self.parts.__getitem__, pieces))
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.by_parts or _WIDE_SPACE.search(text) or text[0].isspace() or text[-1].isspace() or any(s in text for s in self.special):
             return self._ask(text)
-        return b"".join(map(self.parts.__getitem__, text.replace(" ", "\0 ").split("\0"))) if "\0" not in text else self._ask(text)
+        return b"".join(map(self.parts.__getitem__, text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0"))) if "\0" not in text else self._ask(text)
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder for each worker process and file."""
-    return Encoder(path)
+    own = Encoder(path)
+    gc.freeze()  # its tables hold no cycles and stay as long as the worker: no need to walk them again and again
+    return own
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
