@@ -40,6 +40,8 @@ OUTSIDE_NAMES = re.compile(
     r"overlay|newsletter|subscri\w+|signup|login|menus?|nav|navbar|navigation|breadcrumbs?|pagination|pager|sidebars?|side-?bar|aside|"
     r"footers?|headers?|masthead|topbar|toolbar|comments?|disqus|replies|respond|share|sharing|social|related|recommend\w*|widgets?|"
     r"skip|hidden|form)(?:$|[\s_-])", re.IGNORECASE)
+#: Names that say what a wrapper has beside its content ("has-sidebar"), not what it is.
+LAYOUT_NAMES = re.compile(r"(?<![\w-])(?:with|without|has|no|not)[_-][\w-]+", re.IGNORECASE)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|"
                    r"<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.DOTALL)
@@ -107,7 +109,7 @@ class Page:
         if re.search(r"display\s*:\s*none", a.get("style", ""), re.IGNORECASE):
             return True
         names = f"{a.get('class', '')} {a.get('id', '')}"
-        return tag not in ("article", "main") and OUTSIDE_NAMES.search(names) is not None
+        return tag not in ("article", "main") and OUTSIDE_NAMES.search(LAYOUT_NAMES.sub(" ", names)) is not None
 
     def _close(self, stack: list[int], tags: set[str]) -> None:
         """End the nearest open element of ``tags``, if no container lies between."""

@@ -15,6 +15,8 @@ CASES = {
     "unclosed": (page(f"<article><h1>Head</h1><p><b>Bold<br><p>{LONG}</p><p>End.</article><footer>x"), f"Head Bold {LONG.strip()} End."),
     "container": (page(f"<div id='sidebar'><p>{LONG}</p></div><div id='content'><p>{LONG}</p><p>{LONG}</p></div>"
                        f"<div class='comments'><p>{LONG * 9}</p></div>"), f"{LONG.strip()} {LONG.strip()}"),
+    "names of the layout": (page(f"<div class='page has-sidebar no_comments'><div id='with-menu'><p>{LONG}</p><p>{LONG}</p></div>"
+                                 f"<div class='no-print left-sidebar'><p>{LONG}</p></div></div>"), f"{LONG.strip()} {LONG.strip()}"),
     "menu without a name": (page(f"<div><ul><li><a href='a'>One</a></li><li><a href='b'>Two</a></li></ul></div><div><p>{LONG}</p><p>{LONG}"
                                  "See <a href='c'>this</a>.</p></div>"), f"{LONG.strip()} {LONG}See this."),
     "sections": (page(f"<article><section><p>{LONG * 3}</p></section><section><h2>Two</h2><p>Tiny.</p></section></article>"),
