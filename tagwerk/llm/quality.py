@@ -4,14 +4,15 @@ The model gives every document a strength w . x of its features.  It is learnt
 from preference pairs (a document of label 1 beats one of label 0) by logistic
 loss on the difference of their features.  A difference says nothing about
 where good ends and bad begins, so the threshold is a quantile of the strengths
-of the labelled documents: the share of label 0 among them.
+of all labelled documents: the share of label 0 among them.  The weights are
+learnt on a bounded sample, the threshold is not.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import python_path
+from .common import python_path, stored
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 FEATURES = ["words", "letters_per_word", "upper", "digits", "beyond_ascii", "controls", "new_words",
@@ -57,9 +58,11 @@ class Ranking:
     threshold: float
     cut: float
 
+    def strength(self, x: np.ndarray) -> np.ndarray:
+        return ((x - np.array(self.mean)) / np.array(self.scale) * np.array(self.weights)).sum(axis=1)
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        strength = ((x - np.array(self.mean)) / np.array(self.scale) * np.array(self.weights)).sum(axis=1)
-        up = np.clip(strength - self.threshold + np.log(self.cut / (1 - self.cut)), -30, 30)
+        up = np.clip(self.strength(x) - self.threshold + np.log(self.cut / (1 - self.cut)), -30, 30)
         return 1 / (1 + np.exp(-up))
 
 
@@ -94,13 +97,70 @@ def fit_ranking(x: np.ndarray, label: np.ndarray, cut: float = 0.7, pairs: int =
     return Ranking(tuple(mean), tuple(scale), tuple(w), float(threshold), cut)
 
 
+def _places(strength: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of the strengths, one for each double."""
+    bits = (strength + 0.0).view(np.int64)  # + 0.0: both zeros are one
+    return np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits)
+
+
+def _strength_at(place: int) -> float:
+    """The strength that ``_places`` gave this number."""
+    return float(np.array([place if place >= 0 else place ^ (2**63 - 1)], np.int64).view(np.float64)[0])
+
+
+def _nth_smallest(places: DataFrame, n: int) -> int:
+    """The ``n``-th smallest (from 1) of the column ``place``, exactly.
+
+    Four rounds of 16 bits from the top: each counts the rows by their next
+    bits among those that agree with the bits found so far.  Rows are counted
+    in partial sums; the driver sees at most 65,536 counts a round.
+    """
+    found = 0
+    for shift in (48, 32, 16, 0):
+        top = F.shiftright("place", shift)
+        agree = places if shift == 48 else places.where(F.shiftright("place", shift + 16) == F.lit(found))
+        for value, rows in sorted(map(tuple, agree.groupBy(top.alias("top")).count().collect())):
+            if n <= rows:
+                found = value
+                break
+            n -= rows
+    return found
+
+
+def threshold_of(docs: DataFrame, known: DataFrame, ranking: Ranking) -> float:
+    """The strength between the documents of ``known`` that are to be rejected, as many as have label 0, and the rest.
+
+    ``known``: one row of doc_id, quality per id.  Texts become numbers where
+    they are read; ids and numbers alone are joined with the labels, and the
+    quantile is exact over all of them.  Of documents that share an id the one
+    of least strength counts.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([features(t.as_py()) for t in batch.column(1)]).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_places(ranking.strength(x)))], names=["doc_id", "place"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    placed = texts.where("doc_id is not null").mapInArrow(run, "doc_id long, place long")
+    least = placed.groupBy("doc_id").agg(F.min("place").alias("place"))
+    places = stored(least.join(known.select("doc_id", "quality"), "doc_id").select("place", "quality"), "quality-places")
+    low = places.where("quality = 0").count()
+    last = _nth_smallest(places, low)
+    after = places.agg(F.count(F.when(F.col("place") <= last, 1)).alias("upto"),
+                       F.min(F.when(F.col("place") > last, F.col("place"))).alias("next")).first()
+    first = after["next"] if after["upto"] == low else last
+    return (_strength_at(last) + _strength_at(first)) / 2
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = 4000, cut: float = 0.7) -> Ranking:
     """Fit on at most ``sample`` labelled documents of each class, those of smallest hash of their id.
 
     ``labels``: doc_id, quality.  The bound keeps the fit, which runs on the
-    driver, at the same few megabytes for any corpus.  Rows without id or
-    label teach nothing; an id with contradicting labels counts as label 0; of
-    documents that share an id one is used.
+    driver, at the same few megabytes for any corpus.  It cuts the classes one
+    by one, so the sample does not have their shares: the threshold is taken
+    from all labelled documents afterwards.  Rows without id or label teach
+    nothing; an id with contradicting labels counts as label 0; of documents
+    that share an id one is used.
     """
     python_path(docs.sparkSession)
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
@@ -123,7 +183,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 4000, cut: float = 0
     rows = chosen.select("doc_id", "quality", "text").mapInArrow(run, "doc_id long, quality int, x array<double>")
     got = rows.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("x").alias("x")).orderBy("doc_id").collect()
     x = np.array([r.x for r in got]).reshape(-1, len(FEATURES))
-    return fit_ranking(x, np.array([r.quality for r in got]), cut)
+    ranking = fit_ranking(x, np.array([r.quality for r in got]), cut)
+    if len({r.quality for r in got}) < 2:
+        return ranking
+    return replace(ranking, threshold=threshold_of(docs, known, ranking))
 
 
 def score(docs: DataFrame, ranking: Ranking) -> DataFrame:

@@ -85,6 +85,48 @@ def test_sample_is_bounded_and_odd_rows_are_scored(spark):
     assert quality.score(documents(spark, []), a).collect() == []
 
 
+def _strengths(ranking, rows):
+    return np.sort(ranking.strength(np.array([quality.features(t) for _, t in rows])))
+
+
+@pytest.mark.parametrize("sample", [20, 150, 4000])
+def test_the_threshold_is_that_of_all_labels_for_any_sample(spark, sample):
+    """A sample of less than a class does not have the shares of the labels; the threshold has them."""
+    rng = random.Random(11)
+    rows = [(i, words(rng, rng.randrange(3, 200)) + ".") if i % 7 else (i, _junk(rng, rng.randrange(4))) for i in range(1400)]
+    labels = [(i, int(i % 7 > 0)) for i, _ in rows]
+    docs, lab = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")
+    ranking = quality.learn(docs.repartition(5), lab, sample=sample)
+    strength, low = _strengths(ranking, rows), 200
+    assert ranking.threshold == (strength[low - 1] + strength[low]) / 2
+    assert sum(r.quality_score < 0.7 for r in quality.score(docs, ranking).collect()) == low
+
+
+def test_the_threshold_of_equal_strengths_and_odd_labels(spark):
+    """Texts that repeat, ids of one or two labels or without a document, rows without an id."""
+    rng = random.Random(12)
+    same = words(rng, 30) + "."
+    rows = [(i, same if i % 3 else "$$$ " * (3 + i % 5)) for i in range(300)] + [(None, same), (1000, None), (1001, "")]
+    labels = [(i, int(i % 3 > 0)) for i in range(0, 300, 2)] + [(4, 0), (None, 0), (7777, 0), (1000, 0), (1001, 0), (9, None), (11, 5)]
+    docs, lab = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")
+    ranking = quality.learn(docs, lab, sample=10)
+    used = [(i, t) for i, t in rows if i in {d for d, q in labels if q in (0, 1)}]
+    low = len({d for d, q in labels if q == 0} & {i for i, _ in used if i is not None})
+    strength = _strengths(ranking, used)
+    assert strength[low - 1] == strength[low] == ranking.threshold
+
+
+def test_places_are_in_the_order_of_the_strengths(spark):
+    rng = np.random.default_rng(4)
+    some = np.concatenate([rng.normal(0, 10.0**k, 40) for k in range(-300, 300, 60)] + [[0.0, -0.0, 1.0, 1.0, -1.0, 5e-324, -5e-324]])
+    places = quality._places(some)
+    assert np.array_equal(np.sort(some), some[np.argsort(places, kind="stable")]) and places.dtype == np.int64
+    assert all(quality._strength_at(int(p)) == s for p, s in zip(places, some, strict=True))
+    table = spark.createDataFrame([(int(p),) for p in places], "place long")
+    for n in (1, 2, 57, len(some) // 2, len(some)):
+        assert quality._nth_smallest(table, n) == np.sort(places)[n - 1]
+
+
 # ---- mixing
 
 def _shares(sizes, weights=(5, 2, 1), most=3):
