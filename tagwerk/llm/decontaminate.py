@@ -1,13 +1,17 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
-Benchmark items are cut into overlapping *segments* of ``length`` characters.
+Every place of a benchmark item starts a *segment* of ``length`` characters
+(the last one ends with the item).  Segments of neighbouring starts share one
+entry of the index, a *stretch*, whose q-grams are those of all of them.
 If a region of a document is within ``budget`` edits of a segment, the two
 share at least ``length + 1 - q * (budget + 1)`` q-grams whose diagonals
 (document place less segment place) differ by at most ``budget`` (q-gram
 lemma).  Shared q-grams are therefore counted in diagonal bands; bands overlap
 by half, so any ``budget + 1`` neighbouring diagonals lie together in one.
 Bands that reach the bound are aligned by banded edit distance, and only
-regions within the budget are reported.
+regions within the budget are reported.  The first segment of a stretch and the
+last of an item are aligned first; the others are where these fail and the
+characters that all of them hold are found within the budget.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from .common import python_path
 HASH = np.uint64(0x9E3779B97F4A7C15)  # an odd multiplier
 BITS = 20                              # of the tables that screen q-grams and bands
 Q = 8                                  # a q-gram of one-byte characters fills one 64-bit word
+TOGETHER = 32                          # segments that start within so many characters are one stretch
 
 
 def plain(text: str) -> np.ndarray:
@@ -45,10 +50,10 @@ def _grams(codes: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Limits:
-    """``length`` of a segment, ``stride`` between segments, share of edits in ``rate``."""
+    """``length`` of a segment, ``stride`` between their starts, share of edits in ``rate``."""
 
     length: int = 64
-    stride: int = 32
+    stride: int = 32  # 1: every excerpt of ``length`` characters is a segment
     rate: float = 0.1
 
     def budget(self, n: int) -> int:
@@ -56,36 +61,44 @@ class Limits:
         return max(0, min(int(n * self.rate), (n - 1) // Q - 1))
 
 
+EVERY = Limits(stride=1)
+
+
 class Benchmark:
-    """The segments of a block of benchmark items and an index of their q-grams.
+    """The stretches of a block of benchmark items and an index of their q-grams.
 
-    Of each segment the q-grams that most segments hold are left out of the
+    Of each stretch the q-grams that most stretches hold are left out of the
     index, ``spare`` of them at most, and its bound is lowered by as many: the
     lemma still holds, and common phrases cost little.
     """
 
     def __init__(self, items: list[tuple[int, str]], limits: Limits, spare: int = 3) -> None:
-        self.limits, self.segments = limits, []
+        self.limits, self.width = limits, limits.length + TOGETHER
+        self.stretches: list[tuple[int, int, np.ndarray, np.ndarray, int]] = []  # item, start, text, segments in it, last of the item
         for item, text in items:
             codes = plain(text)
             n = len(codes)
             if n < 2 * Q or not (codes != 32).any():
                 continue  # too short to tell from chance
             last = max(0, n - limits.length)
-            for start in sorted({*range(0, last, limits.stride), last}):
-                self.segments.append((item, start, codes[start:start + limits.length]))
-        grams = [_grams(codes) for _, _, codes in self.segments]
+            starts = [*range(0, last, limits.stride), last]
+            while starts:
+                own = [x - starts[0] for x in starts[:TOGETHER] if x - starts[0] < TOGETHER]
+                stretch = codes[starts[0]:starts[0] + own[-1] + limits.length]
+                self.stretches.append((item, starts[0], stretch, np.array(own, np.int32), last - starts[0]))
+                starts = starts[len(own):]
+        grams = [_grams(x[2]) for x in self.stretches]
         size = np.array([len(g) for g in grams], dtype=np.int64)
         key = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         segment = np.repeat(np.arange(len(grams)), size)
         place = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
-        self.lengths = np.array([len(c) for _, _, c in self.segments], dtype=np.int64)
-        self.budgets = np.array([limits.budget(n) for n in self.lengths], dtype=np.int64)
-        self.bounds = self.lengths + 1 - Q * (self.budgets + 1)
+        self.lengths = np.array([min(len(x[2]), limits.length) for x in self.stretches], dtype=np.int64)  # of a segment
+        self.edits = np.array([limits.budget(n) for n in self.lengths], dtype=np.int64)  # allowed in a segment
+        self.bounds = self.lengths + 1 - Q * (self.edits + 1)
         _, which, often = np.unique(key, return_inverse=True, return_counts=True)
         by_common = np.lexsort((place, -often[which], segment))
         rank = np.empty(len(key), np.int64)
-        rank[by_common] = place  # the k-th most common gram of its segment has rank k
+        rank[by_common] = place  # the k-th most common gram of its stretch has rank k
         room = np.clip(self.bounds - 2, 0, spare)
         kept = rank >= room[segment]
         self.bounds = self.bounds - room
@@ -97,8 +110,19 @@ class Benchmark:
         self.seen = np.zeros(1 << BITS, bool)
         self.seen[(self.key * HASH) >> np.uint64(64 - BITS)] = True
 
+    @property
+    def segments(self) -> list[tuple[int, int, np.ndarray]]:
+        """(item, start, text) of every segment."""
+        return [(item, start + int(x), codes[x:x + self.limits.length])
+                for item, start, codes, own, _ in self.stretches for x in own]
+
+    @property
+    def budgets(self) -> np.ndarray:
+        """Edits allowed in every segment."""
+        return np.repeat(self.edits, [len(x[3]) for x in self.stretches])
+
     def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in the text, segment, place in the segment) of all shared q-grams of the index."""
+        """(place in the text, stretch, place in the stretch) of all shared q-grams of the index."""
         grams = _grams(codes)
         at = np.flatnonzero(self.seen[(grams * HASH) >> np.uint64(64 - BITS)])
         k = np.minimum(np.searchsorted(self.key, grams[at]), len(self.key) - 1)
@@ -109,46 +133,92 @@ class Benchmark:
         return np.repeat(at, n), self.segment[entry], self.place[entry]
 
     def bands(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(segment, lowest diagonal) of the bands in which enough q-grams of the segment are shared."""
+        """(stretch, lowest diagonal) of the bands in which enough q-grams of the stretch are shared."""
         if not len(self.key) or len(codes) < Q:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         at, segment, place = self.hits(codes)
-        half = self.budgets[segment] + 1
-        diagonal = at - place + 2 * self.limits.length  # never negative
+        half = self.edits[segment] + 1
+        diagonal = at - place + 2 * self.width  # never negative
         found = []
         for shift in (0, 1):
             band = (diagonal + shift * half) // (2 * half)
-            both = band * len(self.segments) + segment
+            both = band * len(self.stretches) + segment
             # counts by a hash are never below the true ones, so this screen loses nothing
             bucket = ((both.astype(np.uint64) * HASH) >> np.uint64(64 - BITS)).astype(np.int64)
             likely = np.bincount(bucket, minlength=1 << BITS)[bucket] >= self.bounds[segment]
-            # each q-gram of the segment counts once in a band
-            shared = np.unique(both[likely] * self.limits.length + place[likely]) // self.limits.length
+            # each q-gram of the stretch counts once in a band
+            shared = np.unique(both[likely] * self.width + place[likely]) // self.width
             ids, count = np.unique(shared, return_counts=True)
-            s = ids % len(self.segments)
+            s = ids % len(self.stretches)
             enough = count >= self.bounds[s]
-            s, b = s[enough], ids[enough] // len(self.segments)
-            half_s = self.budgets[s] + 1
-            found.append((s, b * 2 * half_s - shift * half_s - 2 * self.limits.length))
+            s, b = s[enough], ids[enough] // len(self.stretches)
+            half_s = self.edits[s] + 1
+            found.append((s, b * 2 * half_s - shift * half_s - 2 * self.width))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
+    def verify(self, codes: np.ndarray, ends: np.ndarray, sizes: np.ndarray, stretch: np.ndarray, low: np.ndarray,
+               offset: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int, int, int]]]:
+        """Which segments (by stretch and offset in it) are within their budget, and their regions as ``matches`` gives them."""
+        good, out = np.zeros(len(stretch), bool), []
+        for i in range(0, len(stretch), 4096):
+            s, x = stretch[i:i + 4096], offset[i:i + 4096]
+            d = low[i:i + 4096] + x
+            # the text in which the middle of the region lies
+            middle = d + self.edits[s] + self.lengths[s] // 2
+            own = np.minimum(np.searchsorted(ends, middle), len(ends) - 1)
+            begins = ends[own] - sizes[own]
+            edits, start, end = align([self.stretches[k][2][a:a + n] for k, a, n in zip(s, x, self.lengths[s], strict=True)],
+                                      codes, d, self.edits[s], begins, ends[own])
+            good[i:i + 4096] = edits <= self.edits[s]
+            for k in np.flatnonzero(edits <= self.edits[s]):
+                item, first = self.stretches[s[k]][:2]
+                out.append((int(own[k]), item, first + int(x[k]), int(start[k] - begins[k]), int(end[k] - begins[k]), int(edits[k])))
+        return good, out
+
+    def _possible(self, codes: np.ndarray, stretch: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """False where the characters that all segments of a stretch hold are not within the budget, so no segment is."""
+        out = np.zeros(len(stretch), bool)
+        for i in range(0, len(stretch), 4096):
+            s = stretch[i:i + 4096]
+            begin = np.array([self.stretches[k][3][-1] for k in s], np.int64)
+            shared = [self.stretches[k][2][a:n] for k, a, n in zip(s, begin, self.lengths[s], strict=True)]
+            zero = np.zeros(len(s), np.int64)
+            edits, _, _ = align(shared, codes, low[i:i + 4096] + begin, self.edits[s], zero, zero + len(codes))
+            out[i:i + 4096] = edits <= self.edits[s]
+        return out
+
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int, int]]:
-        """(text, item, start in the item, start, end, edits) of the verified regions of ``texts``."""
+        """(text, item, start in the item, start, end, edits) of the verified regions of ``texts``.
+
+        The first segments of stretches and the last of items each give their
+        row; another segment gives one only where no row of its item overlaps.
+        """
         codes = plain("\n".join(texts))
-        ends = np.cumsum([len(t) + 1 for t in texts]) - 1  # a text ends before its separator
-        segment, low = self.bands(codes)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(sizes + 1) - 1  # a text ends before its separator
+        stretch, low = self.bands(codes)
+        ahead = [(k, x) for k, s in enumerate(stretch) for x in sorted({0, *{self.stretches[s][4]} & set(self.stretches[s][3].tolist())})]
+        k, x = np.array(ahead, np.int64).reshape(-1, 2).T
+        good, rows = self.verify(codes, ends, sizes, stretch[k], low[k], x)
         out = {}
-        for i in range(0, len(segment), 4096):
-            s, d = segment[i:i + 4096], low[i:i + 4096]
-            # the text in which the middle of the region lies
-            middle = d + self.budgets[s] + self.lengths[s] // 2
-            own = np.minimum(np.searchsorted(ends, middle), len(texts) - 1)
-            begins = ends[own] - np.array([len(texts[k]) for k in own])
-            edits, start, end = align([self.segments[k][2] for k in s], codes, d, self.budgets[s], begins, ends[own])
-            for k in np.flatnonzero(edits <= self.budgets[s]):
-                item, begin, _ = self.segments[s[k]]
-                place = (int(own[k]), item, begin, int(start[k] - begins[k]), int(end[k] - begins[k]))
-                out[place] = min(int(edits[k]), out.get(place, 1 << 30))
+        for *place, edits in rows:
+            out[tuple(place)] = min(edits, out.get(tuple(place), 1 << 30))
+        left = np.array([len(self.stretches[s][3]) for s in stretch], np.int64) > np.bincount(k, minlength=len(stretch))
+        left[k[good]] = False
+        left = np.flatnonzero(left)
+        left = left[self._possible(codes, stretch[left], low[left])]
+        taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for text, item, _, start, end in out:
+            taken.setdefault((text, item), []).append((start, end))
+        inner = [(k, x) for k in left for x in self.stretches[stretch[k]][3]]
+        k, x = np.array(inner, np.int64).reshape(-1, 2).T
+        _, rows = self.verify(codes, ends, sizes, stretch[k], low[k], x)
+        for *place, edits in sorted(rows, key=lambda r: (r[5], r)):
+            text, item, _, start, end = place
+            ranges = taken.setdefault((text, item), [])
+            if all(end <= a or b <= start for a, b in ranges):
+                ranges.append((start, end))
+                out[tuple(place)] = edits
         return [(*place, edits) for place, edits in sorted(out.items())]
 
 
@@ -223,7 +293,7 @@ def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]
         yield block
 
 
-def contaminated_regions(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits(),
+def contaminated_regions(docs: DataFrame, benchmark: DataFrame, limits: Limits = EVERY,
                          block_chars: int = 2_000_000) -> DataFrame:
     """One row per verified region: doc_id, item_id, item_start, start, end, edits.
 
@@ -259,14 +329,14 @@ def contaminated_regions(docs: DataFrame, benchmark: DataFrame, limits: Limits =
     return found if found is not None else spark.createDataFrame([], schema)
 
 
-def contaminated_documents(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def contaminated_documents(docs: DataFrame, benchmark: DataFrame, limits: Limits = EVERY) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, n_regions, start, end, least_edits."""
     return (contaminated_regions(docs, benchmark, limits).groupBy("doc_id", "item_id")
             .agg(F.count(F.lit(1)).alias("n_regions"), F.min("start").alias("start"), F.max("end").alias("end"),
                  F.min("edits").alias("least_edits")))
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, limits: Limits = EVERY) -> DataFrame:
     """``docs`` without the documents in which a region of an item was verified."""
     marked = contaminated_regions(docs, benchmark, limits).where("doc_id is not null").select("doc_id").distinct()
     return docs.join(marked, "doc_id", "left_anti").select(*docs.columns)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from tagwerk.llm import decontaminate as D
 
@@ -66,6 +67,45 @@ def test_regions_equal_brute_force():
     assert got == want and any(want) and not all(want)
 
 
+def test_every_middle_excerpt_is_found_once():
+    """Exact excerpts of 64 to 96 characters from every place, alone, at a text's ends and between others."""
+    rng = random.Random(15)
+    items = [(i, words(rng, 60)) for i in range(3)]
+    passage = items[1][1][:290]
+    index = D.Benchmark([(0, items[0][1]), (1, passage), (2, items[2][1])], D.EVERY)
+    for n in (64, 70, 80, 96):
+        starts = range(0, len(passage) - n + 1, 1 if n == 64 else 5)
+        texts = []
+        for k, at in enumerate(starts):
+            host = [words(rng, 12), words(rng, 12)]
+            host[0] = "" if k % 4 == 1 else host[0] + "\t"
+            host[1] = "" if k % 4 == 2 else " " + host[1]
+            texts.append(host[0] + passage[at:at + n].upper() + host[1])
+        got = index.matches(texts)
+        assert {(k, item) for k, item, *_ in got} == {(k, 1) for k in range(len(texts))}
+        for k, _, begin, start, end, edits in got:
+            assert texts[k][start:end].lower().split() and abs(end - start - 64) <= 6 and edits <= 6 and begin <= len(passage) - 64
+        ahead = {*range(0, len(passage), 32), len(passage) - 64}
+        inner = [k for k, _, begin, *_ in got if begin not in ahead]
+        assert len(set(inner)) == len(inner) > 0 or n > 90
+        assert not set(inner) & {k for k, _, begin, *_ in got if begin in ahead}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_edited_middle_excerpts_equal_brute_force(seed):
+    rng = random.Random(seed)
+    items = [(i, words(rng, 26, 50)[:110 + i]) for i in range(2)]
+    texts = []
+    for k in range(12):
+        item, passage = items[k % 2]
+        begin = rng.randrange(len(passage) - 64)
+        texts.append(words(rng, 3, 50) + " " + _edit(rng, passage[begin:begin + rng.randrange(60, 76)], rng.randrange(2, 9)) + " " + words(rng, 3, 50))
+    got = [set() for _ in texts]
+    for k, item, *_ in D.Benchmark(items, D.EVERY).matches(texts):
+        got[k].add(item)
+    assert got == [_brute(t, items, D.EVERY) for t in texts] and any(got) and not all(got)
+
+
 def test_common_grams_left_out_lose_nothing():
     rng = random.Random(8)
     items = [(i, "the common phrase of all items " + words(rng, 15)) for i in range(20)]
