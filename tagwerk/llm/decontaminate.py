@@ -62,6 +62,7 @@ class Limits:
 
 
 EVERY = Limits(stride=1)
+BLOCK_CHARS = 2_000_000  # of the benchmark that are sent to the executors at once
 
 
 class Benchmark:
@@ -213,13 +214,19 @@ class Benchmark:
         inner = [(k, x) for k in left for x in self.stretches[stretch[k]][3]]
         k, x = np.array(inner, np.int64).reshape(-1, 2).T
         _, rows = self.verify(codes, ends, sizes, stretch[k], low[k], x)
-        for *place, edits in sorted(rows, key=lambda r: (r[5], r)):
+        for *place, edits in sorted(rows, key=lambda r: (r[5], _named_last((r,)))):
             text, item, _, start, end = place
             ranges = taken.setdefault((text, item), [])
             if all(end <= a or b <= start for a, b in ranges):
                 ranges.append((start, end))
                 out[tuple(place)] = edits
-        return [(*place, edits) for place, edits in sorted(out.items())]
+        return [(*place, edits) for place, edits in sorted(out.items(), key=_named_last)]
+
+
+def _named_last(row: tuple) -> tuple:
+    """A sort key of a row that starts with (text, item, ...); no item comes first."""
+    text, item, *rest = row[0]
+    return text, item is not None, item or 0, *rest
 
 
 def align(segments: list[np.ndarray], codes: np.ndarray, low: np.ndarray, budget: np.ndarray,
@@ -282,7 +289,7 @@ def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]
     """The items in blocks of at most ``chars`` characters (or one longer item), one block in memory at a time."""
     block, used = [], 0
     rows = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-            .where("item_id is not null and text is not null").orderBy("item_id", "text"))
+            .where("text is not null").orderBy("item_id", "text"))
     for row in rows.toLocalIterator():
         if block and used + len(row.text) > chars:
             yield block
@@ -294,15 +301,16 @@ def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]
 
 
 def contaminated_regions(docs: DataFrame, benchmark: DataFrame, limits: Limits = EVERY,
-                         block_chars: int = 2_000_000) -> DataFrame:
+                         block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per verified region: doc_id, item_id, item_start, start, end, edits.
 
     The query set is the benchmark, searched against all documents; it is sent
     to the executors in blocks of at most ``block_chars`` characters, so what is
     broadcast is bounded however large the benchmark is.  Places are in
     characters of the original texts.  Null and empty texts match nothing, an
-    empty benchmark or table gives no rows, a benchmark item of under 16
-    characters is not searched, items and documents that repeat each give their
+    empty benchmark or table gives no rows, benchmark items without an id are
+    searched under a null item_id, a benchmark item of under 16 characters is
+    not searched, items and documents that repeat each give their
     rows, and columns besides ids and texts are not read.
     """
     spark = docs.sparkSession
@@ -337,6 +345,26 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, limits: Limits
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, limits: Limits = EVERY) -> DataFrame:
-    """``docs`` without the documents in which a region of an item was verified."""
-    marked = contaminated_regions(docs, benchmark, limits).where("doc_id is not null").select("doc_id").distinct()
-    return docs.join(marked, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows in whose text a region of an item was verified.
+
+    Each row is decided by its own text, whatever its doc_id; no shuffle.
+    """
+    spark = docs.sparkSession
+    python_path(spark)
+    for block in _blocks(benchmark, BLOCK_CHARS):
+        docs = docs.where(_clean(spark.sparkContext.broadcast(Benchmark(block, limits)))(F.col("text").cast("string")))
+    return docs
+
+
+def _clean(held):  # noqa: ANN001, ANN202
+    """A function of texts that is false where an item of the broadcast block ``held`` is found."""
+
+    @F.pandas_udf("boolean")
+    def clean(texts):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        of = [t or "" for t in texts]
+        found = {part.start + k for part in parts(of) for k, *_ in held.value.matches(of[part])}
+        return pd.Series([k not in found for k in range(len(of))], dtype=bool)
+
+    return clean

@@ -66,16 +66,19 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): fingerprint of every whole text as a signed long.  Null texts count as empty."""
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, columns: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): fingerprint of every whole text as a signed long, and ``columns`` as they are.  Null texts count as empty."""
     python_path(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64)), *batch.columns[2:]],
+                                             names=["doc_id", "fp", *columns])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    more = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in columns)
+    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *columns)
+            .mapInArrow(run, "doc_id long, fp long" + more))
 
 
 @lru_cache(maxsize=1)
@@ -192,6 +195,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, threshold: int = 2, seed:
     """
     prints = stored(fingerprints(docs, shingle, seed), "simhash-fp")
     classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
+    return prints.join(_named(classes, threshold), "fp").select("doc_id", "fp", "component_id")
+
+
+def _named(classes: DataFrame, threshold: int) -> DataFrame:
+    """(fp, component_id): the smallest ``first_id`` in the component of each class (fp, first_id)."""
     links = near_links(classes, threshold)
     joined = connected_components(links.select("u", "v"))
     # components of fingerprints, named by their smallest doc_id
@@ -199,25 +207,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, threshold: int = 2, seed:
     names = named.groupBy("component").agg(F.min("first_id").alias("name"))
     linked = named.join(names, "component").select(F.col("node").alias("fp"), "name")
     # stored, so that the last join has a plain exchange on both sides and a hot fingerprint is split
-    labelled = stored(classes.join(linked, "fp", "left")
-                      .select("fp", F.coalesce("name", "first_id").alias("component_id")), "simhash-names")
-    return prints.join(labelled, "fp").select("doc_id", "fp", "component_id")
+    return stored(classes.join(linked, "fp", "left")
+                  .select("fp", F.coalesce("name", "first_id").alias("component_id")), "simhash-names")
 
 
 def keep_first(docs: DataFrame, shingle: int = 3, threshold: int = 2) -> DataFrame:
-    """``docs`` without the near copies: of each component the row of the smallest doc_id stays.
+    """``docs`` without the near copies: of each component one row stays, that of the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays (the smallest text); rows without a
-    doc_id stay, as nothing names them.  Columns are those of ``docs``.
+    Rows, not ids, are decided: each has a key of its doc_id and a 128-bit hash
+    of all its columns, so different rows may share an id, and rows without an
+    id come after all others.  Of rows that share a doc_id in one component the
+    one of the smallest hash stays, of rows that repeat in full one.  Columns
+    are those of ``docs``.
     """
-    kept = (near_duplicates(docs.select("doc_id", "text"), shingle, threshold)
-            .where("doc_id = component_id").select("doc_id").distinct())
-    named = docs.where("doc_id is not null")
-    again = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    single = named.join(again, "doc_id", "left_anti")
-    others = [c for c in docs.columns if c != "doc_id"]
-    first = (named.join(again, "doc_id", "left_semi").groupBy("doc_id")
-             .agg(F.min(F.struct(*[F.col(c) for c in ["text", *[c for c in others if c != "text"]]])).alias("r"))
-             .select("doc_id", "r.*"))
-    rows = single.select(*docs.columns).unionByName(first.select(*docs.columns))
-    return rows.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    key = ("_unnamed", "_id", "_hash1", "_hash2")
+    whole = [x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))]
+    docs_id = F.col("doc_id").cast("long")
+    keyed = docs.select(*docs.columns, docs_id.isNull().alias("_unnamed"), F.coalesce(docs_id, F.lit(0)).alias("_id"),
+                        F.xxhash64(*whole).alias("_hash1"), F.xxhash64(F.lit(1), *whole).alias("_hash2"))
+    prints = stored(fingerprints(keyed, shingle, columns=key), "simhash-fp")
+    classes = stored(prints.groupBy("fp").agg(F.min(F.struct(*key)).alias("first_id")), "simhash-classes")
+    kept = stored(_named(classes, threshold).select("component_id").distinct().select("component_id.*"), "simhash-kept")
+    again = prints.groupBy(*key).count().where("count > 1").select(*key)
+    single = keyed.join(kept.join(again, list(key), "left_anti"), list(key), "left_semi")
+    # rows that repeat in full
+    repeated = keyed.join(kept.join(again, list(key), "left_semi"), list(key), "left_semi").dropDuplicates(list(key))
+    return single.unionByName(repeated).select(*docs.columns)

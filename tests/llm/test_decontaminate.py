@@ -132,6 +132,18 @@ def test_operator_rows(spark):
     assert dirty[1][1][whole.start:whole.end] == items[1][1] and whole.least_edits == 0
 
 
+def test_rows_and_items_without_an_id(spark):
+    rng = random.Random(16)
+    passage, named = words(rng, 30), words(rng, 30)
+    bench = spark.createDataFrame([(None, passage), (1, named), (None, passage)], ITEMS)
+    rows = [(None, "a " + named), (None, "clean"), (3, passage + " b"), (4, named + passage), (4, "clean under the same id"), (5, None)]
+    docs = documents(spark, rows)
+    got = {(r.doc_id, r.item_id) for r in D.contaminated_documents(docs, bench).collect()}
+    assert got == {(None, 1), (3, None), (4, 1), (4, None)}
+    kept = [(r.doc_id, r.text) for r in D.without_benchmark(docs, bench).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [rows[1], rows[4], rows[5]]))
+
+
 def test_empty_tables_and_clashing_columns(spark):
     docs, bench = documents(spark, [(1, "some text")]), spark.createDataFrame([], ITEMS)
     assert D.contaminated_documents(docs, bench).collect() == []

@@ -88,6 +88,16 @@ def test_one_of_each_group_stays(spark):
     assert ids.count(None) >= 1
 
 
+def test_rows_are_decided_not_ids(spark):
+    """A unique text under a repeated id stays, a near copy under it or without an id goes."""
+    rng = random.Random(21)
+    two, alone, other, last = words(rng, 300), "z " + words(rng, 300), words(rng, 300), words(rng, 300)
+    rows = [(2, two), (5, alone), (5, two), (6, other), (6, last), (None, two), (None, None), (9, last), (6, last)]
+    want = [(2, two), (5, alone), (6, other), (6, last), (None, None)]
+    got = [(r.doc_id, r.text) for r in S.keep_first(documents(spark, rows)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_empty_table_and_clashing_columns(spark):
     assert S.near_duplicates(documents(spark, [])).collect() == []
     clash = spark.createDataFrame([(1, "a b c d", 5, 6, 7)], "doc_id long, text string, fp long, component_id long, anchor long")
