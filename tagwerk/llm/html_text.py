@@ -24,6 +24,7 @@ from .common import python_path
 #: Element names of the HTML standard by what they mean here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes".split())
+FOREIGN = frozenset(("svg", "math"))
 OUTSIDE = frozenset("nav header footer aside form button select option dialog menu fieldset object canvas audio video".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2
  h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul br""".split())
@@ -72,6 +73,8 @@ class Page:
                 tag = m[2].lower()
                 if not whole:
                     break  # the page ends inside a tag
+                if tag in FOREIGN and (m[3] or "").rstrip().endswith("/"):
+                    continue  # self-closed: it has no end tag
                 if tag in RAW:
                     end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
                     at = end.end() if end else n

@@ -38,6 +38,9 @@ CASES = {
     "cut in a script": (f"<article><p>{LONG}</p></article><script>var", LONG.strip()),
     "upper case": (f"<BODY><ARTICLE><P>{LONG}</P></ARTICLE></BODY>", LONG.strip()),
     "greater sign in an attribute": (f"<article><p title='a > b'>{LONG}</p></article>", LONG.strip()),
+    "self-closed drawings": (page(f"<article><svg class='i' /><p>{LONG}</p><p>Two<math/> three<svg><path/>no</svg>.</p><svg/></article>"),
+                             f"{LONG.strip()} Two three."),
+    "self-closed drawing with a bare value": (page(f"<article><svg href=#i /><p>{LONG}</p></article>"), LONG.strip()),
     "stray ends": (f"</div></p><article></b><p>{LONG}</p></article></article>", LONG.strip()),
 }
 
