@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gear_dedup, html_text, mixing, perspectives, quality, simhash, token_count, token_file, vector_lsh
+from . import (decontaminate, gear_dedup, html_text, line_dedup, merkle, mixing, periodic, perspectives, quality, simhash, token_count,
+               token_file, vector_lsh)
 from .common import table
 
 
@@ -68,10 +70,33 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.without_common_lines(table(spark, sf_dir, "documents"), shortest=40, least_docs=5, digest_only=True)
+    return found.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.document_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
+MANIFEST = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(chosen, merkle.leaf_digest([*MANIFEST[:-1], lowered]))
+    found = merkle.manifest(docs, MANIFEST, group="lang", order="doc_id", candidate=tampered, arity=8)
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_html_extraction, op3_token_files, op4_source_mixing, op5_embedding_dedup,
-        op6_decontamination, op7_quality_ranking, op8_chat_perspectives, op9_simhash_dedup, op10_token_counts)}
+        op6_decontamination, op7_quality_ranking, op8_chat_perspectives, op9_simhash_dedup, op10_token_counts, op11_line_dedup,
+        op12_periodic_runs, op13_merkle_manifest)}
 
 #: Queries without SQL are tested against brute force in tests/llm.
 ORACLE: dict[str, str] = {
@@ -116,4 +141,75 @@ placed AS (
 SELECT conv_id, perspective, seq, turn, role, name, segment, start, start + length(head) AS mask_start,
        start + length(head) + CASE WHEN role = 'assistant' THEN length(said) ELSE 0 END AS mask_end
 FROM placed""",
+    "op11_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS number FROM documents),
+keyed AS (
+  SELECT doc_id, number, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+common AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+  SELECT keyed.*, common.key IS NOT NULL AND keeper <> doc_id AS gone FROM keyed LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
+    "op13_merkle_manifest": r"""
+WITH RECURSIVE ids AS (SELECT DISTINCT doc_id FROM documents),
+bytes AS (SELECT doc_id, flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1),
+            lambda i: [ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])) AS steps FROM ids),
+crc AS (
+  SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, steps),
+           lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295::BIGINT) AS crc FROM bytes),
+parts AS (
+  SELECT doc_id, lang, text,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM documents),
+leaves AS (
+  SELECT parts.doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN crc % 3 = 0 THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-'))
+              ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS candidate
+  FROM parts JOIN crc ON parts.doc_id = crc.doc_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos FROM leaves),
+inner_nodes AS (
+  SELECT 0 AS level, lang, pos, leaf AS digest, count(*) OVER (PARTITION BY lang) AS total FROM placed
+  UNION ALL
+  SELECT any_value(level) + 1, lang, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(total) + 7) // 8
+  FROM inner_nodes WHERE total > 1 GROUP BY lang, pos // 8),
+subroots AS (
+  SELECT lang, level AS height, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+  FROM inner_nodes WHERE total = 1),
+outer_nodes AS (
+  SELECT 0 AS level, place AS pos, subroot AS digest, count(*) OVER () AS total FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(total) + 7) // 8
+  FROM outer_nodes WHERE total > 1 GROUP BY pos // 8),
+root AS (SELECT digest AS root, level AS top FROM outer_nodes WHERE total = 1),
+inner_runs AS (
+  SELECT level, lang, pos // 8 AS run, list(digest ORDER BY pos) AS run_digests FROM inner_nodes WHERE total > 1 GROUP BY level, lang, pos // 8),
+outer_runs AS (SELECT level, pos // 8 AS run, list(digest ORDER BY pos) AS run_digests FROM outer_nodes WHERE total > 1 GROUP BY level, pos // 8),
+climb AS (
+  SELECT doc_id, placed.lang, 0 AS level, pos, candidate AS folded, '' AS proof, height, place, false AS above
+  FROM placed JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang
+  UNION ALL
+  SELECT doc_id, lang, CASE WHEN turn THEN 0 ELSE level + 1 END, CASE WHEN turn THEN place ELSE pos // 8 END,
+         CASE WHEN turn THEN folded ELSE
+           sha256(list_aggregate(run_digests[1:(pos % 8)::INT], 'string_agg', '').coalesce('') || folded
+                  || list_aggregate(run_digests[(pos % 8)::INT + 2:], 'string_agg', '').coalesce('')) END,
+         CASE WHEN turn THEN proof ELSE
+           proof || list_aggregate(run_digests[1:(pos % 8)::INT], 'string_agg', '').coalesce('')
+                 || list_aggregate(run_digests[(pos % 8)::INT + 2:], 'string_agg', '').coalesce('') END,
+         height, place, above OR turn
+  FROM (SELECT climb.*, NOT above AND climb.level = height AS turn, coalesce(i.run_digests, o.run_digests) AS run_digests, top
+        FROM climb CROSS JOIN root
+        LEFT JOIN inner_runs i ON NOT above AND climb.level < height AND i.level = climb.level
+             AND i.lang IS NOT DISTINCT FROM climb.lang AND i.run = climb.pos // 8
+        LEFT JOIN outer_runs o ON above AND o.level = climb.level AND o.run = climb.pos // 8) AS c
+  WHERE NOT above OR level < top)
+SELECT placed.doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM placed JOIN climb ON placed.doc_id = climb.doc_id JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang
+CROSS JOIN root WHERE climb.above AND climb.level = top""",
 }
