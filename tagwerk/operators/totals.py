@@ -3,41 +3,26 @@
 A1 is a hash aggregate with a partial (map-side) step, so at most one row per
 (date, map task) crosses the shuffle.
 
-By default values are summed as doubles, as in the reference.  With
-``exact_scale`` each value is rounded half up to that many decimals and summed
-as ``decimal(18, scale)``, then returned as double: the result no longer
-depends on the order in which partial sums meet (a double sum on a thousand
-executors does), at about ten times the cost of a double sum.  Values that
-``decimal(18, scale)`` cannot hold (NaN, infinities, very large prices) are
-summed as doubles beside it, so they reach the total as in a double sum.
+By default values are summed as doubles, as in the reference; such a sum depends
+on the order in which partial sums meet.  ``exact=True`` gives the true sum,
+rounded once (``operators.exact``), which does not.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.arith import signed_difference
+from .exact import exact_totals
 
 
-def exact_sum(c, scale: int) -> Column:
-    """Sum of ``c`` as ``decimal(18, scale)`` values, returned as double."""
-    v = F.col(f"`{c}`") if isinstance(c, str) else c
-    fits = v.try_cast(f"decimal(18,{scale})")
-    rest = F.sum(F.when(fits.isNull(), v.cast("double")))
-    exact = F.sum(fits).cast("double")
-    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
-
-
-def daily_totals(df: DataFrame, date: str, sums: Mapping[str, str],
-                 exact_scale: int | None = None) -> DataFrame:
+def daily_totals(df: DataFrame, date: str, sums: Mapping[str, str], exact: bool = False) -> DataFrame:
     """A1: ``{out: column}`` summed per ``date``; NULLs skipped, all-NULL gives NULL."""
-    def total(c: str):
-        if exact_scale is None:
-            return F.sum(F.col(f"`{c}`"))
-        return exact_sum(c, exact_scale)
-    return df.groupBy(F.col(date)).agg(*[total(c).alias(out) for out, c in sums.items()])
+    if exact:
+        return exact_totals(df, [date], sums)
+    return df.groupBy(F.col(date)).agg(*[F.sum(F.col(f"`{c}`")).alias(out) for out, c in sums.items()])
 
 
 def with_signed_change(df: DataFrame, out: str, later: str, earlier: str) -> DataFrame:
@@ -51,12 +36,12 @@ def by_date(df: DataFrame, date: str) -> DataFrame:
 
 
 def market_totals(prices: DataFrame, date: str = "Date", open_col: str = "Open",
-                  close_col: str = "Close", exact_scale: int | None = None,
+                  close_col: str = "Close", exact: bool = False,
                   ordered: bool = True) -> DataFrame:
     """P2 + A1 + P6 + O1: ``Date, open_sum, close_sum, abs_diff``."""
     picked = prices.select(F.col(date).try_cast("date").alias(date),
                            F.col(f"`{open_col}`").alias("__open"),
                            F.col(f"`{close_col}`").alias("__close"))
-    tot = daily_totals(picked, date, {"open_sum": "__open", "close_sum": "__close"}, exact_scale)
+    tot = daily_totals(picked, date, {"open_sum": "__open", "close_sum": "__close"}, exact)
     tot = with_signed_change(tot, "abs_diff", "close_sum", "open_sum")
     return by_date(tot, date) if ordered else tot

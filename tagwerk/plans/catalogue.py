@@ -39,7 +39,6 @@ from .refresh import RefreshConfig, current_table, read_inputs, recompute
 
 CONTINENT = "EUROPE"          # the stand-in's continent (region names are upper case)
 SERVED_PRECISION = 18         # stand-in totals exceed decimal(10,4); see SURVEY 7.3
-EXACT = 4                     # exact sums of values rounded to 4 decimals: order-free
 
 
 # ---------------------------------------------------------------- builders
@@ -49,7 +48,7 @@ def _growth(spark, sf, method="join"):
 
 
 def _market(spark, sf):
-    return market_result(S.prices(spark, sf), EXACT)
+    return market_result(S.prices(spark, sf), exact=True)
 
 
 def q_daily_growth(spark: SparkSession, sf: str) -> DataFrame:
@@ -203,6 +202,13 @@ def q_market_totals(spark, sf):
     return _market(spark, sf)
 
 
+def q_market_totals_double(spark, sf):
+    # A1 as the reference computes it; the last digits depend on the order, so they are rounded off
+    totals = market_result(S.prices(spark, sf))
+    return totals.select("Date", F.round("open_sum", 2).alias("open_sum"), F.round("close_sum", 4).alias("close_sum"),
+                         F.round("abs_diff", 4).alias("abs_diff"))
+
+
 def q_growth_served(spark, sf):
     return served_growth(_growth(spark, sf))
 
@@ -290,8 +296,8 @@ def q_incremental_refresh(spark, sf):
     prices = S.prices(spark, sf)
     contract = served_market_contract(SERVED_PRECISION)
     refresh_market_since(spark, prices.filter(F.col("Date") < F.lit("1998-07-01").cast("date")),
-                         path, None, EXACT, contract)
-    refresh_market_since(spark, prices, path, "1998-06-20", EXACT, contract)
+                         path, None, True, contract)
+    refresh_market_since(spark, prices, path, "1998-06-20", True, contract)
     return spark.read.parquet(path).drop("month")
 
 
@@ -328,7 +334,7 @@ def q_full_refresh(spark, sf):
     land_daily_parquet(S.prices(spark, sf), f"{root}/prices")
     cfg = RefreshConfig(f"{root}/documents", f"{root}/prices", f"{root}/served", infections_format="json",
                         json_multi_line=True, prices_format="parquet_by_month", continent=CONTINENT,
-                        exact_scale=EXACT, decimal_precision=SERVED_PRECISION, price_end="1997-12-31", fill_text=True)
+                        exact=True, decimal_precision=SERVED_PRECISION, price_end="1997-12-31", fill_text=True)
     emit_file(spark, f"{root}/inbox")
     q = start_refresh_stream(spark, file_notifications(spark, f"{root}/inbox"), lambda s: recompute(s, cfg),
                              checkpoint=f"{root}/checkpoint", available_now=True, run_at_start=True)
@@ -407,6 +413,7 @@ QUERIES = {
     "per_symbol_files": q_per_symbol_files,
     "per_symbol_parquet": q_per_symbol_parquet,
     "market_totals": q_market_totals,
+    "market_totals_double": q_market_totals_double,
     "growth_served": q_growth_served,
     "market_served": q_market_served,
     "result_roundtrip": q_result_roundtrip,
@@ -460,12 +467,25 @@ SELECT CAST(l_shipdate AS DATE) AS "Date", CAST(l_suppkey AS VARCHAR) AS "Share"
 FROM lineitem
 """
 
-_MARKET = """
+def _units(x: str) -> str:
+    """The exact sum of ``x`` in units of 2^-64 (values of 0, or from 2^-11 to 2^40)."""
+    return f"SUM(CAST({x} * CAST(18446744073709551616 AS DOUBLE) AS HUGEINT))"
+
+
+def _double(units: str) -> str:
+    """The double nearest to a sum of units: 61 bits and one for the rest, rounded half to even by the cast."""
+    shift = f"GREATEST(0, CAST(floor(log2(CAST(abs({units}) AS DOUBLE))) AS INTEGER) - 60)"
+    power = f"(CAST(1 AS HUGEINT) << {shift})"
+    return (f"(CASE WHEN {units} = 0 THEN 0.0 ELSE sign({units}) * CAST(CAST(abs({units}) // {power} AS BIGINT) "
+            f"| CASE WHEN abs({units}) % {power} <> 0 THEN 1 ELSE 0 END AS DOUBLE) * pow(2.0, {shift} - 64) END)")
+
+
+_MARKET = f"""
 SELECT "Date", open_sum, close_sum, close_sum - open_sum AS abs_diff FROM (
-  SELECT CAST(l_shipdate AS DATE) AS "Date",
-         CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE) AS open_sum,
-         CAST(SUM(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS close_sum
-  FROM lineitem GROUP BY CAST(l_shipdate AS DATE)) t
+  SELECT "Date", {_double('open_units')} AS open_sum, {_double('close_units')} AS close_sum FROM (
+    SELECT CAST(l_shipdate AS DATE) AS "Date", {_units('l_extendedprice')} AS open_units,
+           {_units('(l_extendedprice * (1 - l_discount))')} AS close_units
+    FROM lineitem GROUP BY CAST(l_shipdate AS DATE)) u) t
 """
 
 _EU_SUPPLIERS = """
@@ -515,11 +535,11 @@ SELECT a.date, COALESCE(a.cases, 0) AS cases, COALESCE(a.deaths, 0) AS deaths, a
 FROM cur a LEFT JOIN cur b ON b.date = a.date - 1 AND a.country = b.country
 """
 
-_EVENTS_GROWTH = """
+_EVENTS_GROWTH = f"""
 WITH d AS (
-  SELECT CAST(ts AS DATE) AS date, event_type, CAST(COUNT(*) AS INTEGER) AS n_events,
-         CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS value_total
-  FROM events GROUP BY CAST(ts AS DATE), event_type)
+  SELECT date, event_type, n_events, {_double('units')} AS value_total FROM (
+    SELECT CAST(ts AS DATE) AS date, event_type, CAST(COUNT(*) AS INTEGER) AS n_events, {_units('value')} AS units
+    FROM events GROUP BY CAST(ts AS DATE), event_type) u)
 SELECT a.date, a.event_type, a.n_events, a.value_total,
        b.n_events AS n_events_prev, b.value_total AS value_total_prev,
        (a.n_events - b.n_events) / NULLIF(b.n_events, 0) AS n_events_rel_diff
@@ -591,6 +611,12 @@ SELECT "Date", "Share", "Open", "Close",
 FROM ({_PRICES}) p
 """,
     "market_totals": _MARKET,
+    "market_totals_double": """
+SELECT CAST(l_shipdate AS DATE) AS "Date", round(sum(l_extendedprice), 2) AS open_sum,
+       round(sum(l_extendedprice * (1 - l_discount)), 4) AS close_sum,
+       round(sum(l_extendedprice * (1 - l_discount)) - sum(l_extendedprice), 4) AS abs_diff
+FROM lineitem GROUP BY CAST(l_shipdate AS DATE)
+""",
     "growth_served": _GROWTH_SERVED,
     "market_served": _MARKET_SERVED,
     "result_roundtrip": _GROWTH,

@@ -108,7 +108,7 @@ def refresh_growth_since(spark: SparkSession, raw: DataFrame, path: str, since:
 
 
 def refresh_market_since(spark: SparkSession, prices: DataFrame, path: str, since: str | None,
-                         exact_scale: int | None = None,
+                         exact: bool = False,
                          contract: TableContract | None = None) -> int:
     """Served daily totals for the months from ``since`` on, written over those
     month partitions of ``path``."""
@@ -116,4 +116,4 @@ def refresh_market_since(spark: SparkSession, prices: DataFrame, path: str, sinc
     if since is not None:
         day = F.col("Date").try_cast("date")
         prices = prices.filter(day.isNull() | (day >= F.lit(month_start(since).isoformat()).cast("date")))
-    return _write_months(spark, conform(market_result(prices, exact_scale), contract), contract, path, since)
+    return _write_months(spark, conform(market_result(prices, exact), contract), contract, path, since)

@@ -58,6 +58,6 @@ def selected_prices(prices: DataFrame, start: str | None = None, end: str | None
     return out if symbols is None else keep_members(out, symbol_column, symbols)
 
 
-def market_result(prices: DataFrame, exact_scale: int | None = None) -> DataFrame:
+def market_result(prices: DataFrame, exact: bool = False) -> DataFrame:
     """The job's price result: ``Date, open_sum, close_sum, abs_diff`` by date."""
-    return market_totals(prices, "Date", "Open", "Close", exact_scale=exact_scale)
+    return market_totals(prices, "Date", "Open", "Close", exact=exact)

@@ -47,7 +47,7 @@ class RefreshConfig:
     max_columns: int = 32                   # widest header of landed CSV files
     continent: str | None = "Europe"
     method: str = "join"
-    exact_scale: int | None = None          # None: double sums as in the reference
+    exact: bool = False                     # True: exact sums; False: double sums as in the reference
     fill_text: bool = False                 # F6: NULL text becomes "0", as the reference's loader does
     growth_table: str | None = None
     market_table: str | None = None
@@ -96,7 +96,7 @@ def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
     # a plain parquet scan is cheaper to read twice than to write and read back
     growth = infection_growth(raw, cfg.continent, method=cfg.method,
                               checkpoint_input=cfg.infections_format != "parquet")
-    market = market_result(prices, cfg.exact_scale)
+    market = market_result(prices, cfg.exact)
     show_preview(growth, cfg.preview_rows, enabled=cfg.preview_rows > 0)
     show_preview(market, cfg.preview_rows, enabled=cfg.preview_rows > 0)
     if cfg.result_root:
@@ -161,5 +161,5 @@ def recompute_since(spark: SparkSession, cfg: RefreshConfig, since: str | None)
                                         cfg.continent, served_growth_contract(cfg.decimal_precision),
                                         method=cfg.method, fill_text=cfg.fill_text),
         "dax": refresh_market_since(spark, prices, f"{cfg.out_root}/dax_by_month", since,
-                                    cfg.exact_scale, served_market_contract(cfg.decimal_precision)),
+                                    cfg.exact, served_market_contract(cfg.decimal_precision)),
     }

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.totals import exact_sum
+from ..operators.exact import exact_totals
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,5 @@ def suppliers_in_region(spark: SparkSession, sf_dir: str, region: str) -> DataFr
 def events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``date, event_type, n_events, value_total`` (value summed exactly)."""
     ev = table(spark, sf_dir, "events")
-    return (ev.groupBy(F.col("ts").cast("date").alias("date"), "event_type")
-              .agg(F.count(F.lit(1)).cast("int").alias("n_events"),
-                   exact_sum("value", 4).alias("value_total")))
+    totals = exact_totals(ev, [F.col("ts").cast("date").alias("date"), "event_type"], {"value_total": "value"}, rows="n_events")
+    return totals.withColumn("n_events", F.col("n_events").cast("int"))

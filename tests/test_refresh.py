@@ -51,7 +51,7 @@ def expected(spark):
 def test_recompute_publishes_both_tables(spark, scratch, fmt):
     land_inputs(spark, scratch, fmt)
     cfg = RefreshConfig(f"{scratch}/infections", f"{scratch}/prices", f"{scratch}/served",
-                        infections_format=fmt, continent="EUROPE", decimal_precision=18, exact_scale=4,
+                        infections_format=fmt, continent="EUROPE", decimal_precision=18, exact=True,
                         prices_format="parquet" if fmt == "parquet" else "csv",
                         partition_columns=("Share",))
     pub = recompute(spark, cfg)
@@ -64,7 +64,7 @@ def test_recompute_publishes_both_tables(spark, scratch, fmt):
 def test_message_triggers_recompute(spark, scratch):
     land_inputs(spark, scratch)
     cfg = RefreshConfig(f"{scratch}/infections", f"{scratch}/prices", f"{scratch}/served",
-                        continent="EUROPE", decimal_precision=18, exact_scale=4,partition_columns=("Share",))
+                        continent="EUROPE", decimal_precision=18, exact=True,partition_columns=("Share",))
     runs = []
     emit_file(spark, f"{scratch}/inbox")
     q = start_refresh_stream(spark, file_notifications(spark, f"{scratch}/inbox"),
@@ -124,7 +124,7 @@ def test_price_bounds_and_symbols(spark, scratch):
     from tagwerk.operators.filters import date_between, keep_members
     land_inputs(spark, scratch)
     cfg = RefreshConfig(f"{scratch}/infections", f"{scratch}/prices", f"{scratch}/served",
-                        continent="EUROPE", decimal_precision=18, exact_scale=4,partition_columns=("Share",),
+                        continent="EUROPE", decimal_precision=18, exact=True,partition_columns=("Share",),
                         price_start="1996-01-01", price_end="1997-12-31", symbols=["1", "2", "3"])
     pub = recompute(spark, cfg)
     p = keep_members(date_between(S.prices(spark, SF), "Date", "1996-01-01", "1997-12-31"),
@@ -153,7 +153,7 @@ def test_month_partitioned_price_landing(spark, scratch):
     land_inputs(spark, scratch)
     land_daily_parquet(S.prices(spark, SF), f"{scratch}/prices_by_month")
     cfg = RefreshConfig(f"{scratch}/infections", f"{scratch}/prices_by_month", f"{scratch}/served",
-                        continent="EUROPE", decimal_precision=18, exact_scale=4,prices_format="parquet_by_month",
+                        continent="EUROPE", decimal_precision=18, exact=True,prices_format="parquet_by_month",
                         price_start="1996-01-01", price_end="1997-12-31")
     pub = recompute(spark, cfg)
     from tagwerk.operators.filters import date_between

@@ -1,7 +1,13 @@
 """A1 / P6 / O1 on the golden rows (FIXTURES C, totals)."""
 
+import math
+import random
+import struct
+
+import pytest
 from pyspark.sql import functions as F
 
+from tagwerk.operators.exact import exact_totals
 from tagwerk.operators.totals import market_totals
 
 from .helpers import d
@@ -9,8 +15,8 @@ from .helpers import d
 SCHEMA = "Date date, Share string, Open double, Close double"
 
 
-def totals(spark, data, exact=None):
-    return market_totals(spark.createDataFrame(data, SCHEMA), exact_scale=exact)
+def totals(spark, data, exact=False):
+    return market_totals(spark.createDataFrame(data, SCHEMA), exact=exact)
 
 
 def test_golden_rows(spark):
@@ -20,7 +26,7 @@ def test_golden_rows(spark):
         (d("03/03"), "A", None, None),
         (d("04/03"), "A", 12.0, 10.0),
     ]
-    for exact in (None, 4):
+    for exact in (False, True):
         out = [tuple(r) for r in totals(spark, data, exact).collect()]
         assert out == [
             (d("01/03"), None, 10.0, None),
@@ -44,8 +50,8 @@ def test_exact_sum_independent_of_partitioning(spark):
     df = spark.range(20000).select(
         F.lit("2020-03-01").cast("date").alias("Date"), F.lit("A").alias("Share"),
         (F.col("id") * 0.1 + 0.01).alias("Open"), (F.col("id") * 0.07).alias("Close"))
-    a = market_totals(df.repartition(1), exact_scale=4).first()
-    b = market_totals(df.repartition(13), exact_scale=4).first()
+    a = market_totals(df.repartition(1), exact=True).first()
+    b = market_totals(df.repartition(13), exact=True).first()
     assert tuple(a) == tuple(b)
 
 
@@ -56,36 +62,65 @@ def test_sum_of_per_symbol_sums_equals_total(spark):
     assert market_totals(df).first()["open_sum"] == per_symbol
 
 
-def test_values_beyond_the_decimal_are_summed_as_doubles(spark):
-    import math
+def test_not_numbers_infinities_and_large_values(spark):
     data = [(d("01/03"), "A", 1e18, 1.0), (d("01/03"), "B", 2.5, 1.0), (d("02/03"), "A", float("nan"), 1.0),
-            (d("02/03"), "B", 1.0, 2.0), (d("03/03"), "A", float("inf"), None)]
-    for exact in (None, 4):
+            (d("02/03"), "B", 1.0, 2.0), (d("03/03"), "A", float("inf"), None), (d("04/03"), "A", float("inf"), -0.0),
+            (d("04/03"), "A", float("-inf"), None)]
+    for exact in (False, True):
         out = totals(spark, data, exact).collect()
         assert out[0]["open_sum"] == 1e18 and out[0]["close_sum"] == 2.0
         assert math.isnan(out[1]["open_sum"]) and out[1]["close_sum"] == 3.0
         assert out[2]["open_sum"] == math.inf and out[2]["close_sum"] is None
-
-
-def test_exact_sum_rounds_like_the_decimal(spark):
-    from tagwerk.operators.totals import exact_sum
-    for value, want in ((-0.00005, -0.0001), (0.00015, 0.0002), (0.00005, 0.0001), (-0.00015, -0.0002), (0.00004, 0.0)):
-        df = spark.createDataFrame([(value,)], "x double")
-        got = df.agg(exact_sum("x", 4).alias("s"), F.sum(F.col("x").cast("decimal(18,4)")).cast("double").alias("w")).first()
-        assert got["s"] == got["w"] == want
+        assert math.isnan(out[3]["open_sum"]) and out[3]["close_sum"] == 0.0
 
 
 def test_small_prices_are_not_rounded_away_by_default(spark):
     data = [(d("01/03"), "A", 0.00004, 0.00004)] * 1000
     assert abs(totals(spark, data).first()["open_sum"] - 0.04) < 1e-12
-
-
-def test_exact_sum_equals_decimal_sum(spark):
-    df = spark.range(5000).select(
-        (F.col("id") % 7).cast("int").alias("g"),
-        (F.col("id") * 1.37 % 9999.99 - 500).alias("x"))
-    from tagwerk.operators.totals import exact_sum
-    a = {r.g: r.s for r in df.groupBy("g").agg(exact_sum("x", 4).alias("s")).collect()}
-    b = {r.g: r.s for r in df.groupBy("g").agg(
-        F.sum(F.col("x").cast("decimal(18,4)")).cast("double").alias("s")).collect()}
-    assert a == b and len(a) == 7
+    assert totals(spark, data, True).first()["open_sum"] == math.fsum([0.00004] * 1000)
+
+
+def any_double(rng):
+    while True:
+        x = struct.unpack("<d", rng.getrandbits(64).to_bytes(8, "little"))[0]
+        if abs(x) < 1e300:
+            return x
+
+
+VALUES = {
+    "any bits": any_double,
+    "prices": lambda rng: round(rng.uniform(-1e5, 1e5), 2),
+    "cancelling": lambda rng: rng.choice([1e100, -1e100, 1.0, 1e-30, -1e-30]),
+    "subnormal": lambda rng: rng.choice([-1, 1]) * rng.getrandbits(51) * 5e-324,
+    "window edges": lambda rng: rng.choice([2.0 ** 40, -2.0 ** 40, 2.0 ** -64, 2.0 ** -65, 2.0 ** 92, 2.0 ** -12, 2.0 ** -13 + 2.0 ** -65, None]),
+    "ties": lambda rng: rng.choice([1.0, 2.0 ** -53, 2.0 ** -54, -2.0 ** -54, 2.0 ** -106]),
+    "one bit": lambda rng: math.ldexp(rng.choice([-1, 1]), rng.randrange(-1074, 990)),
+}
+
+
+@pytest.mark.parametrize("kind", VALUES)
+def test_exact_sums_equal_fsum(spark, kind):
+    rng = random.Random(kind)
+    rows = [(g, VALUES[kind](rng), VALUES[kind](rng)) for g in range(150) for _ in range(rng.choice([1, 2, 3, 40]))]
+    df = spark.createDataFrame(rows, "g int, x double, y double").repartition(5)
+    got = {r.g: r for r in exact_totals(df, ["g"], {"x": "x", "y": "y"}, rows="n").collect()}
+    for g in range(150):
+        own = [r for r in rows if r[0] == g]
+        want = [math.fsum(v) if (v := [r[k] for r in own if r[k] is not None]) else None for k in (1, 2)]
+        assert (got[g].x, got[g].y, got[g].n) == (*want, len(own))
+
+
+def test_exact_sums_beyond_the_doubles_and_no_rows(spark):
+    rows = [(1, 1.7e308), (1, 1.7e308), (2, 1.7e308), (2, 1.7e308), (2, -1.7e308)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    assert sorted(map(tuple, exact_totals(df, ["g"], {"s": "x"}).collect())) == [(1, math.inf), (2, 1.7e308)]
+    assert exact_totals(df.limit(0), ["g"], {"s": "x"}).collect() == []
+    with pytest.raises(ValueError, match="sums"):
+        exact_totals(df, ["g"], {})
+
+
+def test_exact_sums_combine_before_the_shuffle_and_stay_in_the_jvm(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") / 7).alias("x"))
+    plan = exact_totals(df, ["g"], {"s": "x"})._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and plan.count("partial_sum") >= 4
+    assert plan.index("partial_sum") > plan.index("Exchange")  # the plan is written from the top

@@ -46,8 +46,8 @@ def main() -> None:
     run("warm-up", daily_growth(daily, method="window"))
     run(f"previous day, window form, {n_ent * n_days:,} rows", daily_growth(daily, method="window"))
     run(f"previous day, join (J1), {n_ent * n_days:,} rows", daily_growth(daily, method="join"))
-    run("warm-up", market_totals(prices, exact_scale=4))
-    run(f"daily totals, exact, {n_prices:,} rows", market_totals(prices, exact_scale=4))
+    run("warm-up", market_totals(prices, exact=True))
+    run(f"daily totals, exact, {n_prices:,} rows", market_totals(prices, exact=True))
     run(f"daily totals, double, {n_prices:,} rows", market_totals(prices))
     spark.stop()
 
