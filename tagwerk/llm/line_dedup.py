@@ -285,9 +285,9 @@ def _drop_routed(docs: DataFrame, tables: DataFrame, shards: int, shortest: int,
 
     line_fields = "shard long, turn long, hi long, lo long, doc_id long, t1 long, t2 long, number int"
     probes = _texts(docs, named[0].alias("t1"), named[1].alias("t2")).mapInArrow(lines, line_fields)
-    turns = F.array(*[F.lit(0)]) if not copies else F.sequence(F.lit(0), F.coalesce(
-        F.element_at(F.create_map(*[F.lit(x) for pair in copies.items() for x in pair]), F.col("shard")), F.lit(1)) - 1)
-    arrays = tables.select("shard", F.explode(turns).cast("long").alias("turn"), F.struct("sizes", "words", "prints", "counts", "last").alias("table"))
+    turns = F.array(F.lit(0).cast("long")) if not copies else F.sequence(F.lit(0).cast("long"), F.coalesce(
+        F.element_at(F.create_map(*[F.lit(x) for pair in copies.items() for x in pair]), F.col("shard")), F.lit(1)).cast("long") - 1)
+    arrays = tables.select("shard", F.explode(turns).alias("turn"), F.struct("sizes", "words", "prints", "counts", "last").alias("table"))
     mixed = probes.withColumn("table", F.lit(None).cast(arrays.schema["table"].dataType)).unionByName(arrays, allowMissingColumns=True)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

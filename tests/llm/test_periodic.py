@@ -1,0 +1,126 @@
+"""Runs against a plain search of every period."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from hashlib import sha256
+
+import numpy as np
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tagwerk.llm import periodic
+from tagwerk.llm.queries import op12_periodic_runs
+
+from .helpers import DOCS, documents
+
+
+def plain_runs(w):
+    """(start, length, period) of every run, period by period."""
+    found, n = {}, len(w)
+    for q in range(1, n // 3 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(24, 3 * q):
+                found.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted(((s, e - s, q) for (s, e), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def plain_row(doc_id, text):
+    words, word = [], ""
+    for c in (text or "") + " ":
+        if c in " \t\n\x0b\x0c\r":
+            words += [word] if word else []
+            word = ""
+        else:
+            word += c
+    n = len(words)
+    if doc_id is not None and n:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = plain_runs(words)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = min(runs, key=lambda r: (-r[1] / r[2], r[0], r[2])) if runs else None
+    head = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    return (doc_id, len(runs), *head, sha256("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()).hexdigest(),
+            sha256(" ".join(w for i, w in enumerate(words) if i not in gone).encode()).hexdigest())
+
+
+def periodic_words(rng, n):
+    w = [rng.randrange(rng.choice([1, 2, 3, 60])) for _ in range(n)]
+    for _ in range(rng.randrange(4)):
+        root = [rng.randrange(rng.choice([2, 3, 60])) for _ in range(rng.randrange(1, 50))]
+        if rng.random() < 0.5:  # a root that is nearly periodic itself
+            root = root[:max(1, len(root) // 6)] * 6 + [99]
+        at, long = rng.randrange(n), rng.randrange(10, 220)
+        w[at:at + long] = (root * (long // len(root) + 1))[:long]
+    return w
+
+
+def test_runs_equal_plain_search():
+    rng = random.Random(12)
+    for _ in range(60):
+        documents_ = [periodic_words(rng, rng.randrange(1, 400)) for _ in range(8)]
+        documents_ += [[], [1] * 23, [1] * 24, [0, 1] * 12, [0, 1, 2] * 7 + [0, 1]]
+        fib = [[0], [0, 1]]
+        while len(fib[-1]) < 300:
+            fib.append(fib[-1] + fib[-2])
+        got = periodic.find_runs([np.array(d, np.int64) for d in [*documents_, fib[-1]]])
+        assert [sorted(g, key=lambda r: (r[0], r[2])) for g in got] == [plain_runs(d) for d in [*documents_, fib[-1]]]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=120), min_size=1, max_size=4))
+def test_runs_of_small_alphabets(docs):
+    got = periodic.find_runs([np.array(d, np.int64) for d in docs])
+    assert [sorted(g, key=lambda r: (r[0], r[2])) for g in got] == [plain_runs(d) for d in docs]
+
+
+def test_wavelet_successor_equals_search():
+    rng = np.random.default_rng(3)
+    values = rng.permutation(500)
+    tree = periodic.Wavelet(values)
+    a, x = rng.integers(0, 500, 3000), rng.integers(0, 1100, 3000)
+    b = np.minimum(500, a + rng.integers(0, 60, 3000))
+    want = [min((v for v in values[i:j].tolist() if v >= k), default=9999) for i, j, k in zip(a.tolist(), b.tolist(), x.tolist(), strict=True)]
+    assert tree.successor(a, b, x, 9999).tolist() == want
+
+
+def rows_of(rng):
+    rows = [(i, " ".join(f"w{x}" for x in periodic_words(rng, rng.randrange(1, 250)))) for i in range(80)]
+    rows += [(None, None), (None, "a b " * 30), (3, ""), (4, " \t\n"), (4, "x y " * 30), (4, "x y " * 30), (-5, "A a " * 40),
+             (5, "ab\x0bcd\x0cef\r\n" * 25)]
+    return rows
+
+
+def test_query_equals_plain_python(spark, scratch):
+    rows = rows_of(random.Random(5))
+    documents(spark, rows).repartition(3).write.parquet(f"{scratch}/documents.parquet")
+    got = [tuple(r) for r in op12_periodic_runs(spark, scratch).collect()]
+    assert sorted(got, key=repr) == sorted((plain_row(*r) for r in rows), key=repr)
+    assert any(zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows if i is not None)
+
+
+def test_one_very_long_text_is_searched_whole(spark):
+    rng = random.Random(6)
+    tail = [f"t{rng.randrange(50)}" for _ in range(9_000)]
+    text = " ".join([f"v{rng.randrange(10 ** 6)}" for _ in range(300_000)] + tail * 3)
+    row = periodic.document_runs(documents(spark, [(1, text), (2, "a " * 24)])).where("doc_id = 1").first()
+    assert (row.n_runs, row.start, row.length, row.period, row.exponent_milli) == (1, 300_000, 27_000, 9_000, 3000)
+
+
+def test_text_and_runs_empty_table_and_other_columns(spark):
+    docs = documents(spark, [(1, "go " + "la " * 30 + "end"), (2, "no run")]).withColumn("start", F.lit("x")).withColumn("n_runs", F.lit(0))
+    got = {r.doc_id: r for r in periodic.document_runs(docs, with_text=True).collect()}
+    assert got[1].collapsed == "go la end" and [tuple(r) for r in got[1].runs] == [(1, 30, 1)]
+    assert got[2].collapsed == "no run" and got[2].runs == [] and got[2].start is None
+    assert periodic.document_runs(spark.createDataFrame([], DOCS)).collect() == []
