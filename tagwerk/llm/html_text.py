@@ -1,12 +1,17 @@
 """Main text of web pages by tree scoring.
 
-The page is read into a tree.  Parts that never belong to an article (menus,
-headers, footers, sidebars, notices, adverts, forms, comments) are cut off by
-tag, role or name.  Each paragraph passes points for its length and commas to
-its ancestors: all to the parent, half to the grandparent, then a third, a
-quarter and so on.  A container's points are discounted by its link density;
-the best one is kept with those siblings that score a fifth of it or are plain
-paragraphs beside it.
+The page is read into a tree, tags by the states of the HTML standard.  Parts
+that never belong to an article (menus, headers, footers, sidebars, notices,
+adverts, forms, reader comments) are cut off by tag, role or name.  A name that
+only sounds like such a part ("related-work") counts where the part has many
+links or lies outside of an article.  Each paragraph passes points for its
+length and commas to its ancestors: all to the parent, half to the grandparent,
+then a third, a quarter and so on.  A container's points are discounted by its
+link density; the best one is kept, or the article or main part that it lies
+in, with those siblings that score a fifth of it and the headings, lists and
+other blocks of few links that adjoin what is kept.
+
+A ``header`` goes wherever it stands, as page headers do, also with a title in it.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ OUTSIDE = frozenset("nav header footer aside form button select option dialog me
 BLOCK = frozenset("""address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2
  h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul br""".split())
 PARAGRAPH = frozenset("p pre blockquote td dd li h1 h2 h3 h4 h5 h6 figcaption".split())
+ADJOINING = frozenset("p pre blockquote ul ol dl table figure h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCK - {"br", "html", "body"}
 #: Elements that a new one of the same set ends.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -36,16 +42,25 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = frozenset("table ul ol dl article section div main body html blockquote".split())
 
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
-OUTSIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|adsense|banners?|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|"
-    r"overlay|newsletter|subscri\w+|signup|login|menus?|nav|navbar|navigation|breadcrumbs?|pagination|pager|sidebars?|side-?bar|aside|"
-    r"footers?|headers?|masthead|topbar|toolbar|comments?|disqus|replies|respond|share|sharing|social|related|recommend\w*|widgets?|"
-    r"skip|hidden|form)(?:$|[\s_-])", re.IGNORECASE)
+#: Words in class names and ids: of parts beside the article, of reader comments, and of mere position or form.
+OUTSIDE_WORDS = re.compile(
+    r"ads?|adverts?|advertis\w*|adsense|adsbygoogle|banners?|sponsor\w*|promos?|promotions?|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletter|"
+    r"subscri\w+|signup|login|(?:main|top|side|sub|left|right|bottom)?(?:menus?|nav)|(?:top|side|left|right|bottom)(?:bars?|ads?)|navbar|navigation|breadcrumbs?|pagination|pager|aside|footers?|headers?|"
+    r"masthead|toolbar|share|sharing|social|related|recommend\w*|widgets?|skip|hidden|form")
+COMMENT_WORDS = re.compile(r"comment(?:s|list|box|area|form|section|body|text|author|meta|thread)*|disqus|replies|reply|respond|guestbook")
+NEUTRAL_WORDS = frozenset("""left right top bottom main site page global primary secondary sub inner outer wrap wrapper container box block
+ section area list item items row col column content body links link buttons button bar panel module group holder unit slot text title
+ post posts article articles story stories icons icon media fixed sticky float mobile desktop side user reader readers form thread div
+ entry blog""".split())
 #: Names that say what a wrapper has beside its content ("has-sidebar"), not what it is.
-LAYOUT_NAMES = re.compile(r"(?<![\w-])(?:with|without|has|no|not)[_-][\w-]+", re.IGNORECASE)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|"
-                   r"<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.DOTALL)
-ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.DOTALL)
+LAYOUT_NAMES = re.compile(r"(?<![\w-])(?:with|without|has|no|not)[_-][\w-]+|[\w-]+[_-](?:open|closed|enabled|disabled|on|off)(?![\w-])", re.IGNORECASE)
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[_\-\d]+")
+MARKUP = re.compile(r"<(?=[a-zA-Z/!?])")
+#: Rest of a start tag: attributes with quoted, unquoted or no values.  Nothing is given back, so a tag takes linear time.
+ATTRIBUTES = re.compile(r"""(?>[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?>"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+|[\s/]++)*+>""")
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>][^\s>]*+)))?+""")
+NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+COMMENT = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))", re.DOTALL)
 
 
 class Page:
@@ -53,33 +68,55 @@ class Page:
 
     def __init__(self, source: str) -> None:
         self.tag, self.parent, self.cut = ["#root"], [-1], [False]
+        self.doubt, self.within = [False], [False]
         self.pieces: list[tuple[int, str | None]] = []  # None: a block boundary
         self._read(source)
 
     def _read(self, source: str) -> None:
         stack, at, n = [0], 0, len(source)
         while at < n:
-            m = TOKEN.search(source, at)
+            m = MARKUP.search(source, at)
             if m is None:
                 self._text(stack[-1], source[at:])
                 break
             if m.start() > at:
                 self._text(stack[-1], source[at:m.start()])
-            at = m.end()
-            if m[1]:
-                self._end(stack, m[1].lower())
-            elif m[2]:
-                whole = source[at - 1] == ">"
-                tag = m[2].lower()
-                if not whole:
-                    break  # the page ends inside a tag
-                if tag in FOREIGN and (m[3] or "").rstrip().endswith("/"):
-                    continue  # self-closed: it has no end tag
-                if tag in RAW:
-                    end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
-                    at = end.end() if end else n
-                else:
-                    self._start(stack, tag, m[3] or "")
+            at, sign = m.start(), source[m.end():m.end() + 1]
+            name = NAME.match(source, at + (2 if sign == "/" else 1))
+            if name is None:  # a comment, or what the standard reads as one
+                at = COMMENT.match(source, at).end() if source.startswith("<!--", at) else self._after(source, ">", at)
+                if source.startswith("<![CDATA[", m.start()):
+                    at = self._after(source, "]]>", m.start())
+                continue
+            rest = ATTRIBUTES.match(source, name.end())
+            if rest is None:
+                break  # the page ends inside a tag
+            at, tag, attributes = rest.end(), name[0].lower(), rest[0][:-1]
+            if sign == "/":
+                self._end(stack, tag)
+            elif tag in FOREIGN:
+                if not attributes.rstrip().endswith("/"):  # else it has no end tag
+                    at = self._drawing_end(source, tag, at)
+            elif tag in RAW:
+                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
+                at = end.end() if end else n
+            else:
+                self._start(stack, tag, attributes)
+
+    @staticmethod
+    def _after(source: str, mark: str, at: int) -> int:
+        found = source.find(mark, at)
+        return found + len(mark) if found >= 0 else len(source)
+
+    @staticmethod
+    def _drawing_end(source: str, tag: str, at: int) -> int:
+        """End of a drawing that may hold others of its kind."""
+        depth = 1
+        for m in re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>", re.IGNORECASE).finditer(source, at):
+            depth += -1 if m[1] else not m[0].endswith("/>")
+            if not depth:
+                return m.end()
+        return len(source)
 
     def _text(self, node: int, raw: str) -> None:
         self.pieces.append((node, html.unescape(raw) if "&" in raw else raw))
@@ -96,23 +133,40 @@ class Page:
         node = len(self.tag)
         self.tag.append(tag)
         self.parent.append(stack[-1])
-        self.cut.append(self.cut[stack[-1]] or self._outside(tag, attributes))
+        within = self.within[stack[-1]]
+        kind = self._outside(tag, attributes, within)
+        self.within.append(within or tag == "article")
+        self.cut.append(self.cut[stack[-1]] or kind == "cut")
+        self.doubt.append(kind == "doubt")
         if not attributes.rstrip().endswith("/") or tag in BLOCK or tag == "a":
             stack.append(node)
 
     @staticmethod
-    def _outside(tag: str, attributes: str) -> bool:
+    def _outside(tag: str, attributes: str, within: bool) -> str | None:
+        """``cut``: never of the article; ``doubt``: only a part of a name speaks against it."""
         if tag in OUTSIDE:
-            return True
+            return "cut"
         if not attributes.strip() or tag in ("html", "body", "a"):
-            return False
-        a = {k.lower(): v1 or v2 or v3 for k, v1, v2, v3 in ATTRIBUTE.findall(attributes)}
+            return None
+        a = {k.lower(): v1 or v2 or v3 or "" for k, v1, v2, v3 in reversed(ATTRIBUTE.findall(attributes))}  # the first of a name counts
         if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or a.get("role", "").lower() in OUTSIDE_ROLES:
-            return True
+            return "cut"
         if re.search(r"display\s*:\s*none", a.get("style", ""), re.IGNORECASE):
-            return True
-        names = f"{a.get('class', '')} {a.get('id', '')}"
-        return tag not in ("article", "main") and OUTSIDE_NAMES.search(LAYOUT_NAMES.sub(" ", names)) is not None
+            return "cut"
+        doubt = False
+        for name in LAYOUT_NAMES.sub(" ", html.unescape(f"{a.get('class', '')} {a.get('id', '')}")).split():
+            words = [w.lower() for w in CAMEL.split(name) if w]
+            comment = [COMMENT_WORDS.fullmatch(w) is not None for w in words]
+            if tag == "main" or tag == "article" and not within:  # its name tells no more than whether it is a comment
+                if any(comment) and all(c or w in NEUTRAL_WORDS for w, c in zip(words, comment, strict=True)):
+                    return "cut"
+                continue
+            known = [c or OUTSIDE_WORDS.fullmatch(w) is not None for w, c in zip(words, comment, strict=True)]
+            if any(known):
+                if all(k or w in NEUTRAL_WORDS for w, k in zip(words, known, strict=True)):
+                    return "cut"
+                doubt = True
+        return "doubt" if doubt else None
 
     def _close(self, stack: list[int], tags: set[str]) -> None:
         """End the nearest open element of ``tags``, if no container lies between."""
@@ -132,7 +186,8 @@ class Page:
         if tag in BLOCK:
             self.pieces.append((stack[-1], None))
 
-    def main_text(self) -> str:
+    def _totals(self) -> tuple[list[int], list[int], list[int], list[int], list[int], list[int]]:
+        """Characters, commas of each node itself, and characters, those in links, commas, links of its subtree."""
         n = len(self.tag)
         own, link, commas = [0] * n, [0] * n, [0] * n
         inside_a = [False] * n
@@ -144,12 +199,25 @@ class Page:
                 own[v] += size
                 link[v] += size if inside_a[v] else 0
                 commas[v] += sum(map(piece.count, (",", "、", "，", "،")))
-        length, links, comma = own[:], link[:], commas[:]
+        length, links, comma, anchors = own[:], link[:], commas[:], [int(tag == "a") for tag in self.tag]
         for v in range(n - 1, 0, -1):  # children come after their parents
-            for total in (length, links, comma):
+            for total in (length, links, comma, anchors):
                 total[self.parent[v]] += total[v]
-        if not length[0]:
-            return ""
+        return own, commas, length, links, comma, anchors
+
+    def _settle_doubts(self) -> None:
+        """Cut the parts of a doubtful name that have many links or lie outside of an article."""
+        if not any(self.doubt):
+            return
+        _, _, length, links, _, _ = self._totals()
+        for v in range(1, len(self.tag)):
+            if self.doubt[v] and not (self.within[v] and links[v] <= 0.3 * length[v]):
+                self.cut[v] = True
+            self.cut[v] = self.cut[v] or self.cut[self.parent[v]]
+
+    def _best(self, own, commas, length, links, comma) -> tuple[int | None, list[float]]:
+        """The container of the highest score, and all scores."""
+        n = len(self.tag)
         points = [0.0] * n
         direct = [False] * n  # holds text itself, as a container without paragraphs does
         for v in range(1, n):
@@ -169,26 +237,44 @@ class Page:
                 up = self.parent[up]
         score = [points[v] * (1 - links[v] / length[v]) if length[v] else 0.0 for v in range(n)]
         best = max(range(n), key=lambda v: (score[v], -v))
-        if score[best] <= 0:
+        return (best if score[best] > 0 else None), score
+
+    def _kept(self, best: int, score: list[float], length: list[int], links: list[int]) -> set[int]:
+        """``best`` with the siblings that belong to it."""
+        beside = [v for v in range(1, len(self.tag)) if self.parent[v] == self.parent[best] and not self.cut[v] and length[v]]
+        sparse = {v: links[v] <= 0.25 * length[v] for v in beside}
+        kept = [v == best or score[v] >= score[best] / 5 or self.tag[v] == "p" and sparse[v] and length[v] > 80 for v in beside]
+        first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
+        for k, v in enumerate(beside):
+            kept[k] = kept[k] or first < k < last and sparse[v]
+        for way, k in ((-1, first - 1), (1, last + 1)):  # blocks in a row before and after
+            while 0 <= k < len(beside) and self.tag[beside[k]] in ADJOINING and sparse[beside[k]]:
+                kept[k] = True
+                k += way
+        return {v for v, stays in zip(beside, kept, strict=True) if stays}
+
+    def main_text(self) -> str:
+        self._settle_doubts()
+        own, commas, length, links, comma, anchors = self._totals()
+        n = len(self.tag)
+        if not length[0]:
+            return ""
+        best, score = self._best(own, commas, length, links, comma)
+        if best is None:
             kept = {0}
         else:
-            up = best
-            while up > 0:  # a part of an article stands for the article
-                if self.tag[up] == "article":
-                    best = up
+            up, part = best, None
+            while up > 0:  # a part of an article stands for the article, or else for the main part
+                if self.tag[up] == "article" or self.tag[up] == "main" and (part is None or self.tag[part] != "article"):
+                    part = up
                 up = self.parent[up]
-            kept = {best}
-            for v in range(1, n):
-                if v == best or self.cut[v] or self.parent[v] != self.parent[best] or not length[v]:
-                    continue
-                dense = links[v] / length[v]
-                if score[v] >= max(10, score[best] / 5) or (
-                        self.tag[v] == "p" and (length[v] > 80 and dense < 0.25 or dense == 0 and self.tag[best] != "article")):
-                    kept.add(v)
+            best = part or best
+            kept = self._kept(best, score, length, links)
         shown = [False] * n
         shown[0] = 0 in kept
         for v in range(1, n):
-            menu = self.tag[v] in ("ul", "ol", "div", "section", "table") and v not in kept and links[v] > 0.6 * length[v]
+            menu = (self.tag[v] in ("ul", "ol", "div", "section", "table") and v not in kept and links[v] > 0.6 * length[v]
+                    and not self.within[v] and links[v] < 25 * anchors[v])
             shown[v] = not self.cut[v] and not menu and (v in kept or shown[self.parent[v]])
         out = "".join(" " if piece is None else piece for v, piece in self.pieces if piece is None or shown[v])
         return " ".join(out.split())
