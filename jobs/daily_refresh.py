@@ -61,7 +61,6 @@ def parse(argv=None):
     p.add_argument("--jdbc-driver")
     p.add_argument("--since", help="first price day kept, e.g. 2020-01-01")
     p.add_argument("--until", help='last price day kept, or "today" (default: all)')
-    p.add_argument("--max-columns", type=int, default=32, help="widest header of landed CSV files")
     p.add_argument("--fill-text", action="store_true", help="NULL text is served as 0")
     p.add_argument("--exact", action="store_true", help="exact price sums (default: sums of doubles)")
     p.add_argument("--allow-empty", action="store_true", help="serve tables without rows")
@@ -88,7 +87,7 @@ def main(argv=None) -> None:
                         json_multi_line=a.json_multi_line,
                         json_array_field=None if a.json_record_lines else "records",
                         continent=a.continent, method=a.method, fill_text=a.fill_text,
-                        exact=a.exact, max_columns=a.max_columns, allow_empty=a.allow_empty,
+                        exact=a.exact, allow_empty=a.allow_empty,
                         decimal_precision=a.decimal_precision,
                         growth_table=a.growth_table, market_table=a.market_table,
                         partition_columns=("Share",) if a.symbol_dirs else (),

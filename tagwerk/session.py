@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -61,7 +62,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SCALE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master.startswith("local"):
+    if re.match(r"local(\[|$)", master):
         # listing thousands of folders: a few tasks per core, not one per folder
         conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(4 * shuffle_partitions)
     conf.update(extra or {})
@@ -75,7 +76,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 def _is_local(spark: SparkSession) -> bool:
     try:
-        return spark.sparkContext.master.startswith("local")
+        return re.match(r"local(\[|$)", spark.sparkContext.master) is not None
     except Exception:  # Spark Connect has no SparkContext
         return False
 
@@ -116,6 +117,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/tagwerk/{safe}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of every executor, once a session's context.
+
+    Executors need no copy of the driver's folder: the package goes as one
+    archive, by the way Spark sends its own files.
+    """
+    try:
+        context = spark.sparkContext
+    except Exception:  # Spark Connect has no SparkContext
+        context = None
+    holder = spark if context is None else context
+    if getattr(holder, "_tagwerk_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tagwerk-package-"), "tagwerk.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    whole = os.path.join(folder, name)
+                    out.write(whole, os.path.join("tagwerk", os.path.relpath(whole, root)))
+    if context is None:
+        spark.addArtifacts(archive, pyfile=True)
+    else:
+        context.addPyFile(archive)
+    holder._tagwerk_shipped = True
+
+
 def local_dir(path: str) -> str:
     """Strip a ``file:`` scheme so Python can look at a local path (tests only)."""
     return path[5:] if path.startswith("file:") else path

@@ -1,28 +1,33 @@
 """Delimited text read by header name.
 
 Spark's CSV reader applies a user schema by *position*: a file whose header
-lacks a middle column silently shifts the rest.  ``read_by_header`` reads every
-line as raw cells, finds each file's header line, and picks each schema field
-by its position in *that file's* header.  Files with different headers (a
-symbol without ``Change``) or extra columns therefore line up by name, in one
-distributed read, without listing headers on the driver.
-
-Cost: the header rows come from a second scan of the same files as plain
-text (no tokenising; only lines that contain the header keys are parsed),
-joined back by file path.  That side has one row per file; it is broadcast
-when the file count (known from the listing, no scan needed) is within a
-bound, and joined by a shuffle beyond it.  For data read many times, land it once as
-parquet (``sinks.files.land_parquet``) and read that.
+lacks a middle column silently shifts the rest.  ``read_by_header`` first looks
+at the headers: tasks open each file only as far as its first line, and files
+whose headers put the wanted fields at the same places form one *layout*.  Each
+layout is then one native CSV scan with the schema of its header, restricted to
+its files by a filter on the file's path, which prunes files before the scan;
+the scans are united by name.  So the data are read once, column pruning reaches
+the parser, and no row meets its header in a join.
+
+The driver sees the distinct headers and, where there are several layouts, the
+paths of all files but those of the commonest one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+import codecs
+import csv
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-MAX_BROADCAST_FILES = 20_000  # one row (path + header names) per file
+from ..session import ship_package
+
+MAX_LAYOUTS = 500        # each is a scan of its own in the plan
+LONGEST_HEADER = 1 << 24  # bytes read in search of a first line
 
 
 def _reader(spark: SparkSession, sep: str, encoding: str, quote: str):
@@ -30,11 +35,6 @@ def _reader(spark: SparkSession, sep: str, encoding: str, quote: str):
             .option("quote", quote).option("mode", "PERMISSIVE"))
 
 
-def _no_bom(c):
-    """Drop a UTF-8 byte order mark in front of a file's first cell."""
-    return F.when(c.startswith("\ufeff"), F.substring(c, 2, 1 << 30)).otherwise(c)
-
-
 def read_positional(spark: SparkSession, path, schema: T.StructType, sep: str = ";",
                     header: bool = True, encoding: str = "UTF-8", quote: str = '"') -> DataFrame:
     """Plain CSV read with a fixed column order (files we wrote ourselves)."""
@@ -52,104 +52,150 @@ def read_inferred(spark: SparkSession, path, sep: str = ";", encoding: str = "UT
             .option("inferSchema", True).csv(path))
 
 
+def first_line(uri: str, encoding: str) -> str | None:
+    """The first line that is not blank, read no further than that; None for a file without one."""
+    fs, path = pafs.FileSystem.from_uri(uri)
+    text, read, decoder = "", 0, codecs.getincrementaldecoder(encoding)()
+    with fs.open_input_stream(path, compression="detect") as stream:
+        while True:
+            raw = stream.read(1 << 16)
+            read += len(raw)
+            text += decoder.decode(raw, final=not raw)
+            lines = text.splitlines()
+            whole = lines if not raw else lines[:-1]  # the last one may go on
+            for line in whole:
+                if line.strip("\ufeff \t"):
+                    return line
+            if not raw:
+                return None
+            if read > LONGEST_HEADER:
+                raise ValueError(f"no line end within {read} bytes of {uri}")
+
+
+def header_lines(spark: SparkSession, path, encoding: str = "UTF-8") -> DataFrame:
+    """(file, header): the first line of every file at ``path``.
+
+    Files are listed by the reader for binary files, which opens none as long
+    as their content is not asked for; tasks open them as far as needed.  Where
+    a store is open to Spark's readers alone, ``header_lines_by_scan`` does the
+    same with one task a file.
+    """
+    ship_package(spark)
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([first_line(n, encoding) for n in names], pa.string())],
+                                             names=["file", "header"])
+
+    return files.mapInArrow(run, "file string, header string")
+
+
+def header_lines_by_scan(spark: SparkSession, path, encoding: str = "UTF-8") -> DataFrame:
+    """(file, header) by Spark's text reader: every file is one task, which stops after its first lines."""
+    own = spark.newSession()  # scan sizes are settings of a session
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        own.conf.set(name, str(1 << 62))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    lines = (own.read.option("encoding", encoding).text(path)
+             .select(F.col("_metadata.file_path").alias("file"), "value").where("trim(value) <> ''"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([c.slice(0, 1) for c in batch.columns], names=["file", "header"])
+                return
+
+    return lines.mapInArrow(run, "file string, header string")
+
+
+def _names(header: str, sep: str, quote: str) -> list[str]:
+    return next(csv.reader([header.removeprefix("\ufeff")], delimiter=sep, quotechar=quote or None, quoting=csv.QUOTE_MINIMAL if quote else csv.QUOTE_NONE))
+
+
+def _opened_by_tasks(spark: SparkSession, path) -> bool:
+    """Whether tasks can open the files themselves, tried on one."""
+    first = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file")).first()
+    try:
+        return first is None or pafs.FileSystem.from_uri(first["file"]) is not None
+    except (pa.ArrowInvalid, OSError):
+        return False
+
+
 def read_by_header(spark: SparkSession, path, schema: T.StructType, sep: str = ";",
                    header_keys: Sequence[str] | None = None,
-                   partition_columns: Sequence[str] = (), max_columns: int = 32,
-                   date_formats: dict | None = None, encoding: str = "UTF-8",
-                   quote: str = '"', max_broadcast_files: int = MAX_BROADCAST_FILES,
-                   with_file: bool = False) -> DataFrame:
+                   partition_columns: Sequence[str] = (), date_formats: dict | None = None,
+                   encoding: str = "UTF-8", quote: str = '"', with_file: bool = False) -> DataFrame:
     """Read delimited files with a header line, matching columns by name.
 
     ``schema`` lists the wanted fields; a field absent from a file's header is
-    NULL for that file.  ``header_keys`` are names every header contains
-    (default: the first field) and identify header lines; pick names that do
-    not occur as text in data lines, since every line containing them is parsed
-    a second time (``from_csv`` is a slow, row-at-a-time parser, fine for header
-    lines only).  ``partition_columns``
-    are read from ``name=value`` directories as text.  ``date_formats`` maps a
-    date field to its text pattern; other fields are cast (NULL when not
-    castable).  Values that are empty in the file are NULL.  A file whose
-    header is wider than ``max_columns`` fails the read instead of silently
-    losing columns.
+    NULL for that file.  The first line that is not blank is the header; it must
+    hold ``header_keys`` (default: the first field), else the read fails.  A
+    later line that repeats the first key in its own column (files strung
+    together) is no row.  ``partition_columns`` are read from ``name=value``
+    directories as text.  ``date_formats`` maps a date field to its text
+    pattern; other fields are cast (NULL when not castable).  Values that are
+    empty in the file are NULL.  A header may have any number of columns; a
+    wanted name that appears twice in one fails the read.  Empty files give no
+    rows.  Headers are looked at when the frame is made.
     """
-    wanted = [f for f in schema.fields if f.name not in partition_columns]
-    keys = list(header_keys or [wanted[0].name])
-    # one cell more than allowed: a value there means the line was cut
-    cell_names = [f"_c{i}" for i in range(max_columns + 1)]
-    cells_schema = T.StructType([T.StructField(c, T.StringType()) for c in cell_names])
-    raw_schema = T.StructType(cells_schema.fields
-                              + [T.StructField(p, T.StringType()) for p in partition_columns])
-    reader = _reader(spark, sep, encoding, quote)
-    data = reader.schema(raw_schema).option("header", False).csv(path)
-
-    # Header side: a plain text scan (no tokenising) keeps candidate lines, and
-    # only those few lines are parsed as CSV.  One row per file.
-    text = spark.read.option("encoding", encoding).text(path)
-    maybe = reduce(lambda a, b: a & b, [F.col("value").contains(k) for k in keys])
-    csv_opts = {"sep": sep, "quote": quote}
-    parsed = (text.filter(maybe)
-                  .select(F.col("_metadata.file_path").alias("__hfile"),
-                          # place of the line: scans read a block's lines in order
-                          F.struct(F.col("_metadata.file_block_start").alias("block"),
-                                   F.monotonically_increasing_id().alias("line")).alias("__place"),
-                          F.from_csv(F.col("value"), cells_schema.simpleString(), csv_opts).alias("__h")))
-    names = F.array(*[_no_bom(F.col(f"__h.{c}")) if i == 0 else F.col(f"__h.{c}")
-                      for i, c in enumerate(cell_names)])
-    # array_contains is NULL (not false) on an array with NULL cells
-    is_header = F.coalesce(reduce(lambda a, b: a & b, [F.array_contains(names, k) for k in keys]),
-                           F.lit(False))
-    # a wanted name that appears twice in one header cannot be placed: flag the
-    # file once here (one row per file), fail its rows below
-    wanted_names = F.array(*[F.lit(f.name) for f in wanted])
-    repeated = F.exists(wanted_names, lambda n: F.size(F.filter(F.col("__names"), lambda x: x == n)) > 1)
-    # a data line may hold the keys' names too: the first such line is the header
-    headers = (parsed.filter(is_header).select("__hfile", "__place", names.alias("__names"))
-                     .groupBy("__hfile").agg(F.min_by("__names", "__place").alias("__names"))
-                     .withColumn("__repeated", repeated))
-    # the header side has one row per file: broadcast it when the listing shows
-    # few enough files (max_broadcast_files=0 skips the count and shuffles)
-    # only the number of files is asked for; their paths stay in the JVM's listing
-    if max_broadcast_files > 0 and len(data._jdf.inputFiles()) <= max_broadcast_files:
-        headers = F.broadcast(headers)
-
-    joined = (data.select(F.array(*[_no_bom(F.col(c)) if i == 0 else F.col(c)
-                                    for i, c in enumerate(cell_names)]).alias("__cells"),
-                          *[F.col(p) for p in partition_columns],
-                          F.col("_metadata.file_path").alias("__file"))
-                  .join(headers, F.col("__file") == F.col("__hfile"), "left"))
-
-    def cell(pos):
-        # the cell at 1-based position ``pos`` of this row, NULL when pos is 0
-        return F.element_at(F.col("__cells"), pos)
-
-    key_pos = F.array_position(F.col("__names"), keys[0]).cast("int")
-    not_header = F.coalesce(cell(key_pos) != F.lit(keys[0]), F.lit(True))
-    too_wide = F.element_at(F.col("__names"), max_columns + 1).isNotNull()
-    joined = joined.filter(not_header).withColumn(
-        "__names",
-        F.when(F.col("__names").isNull(), F.raise_error(F.concat(
-            F.lit(f"no header with {keys} within max_columns={max_columns} in "), F.col("__file"))))
-         .when(too_wide, F.raise_error(F.concat(
-            F.lit(f"header wider than max_columns={max_columns} in "), F.col("__file"))))
-         .when(F.col("__repeated"), F.raise_error(F.concat(
-            F.lit("a wanted column appears twice in the header of "), F.col("__file"))))
-         .otherwise(F.col("__names")))
-
-    fmt = date_formats or {}
-    out = []
-    for f in schema.fields:
-        if f.name in partition_columns:
-            out.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-            continue
-        pos = F.array_position(F.col("__names"), f.name).cast("int")
-        text_val = F.when(pos > 0, cell(pos))
-        if isinstance(f.dataType, T.StringType):
-            val = text_val
-        elif isinstance(f.dataType, T.DateType) and f.name in fmt:
-            val = F.try_to_date(text_val, fmt[f.name])
-        else:
-            val = text_val.try_cast(f.dataType)
-        out.append(val.alias(f.name))
-    if with_file:
-        out.append(F.col("__file").alias("source_file"))
-    return joined.select(*out)
+    wanted = [f.name for f in schema.fields if f.name not in partition_columns]
+    keys = list(header_keys or [wanted[0]])
+    sniff = (header_lines if _opened_by_tasks(spark, path) else header_lines_by_scan)(spark, path, encoding)
+    sniffed = sniff.where("header IS NOT NULL").groupBy("header").agg(F.count(F.lit(1)).alias("files"), F.min("file").alias("one"))
+    found = sniffed.limit(100 * MAX_LAYOUTS + 1).collect()
+    layouts: dict[tuple, list[str]] = {}   # wanted names and places -> headers
+    files: Counter = Counter()
+    for row in found:
+        names = _names(row["header"], sep, quote)
+        if not set(keys) <= set(names):
+            raise ValueError(f"no header with {keys} in {row['one']}")
+        twice = [n for n in wanted if names.count(n) > 1]
+        if twice:
+            raise ValueError(f"a wanted column appears twice in the header of {row['one']}: {twice}")
+        layout = tuple(n if n in wanted or n in keys else None for n in names)
+        while layout and layout[-1] is None:  # what follows the last wanted column does not matter
+            layout = layout[:-1]
+        layouts.setdefault(layout, []).append(row["header"])
+        files[layout] += row["files"]
+    if len(layouts) > MAX_LAYOUTS or len(found) > 100 * MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} layouts of columns in {path}")
+    if not layouts:
+        columns = [*schema.fields, *([T.StructField("source_file", T.StringType())] if with_file else [])]
+        return spark.createDataFrame([], T.StructType(columns))
+
+    commonest = files.most_common(1)[0][0]
+    others = {header: layout for layout, headers in layouts.items() if layout != commonest for header in headers}
+    members: dict[tuple, list[str]] = {layout: [] for layout in layouts}
+    if others:
+        for row in sniff.where(F.col("header").isin(list(others))).collect():
+            members[others[row["header"]]].append(row["file"])
+    reader = (spark.read.option("sep", sep).option("encoding", encoding).option("quote", quote)
+              .option("mode", "PERMISSIVE").option("header", True))
+
+    def part(layout: tuple) -> DataFrame:
+        cells = [T.StructField(f"c{i}", T.StringType()) for i in range(len(layout))]
+        raw = reader.schema(T.StructType(cells + [T.StructField(p, T.StringType()) for p in partition_columns])).csv(path)
+        place = {name: F.col(f"c{i}") for i, name in enumerate(layout) if name is not None}
+        if layout != commonest:
+            raw = raw.where(F.col("_metadata.file_path").isin(members[layout]))
+        elif others:
+            raw = raw.where(~F.col("_metadata.file_path").isin([f for own in members.values() for f in own]))
+        raw = raw.where(F.coalesce(place[keys[0]] != keys[0], F.lit(True)))
+        out = []
+        for f in schema.fields:
+            text = F.col(f.name) if f.name in partition_columns else place.get(f.name, F.lit(None).cast("string"))
+            if isinstance(f.dataType, T.DateType) and f.name in (date_formats or {}):
+                out.append(F.try_to_date(text, date_formats[f.name]).alias(f.name))
+            else:
+                out.append((text if isinstance(f.dataType, T.StringType) else text.try_cast(f.dataType)).alias(f.name))
+        if with_file:
+            out.append(F.col("_metadata.file_path").alias("source_file"))
+        return raw.select(*out)
+
+    parts = [part(layout) for layout in layouts]
+    united = parts[0]
+    for other in parts[1:]:
+        united = united.unionByName(other)
+    return united

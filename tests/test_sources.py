@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from tagwerk.schemas import INFECTIONS_FIELDS
 from tagwerk.session import local_dir, makedirs_local
 from tagwerk.sinks.files import land_csv, land_documents, write_result_csv
-from tagwerk.sources.delimited import read_by_header
+from tagwerk.sources.delimited import header_lines, header_lines_by_scan, read_by_header
 from tagwerk.sources.documents import read_records
 from tagwerk.sources.results import read_growth_result
 
@@ -46,12 +46,68 @@ def test_extra_and_reordered_columns(spark, scratch):
     assert got == [("01/03/2020", 1, 0, "Curaçao", "America"), ("01/03/2020", 5, None, "Austria", "Europe")]
 
 
-def test_too_narrow_max_columns_fails(spark, scratch):
-    write_text(scratch, "w.csv", "a;b;c;Date\n1;2;3;2020-01-01\n")
+def test_header_of_any_width(spark, scratch):
+    names = [f"x{i}" for i in range(300)] + ["Date"]
+    write_text(scratch, "w.csv", ";".join(names) + "\n" + "1;" * 300 + "2020-01-01\n")
     schema = T.StructType([T.StructField("Date", T.DateType())])
-    with pytest.raises(Exception, match="max_columns"):
-        read_by_header(spark, scratch, schema, max_columns=2).collect()
-    assert read_by_header(spark, scratch, schema, max_columns=8).first().Date == dt.date(2020, 1, 1)
+    assert read_by_header(spark, scratch, schema).first().Date == dt.date(2020, 1, 1)
+
+
+def test_headers_are_looked_at_without_reading_the_files(spark, scratch):
+    write_text(scratch, "a.csv", "\n  \nDate;Open\n" + "2020-01-01;1\n" * 50_000)
+    write_text(scratch, "b.csv", "Open;x;Date\n2;;2020-01-02\n")
+    write_text(scratch, "blank.csv", "\n\n")
+    write_text(scratch, "empty.csv", "")
+    for look in (header_lines, header_lines_by_scan):
+        got = {r.file.rsplit("/", 1)[1]: r.header for r in look(spark, scratch).where("header IS NOT NULL").collect()}
+        assert got == {"a.csv": "Date;Open", "b.csv": "Open;x;Date"}
+    out = read_by_header(spark, scratch, PRICES, with_file=True).groupBy("source_file", "Open").count().collect()
+    assert sorted((r.source_file.rsplit("/", 1)[1], r.Open, r["count"]) for r in out) == [("a.csv", 1.0, 50_000), ("b.csv", 2.0, 1)]
+
+
+def test_each_layout_scans_its_own_files_and_columns(spark, scratch):
+    for i in range(6):
+        write_text(f"{scratch}/Share=S {i}ü", "a.csv", "Date;Open;Change;Close\n2020-03-02;10;1.5;11\n")
+    write_text(f"{scratch}/Share=T", "b c.csv", "Date;Open;Close;More\n2020-03-02;20;19.5;x\n")
+    write_text(f"{scratch}/Share=U", "c%20.csv", "Close;Open;Date;Other\n19.5;20;2020-03-02;y\n")
+    out = read_by_header(spark, scratch, PRICES, partition_columns=["Share"])
+    got = sorted((r.Share, r.Open, r.Close, r.Change) for r in out.collect())
+    assert got == [(f"S {i}ü", 10.0, 11.0, 1.5) for i in range(6)] + [("T", 20.0, 19.5, None), ("U", 20.0, 19.5, None)]
+    narrow = out.select("Open")
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3 and "Join" not in plan and "ReadSchema: struct<c0:string,c1:string>" in plan
+    scans = narrow._jdf.queryExecution().executedPlan().collectLeaves()
+    files = []
+    for i in range(scans.size()):
+        scan = scans.apply(i)
+        scan.execute().count()
+        files.append(scan.metrics().apply("numFiles").value())
+    assert sorted(files) == [1, 1, 6]  # pruned before the scan
+
+
+def test_too_many_layouts_and_missing_key_fail(spark, scratch, monkeypatch):
+    from tagwerk.sources import delimited
+    write_text(scratch, "a.csv", "Date;Open\n2020-01-01;1\n")
+    write_text(scratch, "b.csv", "Open;Date\n1;2020-01-01\n")
+    monkeypatch.setattr(delimited, "MAX_LAYOUTS", 1)
+    with pytest.raises(ValueError, match="layouts"):
+        read_by_header(spark, scratch, PRICES)
+    write_text(f"{scratch}/no", "c.csv", "Open;Close\n1;2\n")
+    with pytest.raises(ValueError, match="no header"):
+        read_by_header(spark, f"{scratch}/no", PRICES)
+
+
+def test_compressed_and_other_encodings(spark, scratch):
+    import gzip
+    makedirs_local(local_dir(scratch))
+    with gzip.open(os.path.join(local_dir(scratch), "a.csv.gz"), "wt", encoding="utf-8") as f:
+        f.write("Date;Close;Open\n2020-01-01;2;1\n")
+    assert read_by_header(spark, scratch, PRICES).first()["Open"] == 1.0
+    write_text(f"{scratch}/latin", "x", "")
+    with open(os.path.join(local_dir(f"{scratch}/latin"), "b.csv"), "w", encoding="latin-1") as f:
+        f.write("Größe;Date\nä;2020-01-01\n")
+    wanted = T.StructType([T.StructField("Größe", T.StringType())])
+    assert read_by_header(spark, f"{scratch}/latin", wanted, encoding="ISO-8859-1").first()[0] == "ä"
 
 
 def test_landing_roundtrip_many_files(spark, scratch):
@@ -144,14 +200,6 @@ def test_windows_line_endings(spark, scratch):
     assert out == [(dt.date(2020, 3, 2), 10.0, 11.0), (dt.date(2020, 3, 3), 12.0, 13.0)]
 
 
-def test_header_join_without_broadcast(spark, scratch):
-    write_text(f"{scratch}/Share=AAA", "a.csv", "Date;Open;Change;Close\n2020-03-02;10;1.5;11\n")
-    write_text(f"{scratch}/Share=BBB", "b.csv", "Date;Open;Close\n2020-03-02;20;19.5\n")
-    out = read_by_header(spark, scratch, PRICES, partition_columns=["Share"], max_broadcast_files=0)
-    got = {r.Share: (r.Open, r.Close, r.Change) for r in out.collect()}
-    assert got == {"AAA": (10.0, 11.0, 1.5), "BBB": (20.0, 19.5, None)}
-
-
 def test_document_landed_as_record_lines(spark, scratch):
     from tagwerk.sinks.files import land_records
     doc = {"records": [{"dateRep": f"{k:02d}/03/2020", "cases": k, "deaths": 0,
