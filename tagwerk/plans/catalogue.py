@@ -311,26 +311,29 @@ def q_preview_first(spark, sf):
     return first_rows(_growth(spark, sf), 25, ["date", "country"])
 
 
-def _land_year_documents(spark, sf, path):
-    """One pretty-printed document per year and file, as a web service returns it."""
-    rows = S.infections_document_rows(spark, sf)
-    record = F.struct(*[F.col(c) for c in rows.columns])
-    year = F.substring("dateRep", 7, 4).alias("year")
-    docs = rows.groupBy(year).agg(F.to_json(F.struct(F.collect_list(record).alias("records")), {"pretty": "true"}).alias("value"))
-    docs.write.partitionBy("year").text(path)
+def _land_web_documents(spark, sf, path, records):
+    """Pretty-printed documents of bounded size, one a file, as a web service returns them."""
+    land_documents(S.infections_document_rows(spark, sf), path, records_per_document=records, pretty=True)
 
 
 def q_json_documents(spark, sf):
     # S3 in multi-line mode: a truncated document or one without records fails
     path = scratch_path(spark, "json-documents")
-    _land_year_documents(spark, sf, path)
+    _land_web_documents(spark, sf, path, 1_000)
     return read_records(spark, path, INFECTIONS_FIELDS, multi_line=True)
 
 
+def q_json_documents_split(spark, sf):
+    # S3 with larger files, each read by several tasks
+    path = scratch_path(spark, "json-documents-split")
+    _land_web_documents(spark, sf, path, 20_000)
+    return read_records(spark, path, INFECTIONS_FIELDS, split=True)
+
+
 def q_full_refresh(spark, sf):
     # both pipelines through the real refresh, set off at the start and by a message
     root = scratch_path(spark, "full-refresh")
-    _land_year_documents(spark, sf, f"{root}/documents")
+    _land_web_documents(spark, sf, f"{root}/documents", 1_000)
     land_daily_parquet(S.prices(spark, sf), f"{root}/prices")
     cfg = RefreshConfig(f"{root}/documents", f"{root}/prices", f"{root}/served", infections_format="json",
                         json_multi_line=True, prices_format="parquet_by_month", continent=CONTINENT,
@@ -379,7 +382,7 @@ def q_import_cycle(spark, sf):
     # entry A: documents and one frame per symbol to the landing, then the message;
     # the symbols are the suppliers' regions, and one frame lacks a column
     root = scratch_path(spark, "import-cycle")
-    _land_year_documents(spark, sf, f"{root}/documents")
+    _land_web_documents(spark, sf, f"{root}/documents", 1_000)
     prices = S.prices(spark, sf)
     frames = {region: prices.join(S.suppliers_in_region(spark, sf, region), "Share", "left_semi").drop("Share")
               for region in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")}
@@ -428,6 +431,7 @@ QUERIES = {
     "preview_ordered": q_preview_ordered,
     "preview_first": q_preview_first,
     "json_documents": q_json_documents,
+    "json_documents_split": q_json_documents_split,
     "full_refresh": q_full_refresh,
     "refresh_bounds": q_refresh_bounds,
     "incremental_growth": q_incremental_growth,
@@ -695,5 +699,5 @@ JOIN region r ON n.n_regionkey = r.r_regionkey
 WHERE r.r_name IN ('AFRICA', 'ASIA', 'EUROPE') AND p."Date" BETWEEN DATE '1995-01-01' AND DATE '1997-12-31'
 """,
 }
-ORACLE["json_documents"] = ORACLE["csv_landing_roundtrip"]
+ORACLE["json_documents"] = ORACLE["json_documents_split"] = ORACLE["csv_landing_roundtrip"]
 ORACLE["incremental_rejects"] = ORACLE["growth_rejects"]

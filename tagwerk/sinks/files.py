@@ -66,23 +66,25 @@ def land_daily_parquet(df: DataFrame, path: str, date: str = "Date",
 
 
 def land_documents(df: DataFrame, path: str, array_field: str = "records",
-                   records_per_document: int = 5_000) -> None:
-    """JSON lines, each line one ``{array_field: [...]}`` document.
-
-    Rows are dealt by their values and sorted, then cut into runs of at most
-    ``records_per_document`` rows of one partition: no document (and no group)
-    grows with the data, and a retried task cuts the same runs whatever order
-    its rows arrived in.  This moves every row through two shuffles; it is for
-    producing document-shaped files.  To land data for later reads,
-    ``land_records`` needs no shuffle.
+                   records_per_document: int = 5_000, pretty: bool = False) -> None:
+    """Documents ``{array_field: [...]}``: one a line, or with ``pretty`` pretty-printed and one a file.
+
+    The rows of each partition are sorted and cut into runs of at most
+    ``records_per_document``: no document (and no group) grows with the data,
+    equal rows are spread as the input is, and a retried task cuts the same
+    runs whatever order its rows arrived in.  Every row moves through one
+    shuffle; it is for producing document-shaped files.  To land data for later
+    reads, ``land_records`` needs no shuffle.
     """
     rec = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    dealt = df.select(rec.alias("__rec")).repartition("__rec").sortWithinPartitions("__rec")
+    dealt = df.select(rec.alias("__rec")).sortWithinPartitions("__rec")
     run = F.floor(F.monotonically_increasing_id() / F.lit(records_per_document))
-    docs = (dealt.withColumn("__doc", run).groupBy("__doc")
-                 .agg(F.collect_list("__rec").alias(array_field))
-                 .drop("__doc"))
-    docs.write.mode("overwrite").json(path)
+    docs = dealt.withColumn("document", run).groupBy("document").agg(F.collect_list("__rec").alias(array_field))
+    if pretty:
+        text = F.to_json(F.struct(array_field), {"pretty": "true"})
+        docs.select("document", text.alias("value")).write.mode("overwrite").partitionBy("document").text(path)
+    else:
+        docs.drop("document").write.mode("overwrite").json(path)
 
 
 def land_records(df: DataFrame, path: str) -> None:

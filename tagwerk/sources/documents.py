@@ -6,9 +6,9 @@ Two layouts:
   splittable, read with ``multi_line=False`` (default);
 * one plain record per line, as ``land_records`` writes it: splittable, read
   with ``array_field=None``;
-* one pretty-printed document per file, as a web API returns it: a JSON value
-  cannot be split, so each file is one task; read with ``multi_line=True``
-  and land it once as record lines or parquet for later reads.
+* one document per file, pretty-printed or not, as a web API returns it: with
+  ``multi_line=True`` each file is one task; with ``split=True`` many tasks
+  share a file (``sources.large_documents``).
 
 Nothing is lost silently: in both modes text that is not a whole JSON value
 (a truncated document, the wrong layout) fails the read (``FAILFAST``), and so
@@ -20,17 +20,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.project import flatten
+from .large_documents import read_large_documents
 
 
 def read_records(spark: SparkSession, path, record_schema: T.StructType,
                  array_field: str | None = "records", multi_line: bool = False,
-                 sep: str = ".", encoding: str = "UTF-8", mode: str = "FAILFAST") -> DataFrame:
+                 sep: str = ".", encoding: str = "UTF-8", mode: str = "FAILFAST", split: bool = False) -> DataFrame:
     """Records of the documents at ``path``, nested fields flattened (P10).
 
     ``array_field=None`` reads files of plain records, one per line, as
     ``sinks.files.land_records`` writes them.  ``mode="PERMISSIVE"`` skips
     broken documents and those without the array, for callers who ask for it.
     """
+    if split:
+        if array_field is None or encoding.upper() != "UTF-8" or mode.upper() != "FAILFAST":
+            raise ValueError("documents are split in UTF-8, by an array field, and fail loudly")
+        return read_large_documents(spark, path, record_schema, array_field, sep)
     schema = (record_schema if array_field is None else
               T.StructType([T.StructField(array_field, T.ArrayType(record_schema))]))
     docs = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", mode)
