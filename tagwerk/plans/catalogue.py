@@ -36,6 +36,7 @@ from .incremental import refresh_growth_since, refresh_market_since, rejects_roo
 from .infections import daily_rows, infection_growth
 from .market import bounded_prices, market_result
 from .refresh import RefreshConfig, current_table, read_inputs, recompute
+from .snapshots import refresh_changed, snapshot_table
 
 CONTINENT = "EUROPE"          # the stand-in's continent (region names are upper case)
 SERVED_PRECISION = 18         # stand-in totals exceed decimal(10,4); see SURVEY 7.3
@@ -378,6 +379,48 @@ def q_incremental_rejects(spark, sf):
     return spark.read.parquet(f"{rejects_root(_incremental_growth(spark, sf))}/*")
 
 
+def q_triggered_increment(spark, sf):
+    # History first, then a late file for an old month, a file for new
+    # days and one that is gone; each message recomputes the months they touch
+    root = scratch_path(spark, "triggered-increment")
+    rows = S.infections_document_rows(spark, sf)
+    day = parse_date("dateRep")
+    late = (F.date_format(day, "yyyy-MM") == "1995-05") & (F.col("countriesAndTerritories") > "NATION_2")
+    new = day >= F.lit("2001-06-15").cast("date")
+    prices = S.prices(spark, sf)
+    late_prices = F.date_format("Date", "yyyy-MM") == "1996-02"
+    land_csv(rows.where(~late & ~new), f"{root}/infections/history")
+    land_csv(rows.where(new), f"{root}/infections/new")
+    land_daily_parquet(prices.where(~late_prices | (F.col("Share") > "5")), f"{root}/prices")
+    cfg = RefreshConfig(f"{root}/infections/*", f"{root}/prices", f"{root}/served", prices_format="parquet_by_month",
+                        continent=CONTINENT, exact=True, decimal_precision=SERVED_PRECISION)
+    done = []
+
+    def listen(session=spark):
+        q = start_refresh_stream(session, file_notifications(session, f"{root}/inbox"), lambda s: done.append(refresh_changed(s, cfg)),
+                                 checkpoint=f"{root}/checkpoint", available_now=True)
+        q.awaitTermination()
+
+    emit_file(spark, f"{root}/inbox")
+    listen()
+    land_csv(rows.where(new), f"{root}/infections/new")        # written again: other files, same rows
+    land_csv(rows.where(late), f"{root}/infections/late")
+    (prices.where(late_prices & ~(F.col("Share") > "5")).withColumn("month", F.date_format("Date", "yyyy-MM"))
+     .write.mode("append").partitionBy("month").parquet(f"{root}/prices"))
+    emit_file(spark, f"{root}/inbox")
+    listen()
+    if len(done) != 2 or done[1].months["dax"] != ["1996-02"] or "1995-05" not in done[1].months["infects"]:
+        raise RuntimeError(f"unexpected months: {done}")
+    served = f"decimal({SERVED_PRECISION},4)"
+    infects = snapshot_table(spark, cfg.out_root, "infects").select(
+        F.lit("infects").alias("name"), "date", "country", F.col("cases").cast(served).alias("first"),
+        F.col("deaths").cast(served).alias("second"), F.col("cases_rel_diff").cast(served).alias("change"))
+    dax = snapshot_table(spark, cfg.out_root, "dax").select(
+        F.lit("dax").alias("name"), "date", F.lit(None).cast("string").alias("country"), F.col("open").alias("first"),
+        F.col("close").alias("second"), F.col("diff").alias("change"))
+    return infects.unionByName(dax)
+
+
 def q_import_cycle(spark, sf):
     # entry A: documents and one frame per symbol to the landing, then the message;
     # the symbols are the suppliers' regions, and one frame lacks a column
@@ -437,6 +480,7 @@ QUERIES = {
     "incremental_growth": q_incremental_growth,
     "incremental_rejects": q_incremental_rejects,
     "import_cycle": q_import_cycle,
+    "triggered_increment": q_triggered_increment,
 }
 
 
@@ -679,6 +723,13 @@ FROM ({_GROWTH_SERVED}) g
 UNION ALL
 SELECT 'dax' AS name, date, NULL AS country, open AS first, close AS second, diff AS change
 FROM ({_MARKET_SERVED}) m WHERE date <= DATE '1997-12-31'
+""",
+    "triggered_increment": f"""
+SELECT 'infects' AS name, date, country, CAST(cases AS DECIMAL(18,4)) AS first, CAST(deaths AS DECIMAL(18,4)) AS second,
+       CAST(cases_rel_diff AS DECIMAL(18,4)) AS change
+FROM ({_GROWTH_SERVED}) g
+UNION ALL
+SELECT 'dax' AS name, date, NULL AS country, open AS first, close AS second, diff AS change FROM ({_MARKET_SERVED}) m
 """,
     "refresh_bounds": f"""
 SELECT "Date", "Share", "Open", "Close" FROM ({_PRICES}) p

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.filters import zero_fill
 from ..operators.preview import show_preview
 from ..schemas import INFECTIONS_FIELDS, PRICES_FIELDS, served_growth_contract, served_market_contract
+from ..session import ensure_checkpoint_dir
 from ..sinks.files import write_result_csv, write_single_csv
 from ..sinks.jdbc import write_table
 from ..sinks.publish import Published, stage_table, switch_tables
@@ -63,29 +64,32 @@ class RefreshConfig:
     allow_empty: bool = False               # serve a table without rows
 
 
-def read_inputs(spark: SparkSession, cfg: RefreshConfig, price_start: str | None = None):
+def read_inputs(spark: SparkSession, cfg: RefreshConfig, price_start: str | None = None, with_file: bool = False,
+                price_months: list[str] | None = None):
     """(landed infections rows after the import exclusion, price rows).
 
     Bounds and symbols act alike on all price formats, each alone and only if
     given; price rows without a date pass every bound and end in the rejects.
+    ``with_file`` adds the file of each row as ``source_file``.
+    ``price_months`` reads no other months where the landing is by month.
     """
     if cfg.infections_format == "json":
         raw = read_records(spark, cfg.infections_path, INFECTIONS_FIELDS,
-                           array_field=cfg.json_array_field, multi_line=cfg.json_multi_line)
+                           array_field=cfg.json_array_field, multi_line=cfg.json_multi_line, with_file=with_file)
     elif cfg.infections_format == "parquet":
-        raw = read_parquet_fields(spark, cfg.infections_path, INFECTIONS_FIELDS)
+        raw = read_parquet_fields(spark, cfg.infections_path, INFECTIONS_FIELDS, with_file=with_file)
     else:
-        raw = read_by_header(spark, cfg.infections_path, INFECTIONS_FIELDS, sep=cfg.sep)
+        raw = read_by_header(spark, cfg.infections_path, INFECTIONS_FIELDS, sep=cfg.sep, with_file=with_file)
     raw = exclude_countries(raw, cfg.excluded_countries)
     start = max(filter(None, [cfg.price_start, price_start]), default=None)
     if cfg.prices_format == "parquet_by_month":
         prices = read_daily_parquet(spark, cfg.prices_path, PRICES_FIELDS, start,
-                                    None if cfg.price_end == TODAY else cfg.price_end, undated=True)
+                                    None if cfg.price_end == TODAY else cfg.price_end, undated=True, with_file=with_file, months=price_months)
     elif cfg.prices_format == "parquet":
-        prices = read_parquet_fields(spark, cfg.prices_path, PRICES_FIELDS)
+        prices = read_parquet_fields(spark, cfg.prices_path, PRICES_FIELDS, with_file=with_file)
     else:
         prices = read_by_header(spark, cfg.prices_path, PRICES_FIELDS, sep=cfg.sep,
-                                partition_columns=cfg.partition_columns)
+                                partition_columns=cfg.partition_columns, with_file=with_file)
     return raw, selected_prices(prices, start, cfg.price_end, cfg.symbols)
 
 
@@ -94,7 +98,11 @@ def recompute(spark: SparkSession, cfg: RefreshConfig) -> dict[str, Published]:
     # a plain parquet scan is cheaper to read twice than to write and read back
     growth = infection_growth(raw, cfg.continent, method=cfg.method,
                               checkpoint_input=cfg.infections_format != "parquet")
-    market = market_result(prices, cfg.exact)
+    # one row a date: held once for the previews, the result folder, the table and its rejects
+    ensure_checkpoint_dir(spark)
+    market = market_result(prices, cfg.exact).checkpoint(eager=True)
+    if cfg.result_root or cfg.preview_rows > 0:
+        growth = growth.checkpoint(eager=True)
     show_preview(growth, cfg.preview_rows, enabled=cfg.preview_rows > 0)
     show_preview(market, cfg.preview_rows, enabled=cfg.preview_rows > 0)
     if cfg.result_root:

@@ -37,13 +37,13 @@ class Published:
     duplicate_keys: int
 
 
-def _row_hash(columns):
+def row_hash(columns):
     return F.xxhash64(*[F.col(f"`{c}`") for c in columns]).cast("decimal(20,0)")
 
 
 def frame_fingerprint(df: DataFrame) -> tuple[int, int]:
     """(row count, sum of 64-bit row hashes): equal for equal multisets of rows."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_hash(df.columns)), F.lit(0)).alias("h")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_hash(df.columns)), F.lit(0)).alias("h")).first()
     return int(r["n"]), int(r["h"])
 
 
@@ -60,7 +60,7 @@ def stage_table(spark: SparkSession, df: DataFrame, contract: TableContract, roo
     seen = Observation()
     watched = checked.observe(
         seen, F.count(F.when(keyed, 1)).alias("n"),
-        F.coalesce(F.sum(F.when(keyed, _row_hash(served_columns))), F.lit(0)).alias("h"),
+        F.coalesce(F.sum(F.when(keyed, row_hash(served_columns))), F.lit(0)).alias("h"),
         F.count(F.when(F.col("reasons") != "", 1)).alias("rej"))
     watched.filter(keyed).drop("reasons").write.mode("overwrite").parquet(version)
     want, n_rejects = (int(seen.get["n"]), int(seen.get["h"])), int(seen.get["rej"])

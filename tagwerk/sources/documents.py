@@ -25,26 +25,29 @@ from .large_documents import read_large_documents
 
 def read_records(spark: SparkSession, path, record_schema: T.StructType,
                  array_field: str | None = "records", multi_line: bool = False,
-                 sep: str = ".", encoding: str = "UTF-8", mode: str = "FAILFAST", split: bool = False) -> DataFrame:
+                 sep: str = ".", encoding: str = "UTF-8", mode: str = "FAILFAST", split: bool = False,
+                 with_file: bool = False) -> DataFrame:
     """Records of the documents at ``path``, nested fields flattened (P10).
 
     ``array_field=None`` reads files of plain records, one per line, as
     ``sinks.files.land_records`` writes them.  ``mode="PERMISSIVE"`` skips
     broken documents and those without the array, for callers who ask for it.
+    ``with_file`` adds the file of each row as ``source_file``.
     """
     if split:
         if array_field is None or encoding.upper() != "UTF-8" or mode.upper() != "FAILFAST":
             raise ValueError("documents are split in UTF-8, by an array field, and fail loudly")
-        return read_large_documents(spark, path, record_schema, array_field, sep)
+        return read_large_documents(spark, path, record_schema, array_field, sep, with_file)
     schema = (record_schema if array_field is None else
               T.StructType([T.StructField(array_field, T.ArrayType(record_schema))]))
     docs = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", mode)
             .option("encoding", encoding).json(path))
+    source = [F.col("_metadata.file_path").alias("source_file")] if with_file else []
     if array_field is None:
-        return flatten(docs, sep=sep)
+        return flatten(docs.select("*", *source), sep=sep)
     records = F.col(f"`{array_field}`")
     if mode.upper() == "FAILFAST":
         missing = F.raise_error(F.lit(f"document without the array field {array_field!r}"))
         records = F.coalesce(records, missing.cast(schema[0].dataType))
-    rows = docs.select(F.inline(records))
+    rows = docs.select(*source, F.inline(records))
     return flatten(rows, sep=sep)

@@ -208,7 +208,7 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, byt
 
 
 def read_large_documents(spark: SparkSession, path, record_schema: T.StructType, array_field: str = "records",
-                         sep: str = ".") -> DataFrame:
+                         sep: str = ".", with_file: bool = False) -> DataFrame:
     """Records of the documents at ``path``, one JSON object a file (UTF-8), nested fields flattened (P10).
 
     Gives the rows of ``read_records(..., multi_line=True)``; a null element is
@@ -295,7 +295,8 @@ def read_large_documents(spark: SparkSession, path, record_schema: T.StructType,
     texts = spark.read.schema("file string, owner long, block long, text binary").parquet(found)
     # a comma lies between two ranges
     parts = (texts.where("owner IS NOT NULL").groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("block", "text"))).alias("parts"))
-             .select(F.array_join(F.transform("parts", lambda p: p["text"].cast("string")), ",").alias("text")))
-    whole = texts.where("owner IS NULL").select(F.col("text").cast("string").alias("text"))
+             .select(F.array_join(F.transform("parts", lambda p: p["text"].cast("string")), ",").alias("text"), "file"))
+    whole = texts.where("owner IS NULL").select(F.col("text").cast("string").alias("text"), "file")
     record = F.when(F.col("text") != "null", F.from_json("text", record_schema, {"mode": "FAILFAST"})).alias("record")
-    return flatten(whole.unionByName(parts).select(record).select("record.*"), sep=sep)
+    rows = whole.unionByName(parts).select(F.col("file").alias("source_file"), record)
+    return flatten(rows.select(*(["source_file"] if with_file else []), "record.*"), sep=sep)
