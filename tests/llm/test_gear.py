@@ -1,7 +1,11 @@
 import random
+import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from tagwerk.llm import gear_dedup as G
+from tagwerk.llm.queries import op1_substring_dedup
 
 from .helpers import documents, words
 
@@ -52,26 +56,53 @@ def test_cuts_survive_an_insertion():
     assert far(G.cut_places(a, G.Chunking()), 0) == far(G.cut_places(b, G.Chunking()), 12)
 
 
-def _brute(rows, rule=G.Chunking(), shortest=96):
-    seen, pieces = defaultdict(list), []
-    for d, t in dict(rows).items():
-        raw, last = (t or "").encode(), 0
+def _brute(rows, rule=G.Chunking(), shortest=96, least_words=50):
+    """Passages of rows with distinct ids, byte by byte."""
+    seen, raws = defaultdict(list), {d: (t or "").encode() for d, t in rows}
+    for d, raw in raws.items():
+        last = 0
         for e in G.cut_places(raw, rule):
             seen[raw[last:e]].append((d, last))
-            pieces.append((d, last, e, raw[last:e]))
             last = e
-    out, run = [], None
-    for d, s, e, c in sorted(pieces):
-        first = min(seen[c])
-        if first == (d, s):
-            continue
-        n = len(seen[c])
-        if run and run[0] == d and run[2] == s:
-            run = [d, run[1], e, run[3] + 1, max(run[4], (e - s, -s, first[0])), min(run[5], n)]
-        else:
-            out.append(run)
-            run = [d, s, e, 1, (e - s, -s, first[0]), n]
-    return sorted((d, s, e, e - s, k, f[2], n) for d, s, e, k, f, n in (x for x in [*out, run] if x) if e - s >= shortest)
+    out = []
+    for d, raw in sorted(raws.items()):
+        runs, last = [], 0
+        for e in G.cut_places(raw, rule):
+            places, s, last = seen[raw[last:e]], last, e
+            if min(places) == (d, s):
+                continue
+            if runs and runs[-1][-1][1] == s:
+                runs[-1].append((s, e, min(places), len(places)))
+            else:
+                runs.append([(s, e, min(places), len(places))])
+        spans = []
+        for run in runs:
+            (s, _, (fd, fs), _), (ls, e, (gd, gs), _) = run[0], run[-1]
+            if e - s < G.CANDIDATE:
+                continue
+            longest = max(run, key=lambda c: (c[1] - c[0], -c[0]))
+            f, g, ge, left, right = raws[fd], raws[gd], gs + e - ls, 0, 0
+            while left < G.CONTEXT and s - left > 0 and fs - left > 0 and raw[s - left - 1] == f[fs - left - 1]:
+                left += 1
+            while left and raw[s - left] & 0xC0 == 0x80:
+                left -= 1
+            while right < G.CONTEXT and e + right < len(raw) and ge + right < len(g) and raw[e + right] == g[ge + right]:
+                right += 1
+            while right and any(x + right < len(t) and t[x + right] & 0xC0 == 0x80 for x, t in ((e, raw), (ge, g))):
+                right -= 1
+            new = [s - left, e + right, len(run), longest[2][0], min(c[3] for c in run)]
+            if spans and new[0] <= spans[-1][1]:
+                old = spans.pop()
+                first = new[3] if new[1] - new[0] > old[1] - old[0] else old[3]
+                new = [old[0], max(old[1], new[1]), old[2] + new[2], first, min(old[4], new[4])]
+            spans.append(new)
+        for s, e, k, first, n in spans:
+            text = raw.decode()
+            a, b = len(raw[:s].decode()), len(raw[:e].decode())
+            n_words = sum(1 for m in re.finditer("[^ \n\t]+", text) if a <= m.start() and m.end() <= b)
+            if e - s >= shortest and n_words >= least_words:
+                out.append((d, s, e, e - s, n_words, k, first, n))
+    return sorted(out)
 
 
 def _rows():
@@ -89,26 +120,61 @@ def test_passages_equal_brute_force(spark):
     assert sorted(map(tuple, got)) == _brute(rows)
 
 
-def test_planted_passages_are_caught_and_clean_documents_left():
-    """Passages of just over 50 words between other words: nearly all give a run of 96 bytes."""
+def test_passages_of_just_over_50_words_are_caught_to_their_ends():
     rng = random.Random(4)
-    caught = 0
+    exact = 0
     for _ in range(300):
-        passage = words(rng, 52)
+        passage = words(rng, 51)
         a, b = (words(rng, 40) + " " + passage + " " + words(rng, 40) for _ in range(2))
-        caught += bool(_brute([(1, a), (2, b)]))
-    assert caught >= 291
+        found = _brute([(1, a), (2, b)])
+        assert len(found) == 1 and passage.encode() in b.encode()[found[0][1]:found[0][2]]
+        exact += found[0][3] <= len(passage) + 8
+    assert exact >= 290
     assert _brute([(i, words(rng, 300)) for i in range(100)]) == []
+    short = [(i, words(rng, 40) + " " + "one line of a licence that many documents share but that is no passage " + words(rng, 40)) for i in range(9)]
+    assert _brute(short) == []
+
 
+def test_whole_words():
+    raw = "ab cd  ef\ngh".encode()
+    for s in range(len(raw) + 1):
+        for e in range(s, len(raw) + 1):
+            want = sum(1 for m in re.finditer(rb"\S+", raw) if s <= m.start() and m.end() <= e)
+            assert G.whole_words(raw, s, e) == want, (s, e)
 
-def test_repeats_of_one_id_and_missing_ids(spark):
+
+def test_rows_of_one_id_and_without_an_id(spark):
     rng = random.Random(5)
-    a, b = words(rng, 100), words(rng, 100)
-    got = G.repeated_passages(documents(spark, [(1, a), (1, a), (None, b), (9, b)])).collect()
-    assert [(r.doc_id, r.first_doc_id, r.n_bytes) for r in got] == [(9, None, len(b))]
+    a, b, passage = words(rng, 100), words(rng, 100), words(rng, 150)
+    rows = [(1, a), (1, a), (None, b), (9, b), (None, passage + " " + words(rng, 90)), (None, words(rng, 90) + " " + passage),
+            (4, passage + " x " + words(rng, 80)), (4, words(rng, 80) + " y " + words(rng, 60))]
+    docs = documents(spark, rows)
+    got = G.repeated_passages(docs).collect()
+    assert sorted((r.doc_id or 0, r.first_doc_id) for r in got) == [(0, None), (4, None), (9, None)]
+    assert all(r.n_bytes >= len(passage) or r.doc_id == 9 for r in got)
+    kept = sorted(r.text for r in G.without_repeats(docs).collect())
+    assert len(kept) == 8 and kept.count(a) == 2 and rows[7][1] in kept     # a row loses its own passages only
+    assert sum(passage in t for t in kept) == 1
     assert G.repeated_passages(documents(spark, [])).collect() == []
 
 
+def test_very_many_equal_rows_and_clashing_names(spark):
+    rng = random.Random(6)
+    passage = words(rng, 80)
+    rows = [(None, passage)] * 500 + [(3, passage + " " + words(rng, 40)), (2, None), (5, "")]
+    docs = documents(spark, rows).repartition(5).select("*", *[F.lit(c).alias(c) for c in ("row", "runs", "_d", "start", "_c0", "doc id")])
+    assert [(r.doc_id, r.first_doc_id, r.n_bytes) for r in G.repeated_passages(docs).collect()] == [(3, None, len(passage))]
+    out = G.without_repeats(docs)
+    assert out.columns == docs.columns and out.count() == 503
+    assert {(r.doc_id, r["row"], r["doc id"]) for r in out.collect()} == {(None, "row", "doc id"), (3, "row", "doc id"), (2, "row", "doc id"), (5, "row", "doc id")}
+
+
+def test_query_equals_brute_force(spark, scratch):
+    rows, _ = _rows()
+    documents(spark, rows).repartition(3).write.parquet(f"{scratch}/documents.parquet")
+    assert sorted(map(tuple, op1_substring_dedup(spark, scratch).collect())) == _brute(rows)
+
+
 def test_removal_keeps_the_first(spark):
     rows, shared = _rows()
     docs = documents(spark, rows)
