@@ -12,6 +12,9 @@ Bands that reach the bound are aligned by banded edit distance, and only
 regions within the budget are reported.  The first segment of a stretch and the
 last of an item are aligned first; the others are where these fail and the
 characters that all of them hold are found within the budget.
+
+Letter case and kinds and runs of white space do not count.  Items of under 16
+characters are too short for the lemma; they are found whole, between word ends.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import python_path
 
 HASH = np.uint64(0x9E3779B97F4A7C15)  # an odd multiplier
+SEPARATOR = 10                         # between texts; white space inside of them is 32
+BREAKS = {" ", chr(SEPARATOR)}
 BITS = 20                              # of the tables that screen q-grams and bands
 Q = 8                                  # a q-gram of one-byte characters fills one 64-bit word
 TOGETHER = 32                          # segments that start within so many characters are one stretch
@@ -42,6 +47,13 @@ def plain(text: str) -> np.ndarray:
     return codes
 
 
+def folded(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(codes with runs of white space as one, place of each in ``codes``)."""
+    space = codes == 32
+    places = np.flatnonzero(~(space & np.concatenate([[False], space[:-1]])))
+    return codes[places], places
+
+
 def _grams(codes: np.ndarray) -> np.ndarray:
     """The q-gram at each place, as eight low bytes of code points (equal texts have equal grams)."""
     low = codes.astype(np.uint8)
@@ -73,20 +85,29 @@ class Benchmark:
     lemma still holds, and common phrases cost little.
     """
 
-    def __init__(self, items: list[tuple[int, str]], limits: Limits, spare: int = 3) -> None:
+    def __init__(self, items: list[tuple], limits: Limits, spare: int = 3) -> None:
+        """Items are (id, text) or, of a part of a long item, (id, text, its place, places in it where segments start)."""
         self.limits, self.width = limits, limits.length + TOGETHER
         self.stretches: list[tuple[int, int, np.ndarray, np.ndarray, int]] = []  # item, start, text, segments in it, last of the item
-        for item, text in items:
-            codes = plain(text)
+        self.places: list[np.ndarray] = []  # of each stretch: where the codes of its item are in the item's text
+        self.short: dict[str, list[int]] = {}
+        for item, text, *part in items:
+            offset, until = part or (0, None)
+            codes, places = folded(plain(text))
             n = len(codes)
-            if n < 2 * Q or not (codes != 32).any():
-                continue  # too short to tell from chance
+            if not part and n < 2 * Q:
+                if (codes != 32).any():
+                    self.short.setdefault("".join(map(chr, codes)).strip(), []).append(item)
+                continue
+            if not (codes != 32).any():
+                continue
             last = max(0, n - limits.length)
-            starts = [*range(0, last, limits.stride), last]
+            starts = [x for x in [*range(0, last, limits.stride), last] if until is None or places[x] < until]
             while starts:
+                self.places.append(places + offset)
                 own = [x - starts[0] for x in starts[:TOGETHER] if x - starts[0] < TOGETHER]
                 stretch = codes[starts[0]:starts[0] + own[-1] + limits.length]
-                self.stretches.append((item, starts[0], stretch, np.array(own, np.int32), last - starts[0]))
+                self.stretches.append((item, starts[0], stretch, np.array(own, np.int32), -1 if until is not None else last - starts[0]))
                 starts = starts[len(own):]
         grams = [_grams(x[2]) for x in self.stretches]
         size = np.array([len(g) for g in grams], dtype=np.int64)
@@ -110,6 +131,29 @@ class Benchmark:
         self.segment, self.place = segment[order], place[order]
         self.seen = np.zeros(1 << BITS, bool)
         self.seen[(self.key * HASH) >> np.uint64(64 - BITS)] = True
+        self._finder = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_finder": None}
+
+    def whole_items(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, start, end) of the short items that stand in the text between word ends."""
+        if not self.short or not len(codes):
+            return []
+        if self._finder is None:
+            import ahocorasick
+
+            self._finder = ahocorasick.Automaton()
+            for text in self.short:
+                self._finder.add_word(text, text)
+            self._finder.make_automaton()
+        text = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        out = []
+        for end, found in self._finder.iter(text):
+            start, end = end + 1 - len(found), end + 1
+            if (start == 0 or text[start - 1] in BREAKS) and (end == len(text) or text[end] in BREAKS):
+                out += [(item, start, end) for item in self.short[found]]
+        return out
 
     @property
     def segments(self) -> list[tuple[int, int, np.ndarray]]:
@@ -173,7 +217,7 @@ class Benchmark:
             good[i:i + 4096] = edits <= self.edits[s]
             for k in np.flatnonzero(edits <= self.edits[s]):
                 item, first = self.stretches[s[k]][:2]
-                out.append((int(own[k]), item, first + int(x[k]), int(start[k] - begins[k]), int(end[k] - begins[k]), int(edits[k])))
+                out.append((int(own[k]), item, int(self.places[s[k]][first + int(x[k])]), int(start[k]), int(end[k]), int(edits[k])))
         return good, out
 
     def _possible(self, codes: np.ndarray, stretch: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -194,9 +238,26 @@ class Benchmark:
         The first segments of stretches and the last of items each give their
         row; another segment gives one only where no row of its item overlaps.
         """
-        codes = plain("\n".join(texts))
+        whole = plain("\n".join(texts))
         sizes = np.array([len(t) for t in texts], np.int64)
-        ends = np.cumsum(sizes + 1) - 1  # a text ends before its separator
+        ends_of = np.cumsum(sizes + 1) - 1  # a text ends before its separator
+        whole[ends_of[:-1]] = SEPARATOR
+        codes, places = folded(whole)
+        ends = np.append(np.searchsorted(places, ends_of[:-1]), len(codes)) if len(texts) else ends_of
+        begins = np.concatenate([[0], ends[:-1] + 1]) if len(texts) else ends
+        rows = self._rows(codes, ends, ends - begins)
+        for item, start, end in self.whole_items(codes):
+            rows[int(np.searchsorted(ends, start, side="right")), item, 0, start, end] = 0
+        at = np.append(places, len(whole))
+        first = np.concatenate([[0], ends_of[:-1] + 1]) if len(texts) else ends_of
+        found = {}
+        for (text, item, begin, start, end), edits in rows.items():
+            place = int(at[start] - first[text])
+            found[text, item, begin, place, int(at[end - 1] + 1 - first[text]) if end > start else place] = edits
+        return [(*place, edits) for place, edits in sorted(found.items(), key=_named_last)]
+
+    def _rows(self, codes: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> dict[tuple, int]:
+        """Edits by (text, item, start in the item, start, end) in folded codes."""
         stretch, low = self.bands(codes)
         ahead = [(k, x) for k, s in enumerate(stretch) for x in sorted({0, *{self.stretches[s][4]} & set(self.stretches[s][3].tolist())})]
         k, x = np.array(ahead, np.int64).reshape(-1, 2).T
@@ -220,7 +281,7 @@ class Benchmark:
             if all(end <= a or b <= start for a, b in ranges):
                 ranges.append((start, end))
                 out[tuple(place)] = edits
-        return [(*place, edits) for place, edits in sorted(out.items(), key=_named_last)]
+        return out
 
 
 def _named_last(row: tuple) -> tuple:
@@ -285,12 +346,22 @@ def parts(texts: list[str], chars: int = 1_000_000) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of at most ``chars`` characters (or one longer item), one block in memory at a time."""
+def _blocks(benchmark: DataFrame, chars: int, overlap: int = 4_096) -> Iterator[list[tuple]]:
+    """The items in blocks of at most ``chars`` characters, one block in memory at a time.
+
+    A longer item (and longer than two overlaps) comes in parts that overlap,
+    each with the starts of its own.
+    """
+    size = max(chars, 2 * overlap)
     block, used = [], 0
     rows = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
             .where("text is not null").orderBy("item_id", "text"))
     for row in rows.toLocalIterator():
+        if len(row.text) > size:
+            places = [*range(0, len(row.text) - size, size - overlap), len(row.text) - size]
+            for a, b in zip(places, [*places[1:], None], strict=True):
+                yield [(row.item_id, row.text[a:a + size], a, None if b is None else b - a)]
+            continue
         if block and used + len(row.text) > chars:
             yield block
             block, used = [], 0
@@ -309,8 +380,8 @@ def contaminated_regions(docs: DataFrame, benchmark: DataFrame, limits: Limits =
     broadcast is bounded however large the benchmark is.  Places are in
     characters of the original texts.  Null and empty texts match nothing, an
     empty benchmark or table gives no rows, benchmark items without an id are
-    searched under a null item_id, a benchmark item of under 16 characters is
-    not searched, items and documents that repeat each give their
+    searched under a null item_id, an item of under 16 characters is found
+    whole between word ends, one of white space alone never, items and documents that repeat each give their
     rows, and columns besides ids and texts are not read.
     """
     spark = docs.sparkSession
@@ -347,7 +418,9 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, limits: Limits
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, limits: Limits = EVERY) -> DataFrame:
     """``docs`` without the rows in whose text a region of an item was verified.
 
-    Each row is decided by its own text, whatever its doc_id; no shuffle.
+    Each row is decided by its own text, whatever its doc_id, so rows that
+    repeat are decided alike; null and empty texts stay, an empty table or
+    benchmark changes nothing, other columns stay as they are.  No shuffle.
     """
     spark = docs.sparkSession
     python_path(spark)

@@ -123,11 +123,11 @@ def test_operator_rows(spark):
     dirty += [(40, items[9][1].lower()), (41, items[1][1].upper().replace(" ", "  ", 2)), (30, dirty[0][1])]
     docs, bench = documents(spark, clean + dirty), spark.createDataFrame(items, ITEMS)
     got = {(r.doc_id, r.item_id) for r in D.contaminated_documents(docs, bench).collect()}
-    assert got == {(30, 0), (31, 1), (32, 2), (33, 3), (40, 9), (41, 1)}
+    assert got == {(22, 6), (30, 0), (31, 1), (32, 2), (33, 3), (40, 9), (41, 1)}
     small_blocks = D.contaminated_regions(docs, bench, block_chars=100)
     assert {(r.doc_id, r.item_id) for r in small_blocks.collect()} == got
     kept = D.without_benchmark(docs, bench)
-    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == list(range(24))
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [*range(22), 23]
     whole = {r.doc_id: r for r in D.contaminated_documents(docs, bench).collect()}[31]
     assert dirty[1][1][whole.start:whole.end] == items[1][1] and whole.least_edits == 0
 
@@ -159,3 +159,41 @@ def test_repetitive_texts():
     items = [(1, "a" * 200), (2, "the " * 60), (3, "no such words in there at all, really none of them")]
     got = {(k, item) for k, item, *_ in D.Benchmark(items, D.Limits()).matches(["a" * 5000, "the " * 3000, "b" * 5000])}
     assert got == {(0, 1), (1, 2)}
+
+
+def test_white_space_runs_do_not_count_and_places_are_those_of_the_text():
+    rng = random.Random(17)
+    passage = words(rng, 40)
+    index = D.Benchmark([(1, passage.replace(" ", " \n  ")), (2, "  " + words(rng, 30))], D.EVERY)
+    texts = [passage.replace(" ", "  "), "x\n\n\ty   " + passage.replace(" ", "\n    ") + " \n\n z", passage, "  ", "", words(rng, 40)]
+    rows = index.matches(texts)
+    assert {(k, item) for k, item, *_ in rows} == {(0, 1), (1, 1), (2, 1)}
+    for k, _, _, start, end, edits in rows:
+        assert edits == 0 and " ".join(texts[k][start:end].split()) in passage
+    for k in range(3):
+        own = [r for r in rows if r[0] == k]
+        assert " ".join(texts[k][min(r[3] for r in own):max(r[4] for r in own)].split()) == passage
+    begins = {r[2] for r in rows if r[0] == 2}
+    assert 0 in begins and max(begins) > len(passage) - 64   # places in the item as it is written
+
+
+def test_short_items_are_found_whole_between_word_ends():
+    items = [(1, "Forty  two"), (2, "x"), (3, "forty two"), (4, " ?"), (5, "exactly 15 char"), (6, " \n")]
+    texts = ["It is FORTY\ntwo", "forty twos", "fforty two", "forty   two.", "a x b", "xx", "?", "", "forty two x", "exactly 15 char", "exactly  15\tchar s"]
+    got = {(k, item, texts[k][a:b]) for k, item, _, a, b, _ in D.Benchmark(items, D.EVERY).matches(texts)}
+    assert got == {(0, 1, "FORTY\ntwo"), (0, 3, "FORTY\ntwo"), (4, 2, "x"), (6, 4, "?"), (8, 1, "forty two"), (8, 3, "forty two"), (8, 2, "x"),
+                   (9, 5, "exactly 15 char"), (10, 5, "exactly  15\tchar")}
+
+
+def test_an_item_longer_than_a_block_comes_in_parts(spark):
+    rng = random.Random(18)
+    long = words(rng, 6_000)
+    bench = spark.createDataFrame([(7, long), (8, "short one")], ITEMS)
+    cuts = [0, 8_000, 8_100, len(long) // 2, len(long) - 100]
+    docs = documents(spark, [(k, words(rng, 20) + " " + long[a:a + 100] + " " + words(rng, 20)) for k, a in enumerate(cuts)] + [(9, words(rng, 99))])
+    blocks = list(D._blocks(bench, 1_000))
+    assert max(sum(len(i[1]) for i in b) for b in blocks) <= 8_192 and len(blocks) > 4
+    rows = D.contaminated_regions(docs, bench, block_chars=1_000).collect()
+    assert {r.doc_id for r in rows} == set(range(5)) and len({(r.doc_id, r.item_start) for r in rows}) == len(rows)
+    for r in rows:
+        assert abs(r.item_start - cuts[r.doc_id]) <= 100
