@@ -117,6 +117,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/tagwerk/{safe}-{uuid.uuid4().hex[:12]}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and host that Spark resolves it to, for readers outside of Spark.
+
+    Found by writing a small table there and asking for its address.
+    """
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path):
+        return path
+    mark = f"{path.rstrip('/')}/where-{uuid.uuid4().hex[:8]}"
+    spark.range(1).coalesce(1).write.parquet(mark)
+    one = spark.read.format("binaryFile").load(mark).selectExpr("_metadata.file_path AS file").first()["file"]
+    return one[:one.rindex("/where-")]
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers of every executor, once a session's context.
 
