@@ -7,12 +7,12 @@ sees it, so a lost executor costs only the tasks it ran.
 
 from __future__ import annotations
 
-import os
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagwerk.session import scratch_path
+from tagwerk.session import scratch_path, ship_package
 
 #: ASCII white space as the contracts name it; a word is a run of anything else.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -52,12 +52,8 @@ def byte_symbols() -> list[int]:
 
 
 def python_path(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    """Let Python workers import this package: it is sent to them."""
+    ship_package(spark)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -71,6 +67,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``rows`` with ``pos``, the place in its group by ``order``, and ``total``, the rows of the group.
+
+    The columns of ``group`` hold no nulls.  Rows are dealt by ranges of group
+    and order, so a group that holds most rows is many tasks; each task numbers
+    its own rows and running totals over (group, task) add what came before.
+    """
+    sort = [*group, *order]
+    dealt = rows.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    dealt = stored(dealt.withColumn("_row", F.monotonically_increasing_id())
+                   .withColumn("_part", F.shiftright("_row", 33)), "numbered")
+    parts = dealt.groupBy(*group, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    own = Window.partitionBy(*group)
+    before = own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*group, "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                         F.sum("_n").over(own).alias("total"))
+    return (dealt.join(parts, [*group, "_part"])
+            .withColumn("pos", F.col("_row") - F.col("_first") + F.col("_before"))
+            .drop("_row", "_part", "_first", "_before"))
+
+
 def _neighbour_min(edges: DataFrame) -> DataFrame:
     """(node, low): the smallest of a node and its neighbours, of edges in both directions."""
     return (edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("low"))

@@ -19,10 +19,10 @@ from collections.abc import Iterator, Sequence
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import python_path, stored
+from .common import numbered, python_path, stored
 
 BLOCK_LEVELS = 4
 KEY = ("_named", "_group")  # a group that may be null; null comes first
@@ -121,27 +121,6 @@ def leaf_digest(columns: Sequence[str | Column]) -> Column:
     return F.unhex(F.sha2(F.concat(*[part(c) for c in columns]), 256))
 
 
-def _numbered(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``rows`` with ``pos``, the place in its group by ``order``, and ``total``, the rows of the group.
-
-    Rows are dealt by ranges of group and order, so a group that holds most
-    rows is many tasks; each task numbers its own rows and running totals over
-    (group, task) add what came before.
-    """
-    sort = [*KEY, *order]
-    dealt = rows.repartitionByRange(*sort).sortWithinPartitions(*sort)
-    dealt = stored(dealt.withColumn("_row", F.monotonically_increasing_id())
-                   .withColumn("_part", F.shiftright("_row", 33)), "merkle-order")
-    parts = dealt.groupBy(*KEY, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    group = Window.partitionBy(*KEY)
-    before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(*KEY, "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-                         F.sum("_n").over(group).alias("total"))
-    return (dealt.join(parts, [*KEY, "_part"])
-            .withColumn("pos", F.col("_row") - F.col("_first") + F.col("_before"))
-            .drop("_row", "_part", "_first", "_before"))
-
-
 BLOCK_FIELDS = ("_named boolean, _group string, _block long, _height int, _total long, root binary, ids array<bigint>, "
                 "leaves binary, candidates binary")
 
@@ -266,11 +245,11 @@ def manifest(docs: DataFrame, columns: Sequence[str] = ("doc_id", "source", "lan
     rows = stored(docs.select(F.col(group).isNotNull().alias("_named"), F.coalesce(F.col(group).cast("string"), F.lit("")).alias("_group"),
                               F.col(order).cast("long").alias("id"), own.alias("leaf"),
                               (own if candidate is None else F.coalesce(candidate, own)).alias("candidate")), "merkle-leaves")
-    levels = _levels(_numbered(rows, ["id", "leaf", "candidate"]), arity)
+    levels = _levels(numbered(rows, KEY, ["id", "leaf", "candidate"]), arity)
     # the groups' roots are appended to one more tree, in the order of the groups
     tops = levels[-1].select(F.lit(True).alias("_named"), F.lit("").alias("_group"), F.struct(*KEY).alias("_of"),
                              F.col("root").alias("leaf"), F.lit(0).cast("long").alias("id"), F.col("root").alias("candidate"))
-    tops = stored(_numbered(tops, ["_of"]), "merkle-groups")
+    tops = stored(numbered(tops, KEY, ["_of"]), "merkle-groups")
     group_levels = _levels(tops, arity)
     above = group_levels[-1].select(*KEY, F.lit(0).cast("long").alias("pos"), F.lit(b"").alias("path"),
                                     F.lit(None).cast("string").alias("subroot"), F.lower(F.hex("root")).alias("top"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import numbered
+
 SYSTEM = ("system",)   # speakers that set the scene and are not participants
 NOBODY = "unknown"     # the name of a speaker that the table does not name
 END = "<|end|>\n"
@@ -26,44 +28,48 @@ def rotate(turns: DataFrame, system: tuple[str, ...] = SYSTEM, block: int = 512)
     perspective speaks).
 
     Turns follow one another by turn, then role, then text, nulls first.  A
-    null role is the participant "unknown", a null text is empty, rows without
-    conv_id are one conversation, repeated rows are turns of their own.  A
-    conversation of system turns only has no participant and so no row, nor
-    has an empty table.  Other columns are not read.
+    null role is the participant "unknown", a null text is empty, every row
+    without conv_id is a dialogue of its own, repeated rows are turns of their
+    own.  A conversation of system turns only has no participant and so no row,
+    nor has an empty table.  Other columns are not read.
 
-    Places are summed inside blocks of ``block`` turn numbers and the blocks'
-    totals are summed after that, so no window has to take in a whole
-    conversation; the join with the participants splits hot conversations.
+    Turns are numbered by ranges of (conversation, turn, role, text), and places
+    are summed inside blocks of ``block`` turns, whose totals are summed after
+    that: no task and no window has to take in a whole conversation.  The join
+    with the participants splits hot conversations.
     """
     t = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit(NOBODY)).alias("speaker"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("said"))
-    own = t.where(~F.col("speaker").isin(*system)).select(F.col("conv_id").alias("_conv"), F.col("speaker").alias("perspective")).distinct()
-    views = t.join(own, t["conv_id"].eqNullSafe(own["_conv"])).drop("_conv")
-    role = (F.when(F.col("speaker") == F.col("perspective"), "assistant")
-            .when(F.col("speaker").isin(*system), "system").otherwise("user"))
-    name = F.when(F.col("role") == "user", F.col("speaker"))
-    head = F.concat(F.lit("<|"), F.col("role"), F.coalesce(F.concat(F.lit(" "), F.col("name")), F.lit("")), F.lit("|>\n"))
-    views = (views.withColumn("role", role).withColumn("name", name).withColumn("head", head)
-             .withColumn("segment", F.concat("head", "said", F.lit(END)))
-             .withColumn("size", F.char_length("segment").cast("long"))
-             .withColumn("block", F.coalesce(F.floor(F.col("turn") / block).cast("long"), F.lit(-(1 << 62)))))
+    alone = t.where("conv_id IS NULL").where(~F.col("speaker").isin(*system))
+    alone = _rendered(alone.withColumn("perspective", F.col("speaker")), system).select(
+        "*", *[F.lit(0).cast("long").alias(c) for c in ("seq", "start")])
+    # equal turns are interchangeable: their order in the scan spreads them over ranges
+    named = t.where("conv_id IS NOT NULL").withColumn("_scan", F.monotonically_increasing_id())
+    named = numbered(named, ["conv_id"], ["turn", "speaker", "said", "_scan"]).withColumn("block", F.floor(F.col("pos") / block).cast("long"))
+    own = t.where("conv_id IS NOT NULL").where(~F.col("speaker").isin(*system)).select("conv_id", F.col("speaker").alias("perspective")).distinct()
+    views = _rendered(named.join(own, "conv_id"), system).withColumn("size", F.char_length("segment").cast("long"))
     dialogue = ["conv_id", "perspective"]
-    inside = Window.partitionBy(*dialogue, "block").orderBy("turn", "speaker", "said").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (views.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-              .withColumn("rank", F.count(F.lit(1)).over(inside)))
-    totals = views.groupBy(*dialogue, "block").agg(F.sum("size").alias("sum"), F.count(F.lit(1)).alias("n"))
+    inside = Window.partitionBy(*dialogue, "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    placed = views.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    totals = views.groupBy(*dialogue, "block").agg(F.sum("size").alias("sum"))
     earlier = Window.partitionBy(*dialogue).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select(
-        F.col("conv_id").alias("_conv"), F.col("perspective").alias("_who"), F.col("block").alias("_block"),
-        F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("base"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base_n"))
-    joined = placed.join(base, placed["conv_id"].eqNullSafe(base["_conv"]) & (placed["perspective"] == base["_who"])
-                         & (placed["block"] == base["_block"]))
-    start = F.col("base") + F.col("before")
+    base = totals.select(*dialogue, "block", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("base"))
+    joined = placed.join(base, [*dialogue, "block"]).withColumn("start", F.col("base") + F.col("before")).withColumnRenamed("pos", "seq")
     mask_start = F.col("start") + F.char_length("head")
     speaks = F.col("role") == "assistant"
-    return (joined.withColumn("start", start)
-            .select("conv_id", "perspective", (F.col("base_n") + F.col("rank")).alias("seq"), "turn", "role", "name", "segment", "start",
-                    mask_start.alias("mask_start"),
+    columns = ["conv_id", "perspective", "seq", "turn", "role", "name", "segment", "start", "head", "said"]
+    return (joined.select(*columns).unionByName(alone.select(*columns))
+            .select(*columns[:-2], mask_start.alias("mask_start"),
                     F.when(speaks, mask_start + F.char_length("said")).otherwise(mask_start).alias("mask_end")))
+
+
+def _rendered(views: DataFrame, system: tuple[str, ...]) -> DataFrame:
+    """Role, name, head and segment of each turn as its perspective sees it."""
+    role = (F.when(F.col("speaker") == F.col("perspective"), "assistant")
+            .when(F.col("speaker").isin(*system), "system").otherwise("user"))
+    name = F.when(F.col("role") == "user", F.col("speaker"))
+    head = F.concat(F.lit("<|"), F.col("role"), F.coalesce(F.concat(F.lit(" "), F.col("name")), F.lit("")), F.lit("|>\n"))
+    return (views.withColumn("role", role).withColumn("name", name).withColumn("head", head)
+            .withColumn("segment", F.concat("head", "said", F.lit(END))))

@@ -126,18 +126,19 @@ SELECT doc_id, size, source_size, target,
 FROM rated""",
     "op8_chat_perspectives": r"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS said FROM conversations),
-own AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS said,
+         CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM conversations),
+own AS (SELECT DISTINCT conv_id, alone, speaker AS perspective FROM t WHERE speaker <> 'system'),
 views AS (
   SELECT t.*, perspective, CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user' END AS role
-  FROM t JOIN own ON t.conv_id IS NOT DISTINCT FROM own.conv_id),
+  FROM t JOIN own ON t.conv_id IS NOT DISTINCT FROM own.conv_id AND t.alone IS NOT DISTINCT FROM own.alone),
 named AS (SELECT *, CASE WHEN role = 'user' THEN speaker END AS name FROM views),
 headed AS (SELECT *, '<|' || role || coalesce(' ' || name, '') || '|>' || chr(10) AS head FROM named),
 shown AS (SELECT *, head || said || '<|end|>' || chr(10) AS segment FROM headed),
 placed AS (
   SELECT *, row_number() OVER w - 1 AS seq,
          coalesce(sum(length(segment)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM shown WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, said))
+  FROM shown WINDOW w AS (PARTITION BY conv_id, alone, perspective ORDER BY turn NULLS FIRST, speaker, said))
 SELECT conv_id, perspective, seq, turn, role, name, segment, start, start + length(head) AS mask_start,
        start + length(head) + CASE WHEN role = 'assistant' THEN length(said) ELSE 0 END AS mask_end
 FROM placed""",

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagwerk.session import scratch_path
+from tagwerk.session import qualified, scratch_path
 
 from .common import Remembered, byte_symbols, python_path, stored
 
@@ -108,15 +108,39 @@ def encoder(path: str) -> Encoder:
     return own
 
 
-def _open(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
+class DocumentList:
+    """Writes the list of a shard's documents batch by batch."""
+
+    def __init__(self, uri: str, per_batch: int = 10_000) -> None:
+        fs, path = pafs.FileSystem.from_uri(uri)
+        self.schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("n_tokens", pa.int64())])
+        self.sink = fs.open_output_stream(path)
+        self.file = pa.ipc.new_file(self.sink, self.schema)
+        self.per_batch, self.waiting, self.n = per_batch, [], 0
+
+    def add(self, doc_id: int | None, place: int, n_tokens: int) -> None:
+        self.waiting.append((doc_id, place, n_tokens))
+        self.n += 1
+        if len(self.waiting) >= self.per_batch:
+            self._flush()
+
+    def _flush(self) -> None:
+        columns = zip(*self.waiting, strict=True)
+        self.file.write_batch(pa.record_batch([pa.array(c, pa.int64()) for c in columns], schema=self.schema))
+        self.waiting.clear()
+
+    def close(self) -> None:
+        if self.waiting:
+            self._flush()
+        self.file.close()
+        self.sink.close()
 
 
 class ShardWriter:
     """Writes one shard batch by batch; holds at most one batch of ids."""
 
     def __init__(self, uri: str, kind: np.dtype, length: int, per_batch: int) -> None:
-        fs, path = _open(uri)
+        fs, path = pafs.FileSystem.from_uri(uri)
         fs.create_dir(os.path.dirname(path), recursive=True)
         self.length, self.full, self.kind = length, length * per_batch, kind
         item = pa.uint16() if kind.itemsize == 2 else pa.uint32()
@@ -153,7 +177,7 @@ class Shard:
     """Random access to a shard: sequences by number, ids by place."""
 
     def __init__(self, uri: str) -> None:
-        fs, path = _open(uri)
+        fs, path = pafs.FileSystem.from_uri(uri)
         source = pa.memory_map(path) if isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(path)
         self.reader = pa.ipc.open_file(source)
         self.per_batch = int(self.reader.schema.metadata[b"sequences_per_batch"])
@@ -165,11 +189,10 @@ class Shard:
             self._at = (k, self.reader.get_batch(k))
         return self._at[1]
 
-    def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence k."""
+    def sequence(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of sequence k, both views of the file; the mask has one bit an id."""
         batch, row = self._batch(k // self.per_batch), k % self.per_batch
-        ids = batch.column(0).slice(row, 1).flatten().to_numpy()
-        return ids, batch.column(1).slice(row, 1).flatten().to_numpy(zero_copy_only=False)
+        return batch.column(0).slice(row, 1).flatten().to_numpy(), batch.column(1).slice(row, 1).flatten()
 
     def ids(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The n ids from place ``start``, in pieces that do not copy."""
@@ -185,40 +208,38 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, length: int
                       end_id: int = 0, per_batch: int = 64) -> DataFrame:
     """Write all documents as shards below ``folder``; return the list of shards.
 
-    Rows are dealt by ranges of doc_id (null first) and sorted in each task;
-    rows that share a doc_id follow one another by text.  Null and empty texts are an end id alone; an empty table writes no
+    Rows are dealt by ranges of doc_id (null first) and of a hash of the text,
+    so rows that share an id, or have none, are many tasks; these follow one
+    another by that hash, then by text.  Null and empty texts are an end id alone; an empty table writes no
     shard.  Each attempt of a task writes files of its own and the list names
     those of the attempt that ended well, so retries leave no mixed shard.
     """
     python_path(docs.sparkSession)
-    root = folder.rstrip("/")
+    root = qualified(docs.sparkSession, folder.rstrip("/"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         own, shard = encoder(vocabulary), task.partitionId()
         stem = f"{root}/shard-{shard:06d}-{task.taskAttemptId()}"
-        writer, docs_of, end = None, [], np.array([end_id], own.kind).tobytes()
+        writer, listed, end = None, None, np.array([end_id], own.kind).tobytes()
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                writer = writer or ShardWriter(f"{stem}.arrow", own.kind, length, per_batch)
+                if writer is None:
+                    writer, listed = ShardWriter(f"{stem}.arrow", own.kind, length, per_batch), DocumentList(f"{stem}.docs.arrow")
                 at = writer.n
                 writer.add(own.encode(text.as_py() or "") + end)
-                docs_of.append((doc_id, at, writer.n - at))
+                listed.add(doc_id, at, writer.n - at)
         if writer is None:
             return
         writer.close()
-        fs, path = _open(f"{stem}.docs.arrow")
-        schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("n_tokens", pa.int64())])
-        with fs.open_output_stream(path) as sink, pa.ipc.new_file(sink, schema) as file:
-            for i in range(0, len(docs_of), 10_000):
-                columns = zip(*docs_of[i:i + 10_000], strict=True)
-                file.write_batch(pa.record_batch([pa.array(c, pa.int64()) for c in columns], schema=schema))
+        listed.close()
         yield pa.RecordBatch.from_pydict({
             "shard": pa.array([shard], pa.int32()), "ids_path": [f"{stem}.arrow"], "docs_path": [f"{stem}.docs.arrow"],
-            "n_docs": pa.array([len(docs_of)], pa.int64()), "n_tokens": pa.array([writer.n], pa.int64())})
+            "n_docs": pa.array([listed.n], pa.int64()), "n_tokens": pa.array([writer.n], pa.int64())})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    hashed = F.xxhash64("text")
+    dealt = rows.repartitionByRange("doc_id", hashed).sortWithinPartitions("doc_id", hashed, "text")
     return stored(dealt.mapInArrow(run, SHARD_FIELDS), "token-shards")
 
 
@@ -234,7 +255,7 @@ def read_token_files(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 shard = Shard(row["ids_path"])
-                fs, path = _open(row["docs_path"])
+                fs, path = pafs.FileSystem.from_uri(row["docs_path"])
                 with fs.open_input_file(path) as source:
                     index = pa.ipc.open_file(source)
                     for k in range(index.num_record_batches):
@@ -260,6 +281,11 @@ def read_token_files(shards: DataFrame) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, vocabulary: str, length: int = 2048,
                 end_id: int = 0, folder: str | None = None) -> DataFrame:
-    """Write the documents as shards in the shared folder and read them back, one row per document."""
+    """Write the documents as shards in the shared folder and read them back, one row per document.
+
+    Null and empty texts are an end id alone, rows that repeat or share an id
+    are documents of their own (their order: ``write_token_files``), an empty
+    table gives no rows, other columns are not read.
+    """
     folder = folder or scratch_path(spark, "token-files")
     return read_token_files(write_token_files(docs, vocabulary, folder, length, end_id))

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from tagwerk.llm import mixing, perspectives, quality
+from tagwerk.llm.queries import op8_chat_perspectives
 
 from .helpers import documents, words
 
@@ -204,10 +205,10 @@ TURNS = "conv_id long, turn long, role string, text string"
 
 def _views(rows):
     talks = defaultdict(list)
-    for conv, turn, role, text in rows:
-        talks[conv].append((turn is not None, turn or 0, role or "unknown", text or "", turn))
+    for i, (conv, turn, role, text) in enumerate(rows):
+        talks[conv, i if conv is None else None].append((turn is not None, turn or 0, role or "unknown", text or "", turn))
     out = []
-    for conv, said in talks.items():
+    for (conv, _), said in talks.items():
         said.sort(key=lambda x: x[:4])
         for who in {x[2] for x in said} - {"system"}:
             at = 0
@@ -228,12 +229,23 @@ def test_perspectives_equal_brute_force(spark, block):
     rows = [(c, t, rng.choice(["user", "assistant", "system", "ann", "bob", None]), rng.choice([None, "", words(rng, 4), "é🙂"]))
             for c in range(12) for t in range(rng.randrange(0, 12))]
     rows += [(50, 1, "user", "tie"), (50, 1, "user", "tie"), (50, 1, "ann", "tie"), (50, None, "bob", "no turn"), (51, 0, "system", "alone"),
-             (None, 0, "user", "no conversation"), (None, 1, "ann", "two"), (52, -5, "user", "first"), (52, 5, "user", "last")]
+             (None, 0, "user", "no conversation"), (None, 1, "ann", "two"), (None, 1, "ann", "two"), (None, 2, "system", "alone"), (52, -5, "user", "first"), (52, 5, "user", "last")]
     got = perspectives.rotate(spark.createDataFrame([(*r, 1, "x") for r in rows], TURNS + ", seq int, name string"), block=block)
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(_views(rows), key=key)
 
 
+def test_hot_conversation_and_many_rows_without_one(spark, scratch):
+    """One conversation of equal turns and rows without any: blocks are of rows, and rows without one do not meet."""
+    rows = [(1, 7, ("ann", "bob")[i % 2], "same") for i in range(1500)] + [(None, i, f"r{i % 900}", "t") for i in range(3000)]
+    spark.createDataFrame(rows, TURNS).repartition(7).write.parquet(f"{scratch}/conversations.parquet")
+    got = op8_chat_perspectives(spark, scratch)
+    assert got.count() == 2 * 1500 + 3000
+    assert sorted(map(tuple, got.where("conv_id = 1").collect()), key=str) == sorted(_views(rows[:1500]), key=str)
+    alone = got.where("conv_id IS NULL")
+    assert alone.where("seq = 0 AND start = 0 AND role = 'assistant' AND name IS NULL").count() == 3000
+
+
 def test_masks_cover_what_the_perspective_says(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hello"), (1, 2, "bob", "hi"), (1, 3, "ann", "bye")]
     got = perspectives.rotate(spark.createDataFrame(rows, TURNS)).orderBy("perspective", "seq").collect()

@@ -4,10 +4,12 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from tagwerk.llm import token_count, token_file
 from tagwerk.llm.queries import tokenizer_path
+from tagwerk.session import local_dir, qualified, scratch_path
 
 from .helpers import documents, words
 
@@ -64,7 +66,11 @@ def test_count_query_rows(spark):
 
 def _expected(rows):
     library, start, out = Tokenizer.from_file(BYTE), 0, []
-    for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+    def place(row):  # Spark's hash of the text, signed; that of null is its seed
+        h = 42 if row[1] is None else xxhash.xxh64_intdigest(row[1].encode(), 42)
+        return row[0] is not None, row[0] or 0, h - (1 << 64) * (h >> 63), row[1] or ""
+
+    for d, t in sorted(rows, key=place):
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
         out.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -95,6 +101,8 @@ def test_sequences_are_equal_length_and_masked(spark, scratch):
         part = []
         for k in range(n):
             ids, mask = shard.sequence(k)
+            assert not ids.flags.writeable and mask.buffers()[1].address == shard.reader.get_batch(k // 4).column(1).flatten().buffers()[1].address
+            mask = mask.to_numpy(zero_copy_only=False)
             assert len(ids) == len(mask) == 16 and (mask.all() or k == n - 1)
             part += ids[mask].tolist()
         assert len(part) == s.n_tokens
@@ -102,3 +110,22 @@ def test_sequences_are_equal_length_and_masked(spark, scratch):
         some = np.concatenate(list(shard.ids(5, 100)))  # across batches
         assert some.tolist() == part[5:105]
     assert read == stream
+
+
+def test_many_rows_without_an_id_are_many_shards(spark):
+    rows = [(None, f"text {i}") for i in range(600)] + [(i, "x") for i in range(300)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small shards stay apart
+    try:
+        shards = token_file.write_token_files(documents(spark, rows).repartition(4), BYTE, scratch_path(spark, "hot-id"))
+        sizes = [r.n_docs for r in shards.collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 900 and max(sizes) < 500
+
+
+def test_a_folder_without_a_scheme_is_where_spark_puts_it(spark):
+    folder = local_dir(scratch_path(spark, "plain-path"))
+    assert qualified(spark, folder) == f"file://{folder}" and qualified(spark, "hdfs://host/a") == "hdfs://host/a"
+    docs = documents(spark, [(1, "a b"), (2, None)])
+    got = token_file.token_files(spark, docs, BYTE, folder=folder).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in got] == [3, 1]
