@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.dates import days_before, parse_date, to_date_lenient
 from ..functions.sizing import broadcast_if_bounded
+from ..operators.bloom import keep_members_prefiltered
 from ..operators.contract import conform, key_duplicates, split_rejects
 from ..operators.filters import exclude_values, keep_equal, zero_fill
 from ..operators.growth import daily_growth as growth_op
 from ..operators.preview import first_rows, register_view
 from ..operators.project import reorder, tag
+from ..operators.reconcile import differences
 from ..operators.serving import served_growth, served_market
 from ..operators.union import union_by_name
-from ..schemas import INFECTIONS_FIELDS, served_market_contract, served_growth_contract
+from ..schemas import GROWTH_RESULT, INFECTIONS_FIELDS, served_market_contract, served_growth_contract
 from ..session import scratch_path
 from ..sinks.files import (land_csv, land_daily_parquet, land_documents, land_parquet,
                            write_result_csv, write_single_csv)
@@ -28,7 +30,7 @@ from ..sources.columnar import read_daily_parquet, read_parquet_fields
 from ..sources.delimited import read_by_header
 from ..sources.documents import read_records
 from ..sources.notifications import file_notifications
-from ..sources.results import read_growth_result, read_market_result
+from ..sources.results import read_growth_result, read_market_result, split_result
 from ..streaming.trigger import start_refresh_stream
 from . import standins as S
 from .imports import ImportConfig, run_import
@@ -130,6 +132,12 @@ def q_symbol_membership(spark, sf):
     return _prices4(bounded_prices(S.prices(spark, sf), "1900-01-01", "2999-12-31", symbols=members))
 
 
+def q_symbol_membership_filtered(spark, sf):
+    # F5 for large member sets: a Bloom filter in the scan's stage, then the exact semi join
+    prices = S.prices(spark, sf)
+    return _prices4(keep_members_prefiltered(prices, "Share", S.suppliers_in_region(spark, sf, CONTINENT)))
+
+
 def q_tag_and_union(spark, sf):
     ev = S.table(spark, sf, "events").select("event_id", "event_type", "user_id", "value", "props")
     high = F.coalesce(F.col("value") >= 50, F.lit(False))
@@ -230,6 +238,42 @@ def q_result_roundtrip_market(spark, sf):
     return read_market_result(spark, path)
 
 
+def q_result_rejects(spark, sf):
+    # A damaged result folder: a cell that does not parse, a line cut short, an
+    # empty cell (which is NULL and no damage)
+    path = scratch_path(spark, "result-damaged")
+    write_result_csv(_growth(spark, sf), f"{path}/whole")
+    line, cell = F.col("value"), F.split("value", ",", -1)
+    cells = [F.get(cell, i) for i in range(9)]
+    damaged = (F.when(line.startswith("date,"), line)
+               .when(cells[3] == "NATION_8", F.concat_ws(",", cells[0], F.concat(cells[1], F.lit("x")), *cells[2:]))
+               .when(cells[3] == "NATION_13", F.concat_ws(",", *cells[:4]))
+               .when(cells[3] == "NATION_17", F.concat_ws(",", cells[0], F.lit(""), *cells[2:]))
+               .otherwise(line))
+    spark.read.text(f"{path}/whole").select(damaged.alias("value")).write.text(f"{path}/damaged")
+    good, bad = split_result(spark, f"{path}/damaged", GROWTH_RESULT)
+    rejected = F.split("line", ",", -1)
+    return (good.select(F.lit("row").alias("kind"), "date", "country", "cases", "deaths")
+            .unionByName(bad.select(F.lit("reject").alias("kind"), rejected[0].cast("date").alias("date"), rejected[3].alias("country"),
+                                    F.lit(None).cast("int").alias("cases"), rejected[2].cast("int").alias("deaths"))))
+
+
+def q_served_differences(spark, sf):
+    # A served copy that went wrong: a nation's rows are gone, a cell is off,
+    # one row is there twice, one does not belong
+    root = scratch_path(spark, "differences")
+    pub = publish_table(spark, zero_fill(_growth(spark, sf), exclude=("date",)), served_growth_contract(), f"{root}/infects")
+    served = spark.read.parquet(pub.path)
+    country, year = F.col("country"), F.year("date")
+    spoiled = (served.where(~((country == "NATION_8") & (year == 1996)))
+               .withColumn("cases", F.when((country == "NATION_13") & (year == 1997), F.col("cases") + 1).otherwise(F.col("cases")))
+               .withColumn("__copies", F.when((country == "NATION_17") & (year == 1998), 2).otherwise(1))
+               .withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).drop("__copies", "__copy")
+               .unionByName(served.where((country == "NATION_18") & (year == 1995)).withColumn("country", F.lit("NOWHERE"))))
+    spoiled.write.parquet(f"{root}/spoiled")
+    return differences(served, spark.read.parquet(f"{root}/spoiled"), ["date", "country"]).select("kind", "side", "n", "date", "country", "cases")
+
+
 def q_key_duplicates(spark, sf):
     return key_duplicates(S.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -452,6 +496,7 @@ QUERIES = {
     "date_bounds": q_date_bounds,
     "date_bounds_landed": q_date_bounds_landed,
     "symbol_membership": q_symbol_membership,
+    "symbol_membership_filtered": q_symbol_membership_filtered,
     "tag_and_union": q_tag_and_union,
     "json_records": q_json_records,
     "csv_landing_roundtrip": q_csv_landing_roundtrip,
@@ -464,6 +509,8 @@ QUERIES = {
     "market_served": q_market_served,
     "result_roundtrip": q_result_roundtrip,
     "result_roundtrip_market": q_result_roundtrip_market,
+    "result_rejects": q_result_rejects,
+    "served_differences": q_served_differences,
     "key_duplicates": q_key_duplicates,
     "rejects": q_rejects,
     "growth_rejects": q_growth_rejects,
@@ -669,6 +716,23 @@ FROM lineitem GROUP BY CAST(l_shipdate AS DATE)
     "market_served": _MARKET_SERVED,
     "result_roundtrip": _GROWTH,
     "result_roundtrip_market": _MARKET,
+    "result_rejects": f"""
+SELECT CASE WHEN country IN ('NATION_8', 'NATION_13') THEN 'reject' ELSE 'row' END AS kind, date, country,
+       CASE WHEN country NOT IN ('NATION_8', 'NATION_13', 'NATION_17') THEN cases END AS cases, deaths
+FROM ({_GROWTH}) g
+""",
+    "served_differences": f"""
+WITH served AS ({_GROWTH_SERVED})
+SELECT 'missing' AS kind, 'expected' AS side, CAST(1 AS BIGINT) AS n, date, country, cases FROM served WHERE country = 'NATION_8' AND year(date) = 1996
+UNION ALL
+SELECT 'changed', 'expected', 1, date, country, cases FROM served WHERE country = 'NATION_13' AND year(date) = 1997
+UNION ALL
+SELECT 'changed', 'found', 1, date, country, cases + 1 FROM served WHERE country = 'NATION_13' AND year(date) = 1997
+UNION ALL
+SELECT 'extra', 'found', 1, date, country, cases FROM served WHERE country = 'NATION_17' AND year(date) = 1998
+UNION ALL
+SELECT 'extra', 'found', 1, date, 'NOWHERE', cases FROM served WHERE country = 'NATION_18' AND year(date) = 1995
+""",
     "key_duplicates": """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
@@ -750,5 +814,6 @@ JOIN region r ON n.n_regionkey = r.r_regionkey
 WHERE r.r_name IN ('AFRICA', 'ASIA', 'EUROPE') AND p."Date" BETWEEN DATE '1995-01-01' AND DATE '1997-12-31'
 """,
 }
+ORACLE["symbol_membership_filtered"] = ORACLE["symbol_membership"]
 ORACLE["json_documents"] = ORACLE["json_documents_split"] = ORACLE["csv_landing_roundtrip"]
 ORACLE["incremental_rejects"] = ORACLE["growth_rejects"]

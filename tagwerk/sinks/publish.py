@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.contract import conform, key_duplicates
+from ..operators.reconcile import differences
 from ..schemas import TableContract
 
 
@@ -67,7 +68,8 @@ def stage_table(spark: SparkSession, df: DataFrame, contract: TableContract, roo
     written = spark.read.parquet(version)
     got = frame_fingerprint(written)
     if want != got:
-        raise RuntimeError(f"{contract.name}: written version differs {got} != {want}")
+        some = differences(checked.filter(keyed).drop("reasons"), written, contract.key).limit(5).collect()
+        raise RuntimeError(f"{contract.name}: written version differs {got} != {want}: {[r.asDict() for r in some]}")
     dups = key_duplicates(written, contract.key).count()
     if dups and on_duplicate == "fail":
         raise ValueError(f"{contract.name}: {dups} duplicate keys {contract.key}; nothing published")

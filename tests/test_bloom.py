@@ -1,0 +1,61 @@
+"""F5 with a Bloom filter before the exchange."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagwerk.operators import bloom as B
+from tagwerk.operators.filters import keep_members
+
+
+def frames(spark, n=50_000, members=2_000):
+    rows = spark.range(n).select(F.concat(F.lit("s"), (F.col("id") % 20_000).cast("string")).alias("Share"), F.col("id").alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([(None, -1)], "Share string, v long"))
+    own = spark.range(members).select(F.concat(F.lit("s"), (F.col("id") * 7).cast("string")).alias("m")).unionByName(
+        spark.createDataFrame([(None,), ("s0",)], "m string"))
+    return rows, own
+
+
+def test_no_member_is_lost_and_few_others_pass(spark):
+    rows, own = frames(spark)
+    exact = sorted(r.v for r in keep_members(rows, "Share", own, "m").collect())
+    likely = [r.v for r in B.keep_likely_members(rows, "Share", own, "m").collect()]
+    assert set(exact) <= set(likely)
+    assert len(likely) - len(exact) < 0.06 * (50_000 - len(exact))
+    assert sorted(r.v for r in B.keep_members_prefiltered(rows, "Share", own, "m").collect()) == exact
+
+
+def test_few_bits_many_bits_and_no_members(spark):
+    rows, own = frames(spark, 3_000, 300)
+    exact = sorted(r.v for r in keep_members(rows, "Share", own, "m").collect())
+    for most in (64, 640, 1 << 20):   # too few bits let others pass, never lose a member
+        assert sorted(r.v for r in B.keep_members_prefiltered(rows, "Share", own, "m", most_bits=most).collect()) == exact
+    assert B.keep_members_prefiltered(rows, "Share", own.limit(0), "m").collect() == []
+
+
+def test_the_filter_stands_before_the_exchange(spark):
+    rows, own = frames(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = B.keep_members_prefiltered(rows, "Share", own, "m")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        join, test = plan.index("LeftSemi"), plan.index("Subquery subquery")
+        assert "Exchange hashpartitioning(Share" in plan and plan.index("Exchange hashpartitioning(Share") < test and join < test
+        assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_size():
+    bits, k = B.bloom_size(1_000_000, 0.03)
+    assert bits % 64 == 0 and 7_000_000 < bits < 7_500_000 and k == 5
+    assert B.bloom_size(10 ** 9, 0.03) == (B.MOST_BITS, 1) and B.bloom_size(0, 0.03)[0] == 64
+
+
+@pytest.mark.parametrize("members", [1, 70, 5_000])
+def test_words_hold_exactly_the_places(spark, members):
+    own = spark.range(members).select((F.col("id") * 3).alias("m"))
+    bits, k = 64 * 20_000, 3
+    words = B.bloom_words(own, "m", bits, k).first()["words"]
+    assert len(words) == bits // 64
+    places = {p for r in own.select(*B._places("m", bits, k)).collect() for p in r}
+    assert {64 * i + b for i, w in enumerate(words) for b in range(64) if w >> b & 1} == places

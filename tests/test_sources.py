@@ -278,3 +278,18 @@ def test_parquet_files_with_differing_columns(spark, scratch):
     for merge in (False, True):
         got = sorted(map(tuple, read_parquet_fields(spark, scratch, schema, merge_schema=merge).collect()))
         assert got == [("A", 1.0, 2.0, None), ("B", 3.0, 1.0, 4.0)]
+
+
+def test_damaged_result_lines_are_told_from_empty_cells(spark, scratch):
+    from tagwerk.schemas import MARKET_RESULT
+    from tagwerk.sources.results import split_result
+    write_text(scratch, "part-0.csv", "Date,open_sum,close_sum,abs_diff\n2020-03-02,1.5,,\n2020-03-03,1x0,2,3\n,1,2,3\n2020-03-04,7\n")
+    write_text(scratch, "part-1.csv", "Date,open_sum,close_sum,abs_diff\n2020-13-02,1,2,3\n2020-03-05,1,2,3,4\n2020-03-06,1,2,3\n")
+    good, bad = split_result(spark, scratch, MARKET_RESULT)
+    assert sorted(map(tuple, good.collect()), key=repr) == sorted([
+        (dt.date(2020, 3, 2), 1.5, None, None), (None, 1.0, 2.0, 3.0), (dt.date(2020, 3, 6), 1.0, 2.0, 3.0)], key=repr)
+    assert sorted((r.source_file.rsplit("/", 1)[1], r.line) for r in bad.collect()) == [
+        ("part-0.csv", "2020-03-03,1x0,2,3"), ("part-0.csv", "2020-03-04,7"), ("part-1.csv", "2020-03-05,1,2,3,4"), ("part-1.csv", "2020-13-02,1,2,3")]
+    assert sorted(r.close_sum for r in good.where("Date IS NULL OR close_sum > 1").select("close_sum").collect()) == [2.0, 2.0]
+    assert good.select("Date").count() == 3 and bad.select("source_file").count() == 4
+    assert {r.cells.close_sum for r in bad.where("line LIKE '%1x0%'").collect()} == {2.0}
