@@ -67,6 +67,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as it takes to differ from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``rows`` with ``pos``, the place in its group by ``order``, and ``total``, the rows of the group.
 

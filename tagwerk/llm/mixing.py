@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN
+from .common import WORD_PATTERN, unused
 
 DRAWS = 1 << 52  # a draw is one of so many equally likely steps: 13 hex digits
 
@@ -57,7 +57,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most:
 
 def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3,
              share: float = 1.0, seed: str = "mix") -> DataFrame:
-    """``docs`` with size, source_size, target, rate and copies.
+    """``docs`` with size, source_size, target, rate and copies; input columns of these names give way.
 
     Null and empty texts have size 0; rows without a source form a source of
     their own, last in order; a source of size 0 has rate 0.  Rows that share a
@@ -65,10 +65,12 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int =
     The few source rows are joined by broadcast when Spark finds them small,
     else by a shuffle that splits hot sources.
     """
+    docs = docs.drop("size", "source_size", "target", "rate", "copies")
     sized = docs.withColumn("size", n_words(F.col("text").cast("string")))
     targets = source_targets(sized.select("source", "size"), weights, most, share)
-    targets = targets.select(F.col("source").alias("_source"), "source_size", "target")
-    joined = sized.join(targets, sized["source"].eqNullSafe(targets["_source"])).drop("_source")
+    own = unused(docs, "_source")
+    targets = targets.select(F.col("source").alias(own), "source_size", "target")
+    joined = sized.join(targets, sized["source"].eqNullSafe(targets[own])).drop(own)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor("rate").cast("long")
     again = F.when(draw(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate"), 1).otherwise(0)
@@ -79,7 +81,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3,
         share: float = 1.0, seed: str = "mix") -> DataFrame:
     """The mixed documents: each row of ``docs`` as often as the plan says, with the columns of ``docs``.
 
-    Extra columns may have any name: they are carried in a struct beside the plan.
+    Extra columns may have any name: they are carried in a struct beside the
+    plan.  Null texts and sources, rows that repeat or share an id and an empty
+    table are as in ``plan_mix``.
     """
     inner = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_row"))
     plan = plan_mix(inner, weights, most, share, seed).where("copies > 0")

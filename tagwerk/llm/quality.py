@@ -141,7 +141,8 @@ def threshold_of(docs: DataFrame, known: DataFrame, ranking: Ranking) -> float:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_places(ranking.strength(x)))], names=["doc_id", "place"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    placed = texts.where("doc_id is not null").mapInArrow(run, "doc_id long, place long")
+    texts = texts.join(known.select("doc_id"), "doc_id", "left_semi")  # features cost most: of labelled texts alone
+    placed = texts.mapInArrow(run, "doc_id long, place long")
     least = placed.groupBy("doc_id").agg(F.min("place").alias("place"))
     places = stored(least.join(known.select("doc_id", "quality"), "doc_id").select("place", "quality"), "quality-places")
     low = places.where("quality = 0").count()
@@ -189,10 +190,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 4000, cut: float = 0
     return replace(ranking, threshold=threshold_of(docs, known, ranking))
 
 
-def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
-    """``docs`` with a column ``quality_score`` (0 to 1) of the whole text; other columns pass through.
+def score(docs: DataFrame, ranking: Ranking, name: str = "quality_score") -> DataFrame:
+    """``docs`` with a column ``name`` (0 to 1), the score of the whole text; other columns pass through.
 
-    Null and empty texts are scored by their (zero) features.  No shuffle.
+    Null and empty texts are scored by their (zero) features, rows that repeat
+    alike; an empty table stays empty; an input column called ``name`` gives
+    way.  No shuffle.
     """
     python_path(docs.sparkSession)
 
@@ -204,4 +207,4 @@ def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
             return pd.Series([], dtype=float)
         return pd.Series(ranking.score(np.array([features(t) for t in texts])))
 
-    return docs.withColumn("quality_score", of(F.col("text").cast("string")))
+    return docs.withColumn(name, of(F.col("text").cast("string")))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, python_path, stored
+from .common import connected_components, python_path, stored, unused
 
 N, K = 23, 12                 # length and dimension of the code
 GENERATOR = 0b110001110101    # fixed value: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
@@ -217,14 +217,21 @@ def keep_first(docs: DataFrame, shingle: int = 3, threshold: int = 2) -> DataFra
     Rows, not ids, are decided: each has a key of its doc_id and a 128-bit hash
     of all its columns, so different rows may share an id, and rows without an
     id come after all others.  Of rows that share a doc_id in one component the
-    one of the smallest hash stays, of rows that repeat in full one.  Columns
-    are those of ``docs``.
+    one of the smallest hash stays, of rows that repeat in full one.  Null and
+    empty texts are linked by fingerprint 0; an empty table stays empty.
+    Columns are those of ``docs``, of any name and type.
     """
-    key = ("_unnamed", "_id", "_hash1", "_hash2")
-    whole = [x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))]
+    key = tuple(unused(docs, c) for c in ("_unnamed", "_id", "_hash1", "_hash2"))
+    whole = []
+    for field in docs.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if "map<" in field.dataType.simpleString():  # maps have no hash
+            value = F.to_json(F.struct(value))
+        whole += [F.col(f"`{field.name}`").isNull(), value]
     docs_id = F.col("doc_id").cast("long")
-    keyed = docs.select(*docs.columns, docs_id.isNull().alias("_unnamed"), F.coalesce(docs_id, F.lit(0)).alias("_id"),
-                        F.xxhash64(*whole).alias("_hash1"), F.xxhash64(F.lit(1), *whole).alias("_hash2"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*columns, docs_id.isNull().alias(key[0]), F.coalesce(docs_id, F.lit(0)).alias(key[1]),
+                        F.xxhash64(*whole).alias(key[2]), F.xxhash64(F.lit(1), *whole).alias(key[3]))
     prints = stored(fingerprints(keyed, shingle, columns=key), "simhash-fp")
     classes = stored(prints.groupBy("fp").agg(F.min(F.struct(*key)).alias("first_id")), "simhash-classes")
     kept = stored(_named(classes, threshold).select("component_id").distinct().select("component_id.*"), "simhash-kept")
@@ -232,4 +239,4 @@ def keep_first(docs: DataFrame, shingle: int = 3, threshold: int = 2) -> DataFra
     single = keyed.join(kept.join(again, list(key), "left_anti"), list(key), "left_semi")
     # rows that repeat in full
     repeated = keyed.join(kept.join(again, list(key), "left_semi"), list(key), "left_semi").dropDuplicates(list(key))
-    return single.unionByName(repeated).select(*docs.columns)
+    return single.unionByName(repeated).select(*columns)

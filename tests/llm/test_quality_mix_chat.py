@@ -6,9 +6,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tagwerk.llm import mixing, perspectives, quality
+import corpus_pipeline
+from tagwerk.llm import mixing, perspectives, quality, simhash
 from tagwerk.llm.queries import op8_chat_perspectives
+from tagwerk.session import scratch_path
 
 from .helpers import documents, words
 
@@ -254,3 +257,29 @@ def test_masks_cover_what_the_perspective_says(spark):
         whole = "".join(r.segment for r in own)
         assert [whole[r.mask_start:r.mask_end] for r in own if r.mask_end > r.mask_start] == said
     assert perspectives.rotate(spark.createDataFrame([], TURNS)).collect() == []
+
+
+# ---- clashing names
+
+NAMES = ("size", "source_size", "target", "rate", "copies", "_source", "quality_score", "_id", "_hash1", "_unnamed", "_row", "_copy", "place")
+
+
+def test_columns_of_any_name_pass_through(spark):
+    rng = random.Random(9)
+    rows = [(i, words(rng, 30)) for i in range(20)] + [(None, None), (5, ""), (5, "")]
+    docs = documents(spark, rows).select("*", *[F.lit(f"own {c}").alias(c) for c in NAMES], F.create_map(F.lit("k"), "doc_id").alias("m"))
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and {r["target"] for r in mixed.collect()} <= {"own target"}
+    plan = mixing.plan_mix(docs)
+    assert plan.count() == 23 and dict(plan.dtypes)["target"] == "double" and {r["_source"] for r in plan.collect()} == {"own _source"}
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns and kept.count() == 21 and {r["_id"] for r in kept.collect()} == {"own _id"}
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    ranking = quality.learn(docs, labels)
+    scored = quality.score(docs, ranking, "own_score")
+    assert {r["quality_score"] for r in scored.collect()} == {"own quality_score"} and scored.columns == [*docs.columns, "own_score"]
+    stage = corpus_pipeline.STAGES[0][1]
+    folder = scratch_path(spark, "clash")
+    labels.withColumn("toxic", F.lit(0)).write.parquet(f"{folder}/labels.parquet")
+    out = stage(spark, docs.drop("m"), folder)
+    assert out.columns == docs.drop("m").columns and {r["quality_score"] for r in out.collect()} <= {"own quality_score"}
