@@ -85,11 +85,11 @@ def test_a_failure_leaves_both_tables_at_the_old_snapshot(spark, cfg, scratch, m
     write(f"{scratch}/prices", "more.csv", prices(span("2020-03-20", 20), "D"))
     stage, calls = P._stage, []
 
-    def fails(spark_, rows, root, name, kind, columns):
+    def fails(spark_, rows, root, name, *rest):
         calls.append(name)
         if name == "dax":
             raise OSError("disk")
-        return stage(spark_, rows, root, name, kind, columns)
+        return stage(spark_, rows, root, name, *rest)
 
     monkeypatch.setattr(P, "_stage", fails)
     with pytest.raises(OSError):
@@ -133,6 +133,42 @@ def test_nothing_published_and_empty_tables(spark, cfg, scratch):
     assert served(spark, cfg)["dax"] == [] and served(spark, cfg)["infects"]
 
 
+def test_rejects_are_mended_once_and_stay_mended(spark, cfg, scratch):
+    from tagwerk.schemas import served_market_contract
+    cfg.decimal_precision, contract = 10, served_market_contract(10)
+    columns = [c.name for c in contract.columns]
+    write(f"{scratch}/prices", "big.csv", "Date;Share;Open;Close\n2020-02-20;B;5000000;1\n")
+    write(f"{scratch}/prices", "undated.csv", "Date;Share;Open;Close\n;T;1;2\n")
+    P.refresh_changed(spark, cfg)
+    rejects = {r.date: r for r in P.open_rejects(spark, cfg.out_root, "dax", columns).collect()}
+    big, undated = rejects[dt.date(2020, 2, 20)], rejects[None]
+    assert set(rejects) == {big.date, None} and "open outside" in big.reasons and undated.reasons == "date is null" and big.run == undated.run
+    fields = "reject_id string, date date, open double, close double, diff double"
+    wrong = spark.createDataFrame([(big.reject_id, big.date, 6e6, 1.0, 1.0)], fields)
+    with pytest.raises(ValueError, match="still break"):
+        P.mend(spark, cfg.out_root, contract, wrong)
+    mended = spark.createDataFrame([(big.reject_id, big.date, 5.5, 23.0, 17.5), (undated.reject_id, dt.date(2020, 6, 1), 1.0, 2.0, 1.0),
+                                    ("no such reject", big.date, 0.0, 0.0, 0.0)], fields)
+    done = P.mend(spark, cfg.out_root, contract, mended)
+    assert done.months == {"dax": ["2020-02", "2020-06", P.UNDATED]}
+
+    def rows():
+        return {r.date: float(r.open) for r in P.snapshot_table(spark, cfg.out_root, "dax").collect() if r.date in (big.date, dt.date(2020, 6, 1))}
+
+    assert rows() == {big.date: 5.5, dt.date(2020, 6, 1): 1.0}
+    assert P.open_rejects(spark, cfg.out_root, "dax", columns).count() == 0
+    assert P.snapshot_table(spark, cfg.out_root, "dax").count() == 61
+    assert P.mend(spark, cfg.out_root, contract, mended) == P.Snapshot(done.id, {"dax": []})   # again changes nothing
+    # the same rejects come up again when their month is recomputed
+    write(f"{scratch}/prices", "late.csv", prices([dt.date(2020, 2, 3)], "L"))
+    assert P.refresh_changed(spark, cfg).months["dax"] == ["2020-02"]
+    assert rows() == {big.date: 5.5, dt.date(2020, 6, 1): 1.0} and P.open_rejects(spark, cfg.out_root, "dax", columns).count() == 0
+    # a reject that is gone takes its mend along
+    os.remove(os.path.join(local_dir(f"{scratch}/prices"), "undated.csv"))
+    assert P.refresh_changed(spark, cfg).months["dax"] == ["2020-06", P.UNDATED]
+    assert rows() == {big.date: 5.5}
+
+
 def test_duplicate_keys_publish_nothing(spark, cfg, scratch):
     write(f"{scratch}/infections", "twice.csv", infections(span("2020-01-25", 2), "A"))
     with pytest.raises(ValueError, match="duplicate keys"):
