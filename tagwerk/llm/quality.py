@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagwerk.operators.bloom import keep_likely_members
+
 from .common import python_path, stored
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -141,7 +143,8 @@ def threshold_of(docs: DataFrame, known: DataFrame, ranking: Ranking) -> float:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_places(ranking.strength(x)))], names=["doc_id", "place"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(known.select("doc_id"), "doc_id", "left_semi")  # features cost most: of labelled texts alone
+    # features cost most: nearly all texts without a label are left out where they are read
+    texts = keep_likely_members(texts, "doc_id", known.select("doc_id"))
     placed = texts.mapInArrow(run, "doc_id long, place long")
     least = placed.groupBy("doc_id").agg(F.min("place").alias("place"))
     places = stored(least.join(known.select("doc_id", "quality"), "doc_id").select("place", "quality"), "quality-places")
