@@ -22,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tagwerk.plans.refresh import RefreshConfig, recompute, recompute_since  # noqa: E402
+from tagwerk.plans.snapshots import expire, refresh_changed  # noqa: E402
 from tagwerk.session import SCALE_CONF, apply_settings, ensure_checkpoint_dir, scale_settings  # noqa: E402
 from tagwerk.sinks.notify import DEFAULT_TOPIC, DEFAULT_WORD  # noqa: E402
 from tagwerk.sources.notifications import file_notifications, kafka_notifications  # noqa: E402
@@ -68,6 +69,9 @@ def parse(argv=None):
     p.add_argument("--recompute-from", metavar="DAY",
                    help="incremental: recompute only the months from DAY on, into month-"
                         "partitioned tables infects_by_month / dax_by_month")
+    p.add_argument("--changed-only", action="store_true",
+                   help="recompute the months that changed input files touch and publish a snapshot below --out")
+    p.add_argument("--keep-snapshots", type=int, help="with --changed-only: remove all but so many")
     p.add_argument("--input-bytes", type=int, help="size the shuffle and scan splits for this input")
     p.add_argument("--total-cores", type=int, help="cores of the cluster (with --input-bytes)")
     return p.parse_args(argv)
@@ -103,6 +107,12 @@ def main(argv=None) -> None:
         cfg.symbols = [x.strip() for x in a.symbols.split(",") if x.strip()]
 
     def refresh(session: SparkSession) -> None:
+        if a.changed_only:
+            done = refresh_changed(session, cfg)
+            print(f"snapshot {done.id}: " + ", ".join(f"{name} {len(months)} months" for name, months in done.months.items()))
+            if a.keep_snapshots:
+                expire(session, cfg.out_root, a.keep_snapshots)
+            return
         if a.recompute_from:
             for name, rows in recompute_since(session, cfg, a.recompute_from).items():
                 print(f"{name}: {rows} rows served (months from {a.recompute_from[:7]} recomputed)")

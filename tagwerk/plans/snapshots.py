@@ -267,8 +267,12 @@ def refresh_changed(spark: SparkSession, cfg: RefreshConfig, all_months: bool =
 
     Without a change nothing is published.  The result equals a full refresh of
     the same inputs.  ``all_months`` recomputes everything (after a change of
-    the rules or of ``cfg``, which the index does not see).
+    the rules or of ``cfg``, which the index does not see).  Options that only a
+    full refresh has are refused.
     """
+    refused = [name for name in ("result_root", "preview_rows", "jdbc_url", "growth_table", "market_table") if getattr(cfg, name)]
+    if refused:
+        raise ValueError(f"a refresh of changed months does not take {', '.join(refused)}")
     ensure_checkpoint_dir(spark)
     root = cfg.out_root
     before = next(iter(_pointers(spark, root)), None)

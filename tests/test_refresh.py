@@ -90,7 +90,7 @@ def test_job_script_batch_run(spark, scratch, capsys):
     land_inputs(spark, scratch)
     main(["--infections", f"{scratch}/infections", "--prices", f"{scratch}/prices",
           "--out", f"{scratch}/served", "--continent", "EUROPE", "--decimal-precision", "18",
-          "--symbol-dirs", "--results", f"{scratch}/result", "--preview", "3", "--exact-scale", "4"])
+          "--symbol-dirs", "--results", f"{scratch}/result", "--preview", "3", "--exact"])
     out = capsys.readouterr().out
     assert "infects:" in out and "dax:" in out
     assert "only showing top 3 rows" in out
