@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..session import few_listing_tasks
+
 
 def read_parquet_fields(spark: SparkSession, path, schema: T.StructType,
                         merge_schema: bool = False, with_file: bool = False) -> DataFrame:
@@ -18,8 +20,11 @@ def read_parquet_fields(spark: SparkSession, path, schema: T.StructType,
     adds the file of each row as ``source_file``."""
     source = [F.col("_metadata.file_path").alias("source_file")] if with_file else []
     if not merge_schema:
-        return spark.read.schema(schema).parquet(path).select(*[f"`{f.name}`" for f in schema.fields], *source)
-    df = spark.read.option("mergeSchema", True).parquet(path)
+        with few_listing_tasks(spark):
+            raw = spark.read.schema(schema).parquet(path)
+        return raw.select(*[f"`{f.name}`" for f in schema.fields], *source)
+    with few_listing_tasks(spark):
+        df = spark.read.option("mergeSchema", True).parquet(path)
     have = set(df.columns)
     return df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have
                         else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields], *source)

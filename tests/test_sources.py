@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import types as T
@@ -293,3 +294,36 @@ def test_damaged_result_lines_are_told_from_empty_cells(spark, scratch):
     assert sorted(r.close_sum for r in good.where("Date IS NULL OR close_sum > 1").select("close_sum").collect()) == [2.0, 2.0]
     assert good.select("Date").count() == 3 and bad.select("source_file").count() == 4
     assert {r.cells.close_sum for r in bad.where("line LIKE '%1x0%'").collect()} == {2.0}
+
+
+def _tasks_of_jobs(spark, group, run):
+    """Tasks of every job that ``run`` starts."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    time.sleep(1)  # jobs are noted behind the run
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return [s.numTasks for s in stages if s is not None]
+
+
+@pytest.fixture
+def task_per_folder(spark):
+    """Spark's own setting: up to 10,000 tasks a listing."""
+    from tagwerk.session import LISTING
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, "10000")
+    yield
+    assert spark.conf.get(LISTING) == "10000"
+    spark.conf.set(LISTING, before)
+
+
+def test_many_parquet_folders_are_listed_by_few_tasks(spark, scratch, task_per_folder):
+    from tagwerk.sources.columnar import read_parquet_fields
+    for i in range(250):
+        makedirs_local(f"{scratch}/Share=S{i}")
+    schema = T.StructType([T.StructField("Open", T.DoubleType()), T.StructField("Share", T.StringType())])
+    tasks = _tasks_of_jobs(spark, "list-parquet", lambda: read_parquet_fields(spark, scratch, schema))
+    assert [n for n in tasks if n > 100] == [200]
