@@ -327,3 +327,30 @@ def test_many_parquet_folders_are_listed_by_few_tasks(spark, scratch, task_per_f
     schema = T.StructType([T.StructField("Open", T.DoubleType()), T.StructField("Share", T.StringType())])
     tasks = _tasks_of_jobs(spark, "list-parquet", lambda: read_parquet_fields(spark, scratch, schema))
     assert [n for n in tasks if n > 100] == [200]
+
+
+def test_many_csv_folders_are_listed_twice_by_few_tasks(spark, scratch, task_per_folder):
+    for i in range(250):
+        write_text(f"{scratch}/Share=S{i}", "a.csv", "Date;Open;Change;Close\n2020-03-02;10;1.5;11\n" if i % 5 else
+                   "Date;Open;Close\n2020-03-02;20;19.5\n")
+    tasks = _tasks_of_jobs(spark, "list-csv", lambda: read_by_header(spark, scratch, PRICES, partition_columns=["Share"]))
+    assert [n for n in tasks if n > 100] == [200, 200]  # for the headers and for the rows, whatever the layouts
+
+
+def test_layouts_are_told_by_the_write_where_it_has_one_header(spark, scratch):
+    one, two, three = (f"0a1b2c3d-0000-4000-8000-00000000000{i}" for i in range(3))
+    full, short = "Date;Open;Change;Close\n2020-03-02;10;1.5;11\n", "Date;Open;Close\n2020-03-02;20;19.5\n"
+    for i in range(12):
+        write_text(f"{scratch}/Share=A{i}", f"part-0000{i % 3}-{one}.c000.csv", full)
+    for i in range(4):
+        write_text(f"{scratch}/Share=B{i}", f"part-0000{i % 3}-{two}.c000.csv", short)
+    write_text(f"{scratch}/Share=C0", f"part-00000-{three}.c000.csv", full)   # one write, two headers
+    write_text(f"{scratch}/Share=C1", f"part-00000-{three}.c000.csv", short)
+    write_text(f"{scratch}/Share=D0", "b.csv", short)
+    out = read_by_header(spark, scratch, PRICES, partition_columns=["Share"])
+    got = sorted((r.Share, r.Open, r.Close, r.Change) for r in out.collect())
+    assert got == sorted([(f"A{i}", 10.0, 11.0, 1.5) for i in range(12)] + [("C0", 10.0, 11.0, 1.5)]
+                         + [(s, 20.0, 19.5, None) for s in ("B0", "B1", "B2", "B3", "C1", "D0")])
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert two in plan and "Share=B" not in plan  # the write stands for its files
+    assert "Share=C1" in plan and "Share=D0" in plan and "Share=C0" not in plan
