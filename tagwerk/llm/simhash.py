@@ -151,7 +151,9 @@ def near_links(prints: DataFrame, threshold: int = 2) -> DataFrame:
     ``prints`` has one distinct ``fp`` per row.  Thresholds 0 to 2.  The copies
     meet the homes in one equi-join on the anchor whose condition compares the
     bits, so only links leave it; a crowded anchor is an ordinary skewed join
-    key that adaptive execution splits.
+    key that adaptive execution splits.  Spark sizes the copies like the few
+    fingerprints they are made from and would broadcast them: they are sorted
+    and merged at any size.
     """
     if not 0 <= threshold <= 2:
         raise ValueError("threshold must be 0, 1 or 2")
@@ -176,7 +178,7 @@ def near_links(prints: DataFrame, threshold: int = 2) -> DataFrame:
     copies = one.mapInArrow(run, "anchor int, v long")
     own = one.mapInArrow(home, "anchor int, u long")
     differ = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
-    return (own.join(copies, (own["anchor"] == copies["anchor"]) & (F.col("u") < F.col("v")) & (differ <= threshold))
+    return (own.join(copies.hint("merge"), (own["anchor"] == copies["anchor"]) & (F.col("u") < F.col("v")) & (differ <= threshold))
             .select("u", "v", differ.cast("int").alias("distance")))
 
 

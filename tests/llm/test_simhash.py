@@ -59,6 +59,27 @@ def test_links_equal_brute_force(spark, threshold):
     assert len(got) == len(want) and {(r.u, r.v) for r in got} == want
 
 
+@pytest.mark.parametrize("run", [S.near_duplicates, S.keep_first])
+def test_copies_of_fingerprints_are_not_broadcast(spark, monkeypatch, run):
+    """Spark sizes the copies, some 60 a fingerprint, like the fingerprints."""
+    links, first_of = [], S.connected_components
+
+    def seen(found):
+        links.append(found)
+        return first_of(found)
+
+    monkeypatch.setattr(S, "connected_components", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")  # Spark's own
+    try:
+        rows = _cases()
+        assert run(documents(spark, rows)).count() == (len(rows) if run is S.near_duplicates else len(
+            set(components([d for d, _ in rows], lambda i, j: (simhash(rows[i][1]) ^ simhash(rows[j][1])).bit_count() <= 2))))
+        assert "Broadcast" not in links[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def _cases():
     rng = random.Random(9)
     base = words(rng, 400)
