@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import few_listing_tasks, ship_package
+from ..session import few_listing_tasks, ship_package, total_cores
 
 MAX_LAYOUTS = 500        # each is a scan of its own in the plan
 LONGEST_HEADER = 1 << 24  # bytes read in search of a first line
@@ -85,11 +85,14 @@ def _file_names(spark: SparkSession, path) -> DataFrame:
 def header_lines(spark: SparkSession, path, encoding: str = "UTF-8", files: DataFrame | None = None) -> DataFrame:
     """(file, header): the first line of every file at ``path``, or of ``files`` where they are listed already.
 
-    Tasks open the files as far as needed.  Where a store is open to Spark's
+    A few tasks a core open the files as far as needed: Spark deals out names
+    like whole files, 32 a task, and a task costs more than they do.  Where a store is open to Spark's
     readers alone, ``header_lines_by_scan`` does the same with one task a file.
     """
     ship_package(spark)
     files = _file_names(spark, path) if files is None else files
+    if cores := total_cores(spark):
+        files = files.coalesce(4 * cores)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

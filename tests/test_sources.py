@@ -354,3 +354,20 @@ def test_layouts_are_told_by_the_write_where_it_has_one_header(spark, scratch):
     plan = out._jdf.queryExecution().analyzed().toString()
     assert two in plan and "Share=B" not in plan  # the write stands for its files
     assert "Share=C1" in plan and "Share=D0" in plan and "Share=C0" not in plan
+
+
+def test_headers_of_many_files_are_opened_by_few_tasks(spark, scratch):
+    for i in range(90):
+        write_text(f"{scratch}/Share=S{i}", "a.csv", "Date;Open;Change;Close\n2020-03-02;10;1.5;11\n" if i % 5 else
+                   "Date;Open;Close\n2020-03-02;20;19.5\n")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")  # every file would be a task
+    found = []
+    try:
+        tasks = _tasks_of_jobs(spark, "sniff-csv", lambda: found.append(
+            read_by_header(spark, scratch, PRICES, partition_columns=["Share"])))
+    finally:
+        spark.conf.set(name, before)
+    assert max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert sorted((r.Share, r.Open) for r in found[0].collect()) == sorted((f"S{i}", 10.0 if i % 5 else 20.0) for i in range(90))
